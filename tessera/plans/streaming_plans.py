@@ -1 +1,156 @@
-"""Plans."""
+"""Streaming and stateful plans.
+
+Trades: ``events`` with ``purchase`` = buy of ``ceil(value)`` and ``error``
+= sell of ``ceil(value)``, keyed by ``user_id``, ordered by ``(ts, event_id)``.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera.operators.policies import with_context
+from tessera.plans.common import t
+from tessera.plans.registry import plan
+from tessera.session import checkpoint_dir
+from tessera.streaming import chains as C
+from tessera.streaming import state as S
+
+
+def _trades(df):
+    d = (F.when(F.col("event_type") == "purchase", F.ceil("value"))
+         .otherwise(-F.ceil("value")).cast("double"))
+    return df.where(F.col("event_type").isin("purchase", "error")).select("user_id", "ts", "event_id", d.alias("delta"))
+
+
+_PORTFOLIO_SQL = """
+WITH RECURSIVE tr AS (
+  SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
+         (CASE WHEN event_type = 'purchase' THEN ceil(value) ELSE -ceil(value) END)::DOUBLE AS d
+  FROM events WHERE event_type IN ('purchase', 'error')),
+f(user_id, rn, owned) AS (
+  SELECT user_id, rn, CASE WHEN d >= 0 THEN d END FROM tr WHERE rn = 1
+  UNION ALL
+  SELECT f.user_id, t.rn, CASE WHEN t.d >= 0 THEN coalesce(f.owned, 0) + t.d WHEN f.owned IS NULL THEN NULL
+                               WHEN -t.d <= f.owned THEN f.owned + t.d ELSE f.owned END
+  FROM f JOIN tr t ON t.user_id = f.user_id AND t.rn = f.rn + 1)
+SELECT user_id, owned, rn AS trades FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rn DESC) AS r FROM f) WHERE r = 1 AND owned IS NOT NULL"""
+
+
+@plan("user_portfolio_fold", "STR-06", sql=_PORTFOLIO_SQL)
+def user_portfolio_fold(spark, sf):
+    return S.portfolio_fold(_trades(t(spark, sf, "events")), "user_id", ["ts", "event_id"], "delta")
+
+
+@plan("user_portfolio_stream", "STR-06 STR-02 UDF-03", sql=_PORTFOLIO_SQL)
+def user_portfolio_stream(spark, sf):
+    """The same fold as a Structured Streaming query over the events file
+    (``availableNow``), with per-batch updates appended to a parquet sink in
+    the shared checkpoint folder, then the newest update per user."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/portfolio-{uuid.uuid4().hex}"
+    schema = t(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/[e]vents.parquet")
+    updates = S.portfolio_stream(_trades(stream), "user_id", ["ts", "event_id"], "delta")
+
+    def sink(batch, batch_id):
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{base}/sink")
+
+    q = (updates.writeStream.outputMode("update").foreachBatch(sink)
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.schema("user_id bigint, owned double, trades bigint, late bigint, batch_id bigint").parquet(
+        f"{base}/sink")
+    last = out.groupBy("user_id").agg(F.max_by(F.struct("owned", "trades"), "batch_id").alias("s"))
+    return last.select("user_id", "s.owned", "s.trades")
+
+
+@plan("conversation_chain_positions", "STR-01", sql="""
+SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::BIGINT AS pos FROM conversations""")
+def conversation_chain_positions(spark, sf):
+    # Each turn names the next one (turn + 1 of the same conversation); the
+    # chain order is recovered by pointer jumping, all conversations at once.
+    c = t(spark, sf, "conversations").select("conv_id", "turn")
+    ident = lambda a, b: F.concat_ws(":", F.col(a).cast("string"), F.col(b).cast("string"))
+    nxt = c.select(F.col("conv_id").alias("c2"), (F.col("turn") - 1).alias("t2"), ident("conv_id", "turn").alias("next"))
+    nodes = c.join(nxt, (c.conv_id == nxt.c2) & (c.turn == nxt.t2), "left").select(
+        ident("conv_id", "turn").alias("id"), "next", "conv_id", "turn")
+    ranked = C.chain_positions(nodes.select("id", "next"))
+    return nodes.join(ranked, "id").select("conv_id", "turn", "pos")
+
+
+_PAYLOAD_SCHEMA = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
+                                T.StructField("n_words", T.LongType()), T.StructField("n_chars", T.LongType())])
+
+
+def _payload_stats(batches):
+    # Per-payload work, vectorised per Arrow batch; partitions supply the
+    # parallelism (the reference bounds it at two concurrent payloads).
+    for pdf in batches:
+        text = pdf["text"].fillna("")
+        yield pd.DataFrame({"conv_id": pdf["conv_id"], "turn": pdf["turn"],
+                            "n_words": text.str.count(r"[^\t\n\x0b\f\r ]+").astype("int64"),
+                            "n_chars": text.str.len().astype("int64")})
+
+
+@plan("conversation_payload_stats", "STR-03", sql="""
+SELECT conv_id, turn, len(regexp_extract_all(coalesce(text, ''), '[^\\t\\n\\x0B\\f\\r ]+'))::BIGINT AS n_words,
+       length(coalesce(text, ''))::BIGINT AS n_chars FROM conversations""")
+def conversation_payload_stats(spark, sf):
+    c = t(spark, sf, "conversations").select("conv_id", "turn", "text")
+    return c.mapInPandas(_payload_stats, _PAYLOAD_SCHEMA)
+
+
+def _statuses(spark, sf):
+    p = t(spark, sf, "pages")
+    title = F.nullif(F.regexp_extract("html", r"<title>([^<]*)</title>", 1), F.lit(""))
+    code = F.when(F.col("html").contains("</html>"), 200).otherwise(206)
+    cause = with_context(F.when(title.isNull(), F.lit("no title")), "page_id")
+    return p.select("page_id", code.alias("code"), title.isNotNull().alias("ok"), title.alias("attribute"),
+                    cause.alias("cause"))
+
+
+_STATUS_SQL = """SELECT page_id, CASE WHEN contains(html, '</html>') THEN 200 ELSE 206 END AS code,
+       nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') IS NOT NULL AS ok,
+       nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS attribute,
+       CASE WHEN nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') IS NULL
+            THEN '[page_id=' || page_id::VARCHAR || '] no title' END AS cause FROM pages"""
+
+
+@plan("page_fetch_statuses", "STR-04 STR-05", sql=_STATUS_SQL)
+def page_fetch_statuses(spark, sf):
+    return _statuses(spark, sf)
+
+
+@plan("page_status_counts", "STR-04", sql=f"SELECT ok, count(*) AS n FROM ({_STATUS_SQL}) GROUP BY ok")
+def page_status_counts(spark, sf):
+    return _statuses(spark, sf).groupBy("ok").agg(F.count(F.lit(1)).alias("n"))
+
+
+@plan("seat_holds", "STR-07", sql="""
+SELECT o_custkey AS seat, o_orderkey FROM (
+  SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS r FROM orders)
+WHERE r = 1""")
+def seat_holds(spark, sf):
+    # Seats = customers; requests = orders naming a seat; the earliest wins.
+    o = t(spark, sf, "orders").select(F.col("o_custkey").alias("seat"), "o_orderdate", "o_orderkey")
+    return S.earliest_claims(o, "seat", ["o_orderdate", "o_orderkey"], "o_orderkey")
+
+
+@plan("seat_pool_remaining", "STR-07 SET-03", sql="""
+SELECT c_custkey AS seat FROM customer EXCEPT ALL SELECT DISTINCT o_custkey FROM orders""")
+def seat_pool_remaining(spark, sf):
+    pool = t(spark, sf, "customer").select(F.col("c_custkey").alias("seat"))
+    holds = seat_holds(spark, sf)
+    return S.remaining_pool(pool, holds, "seat")
+
+
+@plan("event_timeout_split", "STR-09", sql="""
+SELECT event_id, CASE WHEN value * 10 > 1000 THEN 'timed out' ELSE 'done' END AS status FROM events""")
+def event_timeout_split(spark, sf):
+    # value x 10 stands for the item's elapsed milliseconds; 1000 ms limit.
+    e = t(spark, sf, "events")
+    return e.select("event_id", F.when(F.col("value") * 10 > 1000, "timed out").otherwise("done").alias("status"))

@@ -1 +1 @@
-"""tessera.streaming"""
+"""Structured Streaming and stateful operators."""
