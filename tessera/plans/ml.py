@@ -1 +1,124 @@
-"""Plans."""
+"""Machine-learning, generator and output plans.
+
+Stand-ins: passenger table -> ``customer JOIN orders`` (label: order status
+``F``); spam mails -> ``documents JOIN labels`` (label: toxic); LibSVM
+sample -> ``embeddings`` (64 dimensions, 10 classes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators import generate as GN
+from tessera.operators import ml as M
+from tessera.plans.common import t
+from tessera.plans.registry import plan
+from tessera.sources import sinks as K
+from tessera.sources.files import schema_frame
+
+# Price split points for the bucketiser.
+PRICE_SPLITS = [float("-inf"), 50000.0, 100000.0, 200000.0, 300000.0, float("inf")]
+
+
+@plan("order_price_buckets", "ML-03", sql="""
+SELECT o_orderkey, (CASE WHEN o_totalprice < 50000 THEN 0 WHEN o_totalprice < 100000 THEN 1 WHEN o_totalprice < 200000 THEN 2
+                         WHEN o_totalprice < 300000 THEN 3 ELSE 4 END)::DOUBLE AS bucket FROM orders""")
+def order_price_buckets(spark, sf):
+    b = M.bucketizer("o_totalprice", PRICE_SPLITS, "bucket")
+    return b.transform(t(spark, sf, "orders").select("o_orderkey", "o_totalprice")).select("o_orderkey", "bucket")
+
+
+@plan("customer_hash_split", "ML-06")
+def customer_hash_split(spark, sf):
+    c = t(spark, sf, "customer").select("c_custkey")
+    train, test = M.hash_split(c, "c_custkey", 60)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
+@plan("customer_balance_imputed", "ML-01")
+def customer_balance_imputed(spark, sf):
+    c = t(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    train, test = M.hash_split(c, "c_custkey", 60)
+    model = M.mean_imputer(train, ["c_acctbal"])  # fitted on the training split only
+    return model.transform(test)
+
+
+def _passengers(spark, sf):
+    o = t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice",
+                                      (F.col("o_orderstatus") == "F").cast("double").alias("label"))
+    c = t(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    return o.join(c, o.o_custkey == c.c_custkey)
+
+
+def _forest(spark, sf, trees=100, depth=6):
+    train, test = M.hash_split(_passengers(spark, sf), "o_orderkey", 80)
+    pipe = M.forest_pipeline(["c_mktsegment", "o_orderpriority"], ["o_orderpriority"], ["c_acctbal", "o_totalprice"],
+                             "label", trees=trees, depth=depth)
+    return pipe.fit(train), test
+
+
+@plan("order_status_forest", "ML-02 ML-04 ML-05 ML-07 ML-09")
+def order_status_forest(spark, sf):
+    model, test = _forest(spark, sf)
+    return model.transform(test).select("o_orderkey", "prediction")
+
+
+@plan("order_status_forest_auc", "ML-08")
+def order_status_forest_auc(spark, sf):
+    model, test = _forest(spark, sf)
+    auc = M.area_under_roc(model.transform(test), "label")
+    return spark.createDataFrame([(float(auc),)], "auc double")
+
+
+@plan("toxic_text_predictions", "ML-10 ML-11 SET-01")
+def toxic_text_predictions(spark, sf):
+    d = t(spark, sf, "documents").select("doc_id", "text")
+    lab = t(spark, sf, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
+    train = d.join(lab, "doc_id").cache()  # fitted with several passes
+    model = M.text_classifier("text", "label").fit(train)
+    out = model.transform(d).select("doc_id", "prediction")
+    return out
+
+
+@plan("embedding_mlp_precision", "ML-12 ML-13 SRC-05")
+def embedding_mlp_precision(spark, sf):
+    e = t(spark, sf, "embeddings").select("vec_id", M.as_vector("embedding").alias("features"),
+                                          F.col("label").cast("double").alias("label"))
+    train, test = M.hash_split(e, "vec_id", 60)
+    model = M.mlp([64, 32, 10]).fit(train)
+    precision = M.weighted_precision(model.transform(test), "label")
+    return spark.createDataFrame([(float(precision),)], "precision double")
+
+
+@plan("order_uniform_draws", "GEN-01")
+def order_uniform_draws(spark, sf):
+    return t(spark, sf, "orders").select("o_orderkey", GN.uniform(42, "o_orderkey").alias("u"))
+
+
+@plan("order_gaussian_draws", "GEN-02")
+def order_gaussian_draws(spark, sf):
+    return t(spark, sf, "orders").select("o_orderkey", GN.gaussian(42, "o_orderkey").alias("z"))
+
+
+@plan("supplier_html_report", "SNK-03", sql="""
+SELECT 0::BIGINT AS pos, chr(10) || '<html>' || chr(10) || '<head>' || chr(10) || '<title>Suppliers</title></head>' || chr(10)
+       || '<body>' || chr(10) || '<table border="1">' || chr(10) || '<tr>' || chr(10) || '<th>s_suppkey</th>' || chr(10)
+       || '<th>s_name</th>' || chr(10) || '<th>s_nationkey</th></tr>' AS html
+UNION ALL
+SELECT row_number() OVER (ORDER BY s_suppkey), chr(10) || '<tr>' || chr(10) || '<td>' || s_suppkey::VARCHAR || '</td>' || chr(10)
+       || '<td>' || replace(s_name, chr(160), '&#160') || '</td>' || chr(10) || '<td>' || s_nationkey::VARCHAR || '</td></tr>'
+FROM supplier
+UNION ALL SELECT count(*) + 1, '</table></body></html>' FROM supplier""")
+def supplier_html_report(spark, sf):
+    s = t(spark, sf, "supplier")
+    return K.html_fragments(s, ["s_suppkey", "s_name", "s_nationkey"], ["s_suppkey"], "Suppliers")
+
+
+@plan("orders_schema", "SRC-02")
+def orders_schema(spark, sf):
+    return schema_frame(t(spark, sf, "orders"))
+
+
+@plan("order_xml_rows", "SNK-04")
+def order_xml_rows(spark, sf):
+    return K.to_xml_text(t(spark, sf, "orders"), ["o_orderkey", "o_orderstatus", "o_orderpriority"], "order")
