@@ -178,3 +178,16 @@ def nested_sets(paths_with_size: DataFrame) -> DataFrame:
     lft = 2 * F.col("_p") - F.col("depth") + 1
     return p.select("id", "depth", "size", lft.cast("bigint").alias("lft"),
                     (lft + 2 * F.col("size") - 1).cast("bigint").alias("rgt"))
+
+
+def render_fragments(nested: DataFrame, label: str) -> DataFrame:
+    """Bracketed rendering of a tree, ``A{B C{D}}`` style (GR-08), as ordered
+    text fragments ``(pos, text)``: a node with children opens ``label{`` at
+    its left number and closes ``}`` at its right number; a leaf is its label.
+    Concatenating by ``pos`` gives the whole rendering, which is never built
+    in one row (a tree can be arbitrarily large)."""
+    opens = nested.select(F.col("lft").alias("pos"),
+                          F.when(F.col("size") > 1, F.concat(F.col(label).cast("string"), F.lit("{")))
+                          .otherwise(F.col(label).cast("string")).alias("text"))
+    closes = nested.where(F.col("size") > 1).select(F.col("rgt").alias("pos"), F.lit("}").alias("text"))
+    return opens.unionByName(closes)

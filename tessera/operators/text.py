@@ -86,3 +86,13 @@ def concordance_nested(flat: DataFrame, doc: str = "doc_id") -> DataFrame:
     document's own text, which already sits in one row."""
     entries = F.array_sort(F.collect_list(F.struct("page", "line", "col", "word")))
     return flat.groupBy(doc).agg(entries.alias("entries"))
+
+
+def word_value_counts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``countByValue`` per key as a map ``word -> count`` (AGG-18).  The map
+    of one key is bounded by that key's own text (a document), so no
+    unbounded group is gathered; a corpus-wide map would be the (word,
+    count) frame of :func:`word_count` itself."""
+    w = df.select(key, F.explode(T.tokens(text)).alias("word")).groupBy(key, "word").count()
+    entries = F.array_sort(F.collect_list(F.struct("word", "count")))
+    return w.groupBy(key).agg(F.map_from_entries(entries).alias("counts"))

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import scalar as S
 from tessera.operators import policies as P
-from tessera.plans.common import t
+from tessera.plans.common import spread, t
 from tessera.plans.registry import plan
 
 
@@ -187,7 +187,7 @@ def part_simple_names(spark, sf):
 
 
 def _position_lines(spark, sf, always_decimal: bool):
-    li = t(spark, sf, "lineitem")
+    li = t(spark, sf, "lineitem").select("l_partkey", "l_quantity", "l_linenumber")
     q = F.col("l_quantity").cast("string")
     if not always_decimal:
         # First lines print the quantity without a decimal point: rejected.
@@ -316,7 +316,8 @@ SELECT o_orderkey,
                            ELSE o_orderdate::DATE END AS parsed
 FROM orders""")
 def order_date_formats(spark, sf):
-    o = t(spark, sf, "orders")
+    # Parsing several layouts is CPU-heavy per row: use every core.
+    o = spread(t(spark, sf, "orders").select("o_orderkey", "o_orderdate"))
     k = F.col("o_orderkey") % 4
     text = F.date_format("o_orderdate", DATE_WRITE[0])
     for i, fmt in enumerate(DATE_WRITE[1:], start=1):
@@ -443,3 +444,24 @@ def order_json_roundtrip(spark, sf):
     o = t(spark, sf, "orders").select(F.struct(*[f.name for f in _RT_SCHEMA.fields]).alias("r"))
     back = F.from_json(F.to_json("r"), _RT_SCHEMA)
     return o.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.bool_and(back.eqNullSafe(F.col("r"))), F.lit(True)).alias("all_equal"))
+
+
+_PRIORITY = r"^(\d)-(.+)$"
+
+
+@plan("order_typed_records", "SCL-06 PRJ-06", sql=r"""
+SELECT o_orderkey, o_orderstatus = 'F' AS finished, TRY_CAST(regexp_extract(o_orderpriority, '^(\d)-(.+)$', 1) AS INTEGER) AS level,
+       nullif(regexp_extract(o_orderpriority, '^(\d)-(.+)$', 2), '') AS level_name, o_totalprice AS price,
+       year(o_orderdate)::INTEGER AS year
+FROM orders""")
+def order_typed_records(spark, sf):
+    # Every field arrives as text (as from an all-string CSV) and is typed by
+    # try_cast / comparisons / regex groups on the executors.
+    o = t(spark, sf, "orders").select(*[F.col(c).cast("string").alias(c) for c in
+                                        ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate"]])
+    return o.select(F.col("o_orderkey").try_cast("bigint").alias("o_orderkey"),
+                    (F.col("o_orderstatus") == "F").alias("finished"),
+                    S.group("o_orderpriority", _PRIORITY, 1).try_cast("int").alias("level"),
+                    S.group("o_orderpriority", _PRIORITY, 2).alias("level_name"),
+                    F.col("o_totalprice").try_cast("double").alias("price"),
+                    F.year(F.col("o_orderdate").try_cast("timestamp")).alias("year"))

@@ -9,3 +9,22 @@ from tessera.sources.tables import table
 
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table(spark, sf_dir, name)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give CPU-heavy per-row work (tokenising, regex parsing) the whole
+    cluster when the scan yields fewer partitions than there are cores — a
+    small file or a file written as one row group is read by one task.
+
+    With ``keys`` the rows are hash-partitioned on them, which later
+    windows/aggregates clustered on a superset of the keys reuse without
+    another exchange.  Without keys, a round-robin repartition is added only
+    when the input is under-partitioned, so on a large input (thousands of
+    splits) this is a no-op and adds no shuffle."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if keys:
+        return df.repartition(*keys)
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

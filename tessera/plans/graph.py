@@ -155,3 +155,14 @@ FROM sized""")
 def tree_nested_sets(spark, sf):
     s = G.subtree_sizes(G.tree_paths(_tree_nodes(spark, sf)))
     return G.nested_sets(s).select("id", F.col("depth").cast("int"), "size", "lft", "rgt")
+
+
+@plan("tree_render_fragments", "GR-08", sql=f"""
+WITH {_TREE_SQL},
+ns AS (SELECT id, size, (2 * (row_number() OVER (ORDER BY path) - 1) - depth + 1)::BIGINT AS lft,
+              (2 * (row_number() OVER (ORDER BY path) - 1) - depth + 1 + 2 * size - 1)::BIGINT AS rgt FROM sized)
+SELECT lft AS pos, CASE WHEN size > 1 THEN id || '{{' ELSE id END AS text FROM ns
+UNION ALL SELECT rgt, '}}' FROM ns WHERE size > 1""")
+def tree_render_fragments(spark, sf):
+    s = G.nested_sets(G.subtree_sizes(G.tree_paths(_tree_nodes(spark, sf))))
+    return G.render_fragments(s, "id")

@@ -154,3 +154,15 @@ def event_timeout_split(spark, sf):
     # value x 10 stands for the item's elapsed milliseconds; 1000 ms limit.
     e = t(spark, sf, "events")
     return e.select("event_id", F.when(F.col("value") * 10 > 1000, "timed out").otherwise("done").alias("status"))
+
+
+@plan("price_read_through", "STR-08", sql="""
+SELECT DISTINCT l_partkey AS symbol, p_retailprice AS price, CASE WHEN p_size <= 45 THEN 'cache' ELSE 'fulfilled' END AS source
+FROM lineitem JOIN part ON l_partkey = p_partkey""")
+def price_read_through(spark, sf):
+    from tessera.streaming.cache import read_through
+    part = t(spark, sf, "part")
+    keys = t(spark, sf, "lineitem").select(F.col("l_partkey").alias("symbol"))
+    cache = part.where(F.col("p_size") <= 45).select(F.col("p_partkey").alias("symbol"), F.col("p_retailprice").alias("price"))
+    source = part.select(F.col("p_partkey").alias("symbol"), F.col("p_retailprice").alias("price"))
+    return read_through(keys, "symbol", cache, "price", lambda missing: missing.join(source, "symbol"))

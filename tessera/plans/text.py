@@ -7,18 +7,25 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.operators import text as X
-from tessera.plans.common import t
+from tessera.plans.common import spread, t
 from tessera.plans.registry import plan
 
 _WS = r"[\t\n\x0B\f\r ]"
 
 
+def _docs(spark, sf):
+    # Hash-partitioned by document: the concordance's windows (clustered on
+    # doc_id, page, line) and per-document maps then need no further shuffle,
+    # and the token-level shuffle is replaced by one of the raw text.
+    return spread(t(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+
+
 @plan("document_word_count", "AGG-16 AGG-17 SRC-03", headline=True, sql=f"""
 SELECT word, count(*) AS count
 FROM (SELECT unnest(regexp_split_to_array(text, '{_WS}+')) AS word FROM documents)
 WHERE word <> '' GROUP BY word ORDER BY count DESC, word""")
 def document_word_count(spark, sf):
-    return X.word_count(t(spark, sf, "documents"), "text")
+    return X.word_count(spread(t(spark, sf, "documents").select("text")), "text")
 
 
 @plan("document_clean_word_count", "AGG-19 SCL-17", sql=f"""
@@ -27,7 +34,7 @@ SELECT word, count(*) AS count FROM (
   FROM (SELECT unnest(regexp_split_to_array(text, '{_WS}')) AS tok FROM documents))
 WHERE word <> '' GROUP BY word""")
 def document_clean_word_count(spark, sf):
-    return X.word_count(t(spark, sf, "documents"), "text", clean=True)
+    return X.word_count(spread(t(spark, sf, "documents").select("text")), "text", clean=True)
 
 
 @plan("conversation_word_count", "AGG-16", sql=f"""
@@ -35,7 +42,7 @@ SELECT word, count(*) AS count
 FROM (SELECT unnest(regexp_split_to_array(text, '{_WS}+')) AS word FROM conversations)
 WHERE word <> '' GROUP BY word""")
 def conversation_word_count(spark, sf):
-    return X.word_count(t(spark, sf, "conversations"), "text")
+    return X.word_count(spread(t(spark, sf, "conversations").select("text")), "text")
 
 
 @plan("word_document_frequency", "AGG-25", sql=f"""
@@ -44,7 +51,7 @@ SELECT word, count(DISTINCT doc_id) AS documents FROM (
   FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '{_WS}')) AS tok FROM documents))
 WHERE word <> '' GROUP BY word""")
 def word_document_frequency(spark, sf):
-    return X.word_document_frequency(t(spark, sf, "documents"), "doc_id", "text")
+    return X.word_document_frequency(spread(t(spark, sf, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 _HOST_SQL = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)', 1)"
@@ -54,7 +61,7 @@ _HOST_SQL = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]*)', 1)"
 SELECT host, sum(len(regexp_extract_all(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[^\\t\\n\\x0B\\f\\r ]+')))::BIGINT AS words
 FROM (SELECT {_HOST_SQL} AS host, html FROM pages) GROUP BY ROLLUP (host)""")
 def page_words_per_host(spark, sf):
-    p = t(spark, sf, "pages").select(T.url_host("url").alias("host"), T.strip_tags("html").alias("body"))
+    p = spread(t(spark, sf, "pages").select("url", "html")).select(T.url_host("url").alias("host"), T.strip_tags("html").alias("body"))
     return X.words_per_group_with_total(p, "host", "body")
 
 
@@ -78,17 +85,17 @@ FROM m"""
 
 @plan("document_concordance", "TXT-01 TXT-02 SRC-04", sql=_concordance_sql(X.WORD, X.STRIP_STRICT))
 def document_concordance(spark, sf):
-    return X.concordance(t(spark, sf, "documents"), "doc_id", "text")
+    return X.concordance(_docs(spark, sf), "doc_id", "text")
 
 
 @plan("document_concordance_unicode", "TXT-01 TXT-02", sql=_concordance_sql(X.WORD_UNICODE, X.STRIP_STRICT))
 def document_concordance_unicode(spark, sf):
-    return X.concordance(t(spark, sf, "documents"), "doc_id", "text", mode="unicode")
+    return X.concordance(_docs(spark, sf), "doc_id", "text", mode="unicode")
 
 
 @plan("document_concordance_offsets", "TXT-04", sql=_concordance_sql(X.WORD, X.STRIP_RANGE))
 def document_concordance_offsets(spark, sf):
-    return X.concordance(t(spark, sf, "documents"), "doc_id", "text", strip=X.STRIP_RANGE)
+    return X.concordance(_docs(spark, sf), "doc_id", "text", strip=X.STRIP_RANGE)
 
 
 @plan("document_concordance_nested", "TXT-03", sql="""
@@ -98,5 +105,16 @@ SELECT doc_id, to_json(list({'page': page, 'line': line, 'col': col, 'word': wor
 FROM flat GROUP BY doc_id""")
 def document_concordance_nested(spark, sf):
     # JSON text of the nested entries keeps the result comparable across engines.
-    nested = X.concordance_nested(X.concordance(t(spark, sf, "documents"), "doc_id", "text"))
+    nested = X.concordance_nested(X.concordance(_docs(spark, sf), "doc_id", "text"))
     return nested.select("doc_id", F.to_json("entries").alias("entries"))
+
+
+@plan("document_word_value_counts", "AGG-18", sql=f"""
+WITH w AS (SELECT doc_id, word, count(*) AS c
+           FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '{_WS}+')) AS word FROM documents)
+           WHERE word <> '' GROUP BY doc_id, word)
+SELECT doc_id, to_json(map_from_entries(list({{'k': word, 'v': c}} ORDER BY word, c)))::VARCHAR AS counts
+FROM w GROUP BY doc_id""")
+def document_word_value_counts(spark, sf):
+    m = X.word_value_counts(_docs(spark, sf), "doc_id", "text")
+    return m.select("doc_id", F.to_json("counts").alias("counts"))

@@ -83,21 +83,25 @@ class _ChainReader(DataSourceReader):
 
 class _ChainStreamReader(DataSourceStreamReader):
     """Offsets are {"token": <next page to read>, "seq": <pages read>}.
-    ``latestOffset`` advances one landed page per call (its ``next`` field
-    is the only thing read on the driver)."""
+    ``latestOffset`` follows the landed pages' ``next`` fields (only that
+    field matters on the driver) up to ``maxPagesPerTrigger`` pages or the
+    first page not landed yet; executors then read the pages' items."""
 
     def __init__(self, options):
         self.folder, self.first = options["path"], options["start"]
+        self.max_pages = int(options.get("maxPagesPerTrigger", "1000"))
 
     def initialOffset(self):
         return {"token": self.first, "seq": 0}
 
     def latestOffset(self, start=None, limit=None):
-        start = start or self.initialOffset()
-        token = start["token"]
-        if not token or not os.path.exists(os.path.join(self.folder, f"{token}.json")):
-            return start
-        return {"token": _read_page(self.folder, token).get("next"), "seq": start["seq"] + 1}
+        cur = dict(start or self.initialOffset())
+        for _ in range(self.max_pages):
+            token = cur["token"]
+            if not token or not os.path.exists(os.path.join(self.folder, f"{token}.json")):
+                break
+            cur = {"token": _read_page(self.folder, token).get("next"), "seq": cur["seq"] + 1}
+        return cur
 
     def partitions(self, start, end):
         if start["token"] == end["token"]:
