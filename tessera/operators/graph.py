@@ -122,7 +122,8 @@ def crawl(links: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
 
     Each round joins the frontier to the link table (``src -> dst``),
     removes already-visited URLs with an anti-join and appends the rest.
-    The visited set is checkpointed each round.  Unlike the reference, which
+    Each round's new frontier is checkpointed, so the visited set is a union
+    of checkpointed levels.  Unlike the reference, which
     re-queues visited URLs and counts batches of 8, depth here is true BFS
     depth and no URL is expanded twice."""
     visited = _cut(seeds.select(F.col("url"), F.lit(0).alias("depth")).distinct())
@@ -133,7 +134,8 @@ def crawl(links: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
         nxt = _cut(nxt)
         if nxt.isEmpty():
             break
-        visited = _cut(visited.unionByName(nxt))
+        # A union of checkpointed levels already has shallow lineage.
+        visited = visited.unionByName(nxt)
         frontier = nxt
     return visited
 
@@ -154,7 +156,7 @@ def tree_paths(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
         nxt = _cut(nxt)
         if nxt.isEmpty():
             break
-        out = _cut(out.unionByName(nxt))
+        out = out.unionByName(nxt)  # union of checkpointed levels: shallow lineage
         level = nxt
     return out
 

@@ -21,10 +21,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     another exchange.  Without keys, a round-robin repartition is added only
     when the input is under-partitioned, so on a large input (thousands of
     splits) this is a no-op and adds no shuffle."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
     if keys:
         return df.repartition(*keys)
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()  # split planning only, no job
+    except Exception:  # e.g. Spark Connect: no RDD view; keep the scan as is
+        return df
+    return df.repartition(cores) if parts < cores else df
