@@ -3,9 +3,13 @@
 A DataFrame has no row order, so every operator here takes explicit order
 columns that must form a total order (add a unique tie-break).  Two shapes:
 
-* per-group sequences (``partition`` given) use windows partitioned by the
-  group key, so each group streams through one task with spill-capable
-  buffers and groups spread over the cluster;
+* per-group sequences (``partition`` given) first measure the largest
+  group (one partial-aggregated count).  When every group fits a task
+  (``tessera.scan.maxGroupRows``, default 2M rows) a window partitioned by
+  the group is used; when a key is hot, the segmented scan of
+  :mod:`tessera.operators.scan` runs instead: a global range sort splits
+  the hot key over many partitions and a carry table (one row per
+  partition) stitches them together;
 * whole-table positions use :func:`global_row_number`, which never funnels
   rows through a single task: a range-partitioned sort, one small aggregate
   of per-partition counts, and a broadcast of those counts (one row per
@@ -46,17 +50,72 @@ def global_row_number(df: DataFrame, order: Sequence, name: str = "pos", start:
     return out.withColumn(name, pos.cast("bigint")).drop("_pid", "_mid", "_first", "_off")
 
 
-def with_position(df: DataFrame, partition, order, name: str = "pos", start: int = 1) -> DataFrame:
-    """Position within each partition group (1-based by default)."""
+def _scan_ok(partition, order) -> bool:
+    """Single key column and ascending column-name order: the segmented scan
+    of :mod:`tessera.operators.scan` can be used."""
+    names = [partition] if isinstance(partition, str) else partition
+    ords = [order] if isinstance(order, str) else order
+    return (isinstance(names, (list, tuple)) and len(names) == 1 and isinstance(names[0], str)
+            and all(isinstance(o, str) for o in ords))
+
+
+def _names(x):
+    return [x] if isinstance(x, str) else list(x)
+
+
+# Session setting: the largest group (rows of one key) a window may give to a
+# single task.  Bigger groups switch to the segmented scan; 0 forces it.
+SCAN_CONF = "tessera.scan.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+
+
+def use_scan(df: DataFrame, partition, order) -> bool:
+    """Decide between a per-key window and the segmented scan from one
+    measured number: the size of the largest group (a partial-aggregated
+    count; only that scalar reaches the driver)."""
+    if not _scan_ok(partition, order):
+        return False
+    limit = int(df.sparkSession.conf.get(SCAN_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+    if limit <= 0:
+        return True
+    key = _names(partition)[0]
+    biggest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    return biggest > limit
+
+
+def key_scan(df: DataFrame, partition, order, sum_col: str | None = None, prev_col: str | None = None,
+             idx: str = "idx", running: str = "running", prev: str = "prev", scan: bool | None = None) -> DataFrame:
+    """Position within the group, running sum (as double) and previous value,
+    by the segmented scan when a group is too big for one task, otherwise by
+    a window partitioned on the group."""
+    if scan is None:
+        scan = use_scan(df, partition, order)
+    if scan:
+        from tessera.operators.scan import segmented_scan
+        return segmented_scan(df, _names(partition)[0], _names(order), sum_col, prev_col, idx, running, prev)
     w = W.partitionBy(*_cols(partition)).orderBy(*_cols(order))
-    return df.withColumn(name, (F.row_number().over(w) - 1 + start).cast("bigint"))
+    out = df.withColumn(idx, F.row_number().over(w).cast("bigint"))
+    if sum_col is not None:
+        out = out.withColumn(running, F.sum(F.col(sum_col).cast("double")).over(
+            w.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    if prev_col is not None:
+        out = out.withColumn(prev, F.lag(prev_col).over(w))
+    return out
+
+
+def with_position(df: DataFrame, partition, order, name: str = "pos", start: int = 1,
+                  scan: bool | None = None) -> DataFrame:
+    """Position within each partition group (1-based by default)."""
+    out = key_scan(df, partition, order, idx="_idx", scan=scan)
+    return out.withColumn(name, (F.col("_idx") - 1 + start).cast("bigint")).drop("_idx")
 
 
-def running_sum(df: DataFrame, partition, order, value: str, name: str = "running") -> DataFrame:
+def running_sum(df: DataFrame, partition, order, value: str, name: str = "running",
+                scan: bool | None = None) -> DataFrame:
     """Prefix sum within each group (WIN-03)."""
-    w = (W.partitionBy(*_cols(partition)).orderBy(*_cols(order))
-         .rowsBetween(W.unboundedPreceding, W.currentRow))
-    return df.withColumn(name, F.sum(value).over(w))
+    integral = df.schema[value].dataType.typeName() in ("integer", "long", "short", "byte")
+    out = key_scan(df, partition, order, sum_col=value, idx="_idx", running=name, scan=scan)
+    return out.withColumn(name, F.col(name).cast("bigint" if integral else "double")).drop("_idx")
 
 
 def interval_deltas(df: DataFrame, keys, start: str, stop: str) -> DataFrame:
@@ -89,16 +148,16 @@ def occupancy_series(df: DataFrame, keys, start: str, stop: str, tie: Sequence[s
         F.struct(F.col(start).alias("t"), F.lit(1).alias("kind"), F.lit(1).alias("delta")),
         F.struct(F.col(stop).alias("t"), F.lit(0).alias("kind"), F.lit(-1).alias("delta"))))
     d = df.select(*_cols(keys), *tie, ev.alias("_e")).select(*_cols(keys), *tie, "_e.t", "_e.kind", "_e.delta")
-    w = W.partitionBy(*_cols(keys)).orderBy(F.col("t"), F.col("kind"), *[F.col(c) for c in tie])
-    return (d.withColumn("step", F.row_number().over(w).cast("bigint"))
-            .withColumn("occupancy", F.sum("delta").over(w.rowsBetween(W.unboundedPreceding, W.currentRow))))
+    out = key_scan(d, keys, ["t", "kind", *tie], sum_col="delta", idx="step", running="occupancy")
+    return out.withColumn("occupancy", F.col("occupancy").cast("bigint"))
 
 
-def change_flags(df: DataFrame, partition, order, value: str) -> DataFrame:
+def change_flags(df: DataFrame, partition, order, value: str, scan: bool | None = None) -> DataFrame:
     """``_new_run`` is 1 where ``value`` differs from the previous row in the group."""
-    w = W.partitionBy(*_cols(partition)).orderBy(*_cols(order))
-    prev = F.lag(value).over(w)
-    return df.withColumn("_new_run", F.when(prev.isNull() | ~prev.eqNullSafe(F.col(value)), 1).otherwise(0))
+    x = key_scan(df, partition, order, prev_col=value, idx="_idx", prev="_prev", scan=scan)
+    first = F.col("_idx") == 1
+    return x.withColumn("_new_run", F.when(first | ~F.col("_prev").eqNullSafe(F.col(value)), 1).otherwise(0)).drop(
+        "_idx", "_prev")
 
 
 def compress(df: DataFrame, partition, order, value: str) -> DataFrame:
@@ -106,12 +165,13 @@ def compress(df: DataFrame, partition, order, value: str) -> DataFrame:
     return change_flags(df, partition, order, value).where("_new_run = 1").drop("_new_run")
 
 
-def runs(df: DataFrame, partition, order, value: str) -> DataFrame:
+def runs(df: DataFrame, partition, order, value: str, scan: bool | None = None) -> DataFrame:
     """Island id per row: running count of value changes (gaps and islands)."""
-    f = change_flags(df, partition, order, value)
-    w = (W.partitionBy(*_cols(partition)).orderBy(*_cols(order))
-         .rowsBetween(W.unboundedPreceding, W.currentRow))
-    return f.withColumn("run_no", F.sum("_new_run").over(w).cast("bigint")).drop("_new_run")
+    if scan is None:
+        scan = use_scan(df, partition, order)
+    f = change_flags(df, partition, order, value, scan=scan)
+    r = running_sum(f, partition, order, "_new_run", "run_no", scan=scan)
+    return r.withColumn("run_no", F.col("run_no").cast("bigint")).drop("_new_run")
 
 
 def run_length_encode(df: DataFrame, partition, order, value: str, modified: bool = False) -> DataFrame:
@@ -144,14 +204,17 @@ def replicate(df: DataFrame, times: Column | str | int, name: str = "copy") -> D
 
 def nth_from_start_and_end(df: DataFrame, partition, order, value: str, k: int) -> DataFrame:
     """Last, next-to-last and k-th element of each group (WIN-09); absent
-    positions are null (the reference raises)."""
-    w = W.partitionBy(*_cols(partition)).orderBy(*_cols(order))
-    wd = W.partitionBy(*_cols(partition)).orderBy(*[c.desc() for c in _cols(order)])
-    x = df.withColumn("_a", F.row_number().over(w)).withColumn("_d", F.row_number().over(wd))
-    return x.groupBy(*_cols(partition)).agg(
-        F.max(F.when(F.col("_d") == 1, F.col(value))).alias("last"),
-        F.max(F.when(F.col("_d") == 2, F.col(value))).alias("penultimate"),
-        F.max(F.when(F.col("_a") == k, F.col(value))).alias(f"kth"))
+    positions are null (the reference raises).  Positions come from the key
+    scan and group sizes from an aggregate, so no group is gathered."""
+    keys = _cols(partition)
+    x = with_position(df, partition, order, "_a")
+    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    x = x.join(n, _names(partition))
+    d = F.col("_n") - F.col("_a") + 1
+    return x.groupBy(*keys).agg(
+        F.max(F.when(d == 1, F.col(value))).alias("last"),
+        F.max(F.when(d == 2, F.col(value))).alias("penultimate"),
+        F.max(F.when(F.col("_a") == k, F.col(value))).alias("kth"))
 
 
 def is_palindrome(df: DataFrame, partition: str, order, value: str) -> DataFrame:
@@ -175,10 +238,10 @@ def reverse_positions(df: DataFrame, partition: str, order, name: str = "pos") -
 
 def is_sorted(df: DataFrame, partition, order, value: str, descending: bool = False) -> DataFrame:
     """Whether ``value`` is non-decreasing (or non-increasing) along the order (WIN-11)."""
-    w = W.partitionBy(*_cols(partition)).orderBy(*_cols(order))
-    prev = F.lag(value).over(w)
+    f = key_scan(df, partition, order, prev_col=value, idx="_idx", prev="_prev")
+    prev = F.col("_prev")
     ok = (prev <= F.col(value)) if not descending else (prev >= F.col(value))
-    f = df.withColumn("_ok", F.coalesce(ok, F.lit(True)))
+    f = f.withColumn("_ok", F.coalesce(ok, F.lit(True)))
     return f.groupBy(*_cols(partition)).agg(F.bool_and("_ok").alias("is_sorted"))
 
 

@@ -59,8 +59,8 @@ def customer_occupancy_series(spark, sf):
 SELECT user_id, event_id, row_number() OVER w AS idx, round(sum(value) OVER (w ROWS UNBOUNDED PRECEDING), 4) AS running
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def user_running_value(spark, sf):
-    e = O.with_position(t(spark, sf, "events"), "user_id", EV_ORDER, "idx")
-    e = O.running_sum(e, "user_id", EV_ORDER, "value")
+    e = t(spark, sf, "events").select("user_id", "event_id", "ts", "value")
+    e = O.key_scan(e, "user_id", EV_ORDER, sum_col="value")  # one pass: position and running sum
     return e.select("user_id", "event_id", "idx", F.round("running", 4).alias("running"))
 
 

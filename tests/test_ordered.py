@@ -6,6 +6,15 @@ from tessera.functions.scalar import hhmm_minutes
 from tessera.operators import ordered as O
 
 
+@pytest.fixture(autouse=True, params=["window", "scan"])
+def path(request, spark):
+    """Run every test through both the per-key window and the segmented scan."""
+    from tessera.operators.ordered import SCAN_CONF
+    spark.conf.set(SCAN_CONF, "0" if request.param == "scan" else "1000000")
+    yield request.param
+    spark.conf.unset(SCAN_CONF)
+
+
 def seq(spark, values, name="value"):
     return spark.createDataFrame([("g", i, v) for i, v in enumerate(values)], f"g string, pos int, {name} int")
 
