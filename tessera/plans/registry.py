@@ -43,6 +43,6 @@ def plan(name: str, ids: str, sql: str | None = None, headline: bool = False):
 def all_plans() -> dict[str, Plan]:
     # Importing the family modules fills the registry.
     from tessera.plans import (  # noqa: F401
-        aggregates, cleaning, graph, ml, ordered, relational, streaming_plans, text,
+        aggregates, cleaning, graph, io_plans, ml, ordered, relational, streaming_plans, text,
     )
     return dict(_PLANS)
