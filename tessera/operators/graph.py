@@ -126,6 +126,9 @@ def crawl(links: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
     of checkpointed levels.  Unlike the reference, which
     re-queues visited URLs and counts batches of 8, depth here is true BFS
     depth and no URL is expanded twice."""
+    # The link table is joined in every round: materialise it once instead
+    # of re-extracting links from the pages each time.
+    links = _cut(links.select("src", "dst"))
     visited = _cut(seeds.select(F.col("url"), F.lit(0).alias("depth")).distinct())
     frontier = visited
     for depth in range(1, max_depth + 1):
@@ -149,7 +152,7 @@ def tree_paths(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
     level = _cut(nodes.where(F.col("parent").isNull()).select(
         "id", F.lit(0).alias("depth"), F.array(F.col("key")).alias("path")))
     out = level
-    children = nodes.where(F.col("parent").isNotNull()).select("id", "parent", "key")
+    children = _cut(nodes.where(F.col("parent").isNotNull()).select("id", "parent", "key"))  # joined every level
     for d in range(1, max_depth + 1):
         nxt = level.select(F.col("id").alias("parent"), "path").join(children, "parent").select(
             "id", F.lit(d).alias("depth"), F.concat("path", F.array(F.col("key"))).alias("path"))
