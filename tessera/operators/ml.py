@@ -65,8 +65,6 @@ def area_under_roc(scored: DataFrame, label: str) -> float:
 def text_classifier(text: str, label: str, features: int = 10000, iterations: int = 100) -> Pipeline:
     """Space-split words -> hashed term frequencies (10 000 buckets, ML-10)
     -> logistic regression (ML-11; the SGD variant is legacy in Spark)."""
-    from pyspark.ml import Transformer  # noqa: F401
-
     words = _SplitWords(inputCol=text, outputCol="_words")
     tf = HashingTF(numFeatures=features, inputCol="_words", outputCol="features")
     lr = LogisticRegression(labelCol=label, featuresCol="features", maxIter=iterations)
