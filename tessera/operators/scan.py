@@ -25,6 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _same(a, b) -> bool:
+    """Equality where two nulls are equal (the grouping semantics of SQL)."""
+    return (pd.isna(a) and pd.isna(b)) or (not pd.isna(a) and not pd.isna(b) and a == b)
+
+
 def _local_pass(key: str, sum_col: str | None, prev_col: str | None):
     def run(batches):
         state = None  # (key, count, sum, n_nonnull, last_prev_value) at the end of the previous batch
@@ -32,10 +37,13 @@ def _local_pass(key: str, sum_col: str | None, prev_col: str | None):
             if pdf.empty:
                 continue
             k = pdf[key]
-            grp = (k != k.shift()).cumsum()  # runs of equal keys (input is sorted by key)
+            prev_k = k.shift()
+            changed = (k != prev_k) & ~(k.isna() & prev_k.isna())
+            changed.iloc[0] = True
+            grp = changed.cumsum()  # runs of equal keys (input is sorted by key; nulls form one run)
             idx = pdf.groupby(grp, sort=False).cumcount().to_numpy() + 1
             cont = None
-            if state is not None and k.iloc[0] == state[0]:
+            if state is not None and _same(k.iloc[0], state[0]):
                 cont = (grp == grp.iloc[0]).to_numpy()
                 idx = idx + np.where(cont, state[1], 0)
             out = pdf.assign(_lidx=idx.astype("int64"))
@@ -93,7 +101,9 @@ def segmented_scan(df: DataFrame, key: str, order: Sequence[str], sum_col: str |
     if sum_col is not None:
         summ = summ.withColumn("_cs", F.sum("_last.s").over(run_w))
     by_pid = W.orderBy("_pid")  # over one row per partition
-    same = F.lag("_last.k").over(by_pid).eqNullSafe(F.col("_fk"))
+    # A previous partition must exist: with nulls sorted first, "no previous
+    # key" and a null first key would otherwise compare equal.
+    same = F.lag("_pid").over(by_pid).isNotNull() & F.lag("_last.k").over(by_pid).eqNullSafe(F.col("_fk"))
     carry = [F.col("_pid"), F.col("_fk"), F.when(same, F.lag("_cn").over(by_pid)).otherwise(F.lit(0)).alias("_ccnt")]
     if sum_col is not None:
         carry.append(F.when(same, F.lag("_cs").over(by_pid)).alias("_csum"))

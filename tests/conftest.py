@@ -24,7 +24,10 @@ def tmp(tmp_path):
 
 def rows(df, *cols):
     cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    def key(tup):
+        return tuple((x is None, x if x is not None else 0) for x in tup)
+
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=key)
 
 
 SF_SMALL = "/root/testdata/sf0.001"

@@ -106,3 +106,20 @@ def test_periodic_labels(spark):
     df = spark.range(1, 16).withColumnRenamed("id", "n")
     out = dict((r.n, r.labels) for r in O.periodic_labels(df, "n", [("Fizz", 0, 3), ("Buzz", 0, 5)]).collect())
     assert out[15] == ["Fizz", "Buzz"] and out[9] == ["Fizz"] and 7 not in out
+
+
+def test_segmented_scan_null_keys_and_empty(spark, path):
+    from pyspark.sql import Window as W
+
+    from tessera.operators.scan import segmented_scan
+
+    data = [(None if i % 7 == 0 else i % 3, i, float(i % 5), "x" if i % 2 else None) for i in range(300)]
+    df = spark.createDataFrame(data, "k long, t long, v double, c string").repartition(5)
+    got = segmented_scan(df, "k", ["t"], sum_col="v", prev_col="c")
+    w = W.partitionBy("k").orderBy("t")
+    want = df.select("k", "t", F.row_number().over(w).alias("idx"),
+                     F.sum("v").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("running"),
+                     F.lag("c").over(w).alias("prev"))
+    assert rows(got, "k", "t", "idx", "running", "prev") == rows(want, "k", "t", "idx", "running", "prev")
+    empty = spark.createDataFrame([], "k long, t long, v double, c string")
+    assert segmented_scan(empty, "k", ["t"], sum_col="v", prev_col="c").count() == 0
