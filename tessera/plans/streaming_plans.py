@@ -48,12 +48,22 @@ def user_portfolio_fold(spark, sf):
 
 @plan("user_portfolio_stream", "STR-06 STR-02 UDF-03", sql=_PORTFOLIO_SQL)
 def user_portfolio_stream(spark, sf):
-    """The same fold as a Structured Streaming query over the events file
-    (``availableNow``), with per-batch updates appended to a parquet sink in
-    the shared checkpoint folder, then the newest update per user."""
+    """The same fold as a Structured Streaming query.  The events are first
+    landed as weekly slices in time order (each slice hash-partitioned by
+    user, so one user's events of a week sit in one file); the stream reads
+    one slice per micro-batch, keeps the owned quantity in state across
+    batches, and appends each batch's updates to a parquet sink.  The newest
+    update per user is the result."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/portfolio-{uuid.uuid4().hex}"
-    schema = t(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/[e]vents.parquet")
+    events = t(spark, sf, "events")
+    parts = 4
+    week = F.floor((F.dayofmonth("ts") - 1) / 7)
+    n_weeks = 5  # days 1-31 of the month fall in weeks 0..4
+    for w in range(n_weeks):
+        (events.where(week == w).repartition(parts, "user_id").write.mode("append")
+         .parquet(f"{base}/landing"))
+    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", parts)
+              .parquet(f"{base}/landing"))
     updates = S.portfolio_stream(_trades(stream), "user_id", ["ts", "event_id"], "delta")
 
     def sink(batch, batch_id):
