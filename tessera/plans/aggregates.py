@@ -270,11 +270,13 @@ def supplier_big_line_fold(spark, sf):
 
 
 @plan("order_part_lists", "AGG-23", sql="""
-SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS parts
+SELECT l_orderkey, to_json(list(l_partkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity))::VARCHAR AS parts
 FROM lineitem GROUP BY l_orderkey""")
 def order_part_lists(spark, sf):
     # Lines of one order form a small, bounded list; order it by line number
     # (ties broken by the other columns, as (order, line) is not unique here).
     li = t(spark, sf, "lineitem")
     s = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")))
-    return li.groupBy("l_orderkey").agg(F.transform(s, lambda x: x["l_partkey"]).alias("parts"))
+    parts = F.transform(s, lambda x: x["l_partkey"])
+    # The list is returned as JSON text so both engines compare it the same way.
+    return li.groupBy("l_orderkey").agg(F.to_json(parts).alias("parts"))

@@ -418,10 +418,11 @@ def user_value_ok(spark, sf):
     return ok
 
 
-@plan("user_value_errors", "ERR-04 ERR-05", sql=f"{_USER_SQL} SELECT user_id, n_errors, messages FROM g WHERE n_errors > 0")
+@plan("user_value_errors", "ERR-04 ERR-05",
+      sql=f"{_USER_SQL} SELECT user_id, n_errors, to_json(messages)::VARCHAR AS messages FROM g WHERE n_errors > 0")
 def user_value_errors(spark, sf):
     _, errors = P.per_key_outcome(_user_readings(spark, sf), "user_id", F.round(F.sum("v"), 4))
-    return errors
+    return errors.withColumn("messages", F.to_json("messages"))  # list as JSON text
 
 
 @plan("event_type_strict_mean_k", "AGG-30 ERR-01", sql="""

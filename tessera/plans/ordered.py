@@ -81,11 +81,13 @@ def user_event_compress(spark, sf):
 
 @plan("user_event_pack", "WIN-05", sql=f"""
 WITH {_RUN_SQL}
-SELECT user_id, run_no::BIGINT AS run_no, count(*) AS n, min(event_type) AS event_type, list(event_type) AS pack
+SELECT user_id, run_no::BIGINT AS run_no, count(*) AS n, min(event_type) AS event_type,
+       to_json(list(event_type))::VARCHAR AS pack
 FROM r GROUP BY user_id, run_no""")
 def user_event_pack(spark, sf):
     e = t(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
-    return O.pack(e, "user_id", EV_ORDER, "event_type")
+    # Packs are returned as JSON text so both engines compare lists the same way.
+    return O.pack(e, "user_id", EV_ORDER, "event_type").withColumn("pack", F.to_json("pack"))
 
 
 @plan("user_event_rle", "WIN-06", sql=f"""
@@ -276,9 +278,9 @@ FIZZ_BUZZ_RULES = [("Fizz", 0, 3), ("Buzz", 0, 5)]
 
 
 @plan("order_key_periodic_rules", "JN-10 FIL-08", sql="""
-SELECT o_orderkey, list_filter([CASE WHEN o_orderkey % 3 = 0 THEN 'Fizz' END,
-                                CASE WHEN o_orderkey % 5 = 0 THEN 'Buzz' END], lambda x: x IS NOT NULL) AS labels
+SELECT o_orderkey, to_json(list_filter([CASE WHEN o_orderkey % 3 = 0 THEN 'Fizz' END,
+                                        CASE WHEN o_orderkey % 5 = 0 THEN 'Buzz' END], lambda x: x IS NOT NULL))::VARCHAR AS labels
 FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 = 0""")
 def order_key_periodic_rules(spark, sf):
     o = t(spark, sf, "orders").select("o_orderkey")
-    return O.periodic_labels(o, "o_orderkey", FIZZ_BUZZ_RULES)
+    return O.periodic_labels(o, "o_orderkey", FIZZ_BUZZ_RULES).withColumn("labels", F.to_json("labels"))
