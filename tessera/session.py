@@ -66,3 +66,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths``, from the file system's
+    listing (no data is read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_partitions(spark: SparkSession, total_input_bytes: int, target_bytes: int = 256 << 20) -> int:
+    """Size shuffles and file splits for an input of ``total_input_bytes``.
+
+    Shuffle partitions start at about one per ``target_bytes`` of input (at
+    least twice the cores), so a partition of a full-input shuffle fits an
+    executor's memory without heavy spill; AQE then coalesces small ones
+    toward the same advisory size and splits skewed ones.  File splits use
+    the same target.  Returns the shuffle partition count it set."""
+    cores = spark.sparkContext.defaultParallelism
+    n = max(2 * cores, -(-total_input_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    return n

@@ -123,3 +123,27 @@ def test_segmented_scan_null_keys_and_empty(spark, path):
     assert rows(got, "k", "t", "idx", "running", "prev") == rows(want, "k", "t", "idx", "running", "prev")
     empty = spark.createDataFrame([], "k long, t long, v double, c string")
     assert segmented_scan(empty, "k", ["t"], sum_col="v", prev_col="c").count() == 0
+
+
+def test_hot_key_switches_to_scan(spark, path):
+    from tessera.operators.ordered import SCAN_CONF, use_scan
+
+    # One key holds a third of the rows; the rest are spread thin.
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                                  F.col("id").alias("t"))
+    spark.conf.set(SCAN_CONF, "500")
+    assert use_scan(df, "k", ["t"]) is True
+    spark.conf.set(SCAN_CONF, "5000")
+    assert use_scan(df, "k", ["t"]) is False
+
+
+def test_size_partitions(spark, path):
+    from tessera.session import input_bytes, size_partitions
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    n = size_partitions(spark, 10 * (256 << 20))
+    assert n >= 10 and spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 << 20)
+    assert input_bytes(spark, ["/root/testdata/sf0.001/orders.parquet"]) > 0
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
