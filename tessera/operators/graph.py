@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir
+from tessera.session import materialize
 
 # URL shapes.  The path test is the reference's file-name
 # pattern (note the '/'..'_' character range inside the first class).
@@ -112,8 +112,7 @@ def triplets(vertices: DataFrame, edges: DataFrame, attrs: Sequence[str], defaul
 
 def _cut(df: DataFrame) -> DataFrame:
     """Cut lineage by a reliable checkpoint in the shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df)
 
 
 def crawl(links: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:

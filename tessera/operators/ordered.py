@@ -14,7 +14,8 @@ columns that must form a total order (add a unique tie-break).  Two shapes:
   rows through a single task: a range-partitioned sort, one small aggregate
   of per-partition counts, and a broadcast of those counts (one row per
   partition, bounded by the partition count) to turn local indexes into
-  global ones.
+  global ones.  The sorted, numbered rows are checkpointed once so both
+  reads see the same partitions.
 """
 
 from __future__ import annotations
@@ -34,10 +35,15 @@ def _cols(xs) -> list[Column]:
 
 def global_row_number(df: DataFrame, order: Sequence, name: str = "pos", start: int = 1) -> DataFrame:
     """Consecutive positions ``start, start+1, ...`` in ``order`` over the
-    whole frame, computed without a single-partition window."""
-    s = (df.orderBy(*_cols(order))
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
+    whole frame, computed without a single-partition window: a range sort,
+    per-partition counts, and a broadcast of their prefix offsets."""
+    from tessera.session import materialize
+
+    # The numbered rows are read by two branches (counts and the final
+    # join); materialising them makes both see the same partitions.
+    s = materialize(df.orderBy(*_cols(order))
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id()))
     per_part = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     # One row per partition: the prefix over it is tiny and the result is
     # safe to broadcast (bounded by spark.sql.shuffle.partitions).

@@ -77,8 +77,13 @@ def segmented_scan(df: DataFrame, key: str, order: Sequence[str], sum_col: str |
     """Add ``idx`` (1-based position within the key), ``running`` (running
     sum of ``sum_col``; nulls skipped, null until the first value) and
     ``prev`` (``prev_col`` of the previous row of the key) in ``order``."""
-    s = (df.orderBy(F.col(key), *[F.col(c) for c in order])
-         .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    from tessera.session import materialize
+
+    # Sorted rows with partition id and in-partition sequence, checkpointed
+    # once: the Python pass and the JVM summary must see the same partitions
+    # (separate range exchanges would sample their own bounds).
+    s = materialize(df.orderBy(F.col(key), *[F.col(c) for c in order])
+                    .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
     fields = list(s.schema.fields) + [T.StructField("_lidx", T.LongType())]
     if sum_col is not None:
         fields.append(T.StructField("_lsum", T.DoubleType()))
@@ -86,14 +91,24 @@ def segmented_scan(df: DataFrame, key: str, order: Sequence[str], sum_col: str |
         fields.append(T.StructField("_lprev", s.schema[prev_col].dataType))
     loc = s.mapInPandas(_local_pass(key, sum_col, prev_col), T.StructType(fields))
 
-    # One row per partition: its first key and the state after its last row.
-    last = [F.col(key).alias("k"), F.col("_lidx").alias("n")]
+    # One row per partition: its first key and the state after its last row
+    # (count, sum and last value of the key that ends the partition).  It is
+    # computed by JVM aggregates over the sorted rows, so the Python pass
+    # runs once: per (partition, key) counts/sums, then the partition's
+    # last group.
+    per_key = [F.count(F.lit(1)).alias("n"), F.max("_mid").alias("_mx")]
     if sum_col is not None:
-        last.append(F.col("_lsum").alias("s"))
+        per_key.append(F.sum(F.col(sum_col).cast("double")).alias("s"))
+    groups = s.groupBy("_pid", F.col(key).alias("k")).agg(*per_key)
+    fields = [F.col("k"), F.col("n")] + ([F.col("s")] if sum_col is not None else [])
+    tail = groups.groupBy("_pid").agg(F.max_by(F.struct(*fields), F.col("_mx")).alias("_last"))
+    edge = [F.min_by(F.col(key), F.col("_mid")).alias("_fk")]
+    if prev_col is not None:
+        edge.append(F.max_by(F.col(prev_col), F.col("_mid")).alias("_lv"))
+    ends = s.groupBy("_pid").agg(*edge)
+    summ = tail.join(ends, "_pid")
     if prev_col is not None:
-        last.append(F.col(prev_col).alias("v"))
-    summ = loc.groupBy("_pid").agg(F.min_by(F.col(key), F.col("_mid")).alias("_fk"),
-                                   F.max_by(F.struct(*last), F.col("_mid")).alias("_last"))
+        summ = summ.withColumn("_last", F.col("_last").withField("v", F.col("_lv")))
     # Partitions whose last key is the same form one contiguous run (keys are
     # sorted); the running total within the run is the carry into the next.
     run_w = W.partitionBy(F.col("_last.k")).orderBy("_pid").rowsBetween(W.unboundedPreceding, W.currentRow)

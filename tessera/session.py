@@ -94,3 +94,16 @@ def size_partitions(spark: SparkSession, total_input_bytes: int, target_bytes: i
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
     return n
+
+
+def materialize(df):
+    """Write ``df`` once as a reliable checkpoint in the shared checkpoint
+    folder and return the frame that reads it back.
+
+    Used where several branches of one plan must see *the same* partitions,
+    for example rows numbered after a range-partitioned sort: two separate
+    range exchanges sample their own bounds and can split the data
+    differently, while every reader of a checkpoint sees identical
+    partitions, also after an executor is lost."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

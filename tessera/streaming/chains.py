@@ -21,12 +21,12 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir
+from tessera.session import materialize
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by a reliable checkpoint in the shared checkpoint folder."""
+    return materialize(df)
 
 
 def chain_positions(nodes: DataFrame, node: str = "id", nxt: str = "next", max_rounds: int = 64) -> DataFrame:

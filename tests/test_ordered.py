@@ -147,3 +147,33 @@ def test_size_partitions(spark, path):
     spark.conf.set("spark.sql.shuffle.partitions", old)
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_scan_carries_across_partitions(spark, path):
+    import random
+
+    from pyspark.sql import Window as W
+
+    from tessera.operators.scan import segmented_scan
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "300")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        rnd = random.Random(5)
+        data = [(0 if rnd.random() < 0.4 else rnd.randint(1, 30), i, None if rnd.random() < 0.05 else float(rnd.randint(0, 9)),
+                 rnd.choice("ab")) for i in range(8000)]
+        df = spark.createDataFrame(data, "k long, t long, v double, c string").repartition(9)
+        spread = df.orderBy("k", "t").select(F.spark_partition_id().alias("p"), "k").where("k = 0")
+        assert spread.select("p").distinct().count() > 2  # the hot key really spans partitions
+        got = segmented_scan(df, "k", ["t"], sum_col="v", prev_col="c")
+        w = W.partitionBy("k").orderBy("t")
+        want = df.select("k", "t", F.row_number().over(w).alias("idx"),
+                         F.sum("v").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("running"),
+                         F.lag("c").over(w).alias("prev"))
+        assert rows(got, "k", "t", "idx", "running", "prev") == rows(want, "k", "t", "idx", "running", "prev")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
