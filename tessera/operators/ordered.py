@@ -285,20 +285,17 @@ def range_lookup(points: DataFrame, point: str, intervals: DataFrame, lo: str, h
     equi-join on the bucket plus a residual range filter.  Work is linear in
     points + intervals + buckets, and nothing is broadcast unless the
     optimizer measures it small.  Points outside every interval get nulls."""
-    span = intervals.agg(F.min(lo).alias("_lo0"), F.max(hi).alias("_hi0"))
-    width = F.greatest(F.ceil((F.col("_hi0") - F.col("_lo0")) / F.lit(n_buckets)), F.lit(1))
-    span = span.select("_lo0", width.alias("_w"))
-    iv = intervals.crossJoin(F.broadcast(span))  # one-row frame
-    first = F.floor((F.col(lo) - F.col("_lo0")) / F.col("_w"))
-    last = F.floor((F.col(hi) - 1 - F.col("_lo0")) / F.col("_w"))
-    iv = iv.where(F.col(hi) > F.col(lo)).withColumn(
-        "_b", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))))
-    pt = points.crossJoin(F.broadcast(span)).withColumn(
-        "_b", F.floor((F.col(point) - F.col("_lo0")) / F.col("_w")).cast("bigint"))
+    # The value domain's start and the bucket width are scalar subqueries:
+    # evaluated once, inlined as constants, no join.
+    lo0 = intervals.agg(F.min(lo)).scalar()
+    width = intervals.agg(F.greatest(F.ceil((F.max(hi) - F.min(lo)) / F.lit(n_buckets)), F.lit(1))).scalar()
+    first = F.floor((F.col(lo) - lo0) / width)
+    last = F.floor((F.col(hi) - 1 - lo0) / width)
+    iv = intervals.where(F.col(hi) > F.col(lo)).withColumn(
+        "_ib", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))))
+    pt = points.withColumn("_b", F.floor((F.col(point) - lo0) / width).cast("bigint"))
     keep = [c for c in intervals.columns]
-    j = pt.drop("_lo0", "_w").join(iv.drop("_lo0", "_w").withColumnRenamed("_b", "_ib"),
-                                   (F.col("_b") == F.col("_ib")) & (F.col(point) >= F.col(lo)) &
-                                   (F.col(point) < F.col(hi)), "left")
+    j = pt.join(iv, (F.col("_b") == F.col("_ib")) & (F.col(point) >= F.col(lo)) & (F.col(point) < F.col(hi)), "left")
     return j.select(*[c for c in points.columns], *keep)
 
 

@@ -233,10 +233,10 @@ WITH {_WHEEL_SQL}
 SELECT w.p_brand, count(*) AS draws FROM draws d JOIN wheel w ON d.draw >= w.lo AND d.draw < w.hi GROUP BY w.p_brand""")
 def brand_wheel_lookup(spark, sf):
     wheel = _brand_wheel(spark, sf)
-    total = wheel.agg(F.sum("odds").alias("_total"))
-    # A deterministic draw per line in [0, total); one-row total broadcast.
-    li = t(spark, sf, "lineitem").crossJoin(F.broadcast(total))
-    draws = li.select(F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber"), F.col("_total")).alias("draw"))
+    total = wheel.agg(F.sum("odds")).scalar()  # scalar subquery, no join
+    # A deterministic draw per line in [0, total).
+    li = t(spark, sf, "lineitem")
+    draws = li.select(F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber"), total).alias("draw"))
     hit = O.range_lookup(draws, "draw", wheel.select("p_brand", "lo", "hi"), "lo", "hi")
     return hit.groupBy("p_brand").agg(F.count(F.lit(1)).alias("draws"))
 
