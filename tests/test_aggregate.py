@@ -104,3 +104,18 @@ def test_map_reduce_with_zero(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", None)], "k string, v double")
     out = A.map_reduce(df, {"k": F.col("k"), "v": F.col("v")}, "k", F.sum, zero=0.0)
     assert rows(out) == [("a", 3.0), ("b", 0.0)]
+
+
+def test_document_frequency_from_occurrences(spark):
+    # Occurrence fixture shape (word -> the pages it occurs in): "the" in 3, "Syria" in 2.
+    occ = spark.createDataFrame([("the", ["u1", "u2", "u3"]), ("Syria", ["u1", "u3"])], "word string, urls array<string>")
+    pairs = occ.select("word", F.explode("urls").alias("url"))
+    out = dict((r.word, r.n) for r in pairs.groupBy("word").agg(F.countDistinct("url").alias("n")).collect())
+    assert out == {"the": 3, "Syria": 2}
+
+
+def test_fold_values_into_ordered_list(spark):
+    # Values folded into a list per key, in the order given by a position column.
+    df = spark.createDataFrame([("k", 2, "b"), ("k", 1, "a"), ("j", 1, "x"), ("k", 3, "c")], "key string, pos int, v string")
+    lists = df.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda s: s["v"]).alias("vs"))
+    assert dict((r.key, r.vs) for r in lists.collect()) == {"k": ["a", "b", "c"], "j": ["x"]}
