@@ -138,11 +138,11 @@ def max_concurrency(df: DataFrame, keys, start: str, stop: str, name: str = "roo
 
     Deltas are first summed per (key, time): with stops ordered before starts
     the peak at a time is the prefix *including* every event at that time, so
-    the window only sees one row per distinct time per key.  That bounds a
-    hot key's window by its number of distinct times, not by its rows."""
+    the scan only sees one row per distinct time per key.  The prefix sum is
+    the measured key scan, so a key with very many distinct times is split
+    across tasks as well."""
     d = interval_deltas(df, keys, start, stop).groupBy(*_cols(keys), "t").agg(F.sum("delta").alias("delta"))
-    w = W.partitionBy(*_cols(keys)).orderBy("t").rowsBetween(W.unboundedPreceding, W.currentRow)
-    occ = d.withColumn("_occ", F.sum("delta").over(w))
+    occ = key_scan(d, keys, ["t"], sum_col="delta", idx="_i", running="_occ")
     return occ.groupBy(*_cols(keys)).agg(F.greatest(F.max("_occ"), F.lit(0)).cast("bigint").alias(name))
 
 
@@ -225,10 +225,11 @@ def nth_from_start_and_end(df: DataFrame, partition, order, value: str, k: int)
 
 def is_palindrome(df: DataFrame, partition: str, order, value: str) -> DataFrame:
     """Palindrome test per group (WIN-10) without collecting the group: rows at
-    positions i and n-1-i are paired by an equi-join and compared."""
-    w = W.partitionBy(partition).orderBy(*_cols(order))
-    p = (df.withColumn("_i", F.row_number().over(w) - 1)
-         .withColumn("_n", F.count(F.lit(1)).over(W.partitionBy(partition))))
+    positions i and n-1-i are paired by an equi-join and compared.  Positions
+    come from the measured key scan and sizes from an aggregate."""
+    p = with_position(df, partition, order, "_i", start=0)
+    n = df.groupBy(partition).agg(F.count(F.lit(1)).alias("_n"))
+    p = p.join(n, partition)
     a = p.select(partition, "_i", "_n", F.col(value).alias("_v"))
     b = p.select(F.col(partition).alias("_k"), (F.col("_n") - 1 - F.col("_i")).alias("_j"), F.col(value).alias("_m"))
     j = a.join(b, (a[partition] == b["_k"]) & (a["_i"] == b["_j"]))
@@ -237,9 +238,11 @@ def is_palindrome(df: DataFrame, partition: str, order, value: str) -> DataFrame
 
 
 def reverse_positions(df: DataFrame, partition: str, order, name: str = "pos") -> DataFrame:
-    """Reverse of each group's sequence as new 0-based positions (WIN-10)."""
-    w = W.partitionBy(partition).orderBy(*[c.desc() for c in _cols(order)])
-    return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
+    """Reverse of each group's sequence as new 0-based positions (WIN-10):
+    ``n - 1 - i`` from the forward position and the group size."""
+    p = with_position(df, partition, order, "_i", start=0)
+    n = df.groupBy(partition).agg(F.count(F.lit(1)).alias("_n"))
+    return p.join(n, partition).withColumn(name, (F.col("_n") - 1 - F.col("_i")).cast("bigint")).drop("_i", "_n")
 
 
 def is_sorted(df: DataFrame, partition, order, value: str, descending: bool = False) -> DataFrame:

@@ -177,3 +177,9 @@ def test_scan_carries_across_partitions(spark, path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_reverse_positions(spark, path):
+    df = seq(spark, [5, 6, 7])
+    out = O.reverse_positions(df, "g", ["pos"], "rpos").orderBy("rpos").collect()
+    assert [r.value for r in out] == [7, 6, 5]
