@@ -44,18 +44,16 @@ def forgive_only(df: DataFrame, forgivable: Column, error: str = "error") -> Dat
     return df.where(keep).drop(error)
 
 
-def per_key_outcome(df: DataFrame, key: str, value_agg: Column, error: str = "error",
-                    max_messages: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Per key: the reduced value when every row is good (``ok(key, value)``)
-    or the key's error count and sorted distinct messages
-    (``errors(key, n_errors, messages)``).  One aggregate computes both."""
-    msgs = F.array_sort(F.collect_set(F.col(error)))
-    if max_messages:
-        msgs = F.slice(msgs, 1, max_messages)
-    g = df.groupBy(key).agg(F.count_if(F.col(error).isNotNull()).alias("n_errors"),
-                            value_agg.alias("value"), msgs.alias("messages"))
-    ok = g.where("n_errors = 0").select(key, "value")
-    errors = g.where("n_errors > 0").select(key, "n_errors", "messages")
+def per_key_outcome(df: DataFrame, key: str, value_agg: Column, error: str = "error") -> tuple[DataFrame, DataFrame]:
+    """Per key: the reduced value when every row of the key is good
+    (``ok(key, value)``), and for keys with failures one row per distinct
+    message with its count (``errors(key, message, n)``).  Both are plain
+    aggregates with map-side combining; no key's messages are gathered into
+    one row, however many a hot key has."""
+    g = df.groupBy(key).agg(F.count_if(F.col(error).isNotNull()).alias("_bad"), value_agg.alias("value"))
+    ok = g.where("_bad = 0").select(key, "value")
+    errors = (df.where(F.col(error).isNotNull()).groupBy(key, F.col(error).alias("message"))
+              .agg(F.count(F.lit(1)).alias("n")))
     return ok, errors
 
 
