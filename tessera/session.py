@@ -54,15 +54,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) do we create a private folder; on a cluster that setting is
-    expected to name a shared file system path.
-    """
+    on a local master (tests, a laptop) is a private folder created; on a
+    cluster a machine-local folder would be wrong (executors would write to
+    their own disks), so the setting is required there."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
