@@ -13,6 +13,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import fround
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -27,7 +29,7 @@ def mean_stddev(df: DataFrame, keys: Sequence[str] | str | None, value: str,
     mean = F.avg(value)
     std = F.stddev_samp(value)
     if digits is not None:
-        mean, std = F.round(mean, digits), F.round(std, digits)
+        mean, std = fround(mean, digits), fround(std, digits)
     aggs = [mean.alias("mean"), std.alias("stddev")]
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
@@ -39,7 +41,7 @@ def conditional_means(df: DataFrame, value: str, cases: dict[str, Column],
     out = []
     for name, cond in cases.items():
         e = F.avg(F.when(cond, F.col(value)))
-        out.append((F.round(e, digits) if digits is not None else e).alias(name))
+        out.append((fround(e, digits) if digits is not None else e).alias(name))
     return df.agg(*out)
 
 
@@ -61,8 +63,8 @@ def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 6) -> Dat
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.round(F.avg(x), digits).alias(f"{c}__mean"),
-                 F.round(F.stddev_samp(x), digits).alias(f"{c}__stddev"),
+        aggs += [F.count(x).alias(f"{c}__count"), fround(F.avg(x), digits).alias(f"{c}__mean"),
+                 fround(F.stddev_samp(x), digits).alias(f"{c}__stddev"),
                  F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
     parts = ", ".join(
@@ -81,8 +83,8 @@ def quartile_summary(df: DataFrame, column: str, accuracy: int = 1_000_000) -> D
     reaches the requested fraction)."""
     x = F.col(column).cast("double")
     q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-    return df.agg(F.count(x).alias("n"), F.round(F.avg(x), 6).alias("mean"),
-                  F.round(F.stddev_samp(x), 6).alias("stddev"), F.min(x).alias("min_value"),
+    return df.agg(F.count(x).alias("n"), fround(F.avg(x), 6).alias("mean"),
+                  fround(F.stddev_samp(x), 6).alias("stddev"), F.min(x).alias("min_value"),
                   q.alias("_q"), F.max(x).alias("max_value")).select(
         "n", "mean", "stddev", "min_value", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
         F.col("_q")[2].alias("q75"), "max_value")
@@ -95,7 +97,7 @@ def pairwise_corr(df: DataFrame, columns: Sequence[str], digits: int = 6) -> Dat
     orders.  ``corr`` skips rows where either side is null (``stat.corr``
     would count them as zero)."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    wide = df.agg(*[F.round(F.corr(a, b), digits).alias(f"{a}__{b}") for a, b in pairs])
+    wide = df.agg(*[fround(F.corr(a, b), digits).alias(f"{a}__{b}") for a, b in pairs])
     parts = []
     for a, b in pairs:
         parts += [f"'{a}', '{b}', `{a}__{b}`", f"'{b}', '{a}', `{a}__{b}`"]
@@ -106,8 +108,8 @@ def rms_stats(df: DataFrame, value: str, lo: float = 0.0, hi: float = 1.0, keys=
     """Mean and root mean square of values inside ``[lo, hi]`` (FIL-06, AGG-20)."""
     x = F.col(value)
     kept = df.where(x.between(lo, hi))
-    aggs = [F.count(x).alias("n"), F.round(F.avg(x), 6).alias("mean"),
-            F.round(F.sqrt(F.avg(x * x)), 6).alias("rms")]
+    aggs = [F.count(x).alias("n"), fround(F.avg(x), 6).alias("mean"),
+            fround(F.sqrt(F.avg(x * x)), 6).alias("rms")]
     return kept.groupBy(*keys).agg(*aggs) if keys else kept.agg(*aggs)
 
 
@@ -132,11 +134,11 @@ def sum_with_uncertainty(df: DataFrame, keys: Sequence[str], mu: str, sigma: str
                          delta: str | None = None, digits: int = 6) -> DataFrame:
     """Sum of uncertain values (AGG-29): means add; Gaussian errors add in
     quadrature; bounded errors add linearly."""
-    aggs = [F.round(F.sum(mu), digits).alias("mu")]
+    aggs = [fround(F.sum(mu), digits).alias("mu")]
     if sigma:
-        aggs.append(F.round(F.sqrt(F.sum(F.col(sigma) * F.col(sigma))), digits).alias("sigma"))
+        aggs.append(fround(F.sqrt(F.sum(F.col(sigma) * F.col(sigma))), digits).alias("sigma"))
     if delta:
-        aggs.append(F.round(F.sum(delta), digits).alias("delta"))
+        aggs.append(fround(F.sum(delta), digits).alias("delta"))
     return df.groupBy(*keys).agg(*aggs)
 
 

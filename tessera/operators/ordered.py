@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import fround
+
 
 def _cols(xs) -> list[Column]:
     if isinstance(xs, (str, Column)):
@@ -258,7 +260,7 @@ def even_position_sum(df: DataFrame, partition, order, value: str, digits: int =
     """Sum of values at even 0-based positions per group (WIN-12, FIL-07)."""
     p = with_position(df, partition, order, "_pos", start=0)
     return p.groupBy(*_cols(partition)).agg(
-        F.round(F.sum(F.when(F.col("_pos") % 2 == 0, F.col(value))), digits).alias("even_sum"))
+        fround(F.sum(F.when(F.col("_pos") % 2 == 0, F.col(value))), digits).alias("even_sum"))
 
 
 # ---------------------------------------------------------------- joins ----

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import fround
 from tessera.operators import aggregate as A
 from tessera.plans.common import t
 from tessera.plans.registry import plan
@@ -46,7 +47,7 @@ SELECT o_orderpriority, round(avg(o_totalprice), 6) AS mean_price
 FROM orders GROUP BY o_orderpriority ORDER BY o_orderpriority""")
 def priority_mean_price(spark, sf):
     return (t(spark, sf, "orders").groupBy("o_orderpriority")
-            .agg(F.round(F.avg("o_totalprice"), 6).alias("mean_price")).orderBy("o_orderpriority"))
+            .agg(fround(F.avg("o_totalprice"), 6).alias("mean_price")).orderBy("o_orderpriority"))
 
 
 def _orders_per_customer(spark, sf, *extra_keys):
@@ -64,8 +65,8 @@ def segment_means(spark, sf):
     c = t(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     j = per_cust.join(c, per_cust.o_custkey == c.c_custkey)
     return j.groupBy("c_mktsegment").agg(
-        F.round(F.sum(F.col("c_acctbal") * F.col("n")) / F.sum("n"), 6).alias("mean_acctbal"),
-        F.round(F.sum("sum_price") / F.sum("n"), 6).alias("mean_price"))
+        fround(F.sum(F.col("c_acctbal") * F.col("n")) / F.sum("n"), 6).alias("mean_acctbal"),
+        fround(F.sum("sum_price") / F.sum("n"), 6).alias("mean_price"))
 
 
 @plan("priority_finished_rate", "AGG-06", sql="""
@@ -73,7 +74,7 @@ SELECT o_orderpriority, round(avg(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 EN
 FROM orders GROUP BY o_orderpriority""")
 def priority_finished_rate(spark, sf):
     return t(spark, sf, "orders").groupBy("o_orderpriority").agg(
-        F.round(A.rate(F.col("o_orderstatus") == "F"), 6).alias("rate"))
+        fround(A.rate(F.col("o_orderstatus") == "F"), 6).alias("rate"))
 
 
 @plan("priority_counts", "AGG-07", sql="""
@@ -103,8 +104,8 @@ def finished_share_of_all(spark, sf):
     # The window runs over the aggregated classes only (one row per class).
     everything = W.partitionBy()
     s = g.select("o_orderpriority", (F.col("finished") * 100.0 / F.sum("n").over(everything)).alias("share"))
-    return s.select("o_orderpriority", F.round("share", 6).alias("share"),
-                    F.round(F.max("share").over(everything), 6).alias("max_share"))
+    return s.select("o_orderpriority", fround("share", 6).alias("share"),
+                    fround(F.max("share").over(everything), 6).alias("max_share"))
 
 
 @plan("filtered_count", "AGG-09 FIL-01 FIL-02", sql="""
@@ -250,7 +251,7 @@ def supplier_revenue_mapreduce(spark, sf):
     out = A.map_reduce(li, {"supplier": F.col("l_suppkey"),
                             "revenue": F.col("l_extendedprice") * (1 - F.col("l_discount"))},
                        key="supplier", reducer=F.sum)
-    return out.select("supplier", F.round("result", 4).alias("result"))
+    return out.select("supplier", fround("result", 4).alias("result"))
 
 
 @plan("supplier_big_line_fold", "AGG-22", sql="""

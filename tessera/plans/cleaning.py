@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import scalar as S
+from tessera.functions.numeric import fround
 from tessera.operators import policies as P
 from tessera.plans.common import spread, t
 from tessera.plans.registry import plan
@@ -276,7 +277,7 @@ def event_temperatures(spark, sf):
     reading = F.when(F.col("event_type") == "error", F.concat(F.col("value").cast("string"), F.lit("x"))).otherwise(
         F.col("value").cast("string"))
     c = e.select("event_id", reading.alias("reading")).withColumn("c", S.convert_temperature("reading", "C"))
-    return c.select("event_id", "reading", F.round("c.value", 4).alias("celsius"), F.col("c.error").alias("error"))
+    return c.select("event_id", "reading", fround("c.value", 4).alias("celsius"), F.col("c.error").alias("error"))
 
 
 _CELL_COLS = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -369,7 +370,7 @@ def page_hosts(spark, sf):
 SELECT o_orderkey, o_totalprice = round(o_totalprice) AS same FROM orders""")
 def order_row_equality(spark, sf):
     a = t(spark, sf, "orders")
-    b = a.withColumn("o_totalprice", F.round("o_totalprice"))
+    b = a.withColumn("o_totalprice", fround("o_totalprice", 0))
     cols = a.columns
     sa = a.select("o_orderkey", F.struct(*cols).alias("ra"))
     sb = b.select(F.col("o_orderkey").alias("k"), F.struct(*cols).alias("rb"))
@@ -413,7 +414,7 @@ g AS (SELECT user_id, count(*) FILTER (WHERE TRY_CAST(raw AS DOUBLE) IS NULL) AS
 
 @plan("user_value_ok", "ERR-04 AGG-21", sql=f"{_USER_SQL} SELECT user_id, value FROM g WHERE n_errors = 0")
 def user_value_ok(spark, sf):
-    ok, _ = P.per_key_outcome(_user_readings(spark, sf), "user_id", F.round(F.sum("v"), 4))
+    ok, _ = P.per_key_outcome(_user_readings(spark, sf), "user_id", fround(F.sum("v"), 4))
     return ok
 
 
@@ -423,7 +424,7 @@ WITH r AS (SELECT user_id, CASE WHEN event_type = 'error' AND event_id % 4 = 0 T
 SELECT user_id, 'bad value: ' || raw AS message, count(*) AS n FROM r WHERE TRY_CAST(raw AS DOUBLE) IS NULL
 GROUP BY user_id, raw""")
 def user_value_errors(spark, sf):
-    _, errors = P.per_key_outcome(_user_readings(spark, sf), "user_id", F.round(F.sum("v"), 4))
+    _, errors = P.per_key_outcome(_user_readings(spark, sf), "user_id", fround(F.sum("v"), 4))
     return errors
 
 
@@ -435,7 +436,7 @@ def event_type_strict_mean_k(spark, sf):
     e = t(spark, sf, "events").select("event_type", F.get_json_object("props", "$.k").alias("k")).where("k <> ''")
     typed = e.select("event_type", F.col("k").try_cast("int").alias("ki"),
                      F.when(F.col("k").try_cast("int").isNull(), F.concat(F.lit("not a number: "), "k")).alias("error"))
-    return P.strict(typed).groupBy("event_type").agg(F.round(F.avg("ki"), 6).alias("mean_k"))
+    return P.strict(typed).groupBy("event_type").agg(fround(F.avg("ki"), 6).alias("mean_k"))
 
 
 _RT_SCHEMA = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),

@@ -13,6 +13,7 @@ import uuid
 from pyspark.ml.linalg import VectorUDT  # noqa: F401  (libsvm vectors)
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import fround
 from tessera.operators.ml import as_vector
 from tessera.plans.common import t
 from tessera.plans.registry import plan
@@ -121,6 +122,6 @@ def embedding_libsvm_roundtrip(spark, sf):
     arr = vector_to_array("features")
     got = back.select(F.col("label").cast("bigint").alias("vec_id"),
                       F.size(F.filter(arr, lambda x: x != 0)).cast("bigint").alias("active"),
-                      F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
+                      fround(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 4).alias("total"))
     labels = t(spark, sf, "embeddings").select("vec_id", F.col("label").cast("double").alias("label"))
     return got.join(labels, "vec_id").select("vec_id", "label", "active", "total")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import fround
 from tessera.operators import ordered as O
 from tessera.plans.common import t
 from tessera.plans.registry import plan
@@ -61,7 +62,7 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def user_running_value(spark, sf):
     e = t(spark, sf, "events").select("user_id", "event_id", "ts", "value")
     e = O.key_scan(e, "user_id", EV_ORDER, sum_col="value")  # one pass: position and running sum
-    return e.select("user_id", "event_id", "idx", F.round("running", 4).alias("running"))
+    return e.select("user_id", "event_id", "idx", fround("running", 4).alias("running"))
 
 
 _RUN_SQL = """r AS (SELECT user_id, event_id, event_type,
@@ -185,7 +186,7 @@ WITH a AS (SELECT c_acctbal AS v, row_number() OVER (ORDER BY c_acctbal) AS r FR
 SELECT count(*) AS pairs, round(sum(abs(a.v - b.v)), 4) AS cost FROM a JOIN b USING (r)""")
 def balance_rank_zip(spark, sf):
     z = O.rank_zip(t(spark, sf, "customer"), t(spark, sf, "supplier"), "c_acctbal", "s_acctbal")
-    return z.agg(F.count(F.lit(1)).alias("pairs"), F.round(F.sum(F.abs(F.col("a") - F.col("b"))), 4).alias("cost"))
+    return z.agg(F.count(F.lit(1)).alias("pairs"), fround(F.sum(F.abs(F.col("a") - F.col("b"))), 4).alias("cost"))
 
 
 @plan("customer_supplier_zip", "JN-08", sql="""
@@ -253,8 +254,8 @@ def brand_wheel_frequencies(spark, sf):
     wheel = _brand_wheel(spark, sf)
     everything = W.partitionBy()
     j = wheel.join(hits, "p_brand", "left").withColumn("draws", F.coalesce("draws", F.lit(0)))
-    return j.select("p_brand", F.round(F.col("odds") / F.sum("odds").over(everything), 6).alias("expected"),
-                    F.round(F.col("draws") / F.sum("draws").over(everything), 6).alias("observed"))
+    return j.select("p_brand", fround(F.col("odds") / F.sum("odds").over(everything), 6).alias("expected"),
+                    fround(F.col("draws") / F.sum("draws").over(everything), 6).alias("observed"))
 
 
 @plan("part_size_three_sum", "JN-06", sql="""

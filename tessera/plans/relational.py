@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import fround
 from tessera.operators import ordered as O
 from tessera.operators import relational as R
 from tessera.plans.common import t
@@ -16,7 +17,7 @@ SELECT o_orderkey, o_totalprice AS price, round(o_totalprice / 1000, 3) AS price
 FROM orders""")
 def orders_projection(spark, sf):
     o = t(spark, sf, "orders")
-    return (o.withColumns({"price": F.col("o_totalprice"), "price_k": F.round(F.col("o_totalprice") / 1000, 3)})
+    return (o.withColumns({"price": F.col("o_totalprice"), "price_k": fround(F.col("o_totalprice") / 1000, 3)})
             .drop("o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
             .select("o_orderkey", "price", "price_k", "o_orderpriority"))
 
@@ -192,7 +193,7 @@ def portfolio_value(spark, sf):
     ports = t(spark, sf, "orders").select(F.col("o_orderkey").alias("portfolio"))
     # Empty portfolios are worth 0.0.
     return ports.join(value, "portfolio", "left").select(
-        "portfolio", F.round(F.coalesce("value", F.lit(0.0)), 4).alias("value"))
+        "portfolio", fround(F.coalesce("value", F.lit(0.0)), 4).alias("value"))
 
 
 @plan("portfolio_missing_prices", "JN-03 ERR-04", sql="""

@@ -119,3 +119,13 @@ def test_fold_values_into_ordered_list(spark):
     df = spark.createDataFrame([("k", 2, "b"), ("k", 1, "a"), ("j", 1, "x"), ("k", 3, "c")], "key string, pos int, v string")
     lists = df.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda s: s["v"]).alias("vs"))
     assert dict((r.key, r.vs) for r in lists.collect()) == {"k": ["a", "b", "c"], "j": ["x"]}
+
+
+def test_fround_rounds_the_binary_value(spark):
+    from tessera.functions.numeric import fround
+
+    df = spark.createDataFrame([(259421.5,), (-2.5,), (0.125,), (1e300,)], "x double")
+    got = [r.r for r in df.select(fround(F.col("x") / 1000, 3).alias("r")).collect()]
+    # 259.4215 is stored as 259.42149999..., so it rounds down (Spark's round would give 259.422).
+    assert got[0] == 259.421 and got[1] == -0.003 and got[3] == 1e297
+    assert df.select(fround("x", 0).alias("r")).collect()[1].r == -3.0
