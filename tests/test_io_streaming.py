@@ -133,3 +133,26 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and df.columns == ["l_partkey", "mean", "stddev"]
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_poets_xml_text_roundtrip(spark):
+    # Poets with names in two languages, written as XML text and read back.
+    df = spark.createDataFrame(
+        [([("Homer", "en"), ("Omero", "it")],), ([("Virgil", "en"), ("Virgilio", "it")],)],
+        "names array<struct<name: string, language: string>>")
+    xml = K.to_xml_text(df, ["names"], "poet")
+    schema = "names array<struct<name: string, language: string>>"
+    back = xml.select(F.from_xml("xml", schema).alias("p")).select("p.names")
+    assert sorted(str(r.names) for r in back.collect()) == sorted(str(r.names) for r in df.collect())
+
+
+def test_int_pairs_as_maps_and_dated_events(spark, tmp):
+    from tessera.operators.relational import row_as_map
+
+    p = write(os.path.join(tmp, "pairs.csv"), "x,y\n3,5\n8,13\n")
+    df = IO.read_csv(spark, p, "x int, y int")
+    maps = [r.m for r in df.select(row_as_map(df).alias("m")).collect()]
+    assert maps == [{"x": "3", "y": "5"}, {"x": "8", "y": "13"}] and [r.y for r in df.collect()] == [5, 13]
+    e = write(os.path.join(tmp, "events.csv"), "event,date\nmilestone 1,2016-03-08\nmilestone 2,2016-03-15\n")
+    ev = IO.read_csv(spark, e, "event string, date timestamp").collect()
+    assert [str(r.date.date()) for r in ev] == ["2016-03-08", "2016-03-15"]
