@@ -33,3 +33,18 @@ def read_through(keys: DataFrame, key: str, cache: DataFrame, value: str,
     source = (F.when(F.col(value).isNotNull(), "cache").when(F.col("_f").isNotNull(), "fulfilled")
               .otherwise("missing"))
     return j.select(key, F.coalesce(F.col(value), F.col("_f")).alias(value), source.alias("source"))
+
+
+def read_through_stream(keys_stream: DataFrame, key: str, load_cache: Callable[[], DataFrame], value: str,
+                        fulfill: Callable[[DataFrame], DataFrame], sink: Callable[[DataFrame, int], None],
+                        checkpoint: str, ttl_seconds: int | None = None):
+    """Streaming read-through lookup (STR-08): every micro-batch of keys is
+    resolved against the cache table *as it is at that batch* (``load_cache``
+    re-reads it), misses are fulfilled, and the resolved batch goes to
+    ``sink(df, batch_id)``.  Returns the started query."""
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        sink(read_through(batch, key, load_cache(), value, fulfill, ttl_seconds=ttl_seconds), batch_id)
+
+    return (keys_stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())

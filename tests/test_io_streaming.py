@@ -156,3 +156,38 @@ def test_int_pairs_as_maps_and_dated_events(spark, tmp):
     e = write(os.path.join(tmp, "events.csv"), "event,date\nmilestone 1,2016-03-08\nmilestone 2,2016-03-15\n")
     ev = IO.read_csv(spark, e, "event string, date timestamp").collect()
     assert [str(r.date.date()) for r in ev] == ["2016-03-08", "2016-03-15"]
+
+
+def test_read_through_cache_batch_and_stream(spark, tmp):
+    import time
+
+    from tessera.streaming.cache import read_through, read_through_stream
+
+    prices = spark.createDataFrame([("GE", 9.29), ("AMD", 20.23), ("AAPL", 207.48)], "symbol string, price double")
+    cache_path = os.path.join(tmp, "cache")
+    spark.createDataFrame([("GE", 9.0)], "symbol string, price double").write.parquet(cache_path)
+    keys = spark.createDataFrame([("GE",), ("AMD",), ("XYZ",)], "symbol string")
+    fulfill = lambda missing: missing.join(prices, "symbol")
+    got = {r.symbol: (r.price, r.source) for r in read_through(keys, "symbol", spark.read.parquet(cache_path), "price", fulfill).collect()}
+    assert got == {"GE": (9.0, "cache"), "AMD": (20.23, "fulfilled"), "XYZ": (None, "missing")}
+
+    # Stream: the cache table is re-read for every micro-batch.
+    src = os.path.join(tmp, "keys")
+    keys.where("symbol = 'AMD'").coalesce(1).write.parquet(src)
+    seen = []
+
+    def sink(df, batch_id):
+        seen.extend((batch_id, r.symbol, r.source) for r in df.collect())
+        # After the first batch the cache learns AMD's price.
+        spark.createDataFrame([("AMD", 20.0)], "symbol string, price double").write.mode("append").parquet(cache_path)
+
+    stream = spark.readStream.schema("symbol string").option("maxFilesPerTrigger", 1).parquet(src)
+    q = read_through_stream(stream, "symbol", lambda: spark.read.parquet(cache_path), "price", fulfill, sink,
+                            os.path.join(tmp, "ck"))
+    q.awaitTermination()
+    time.sleep(0.05)
+    keys.where("symbol = 'AMD'").coalesce(1).write.mode("append").parquet(src)
+    q = read_through_stream(stream, "symbol", lambda: spark.read.parquet(cache_path), "price", fulfill, sink,
+                            os.path.join(tmp, "ck"))
+    q.awaitTermination()
+    assert [s for _, _, s in seen] == ["fulfilled", "cache"]
