@@ -191,3 +191,18 @@ def test_read_through_cache_batch_and_stream(spark, tmp):
                             os.path.join(tmp, "ck"))
     q.awaitTermination()
     assert [s for _, _, s in seen] == ["fulfilled", "cache"]
+
+
+def test_read_through_expiry(spark):
+    import datetime as dt
+
+    from tessera.streaming.cache import read_through
+
+    now = dt.datetime(2024, 1, 1, 12, 0, 0)
+    cache = spark.createDataFrame([("GE", 9.0, now - dt.timedelta(seconds=30)), ("AMD", 1.0, now - dt.timedelta(hours=2))],
+                                  "symbol string, price double, cached_at timestamp")
+    prices = spark.createDataFrame([("GE", 9.29), ("AMD", 20.23)], "symbol string, price double")
+    keys = spark.createDataFrame([("GE",), ("AMD",)], "symbol string")
+    got = read_through(keys, "symbol", cache, "price", lambda m: m.join(prices, "symbol"),
+                       now=F.lit(now), ttl_seconds=60).collect()
+    assert {r.symbol: (r.price, r.source) for r in got} == {"GE": (9.0, "cache"), "AMD": (20.23, "fulfilled")}
