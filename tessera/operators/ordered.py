@@ -182,11 +182,12 @@ def runs(df: DataFrame, partition, order, value: str, scan: bool | None = None)
     return r.withColumn("run_no", F.col("run_no").cast("bigint")).drop("_new_run")
 
 
-def run_length_encode(df: DataFrame, partition, order, value: str, modified: bool = False) -> DataFrame:
+def run_length_encode(df: DataFrame, partition, order, value: str, modified: bool = False,
+                      scan: bool | None = None) -> DataFrame:
     """(count, value) per run (WIN-06); ``modified`` leaves the count null for
     singletons (WIN-07).  The run table keeps the group key and run number,
     so decoding can restore the order."""
-    r = runs(df, partition, order, value)
+    r = runs(df, partition, order, value, scan=scan)
     keys = [c for c in _cols(partition)]
     enc = r.groupBy(*keys, "run_no").agg(F.count(F.lit(1)).alias("n"), F.first(value).alias(value))
     if modified:

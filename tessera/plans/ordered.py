@@ -99,6 +99,24 @@ def user_event_rle(spark, sf):
     return O.run_length_encode(e, "user_id", EV_ORDER, "event_type")
 
 
+@plan("hot_user_event_rle", "WIN-06", sql=f"""
+WITH e AS (SELECT event_id, ts, event_type, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id FROM events),
+r AS (SELECT user_id, event_id, event_type,
+        sum(CASE WHEN prev IS NULL OR prev <> event_type THEN 1 ELSE 0 END)
+          OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run_no
+      FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM e))
+SELECT user_id, run_no::BIGINT AS run_no, count(*) AS n, min(event_type) AS event_type FROM r GROUP BY user_id, run_no""")
+def hot_user_event_rle(spark, sf):
+    # Every third event is reassigned to user 0, which then holds a third of
+    # all rows (nothing is dropped).  The segmented scan is forced, so this
+    # query always exercises the skew path: the hot user's run numbering is
+    # split across partitions and stitched by carries.
+    e = t(spark, sf, "events").select(
+        "event_id", "ts", "event_type",
+        F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id")).alias("user_id"))
+    return O.run_length_encode(e, "user_id", EV_ORDER, "event_type", scan=True)
+
+
 @plan("user_event_rle_modified", "WIN-07", sql=f"""
 WITH {_RUN_SQL}
 SELECT user_id, run_no::BIGINT AS run_no, CASE WHEN count(*) > 1 THEN count(*) END AS n, min(event_type) AS event_type
