@@ -59,14 +59,30 @@ def _fold_partition(key: str, order: Sequence[str], delta: str):
 
 
 def portfolio_fold(df: DataFrame, key: str, order: Sequence[str], delta: str,
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, split: bool | None = False) -> DataFrame:
     """Final owned quantity per key after folding signed trades in order.
-    Keys whose trades never included a buy have no holding and no row."""
+    Keys whose trades never included a buy have no holding and no row.
+
+    ``split=None`` measures the largest key first and, when it is too big for
+    one task (``tessera.scan.maxGroupRows``), cuts hot keys across
+    partitions with :func:`portfolio_fold_split`; ``True`` forces that."""
+    if split is None:
+        from tessera.operators.ordered import use_scan
+        split = use_scan(df, key, list(order))
+    if split:
+        return portfolio_fold_split(df, key, order, delta)
     key_type = df.schema[key].dataType
     schema = T.StructType([T.StructField(key, key_type), T.StructField("owned", T.DoubleType()),
                            T.StructField("trades", T.LongType())])
     parts = df.select(key, *order, F.col(delta).cast("double").alias(delta))
-    parts = parts.repartition(num_partitions, key) if num_partitions else parts.repartition(key)
+    # Partition on a hash *expression* of the key, not on the key column: an
+    # upstream join on the key already hash-partitions by it, and Catalyst
+    # would then drop a plain repartition(key) while AQE may split a skewed
+    # join partition, leaving one key's rows in several tasks.  A partitioning
+    # nothing upstream provides always gets its own exchange, which AQE never
+    # splits.
+    part_key = F.xxhash64(F.col(key))
+    parts = parts.repartition(num_partitions, part_key) if num_partitions else parts.repartition(part_key)
     ordered = parts.sortWithinPartitions(key, *order).select(key, delta)
     return ordered.mapInPandas(_fold_partition(key, order, delta), schema)
 
@@ -118,3 +134,87 @@ def earliest_claims(requests: DataFrame, item: str, order: Sequence[str], claima
 def remaining_pool(pool: DataFrame, holds: DataFrame, item: str) -> DataFrame:
     """Items still available after the holds (bag difference, STR-07/SET-03)."""
     return pool.select(item).exceptAll(holds.select(item))
+
+
+# ----------------------------------------------------------- hot keys ----
+#
+# A stretch of one key's trades has an exact summary: D (sum of deltas), T
+# (the smallest starting holding for which no sell in the stretch is
+# skipped: max(0, -min prefix sum)) and its result when the stock is unknown
+# at the start.  Entering with holding x >= T the stretch yields x + D;
+# entering unknown it yields the fresh result; only x < T needs a replay.
+# So a hot key can be cut into partition-sized stretches, summarised in
+# parallel and chained over one row per stretch; keys that would need a
+# replay fall back to the sequential fold, so the result stays exact.
+
+
+def _segments(key: str, delta: str):
+    def run(batches):
+        cur, fresh, n, total, run_sum, low, first_mid = None, None, 0, 0.0, 0.0, 0.0, None
+        rows = []
+
+        def flush():
+            if cur is not None:
+                rows.append((cur[0], cur[1], first_mid, fresh, n, total, max(0.0, -low)))
+
+        for pdf in batches:
+            for pid, k, mid, d in zip(pdf["_pid"].tolist(), pdf[key].tolist(), pdf["_mid"].tolist(), pdf[delta].tolist()):
+                if cur is None or k != cur[1]:
+                    flush()
+                    cur, fresh, n, total, run_sum, low, first_mid = (pid, k), None, 0, 0.0, 0.0, 0.0, mid
+                fresh = apply_trade(fresh, d)
+                n += 1
+                total += d
+                run_sum += d
+                low = min(low, run_sum)
+        flush()
+        if rows:
+            yield pd.DataFrame(rows, columns=["_pid", key, "_first", "fresh", "trades", "D", "T"])
+    return run
+
+
+def _chain(key: str):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_pid")
+        state, replay = None, False
+        for i, r in enumerate(pdf.itertuples(index=False)):
+            if i == 0 or state is None:
+                state = None if pd.isna(r.fresh) else float(r.fresh)
+            elif state >= r.T:
+                state = state + r.D
+            else:
+                replay = True
+                break
+        return pd.DataFrame({key: [pdf[key].iloc[0]], "owned": [state], "trades": [int(pdf["trades"].sum())],
+                             "replay": [replay]})
+    return run
+
+
+def portfolio_fold_split(df: DataFrame, key: str, order: Sequence[str], delta: str) -> DataFrame:
+    """The portfolio fold with hot keys cut across partitions (see above).
+    Same output as :func:`portfolio_fold`."""
+    from tessera.session import materialize
+
+    s = materialize(df.select(key, *order, F.col(delta).cast("double").alias(delta))
+                    .orderBy(key, *order)
+                    .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    key_type = s.schema[key].dataType
+    seg_schema = T.StructType([T.StructField("_pid", T.IntegerType()), T.StructField(key, key_type),
+                               T.StructField("_first", T.LongType()), T.StructField("fresh", T.DoubleType()),
+                               T.StructField("trades", T.LongType()), T.StructField("D", T.DoubleType()),
+                               T.StructField("T", T.DoubleType())])
+    seg = s.select("_pid", key, "_mid", delta).mapInPandas(_segments(key, delta), seg_schema)
+    seg = materialize(seg)  # one row per (partition, key) stretch; read three times below
+    spans = seg.groupBy(key).agg(F.count(F.lit(1)).alias("_parts"))
+    single = seg.join(spans.where("_parts = 1"), key).select(
+        key, F.col("fresh").alias("owned"), "trades")
+    multi = seg.join(spans.where("_parts > 1"), key).select(*seg.columns)
+    out_schema = T.StructType([T.StructField(key, key_type), T.StructField("owned", T.DoubleType()),
+                               T.StructField("trades", T.LongType()), T.StructField("replay", T.BooleanType())])
+    # Keys spanning partitions: at most one stretch per partition each.
+    chained = multi.groupBy(key).applyInPandas(_chain(key), out_schema)
+    resolved = chained.where(~F.col("replay")).select(key, "owned", "trades")
+    replay_keys = chained.where(F.col("replay")).select(key)
+    replayed = portfolio_fold(df.join(replay_keys, key, "left_semi"), key, order, delta)
+    done = single.unionByName(resolved).where(F.col("owned").isNotNull())
+    return done.unionByName(replayed.select(key, "owned", "trades"))

@@ -206,3 +206,29 @@ def test_read_through_expiry(spark):
     got = read_through(keys, "symbol", cache, "price", lambda m: m.join(prices, "symbol"),
                        now=F.lit(now), ttl_seconds=60).collect()
     assert {r.symbol: (r.price, r.source) for r in got} == {"GE": (9.0, "cache"), "AMD": (20.23, "fulfilled")}
+
+
+@pytest.mark.parametrize("regime", ["rich", "tight"])
+def test_portfolio_fold_split_matches_sequential(spark, regime):
+    import random
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        rnd = random.Random(11 if regime == "rich" else 12)
+        data = []
+        for i in range(6000):
+            user = 0 if rnd.random() < 0.35 else rnd.randint(1, 40)
+            if regime == "rich":  # holdings stay high: stretches chain without replay
+                d = float(rnd.randint(50, 100)) if rnd.random() < 0.7 else -float(rnd.randint(1, 20))
+            else:  # sells often exceed holdings: replays are needed
+                d = float(rnd.randint(1, 10)) if rnd.random() < 0.5 else -float(rnd.randint(1, 15))
+            data.append((user, f"2024-01-01 {i // 3600:02d}:{(i // 60) % 60:02d}:{i % 60:02d}", i, d))
+        df = spark.createDataFrame(data, "user_id long, ts string, event_id long, delta double").repartition(7)
+        a = rows(S.portfolio_fold(df, "user_id", ["ts", "event_id"], "delta", split=False), "user_id", "owned", "trades")
+        b = rows(S.portfolio_fold(df, "user_id", ["ts", "event_id"], "delta", split=True), "user_id", "owned", "trades")
+        assert a == b
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
