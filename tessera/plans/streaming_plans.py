@@ -43,7 +43,21 @@ SELECT user_id, owned, rn AS trades FROM (
 
 @plan("user_portfolio_fold", "STR-06", sql=_PORTFOLIO_SQL)
 def user_portfolio_fold(spark, sf):
-    return S.portfolio_fold(_trades(t(spark, sf, "events")), "user_id", ["ts", "event_id"], "delta")
+    # split=None: the largest user is measured first; hot users are cut
+    # across partitions with exact stretch summaries.
+    return S.portfolio_fold(_trades(t(spark, sf, "events")), "user_id", ["ts", "event_id"], "delta", split=None)
+
+
+@plan("hot_user_portfolio_fold", "STR-06", sql=_PORTFOLIO_SQL.replace(
+    "FROM events WHERE event_type IN ('purchase', 'error')),",
+    "FROM (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id) FROM events)\n"
+    "  WHERE event_type IN ('purchase', 'error')),"))
+def hot_user_portfolio_fold(spark, sf):
+    # Every third event is reassigned to user 0 (a third of all rows, none
+    # dropped); the split path is forced so the hot-key fold is always checked.
+    e = t(spark, sf, "events").withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id")))
+    return S.portfolio_fold(_trades(e), "user_id", ["ts", "event_id"], "delta", split=True)
 
 
 @plan("user_portfolio_stream", "STR-06 STR-02 UDF-03", sql=_PORTFOLIO_SQL)
