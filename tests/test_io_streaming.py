@@ -232,3 +232,15 @@ def test_portfolio_fold_split_matches_sequential(spark, regime):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_portfolio_fold_measures_hot_keys(spark):
+    from tessera.operators.ordered import SCAN_CONF
+
+    df = trades(spark).unionByName(trades(spark).withColumn("event_id", F.col("event_id") + 100))
+    base = rows(S.portfolio_fold(df, "user_id", ["ts", "event_id"], "delta", split=False))
+    spark.conf.set(SCAN_CONF, "3")  # user 1 (10 trades) now counts as hot
+    try:
+        assert rows(S.portfolio_fold(df, "user_id", ["ts", "event_id"], "delta", split=None)) == base
+    finally:
+        spark.conf.unset(SCAN_CONF)
