@@ -234,10 +234,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs`` that stay: one of each component, the one with the
     smallest id (null ids last, then by a hash of the row)."""
     key = F.xxhash64(*docs.columns)
-    fps = materialize(fingerprints(docs, id_col, text_col, shingle, [("_k", key)]))
-    lead = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("id"), F.col("_k").alias("k"))
-    stay = fingerprint_components(fps, lead, max_bits, blocks).select(F.col("lead.k").alias("_k")).distinct()
-    rows = docs.withColumn("_k", key).join(stay, "_k", "left_semi")
+    fps = materialize(fingerprints(docs, id_col, text_col, shingle, [("__key", key)]))
+    lead = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("id"), F.col("__key").alias("k"))
+    stay = fingerprint_components(fps, lead, max_bits, blocks).select(F.col("lead.k").alias("__key")).distinct()
+    rows = docs.withColumn("__key", key).join(stay, "__key", "left_semi")
     # Equal rows share a key: one of them stays.
-    once = rows.withColumn("_n", F.row_number().over(W.partitionBy("_k").orderBy("_k"))).where("_n = 1")
+    once = rows.withColumn("__nth", F.row_number().over(W.partitionBy("__key").orderBy("__key"))).where("__nth = 1")
     return once.select(*docs.columns)
