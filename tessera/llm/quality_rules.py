@@ -84,7 +84,10 @@ def add_statistics(docs: DataFrame, text_col: str = "text", prefix: str = "__q_"
             F.lit(WINDOW), F.coalesce(F.get(p("twice"), i + 1) - s, F.lit(WINDOW)))),
         F.lit(0).cast("long"), lambda a, x: a + x)
     d = d.withColumn(prefix + "n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
-    return d.drop(*[prefix + x for x in ("words", "lines", "hashes", "windows", "ranked", "twice")])
+    # One row each through a generator: a filter on a statistic is not pushed
+    # below it, where the optimizer would write out every step again.
+    counts = [c for c in d.columns if c.startswith(prefix + "n_") or c == prefix + "word_chars"]
+    return d.select(*docs.columns, F.inline(F.array(F.struct(*counts))))
 
 
 def base_failed(prefix: str = "__q_") -> Column:

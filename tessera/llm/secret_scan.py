@@ -56,7 +56,7 @@ RULES = (
     Rule("stripe", r"[rs]k_live_[0-9A-Za-z]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("private_key", r"-----BEGIN\x20[A-Z\x20]*PRIVATE\x20KEY-----"),
-    Rule("url_login", r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@"),
+    Rule("url_login", r"[A-Za-z][A-Za-z0-9+.-]{0,15}://[^\s/:@]+:[^\s/:@]+@"),
 )
 
 MOST_STRINGS = 64
@@ -209,13 +209,13 @@ def redact(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str =
                  (x["a"] - F.coalesce(F.get(s, i - 1)["b"], F.lit(0))).cast("int")),
         F.when(x["new"], F.lit(mark)).otherwise(F.lit(""))))
     clean = F.concat(F.array_join(kept, ""), F.substr(t, (F.element_at(s, -1)["b"] + 1).cast("int")))
-    out = d.join(parts, "__key", "left")
     changed = F.col("__spans").isNotNull()
-    values = {text_col: F.when(changed, clean).otherwise(t)}
+    out = (d.join(parts, "__key", "left").withColumn("__changed", changed)
+           .withColumn(text_col, F.when(changed, clean).otherwise(t)))
     if length_col and length_col in docs.columns:
-        values[length_col] = F.when(changed, F.length(clean)).otherwise(F.col(length_col)).cast(
-            docs.schema[length_col].dataType)
-    return out.withColumns(values).select(*docs.columns)
+        out = out.withColumn(length_col, F.when(F.col("__changed"), F.length(text_col)).otherwise(F.col(length_col))
+                             .cast(docs.schema[length_col].dataType))
+    return out.select(*docs.columns)
 
 
 def digests(found: DataFrame, rules=RULES, id_col: str = "doc_id") -> DataFrame:
@@ -227,8 +227,11 @@ def digests(found: DataFrame, rules=RULES, id_col: str = "doc_id") -> DataFrame:
             ":", F.get(kinds, s["rule"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     base = [i for i, r in enumerate(rules) if r.base]
-    counts = [F.size(F.filter("found", lambda s, i=i: s["rule"] == i)).cast("long").alias(f"n_{rules[i].kind}")
-              for i in base]
+
+    def of_rule(i):
+        return F.size(F.filter("found", lambda s: s["rule"] == i)).cast("long")
+
+    counts = [of_rule(i).alias(f"n_{rules[i].kind}") for i in base]
     return found.select(
         id_col, *counts,
         F.sha2(listed(F.filter("found", lambda s: s["rule"].isin(base))), 256).alias("base_sha256"),
