@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import hash_sample, materialize
 
 SAMPLE = 8192
 BLOCK = 4096
@@ -167,8 +167,8 @@ def fit(vectors: DataFrame, rows: int, k: int = 5, sample: int = SAMPLE, recall:
     once)."""
     import numpy as np
 
-    got = (vectors.select("v", F.xxhash64("v").alias("h")).groupBy("h").agg(F.min("v").alias("v"))
-           .orderBy("h").limit(sample).collect())
+    got = hash_sample(vectors.select("v", F.xxhash64("v").alias("h")).groupBy("h").agg(F.min("v").alias("v")),
+                      "h", sample, rows).collect()
     u = _unit(np.array([r["v"] for r in got], float).reshape(len(got), -1)) if got else np.zeros((0, 1))
     n = len(u)
     parts = int(min(max(8, rows // 2000), max(1, n // 32), 256))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.session import materialize
 from tessera.sources.tables import table
 
-__all__ = ["materialize", "table", "text_or_empty", "row_hash"]
+__all__ = ["materialize", "table", "text_or_empty", "row_hash", "hash_sample"]
 
 
 def text_or_empty(col: str | Column) -> Column:
@@ -21,5 +21,13 @@ def row_hash(*cols) -> Column:
     return F.xxhash64(*cols)
 
 
-def empty_like(df: DataFrame) -> DataFrame:
-    return df.limit(0)
+def hash_sample(df: DataFrame, key: str, n: int, total: int | None = None) -> DataFrame:
+    """The (at most) ``n`` rows with the smallest value of the hash column
+    ``key`` folded to 30 bits.  Where there are many more rows, only those
+    under a bound that about ``4 * n`` rows meet are sorted, so what the tasks
+    hand on does not grow with their number."""
+    total = df.count() if total is None else total
+    h = F.pmod(F.col(key), F.lit(1 << 30))
+    if total > 8 * n:
+        df = df.where(h < int((1 << 30) * 4 * n / total) + 1)
+    return df.orderBy(h, key).limit(n)

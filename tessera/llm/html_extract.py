@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import gbt
 from tessera.llm.chunks import slices
+from tessera.llm.common import hash_sample
 
 SAMPLE = 400  # pages
 SAMPLE_CHARS = 100_000  # longer pages are not fitted on
@@ -332,8 +333,8 @@ def fit_pages(pages: list[str], **options) -> gbt.Trees:
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE, **options) -> gbt.Trees:
     """Trees from the templates and at most ``sample`` pages of at most
     ``SAMPLE_CHARS`` characters, those with the smallest hash."""
-    got = (pages.select(F.col(html_col).alias("h")).where(F.length("h").between(1, SAMPLE_CHARS))
-           .withColumn("o", F.xxhash64("h")).orderBy("o").limit(sample).collect())
+    some = pages.select(F.col(html_col).alias("h")).where(F.length("h").between(1, SAMPLE_CHARS))
+    got = hash_sample(some.withColumn("o", F.xxhash64("h")), "o", sample, pages.count()).collect()
     return fit_pages([r["h"] for r in got] + templates(), **options)
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import gbt
+from tessera.llm.common import hash_sample
 from tessera.llm.quality_rules import add_statistics, measures
 
 SAMPLE = 20_000
@@ -49,8 +50,8 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, id_co
 
     some = labels if allowed is None else labels.where(allowed)
     some = (some.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__y"))
-            .where("__id is not null and __y is not null").groupBy("__id").agg(F.max("__y").alias("__y"))
-            .orderBy(F.xxhash64("__id"), "__id").limit(sample))
+            .where("__id is not null and __y is not null").groupBy("__id").agg(F.max("__y").alias("__y")))
+    some = hash_sample(some.withColumn("__h", F.xxhash64("__id")), "__h", sample).drop("__h")
     # At most ``sample`` rows of an id and a label.
     text = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t")).join(F.broadcast(some), "__id")
     d, f = features(text, "__t")

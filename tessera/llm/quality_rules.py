@@ -30,6 +30,8 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import hash_sample
+
 SAMPLE = 20_000
 WINDOW = 8
 WHITE = r"[\x20\x09-\x0D]+"  # fixed: the white space that separates words
@@ -192,8 +194,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_col: str = "quality", sample: int = SAMPLE, **options) -> list[list[Condition]]:
     """A decision list for label 0, from at most ``sample`` labelled documents."""
     some = (labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__y"))
-            .where("__id is not null and __y is not null").groupBy("__id").agg(F.max("__y").alias("__y"))
-            .orderBy(F.xxhash64("__id"), "__id").limit(sample))
+            .where("__id is not null and __y is not null").groupBy("__id").agg(F.max("__y").alias("__y")))
+    some = hash_sample(some.withColumn("__h", F.xxhash64("__id")), "__h", sample).drop("__h")
     # At most ``sample`` rows of an id and a label.
     some = F.broadcast(some)
     text = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t")).join(some, "__id")
