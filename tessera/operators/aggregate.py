@@ -73,21 +73,21 @@ def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 6) -> Dat
         f"stack({len(columns)}, {parts}) as (column_name, n, mean, stddev, min_value, max_value)")
 
 
-def quartile_summary(df: DataFrame, column: str, accuracy: int = 1_000_000) -> DataFrame:
-    """``summary()`` statistics of one column (AGG-12).
-
-    Quartiles use ``percentile_approx``: its sketch has a fixed memory bound
-    per partial aggregate (set by ``accuracy``) so it is safe on any input
-    size, and it is exact whenever the row count is below ``accuracy``.  The
-    value returned is an element of the column (the lowest value whose rank
-    reaches the requested fraction)."""
-    x = F.col(column).cast("double")
-    q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-    return df.agg(F.count(x).alias("n"), fround(F.avg(x), 6).alias("mean"),
-                  fround(F.stddev_samp(x), 6).alias("stddev"), F.min(x).alias("min_value"),
-                  q.alias("_q"), F.max(x).alias("max_value")).select(
-        "n", "mean", "stddev", "min_value", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
-        F.col("_q")[2].alias("q75"), "max_value")
+def quartile_summary(df: DataFrame, column: str) -> DataFrame:
+    """``summary()`` statistics of one column (AGG-12), exact at any size.
+
+    The quartile at fraction q is the element whose rank is ``ceil(q * n)``
+    (at least 1) among the n non-null values; ranks come from the global
+    numbering of a range sort, so no task holds the column."""
+    from tessera.operators.ordered import global_row_number
+
+    x = df.select(F.col(column).cast("double").alias("x")).where("x is not null")
+    ranked = global_row_number(x, ["x"], "_p")
+    n = ranked.agg(F.count(F.lit(1))).scalar()
+    at = [F.max(F.when(F.col("_p") == F.greatest(F.ceil(F.lit(q) * n), F.lit(1)), F.col("x"))).alias(name)
+          for q, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
+    return ranked.agg(F.count("x").alias("n"), fround(F.avg("x"), 6).alias("mean"), fround(F.stddev_samp("x"), 6).alias("stddev"),
+                      F.min("x").alias("min_value"), *at, F.max("x").alias("max_value"))
 
 
 def pairwise_corr(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:

@@ -12,6 +12,7 @@ boolean "anything new?" per round.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -142,17 +143,18 @@ def crawl(links: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
     return visited
 
 
-def tree_paths(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
+def tree_paths(nodes: DataFrame) -> DataFrame:
     """Root-to-node paths of a forest given as ``nodes(id, parent, key)``
     (``parent`` null for roots; ``key`` orders siblings).  Returns
     ``(id, depth, path)`` where ``path`` is the array of keys from the root,
-    so sorting by ``path`` is a pre-order walk.  One join per level; levels
-    are checkpointed."""
+    so sorting by ``path`` is a pre-order walk.  One join per level until a
+    level is empty; levels are checkpointed.  Nodes that no root reaches (on
+    a cycle) have no path."""
     level = _cut(nodes.where(F.col("parent").isNull()).select(
         "id", F.lit(0).alias("depth"), F.array(F.col("key")).alias("path")))
     out = level
     children = _cut(nodes.where(F.col("parent").isNotNull()).select("id", "parent", "key"))  # joined every level
-    for d in range(1, max_depth + 1):
+    for d in count(1):
         nxt = level.select(F.col("id").alias("parent"), "path").join(children, "parent").select(
             "id", F.lit(d).alias("depth"), F.concat("path", F.array(F.col("key"))).alias("path"))
         nxt = _cut(nxt)

@@ -3,13 +3,10 @@
 A DataFrame has no row order, so every operator here takes explicit order
 columns that must form a total order (add a unique tie-break).  Two shapes:
 
-* per-group sequences (``partition`` given) first measure the largest
-  group (one partial-aggregated count).  When every group fits a task
-  (``tessera.scan.maxGroupRows``, default 2M rows) a window partitioned by
-  the group is used; when a key is hot, the segmented scan of
-  :mod:`tessera.operators.scan` runs instead: a global range sort splits
-  the hot key over many partitions and a carry table (one row per
-  partition) stitches them together;
+* per-group sequences (``partition`` given) use the segmented scan of
+  :mod:`tessera.operators.scan` at every size: a global range sort splits a
+  hot key over many partitions and a carry table (one row per partition)
+  stitches them together;
 * whole-table positions use :func:`global_row_number`, which never funnels
   rows through a single task: a range-partitioned sort, one small aggregate
   of per-partition counts, and a broadcast of those counts (one row per
@@ -58,72 +55,35 @@ def global_row_number(df: DataFrame, order: Sequence, name: str = "pos", start:
     return out.withColumn(name, pos.cast("bigint")).drop("_pid", "_mid", "_first", "_off")
 
 
-def _scan_ok(partition, order) -> bool:
-    """Single key column and ascending column-name order: the segmented scan
-    of :mod:`tessera.operators.scan` can be used."""
-    names = [partition] if isinstance(partition, str) else partition
-    ords = [order] if isinstance(order, str) else order
-    return (isinstance(names, (list, tuple)) and len(names) == 1 and isinstance(names[0], str)
-            and all(isinstance(o, str) for o in ords))
-
-
 def _names(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-# Session setting: the largest group (rows of one key) a window may give to a
-# single task.  Bigger groups switch to the segmented scan; 0 forces it.
-SCAN_CONF = "tessera.scan.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-
-
-def use_scan(df: DataFrame, partition, order) -> bool:
-    """Decide between a per-key window and the segmented scan from one
-    measured number: the size of the largest group (a partial-aggregated
-    count; only that scalar reaches the driver)."""
-    if not _scan_ok(partition, order):
-        return False
-    limit = int(df.sparkSession.conf.get(SCAN_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    if limit <= 0:
-        return True
-    key = _names(partition)[0]
-    biggest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    return biggest > limit
-
-
 def key_scan(df: DataFrame, partition, order, sum_col: str | None = None, prev_col: str | None = None,
-             idx: str = "idx", running: str = "running", prev: str = "prev", scan: bool | None = None) -> DataFrame:
-    """Position within the group, running sum (as double) and previous value,
-    by the segmented scan when a group is too big for one task, otherwise by
-    a window partitioned on the group."""
-    if scan is None:
-        scan = use_scan(df, partition, order)
-    if scan:
-        from tessera.operators.scan import segmented_scan
-        return segmented_scan(df, _names(partition)[0], _names(order), sum_col, prev_col, idx, running, prev)
-    w = W.partitionBy(*_cols(partition)).orderBy(*_cols(order))
-    out = df.withColumn(idx, F.row_number().over(w).cast("bigint"))
-    if sum_col is not None:
-        out = out.withColumn(running, F.sum(F.col(sum_col).cast("double")).over(
-            w.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    if prev_col is not None:
-        out = out.withColumn(prev, F.lag(prev_col).over(w))
-    return out
+             idx: str = "idx", running: str = "running", prev: str = "prev", keep: Sequence[str] | None = None) -> DataFrame:
+    """Position within the group, running sum (bigint for integers, else
+    double) and previous value, by the segmented scan.  ``keep`` names the
+    columns the result needs besides; others are not carried along."""
+    from tessera.operators.scan import segmented_scan
+
+    names = [partition] if isinstance(partition, (str, Column)) else list(partition)
+    orders = [order] if isinstance(order, (str, Column)) else list(order)
+    if keep is not None and all(isinstance(x, str) for x in names + orders):
+        wanted = dict.fromkeys([*names, *orders, *(x for x in (sum_col, prev_col) if x), *keep])
+        df = df.select(*wanted)
+    return segmented_scan(df, names, orders, sum_col, prev_col, idx, running, prev)
 
 
 def with_position(df: DataFrame, partition, order, name: str = "pos", start: int = 1,
-                  scan: bool | None = None) -> DataFrame:
+                  keep: Sequence[str] | None = None) -> DataFrame:
     """Position within each partition group (1-based by default)."""
-    out = key_scan(df, partition, order, idx="_idx", scan=scan)
+    out = key_scan(df, partition, order, idx="_idx", keep=keep)
     return out.withColumn(name, (F.col("_idx") - 1 + start).cast("bigint")).drop("_idx")
 
 
-def running_sum(df: DataFrame, partition, order, value: str, name: str = "running",
-                scan: bool | None = None) -> DataFrame:
-    """Prefix sum within each group (WIN-03)."""
-    integral = df.schema[value].dataType.typeName() in ("integer", "long", "short", "byte")
-    out = key_scan(df, partition, order, sum_col=value, idx="_idx", running=name, scan=scan)
-    return out.withColumn(name, F.col(name).cast("bigint" if integral else "double")).drop("_idx")
+def running_sum(df: DataFrame, partition, order, value: str, name: str = "running") -> DataFrame:
+    """Prefix sum within each group (WIN-03): exact for integers."""
+    return key_scan(df, partition, order, sum_col=value, idx="_idx", running=name).drop("_idx")
 
 
 def interval_deltas(df: DataFrame, keys, start: str, stop: str) -> DataFrame:
@@ -160,9 +120,9 @@ def occupancy_series(df: DataFrame, keys, start: str, stop: str, tie: Sequence[s
     return out.withColumn("occupancy", F.col("occupancy").cast("bigint"))
 
 
-def change_flags(df: DataFrame, partition, order, value: str, scan: bool | None = None) -> DataFrame:
+def change_flags(df: DataFrame, partition, order, value: str) -> DataFrame:
     """``_new_run`` is 1 where ``value`` differs from the previous row in the group."""
-    x = key_scan(df, partition, order, prev_col=value, idx="_idx", prev="_prev", scan=scan)
+    x = key_scan(df, partition, order, prev_col=value, idx="_idx", prev="_prev")
     first = F.col("_idx") == 1
     return x.withColumn("_new_run", F.when(first | ~F.col("_prev").eqNullSafe(F.col(value)), 1).otherwise(0)).drop(
         "_idx", "_prev")
@@ -173,21 +133,18 @@ def compress(df: DataFrame, partition, order, value: str) -> DataFrame:
     return change_flags(df, partition, order, value).where("_new_run = 1").drop("_new_run")
 
 
-def runs(df: DataFrame, partition, order, value: str, scan: bool | None = None) -> DataFrame:
+def runs(df: DataFrame, partition, order, value: str) -> DataFrame:
     """Island id per row: running count of value changes (gaps and islands)."""
-    if scan is None:
-        scan = use_scan(df, partition, order)
-    f = change_flags(df, partition, order, value, scan=scan)
-    r = running_sum(f, partition, order, "_new_run", "run_no", scan=scan)
+    f = change_flags(df, partition, order, value)
+    r = running_sum(f, partition, order, "_new_run", "run_no")
     return r.withColumn("run_no", F.col("run_no").cast("bigint")).drop("_new_run")
 
 
-def run_length_encode(df: DataFrame, partition, order, value: str, modified: bool = False,
-                      scan: bool | None = None) -> DataFrame:
+def run_length_encode(df: DataFrame, partition, order, value: str, modified: bool = False) -> DataFrame:
     """(count, value) per run (WIN-06); ``modified`` leaves the count null for
     singletons (WIN-07).  The run table keeps the group key and run number,
     so decoding can restore the order."""
-    r = runs(df, partition, order, value, scan=scan)
+    r = runs(df, partition, order, value)
     keys = [c for c in _cols(partition)]
     enc = r.groupBy(*keys, "run_no").agg(F.count(F.lit(1)).alias("n"), F.first(value).alias(value))
     if modified:
@@ -211,14 +168,21 @@ def replicate(df: DataFrame, times: Column | str | int, name: str = "copy") -> D
     return df.select("*", F.posexplode(F.array_repeat(F.lit(0), n)).alias(name, "_dummy")).drop("_dummy")
 
 
+def _with_group_size(df: DataFrame, names: list[str]) -> DataFrame:
+    """Adds ``_n``, the rows of the group; null keys are a group too."""
+    n = df.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(names)]).agg(F.count(F.lit(1)).alias("_n"))
+    on = F.lit(True)
+    for i, c in enumerate(names):
+        on = F.col(c).eqNullSafe(F.col(f"_g{i}")) if i == 0 else on & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return df.join(n, on).drop(*[f"_g{i}" for i in range(len(names))])
+
+
 def nth_from_start_and_end(df: DataFrame, partition, order, value: str, k: int) -> DataFrame:
     """Last, next-to-last and k-th element of each group (WIN-09); absent
     positions are null (the reference raises).  Positions come from the key
     scan and group sizes from an aggregate, so no group is gathered."""
     keys = _cols(partition)
-    x = with_position(df, partition, order, "_a")
-    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    x = x.join(n, _names(partition))
+    x = _with_group_size(with_position(df, partition, order, "_a", keep=[value]), _names(partition))
     d = F.col("_n") - F.col("_a") + 1
     return x.groupBy(*keys).agg(
         F.max(F.when(d == 1, F.col(value))).alias("last"),
@@ -230,12 +194,10 @@ def is_palindrome(df: DataFrame, partition: str, order, value: str) -> DataFrame
     """Palindrome test per group (WIN-10) without collecting the group: rows at
     positions i and n-1-i are paired by an equi-join and compared.  Positions
     come from the measured key scan and sizes from an aggregate."""
-    p = with_position(df, partition, order, "_i", start=0)
-    n = df.groupBy(partition).agg(F.count(F.lit(1)).alias("_n"))
-    p = p.join(n, partition)
+    p = _with_group_size(with_position(df, partition, order, "_i", start=0, keep=[value]), [partition])
     a = p.select(partition, "_i", "_n", F.col(value).alias("_v"))
     b = p.select(F.col(partition).alias("_k"), (F.col("_n") - 1 - F.col("_i")).alias("_j"), F.col(value).alias("_m"))
-    j = a.join(b, (a[partition] == b["_k"]) & (a["_i"] == b["_j"]))
+    j = a.join(b, a[partition].eqNullSafe(b["_k"]) & (a["_i"] == b["_j"]))
     return j.groupBy(partition).agg(F.max("_n").cast("bigint").alias("n"),
                                     F.bool_and(F.col("_v").eqNullSafe(F.col("_m"))).alias("is_palindrome"))
 
@@ -243,9 +205,8 @@ def is_palindrome(df: DataFrame, partition: str, order, value: str) -> DataFrame
 def reverse_positions(df: DataFrame, partition: str, order, name: str = "pos") -> DataFrame:
     """Reverse of each group's sequence as new 0-based positions (WIN-10):
     ``n - 1 - i`` from the forward position and the group size."""
-    p = with_position(df, partition, order, "_i", start=0)
-    n = df.groupBy(partition).agg(F.count(F.lit(1)).alias("_n"))
-    return p.join(n, partition).withColumn(name, (F.col("_n") - 1 - F.col("_i")).cast("bigint")).drop("_i", "_n")
+    p = _with_group_size(with_position(df, partition, order, "_i", start=0), [partition])
+    return p.withColumn(name, (F.col("_n") - 1 - F.col("_i")).cast("bigint")).drop("_i", "_n")
 
 
 def is_sorted(df: DataFrame, partition, order, value: str, descending: bool = False) -> DataFrame:
@@ -259,7 +220,7 @@ def is_sorted(df: DataFrame, partition, order, value: str, descending: bool = Fa
 
 def even_position_sum(df: DataFrame, partition, order, value: str, digits: int = 4) -> DataFrame:
     """Sum of values at even 0-based positions per group (WIN-12, FIL-07)."""
-    p = with_position(df, partition, order, "_pos", start=0)
+    p = with_position(df, partition, order, "_pos", start=0, keep=[value])
     return p.groupBy(*_cols(partition)).agg(
         fround(F.sum(F.when(F.col("_pos") % 2 == 0, F.col(value))), digits).alias("even_sum"))
 
@@ -294,9 +255,10 @@ def range_lookup(points: DataFrame, point: str, intervals: DataFrame, lo: str, h
     # The value domain's start and the bucket width are scalar subqueries:
     # evaluated once, inlined as constants, no join.
     lo0 = intervals.agg(F.min(lo)).scalar()
-    width = intervals.agg(F.greatest(F.ceil((F.max(hi) - F.min(lo)) / F.lit(n_buckets)), F.lit(1))).scalar()
+    width = intervals.agg(F.when(F.max(hi) > F.min(lo), (F.max(hi) - F.min(lo)).cast("double") / n_buckets)
+                          .otherwise(F.lit(1.0))).scalar()
     first = F.floor((F.col(lo) - lo0) / width)
-    last = F.floor((F.col(hi) - 1 - lo0) / width)
+    last = F.floor((F.col(hi) - lo0) / width)  # the open end may add a bucket; the range filter decides
     iv = intervals.where(F.col(hi) > F.col(lo)).withColumn(
         "_ib", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))))
     pt = points.withColumn("_b", F.floor((F.col(point) - lo0) / width).cast("bigint"))

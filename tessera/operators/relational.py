@@ -114,16 +114,12 @@ def lookup_errors(left: DataFrame, right: DataFrame, key: str, what: str = "entr
     return missing.select(key, F.concat(F.lit(f"no {what} matching "), F.col(key).cast("string")).alias("error"))
 
 
-def weighted_product(a: DataFrame, b: DataFrame, wa: str, wb: str, name: str = "weight",
-                     broadcast_rows: int = 100_000) -> DataFrame:
+def weighted_product(a: DataFrame, b: DataFrame, wa: str, wb: str, name: str = "weight") -> DataFrame:
     """Cartesian product of two weighted category lists, weights multiplied
-    (JN-05) — the product is the operator, so its output is |a| x |b| rows.
-    The right side is counted first (one number to the driver); within
-    ``broadcast_rows`` it is broadcast to every task of the left side,
-    beyond that Spark's distributed cartesian product is used."""
-    small = b.count() <= broadcast_rows
-    right = F.broadcast(b) if small else b
-    return a.crossJoin(right).withColumn(name, F.col(wa) * F.col(wb))
+    (JN-05): the product is the operator, so its output is |a| x |b| rows.
+    The optimizer broadcasts a side whose size it knows to be small and else
+    uses the distributed product."""
+    return a.crossJoin(b).withColumn(name, F.col(wa) * F.col(wb))
 
 
 # ---------------------------------------------------------------- set ops --

@@ -4,138 +4,87 @@ A window ``PARTITION BY key ORDER BY ...`` sends every row of a key to one
 task; a key holding a third of the data would be sorted and scanned by a
 single core.  Here the rows are sorted globally by ``(key, order)`` with a
 range partitioning, which splits a hot key over as many partitions as its
-size needs.  Each partition is then scanned once, in order, by a vectorised
-``mapInPandas`` pass that computes *local* results (restarting at the
-partition edge).  A key continues across partition edges only at the first
-key of a partition, so a carry table with one row per partition — the
-count, sum and last value of the key that ends each earlier partition —
-completes the results.  That table is bounded by the partition count, so
-broadcasting it is safe; no step gathers a key's rows anywhere.
+size needs.  Windows over ``(partition, key)`` give *local* results that
+restart at the partition edge, with Spark's own types (integers are summed as
+decimals, so nothing is rounded).  A key continues across partition edges
+only at the first key of a partition, so a carry table with one row per
+partition - the count, sum and last value of the key that ends each earlier
+partition - completes the results.  That table is bounded by the partition
+count, so broadcasting it is safe; no step gathers a key's rows anywhere.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
-def _same(a, b) -> bool:
-    """Equality where two nulls are equal (the grouping semantics of SQL)."""
-    return (pd.isna(a) and pd.isna(b)) or (not pd.isna(a) and not pd.isna(b) and a == b)
 
-
-def _local_pass(key: str, sum_col: str | None, prev_col: str | None):
-    def run(batches):
-        state = None  # (key, count, sum, n_nonnull, last_prev_value) at the end of the previous batch
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            k = pdf[key]
-            prev_k = k.shift()
-            changed = (k != prev_k) & ~(k.isna() & prev_k.isna())
-            changed.iloc[0] = True
-            grp = changed.cumsum()  # runs of equal keys (input is sorted by key; nulls form one run)
-            idx = pdf.groupby(grp, sort=False).cumcount().to_numpy() + 1
-            cont = None
-            if state is not None and _same(k.iloc[0], state[0]):
-                cont = (grp == grp.iloc[0]).to_numpy()
-                idx = idx + np.where(cont, state[1], 0)
-            out = pdf.assign(_lidx=idx.astype("int64"))
-            if sum_col is not None:
-                v = pdf[sum_col].astype("float64")
-                csum = v.fillna(0.0).groupby(grp, sort=False).cumsum().to_numpy()
-                cnt = v.notna().astype("int64").groupby(grp, sort=False).cumsum().to_numpy()
-                if cont is not None:
-                    csum = csum + np.where(cont, state[2], 0.0)
-                    cnt = cnt + np.where(cont, state[3], 0)
-                out["_lsum"] = np.where(cnt > 0, csum, np.nan)
-                out["_lnn"] = cnt
-            if prev_col is not None:
-                pv = pdf[prev_col].groupby(grp, sort=False).shift(1)
-                if cont is not None:
-                    pv = pv.astype(object)
-                    pv.iloc[0] = state[4]
-                out["_lprev"] = pv
-            last = out.iloc[-1]
-            state = (k.iloc[-1], int(last["_lidx"]),
-                     float(last["_lsum"]) if sum_col is not None and not pd.isna(last["_lsum"]) else 0.0,
-                     int(last["_lnn"]) if sum_col is not None else 0,
-                     pdf[prev_col].iloc[-1] if prev_col is not None else None)
-            yield out.drop(columns=["_lnn"], errors="ignore")
-    return run
-
-
-def segmented_scan(df: DataFrame, key: str, order: Sequence[str], sum_col: str | None = None,
+def segmented_scan(df: DataFrame, key: str | Column | Sequence, order: Sequence, sum_col: str | None = None,
                    prev_col: str | None = None, idx: str = "idx", running: str = "running",
                    prev: str = "prev") -> DataFrame:
     """Add ``idx`` (1-based position within the key), ``running`` (running
-    sum of ``sum_col``; nulls skipped, null until the first value) and
-    ``prev`` (``prev_col`` of the previous row of the key) in ``order``."""
+    sum of ``sum_col``; nulls skipped, null until the first value; bigint for
+    integers, else double) and ``prev`` (``prev_col`` of the previous row of
+    the key) in ``order``.  Null keys are one group."""
     from tessera.session import materialize
 
+    keys = [key] if isinstance(key, (str, Column)) else list(key)
+    keys = [F.col(k) if isinstance(k, str) else k for k in keys]
+    orders = [F.col(c) if isinstance(c, str) else c for c in order]
+    whole = sum_col is not None and df.schema[sum_col].dataType.simpleString() in INTEGRAL
     # Sorted rows with partition id and in-partition sequence, checkpointed
-    # once: the Python pass and the JVM summary must see the same partitions
-    # (separate range exchanges would sample their own bounds).
-    s = materialize(df.orderBy(F.col(key), *[F.col(c) for c in order])
+    # once: rows and summaries must see the same partitions (separate range
+    # exchanges would sample their own bounds).
+    s = materialize(df.withColumn("_k", F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]))
+                    .orderBy("_k", *orders)
                     .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
-    fields = list(s.schema.fields) + [T.StructField("_lidx", T.LongType())]
+    here = W.partitionBy("_pid", "_k").orderBy("_mid")
+    upto = here.rowsBetween(W.unboundedPreceding, W.currentRow)
+    local = {"_lidx": F.row_number().over(here).cast("bigint")}
     if sum_col is not None:
-        fields.append(T.StructField("_lsum", T.DoubleType()))
+        value = F.col(sum_col).cast("decimal(38,0)" if whole else "double")
+        local["_lsum"] = F.sum(value).over(upto)
     if prev_col is not None:
-        fields.append(T.StructField("_lprev", s.schema[prev_col].dataType))
-    loc = s.mapInPandas(_local_pass(key, sum_col, prev_col), T.StructType(fields))
+        local["_lprev"] = F.lag(prev_col).over(here)
+    loc = s.withColumns(local)
 
-    # One row per partition: its first key and the state after its last row
-    # (count, sum and last value of the key that ends the partition).  It is
-    # computed by JVM aggregates over the sorted rows, so the Python pass
-    # runs once: per (partition, key) counts/sums, then the partition's
-    # last group.
-    per_key = [F.count(F.lit(1)).alias("n"), F.max("_mid").alias("_mx")]
+    # One row per (partition, key), then one per partition: its first key and
+    # the count, sum and last value of the key that ends it.
+    per_key = [F.count(F.lit(1)).alias("n"), F.max("_mid").alias("_mx"), F.min("_mid").alias("_mn")]
     if sum_col is not None:
-        per_key.append(F.sum(F.col(sum_col).cast("double")).alias("s"))
-    groups = s.groupBy("_pid", F.col(key).alias("k")).agg(*per_key)
-    fields = [F.col("k"), F.col("n")] + ([F.col("s")] if sum_col is not None else [])
-    tail = groups.groupBy("_pid").agg(F.max_by(F.struct(*fields), F.col("_mx")).alias("_last"))
-    edge = [F.min_by(F.col(key), F.col("_mid")).alias("_fk")]
+        per_key.append(F.sum(value).alias("s"))
     if prev_col is not None:
-        edge.append(F.max_by(F.col(prev_col), F.col("_mid")).alias("_lv"))
-    ends = s.groupBy("_pid").agg(*edge)
-    summ = tail.join(ends, "_pid")
-    if prev_col is not None:
-        summ = summ.withColumn("_last", F.col("_last").withField("v", F.col("_lv")))
+        per_key.append(F.max_by(F.struct(F.col(prev_col).alias("v")), "_mid").alias("v"))
+    groups = s.groupBy("_pid", "_k").agg(*per_key)
+    last = F.struct(F.col("_k").alias("k"), "n", *["s"] * (sum_col is not None), *["v"] * (prev_col is not None))
+    summ = groups.groupBy("_pid").agg(F.max_by(last, "_mx").alias("_last"), F.min_by("_k", "_mn").alias("_fk"))
     # Partitions whose last key is the same form one contiguous run (keys are
     # sorted); the running total within the run is the carry into the next.
-    run_w = W.partitionBy(F.col("_last.k")).orderBy("_pid").rowsBetween(W.unboundedPreceding, W.currentRow)
+    run_w = W.partitionBy("_last.k").orderBy("_pid").rowsBetween(W.unboundedPreceding, W.currentRow)
     summ = summ.withColumn("_cn", F.sum("_last.n").over(run_w))
     if sum_col is not None:
         summ = summ.withColumn("_cs", F.sum("_last.s").over(run_w))
     by_pid = W.orderBy("_pid")  # over one row per partition
-    # A previous partition must exist: with nulls sorted first, "no previous
-    # key" and a null first key would otherwise compare equal.
     same = F.lag("_pid").over(by_pid).isNotNull() & F.lag("_last.k").over(by_pid).eqNullSafe(F.col("_fk"))
     carry = [F.col("_pid"), F.col("_fk"), F.when(same, F.lag("_cn").over(by_pid)).otherwise(F.lit(0)).alias("_ccnt")]
     if sum_col is not None:
         carry.append(F.when(same, F.lag("_cs").over(by_pid)).alias("_csum"))
     if prev_col is not None:
         carry.append(F.when(same, F.lag("_last.v").over(by_pid)).alias("_cprev"))
-    carries = summ.select(*carry)
-
-    j = loc.join(F.broadcast(carries), "_pid")
-    cont = F.col(key).eqNullSafe(F.col("_fk"))
+    j = loc.join(F.broadcast(summ.select(*carry)), "_pid")
+    cont = F.col("_k").eqNullSafe(F.col("_fk"))
     out = j.withColumn(idx, (F.col("_lidx") + F.when(cont, F.col("_ccnt")).otherwise(F.lit(0))).cast("bigint"))
-    drop = ["_pid", "_mid", "_lidx", "_fk", "_ccnt"]
     if sum_col is not None:
-        add = F.when(cont & F.col("_csum").isNotNull(), F.col("_csum")).otherwise(F.lit(0.0))
-        out = out.withColumn(running, F.when(F.col("_lsum").isNull() & ~(cont & F.col("_csum").isNotNull()), F.lit(None))
-                             .otherwise(F.coalesce(F.col("_lsum"), F.lit(0.0)) + add))
-        drop += ["_lsum", "_csum"]
+        carried = F.when(cont, F.col("_csum"))
+        total = F.when(F.col("_lsum").isNull(), carried).when(carried.isNull(), F.col("_lsum")).otherwise(
+            F.col("_lsum") + carried)
+        out = out.withColumn(running, total.cast("bigint" if whole else "double"))
     if prev_col is not None:
-        out = out.withColumn(prev, F.when(cont & (F.col("_lidx") == 1), F.col("_cprev")).otherwise(F.col("_lprev")))
-        drop += ["_lprev", "_cprev"]
-    return out.drop(*drop)
+        out = out.withColumn(prev, F.when(F.col("_lidx") == 1, F.when(cont, F.col("_cprev.v")))
+                             .otherwise(F.col("_lprev")))
+    return out.drop("_k", "_pid", "_mid", "_lidx", "_lsum", "_lprev", "_fk", "_ccnt", "_csum", "_cprev")

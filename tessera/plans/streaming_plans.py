@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import uuid
 
-import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,9 +42,8 @@ SELECT user_id, owned, rn AS trades FROM (
 
 @plan("user_portfolio_fold", "STR-06", sql=_PORTFOLIO_SQL)
 def user_portfolio_fold(spark, sf):
-    # split=None: the largest user is measured first; hot users are cut
-    # across partitions with exact stretch summaries.
-    return S.portfolio_fold(_trades(t(spark, sf, "events")), "user_id", ["ts", "event_id"], "delta", split=None)
+    # Hot users are cut across partitions with exact stretch summaries.
+    return S.portfolio_fold(_trades(t(spark, sf, "events")), "user_id", ["ts", "event_id"], "delta", split=True)
 
 
 @plan("hot_user_portfolio_fold", "STR-06", sql=_PORTFOLIO_SQL.replace(
@@ -60,72 +58,80 @@ def hot_user_portfolio_fold(spark, sf):
     return S.portfolio_fold(_trades(e), "user_id", ["ts", "event_id"], "delta", split=True)
 
 
-@plan("user_portfolio_stream", "STR-06 STR-02 UDF-03", sql=_PORTFOLIO_SQL)
-def user_portfolio_stream(spark, sf):
-    """The same fold as a Structured Streaming query.  The events are first
-    landed as weekly slices in time order (each slice hash-partitioned by
-    user, so one user's events of a week sit in one file); the stream reads
-    one slice per micro-batch, keeps the owned quantity in state across
-    batches, and appends each batch's updates to a parquet sink.  The newest
-    update per user is the result."""
+def _stream_fold(spark, events):
+    """The fold as a Structured Streaming query.  The events are landed once,
+    by week, and handed to the stream week by week; the fold waits seven days
+    for rows that come late."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/portfolio-{uuid.uuid4().hex}"
-    events = t(spark, sf, "events")
-    parts = 4
-    week = F.floor((F.dayofmonth("ts") - 1) / 7)
-    n_weeks = 5  # days 1-31 of the month fall in weeks 0..4
-    for w in range(n_weeks):
-        (events.where(week == w).repartition(parts, "user_id").write.mode("append")
-         .parquet(f"{base}/landing"))
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", parts)
-              .parquet(f"{base}/landing"))
-    updates = S.portfolio_stream(_trades(stream), "user_id", ["ts", "event_id"], "delta")
-
-    def sink(batch, batch_id):
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{base}/sink")
-
-    q = (updates.writeStream.outputMode("update").foreachBatch(sink)
+    week = F.date_trunc("week", "ts").cast("date")
+    events.withColumn("week", week).repartition("week", F.xxhash64("event_id") % 4).write.partitionBy("week").parquet(
+        f"{base}/weeks")
+    landed = spark.read.schema(events.schema.add("week", "date")).parquet(f"{base}/weeks")
+    # One value for each calendar week, null ones first.
+    for (w,) in landed.select("week").distinct().orderBy(F.col("week").asc_nulls_first()).collect():
+        (landed.where(F.col("week").eqNullSafe(F.lit(w))).drop("week").write.mode("append").parquet(f"{base}/landing"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 8).parquet(f"{base}/landing")
+    fold = S.PortfolioStream(spark, base, "user_id", ["ts", "event_id"], "delta", "7 days")
+    q = (_trades(stream).writeStream.foreachBatch(fold.step)
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    out = spark.read.schema("user_id bigint, owned double, trades bigint, late bigint, batch_id bigint").parquet(
-        f"{base}/sink")
-    last = out.groupBy("user_id").agg(F.max_by(F.struct("owned", "trades"), "batch_id").alias("s"))
-    return last.select("user_id", "s.owned", "s.trades")
+    return fold.result()
+
+
+@plan("user_portfolio_stream", "STR-06", sql=_PORTFOLIO_SQL)
+def user_portfolio_stream(spark, sf):
+    return _stream_fold(spark, t(spark, sf, "events"))
+
+
+@plan("hot_user_portfolio_stream", "STR-06", sql=_PORTFOLIO_SQL.replace(
+    "FROM events WHERE event_type IN ('purchase', 'error')),", """FROM (SELECT * REPLACE (
+    CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id,
+    date_trunc('second', ts) + to_days((31 * (event_id % 3))::INT) AS ts) FROM events)
+  WHERE event_type IN ('purchase', 'error')),"""))
+def hot_user_portfolio_stream(spark, sf):
+    # A third of all events belongs to one user, times are whole seconds (so
+    # many are equal), and the events span three months.
+    e = t(spark, sf, "events")
+    moved = F.date_trunc("second", "ts") + F.make_dt_interval(days=(31 * (F.col("event_id") % 3)).cast("int"))
+    e = e.withColumn("ts", moved.cast(e.schema["ts"].dataType)).withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id")))
+    return _stream_fold(spark, e)
 
 
 @plan("conversation_chain_positions", "STR-01", sql="""
 SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::BIGINT AS pos FROM conversations""")
 def conversation_chain_positions(spark, sf):
+    return _conversation_chains(t(spark, sf, "conversations").select("conv_id", "turn"))
+
+
+def _conversation_chains(c):
     # Each turn names the next one (turn + 1 of the same conversation); the
     # chain order is recovered by pointer jumping, all conversations at once.
-    c = t(spark, sf, "conversations").select("conv_id", "turn")
     ident = lambda a, b: F.concat_ws(":", F.col(a).cast("string"), F.col(b).cast("string"))
-    nxt = c.select(F.col("conv_id").alias("c2"), (F.col("turn") - 1).alias("t2"), ident("conv_id", "turn").alias("next"))
-    nodes = c.join(nxt, (c.conv_id == nxt.c2) & (c.turn == nxt.t2), "left").select(
-        ident("conv_id", "turn").alias("id"), "next", "conv_id", "turn")
-    ranked = C.chain_positions(nodes.select("id", "next"))
-    return nodes.join(ranked, "id").select("conv_id", "turn", "pos")
-
+    nodes = c.select(ident("conv_id", "turn").alias("id"), F.concat_ws(
+        ":", F.col("conv_id").cast("string"), (F.col("turn") + 1).cast("string")).alias("next"))
+    ranked = C.chain_positions(nodes)
+    return c.withColumn("id", ident("conv_id", "turn")).join(ranked.select("id", "pos"), "id").drop("id")
 
-_PAYLOAD_SCHEMA = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
-                                T.StructField("n_words", T.LongType()), T.StructField("n_chars", T.LongType())])
 
-
-def _payload_stats(batches):
-    # Per-payload work, vectorised per Arrow batch; partitions supply the
-    # parallelism (the reference bounds it at two concurrent payloads).
-    for pdf in batches:
-        text = pdf["text"].fillna("")
-        yield pd.DataFrame({"conv_id": pdf["conv_id"], "turn": pdf["turn"],
-                            "n_words": text.str.count(r"[^\t\n\x0b\f\r ]+").astype("int64"),
-                            "n_chars": text.str.len().astype("int64")})
+@plan("merged_chain_payloads", "STR-02 UDF-03", sql="""
+SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::BIGINT AS pos,
+       (length(text) - length(replace(text, ' ', '')))::BIGINT AS spaces FROM conversations""")
+def merged_chain_payloads(spark, sf):
+    # Two sources of chains, merged, with a caller's function on each payload.
+    c = t(spark, sf, "conversations").select("conv_id", "turn", "text")
+    sources = [_conversation_chains(c.where(F.col("conv_id") % 2 == k)) for k in (0, 1)]
+    return C.merge_chains(sources, "text", lambda text: text.count(" "), "bigint", "spaces").drop("text")
 
 
 @plan("conversation_payload_stats", "STR-03", sql="""
 SELECT conv_id, turn, len(regexp_extract_all(coalesce(text, ''), '[^\\t\\n\\x0B\\f\\r ]+'))::BIGINT AS n_words,
        length(coalesce(text, ''))::BIGINT AS n_chars FROM conversations""")
 def conversation_payload_stats(spark, sf):
-    c = t(spark, sf, "conversations").select("conv_id", "turn", "text")
-    return c.mapInPandas(_payload_stats, _PAYLOAD_SCHEMA)
+    text = F.coalesce("text", F.lit(""))
+    words = F.size(F.regexp_extract_all(text, F.lit(r"[^\t\n\x0B\f\r ]+"), F.lit(0)))
+    return t(spark, sf, "conversations").select("conv_id", "turn", words.cast("bigint").alias("n_words"),
+                                                F.length(text).cast("bigint").alias("n_chars"))
 
 
 def _statuses(spark, sf):

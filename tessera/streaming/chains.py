@@ -8,16 +8,13 @@ so a chain of length n is ranked in ceil(log2 n) rounds of joins, all
 nodes and all chains at once.  Each round is checkpointed to the shared
 checkpoint folder.
 
-For live sources, :class:`PageChainSource` is a Python data source whose
-stream offset is the next-page token: each micro-batch reads the landed
-page files from the committed token up to the newest one known.
+Landed pages (one JSON file each, ``{"items": [...], "next": token}``) are
+read by Spark's own reader and put in chain order the same way.
 """
 
-from __future__ import annotations
-
-import json
-import os
+from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,13 +26,18 @@ def _cut(df: DataFrame) -> DataFrame:
     return materialize(df)
 
 
-def chain_positions(nodes: DataFrame, node: str = "id", nxt: str = "next", max_rounds: int = 64) -> DataFrame:
+def chain_positions(nodes: DataFrame, node: str = "id", nxt: str = "next") -> DataFrame:
     """(id, tail, pos) for every node of every chain given as (id, next):
-    ``pos`` counts from the head (0), ``tail`` identifies the chain."""
-    cur = _cut(nodes.select(F.col(node).alias("id"), F.col(nxt).alias("succ"),
-                            F.when(F.col(nxt).isNull(), 0).otherwise(1).cast("bigint").alias("dist"),
-                            F.when(F.col(nxt).isNull(), F.col(node)).alias("tail")))
-    for _ in range(max_rounds):
+    ``pos`` counts from the head (0), ``tail`` identifies the chain.  A next
+    node that is not there ends the chain.  Nodes on a cycle, or leading into
+    one, have no tail: both are null."""
+    known = nodes.select(F.col(node).alias("_n"))
+    cur = _cut(nodes.select(F.col(node).alias("id"), F.col(nxt).alias("_s")).join(known, F.col("_s") == F.col("_n"), "left")
+               .select("id", F.col("_n").alias("succ"), F.when(F.col("_n").isNull(), 0).otherwise(1).cast("bigint").alias("dist"),
+                       F.when(F.col("_n").isNull(), F.col("id")).alias("tail")))
+    # A chain of n nodes is ranked in log2(n) rounds; what still has a
+    # successor after that is on a cycle.
+    for _ in range(cur.count().bit_length() + 1):
         if cur.where(F.col("succ").isNotNull()).isEmpty():
             break
         s = cur.select(F.col("id").alias("succ"), F.col("succ").alias("succ2"), F.col("dist").alias("dist2"),
@@ -43,102 +45,34 @@ def chain_positions(nodes: DataFrame, node: str = "id", nxt: str = "next", max_r
         j = cur.join(s, "succ", "left")
         cur = _cut(j.select(
             "id", F.when(F.col("succ").isNull(), F.lit(None)).otherwise(F.col("succ2")).alias("succ"),
-            (F.col("dist") + F.coalesce(F.col("dist2"), F.lit(0))).alias("dist"),
+            (F.col("dist") + F.when(F.col("succ").isNull(), F.lit(0)).otherwise(F.coalesce("dist2", F.lit(0)))).alias("dist"),
             F.coalesce(F.col("tail"), F.when(F.col("succ2").isNull(), F.col("tail2"))).alias("tail")))
-    length = cur.groupBy("tail").agg(F.max("dist").alias("_len"))
-    return cur.join(length, "tail").select("id", "tail", (F.col("_len") - F.col("dist")).alias("pos"))
-
-
-try:  # Python data sources exist from Spark 4.0
-    from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
-except ImportError:  # pragma: no cover
-    DataSource = object  # type: ignore
-    DataSourceReader = DataSourceStreamReader = InputPartition = object  # type: ignore
-
-
-def _read_page(folder: str, token: str) -> dict:
-    with open(os.path.join(folder, f"{token}.json"), encoding="utf-8") as f:
-        return json.load(f)
-
-
-class _TokenRange(InputPartition):
-    def __init__(self, folder: str, start: str | None, stop: str | None):
-        self.folder, self.start, self.stop = folder, start, stop
-
-
-class _ChainReader(DataSourceReader):
-    def __init__(self, options):
-        self.folder, self.first = options["path"], options["start"]
-
-    def read(self, partition):
-        token = self.first
-        pos = 0
-        while token:
-            page = _read_page(self.folder, token)
-            for item in page.get("items", []):
-                yield (token, pos, json.dumps(item, sort_keys=True))
-                pos += 1
-            token = page.get("next")
-
-
-class _ChainStreamReader(DataSourceStreamReader):
-    """Offsets are {"token": <next page to read>, "seq": <pages read>}.
-    ``latestOffset`` follows the landed pages' ``next`` fields (only that
-    field matters on the driver) up to ``maxPagesPerTrigger`` pages or the
-    first page not landed yet; executors then read the pages' items."""
-
-    def __init__(self, options):
-        self.folder, self.first = options["path"], options["start"]
-        self.max_pages = int(options.get("maxPagesPerTrigger", "1000"))
-
-    def initialOffset(self):
-        return {"token": self.first, "seq": 0}
-
-    def latestOffset(self, start=None, limit=None):
-        cur = dict(start or self.initialOffset())
-        for _ in range(self.max_pages):
-            token = cur["token"]
-            if not token or not os.path.exists(os.path.join(self.folder, f"{token}.json")):
-                break
-            cur = {"token": _read_page(self.folder, token).get("next"), "seq": cur["seq"] + 1}
-        return cur
-
-    def partitions(self, start, end):
-        if start["token"] == end["token"]:
-            return []
-        return [_TokenRange(self.folder, start["token"], end["token"])]
-
-    def read(self, partition):
-        token, pos = partition.start, 0
-        while token and token != partition.stop:
-            page = _read_page(partition.folder, token)
-            for item in page.get("items", []):
-                yield (token, pos, json.dumps(item, sort_keys=True))
-                pos += 1
-            token = page.get("next")
-
-    def commit(self, end):
-        pass
-
-
-class PageChainSource(DataSource):
-    """``spark.read/readStream.format("page_chain").option("path", dir)
-    .option("start", token)``: rows (page, item_pos, item_json) following the
-    chain of landed page files ``<token>.json`` = {"items": [...], "next": t}."""
-
-    @classmethod
-    def name(cls):
-        return "page_chain"
-
-    def schema(self):
-        return "page string, item_pos int, item string"
-
-    def reader(self, schema):
-        return _ChainReader(self.options)
-
-    def streamReader(self, schema):
-        return _ChainStreamReader(self.options)
-
-
-def register(spark) -> None:
-    spark.dataSource.register(PageChainSource)
+    length = cur.where("tail is not null").groupBy(F.col("tail").alias("_t")).agg(F.max("dist").alias("_len"))
+    return cur.join(length, F.col("tail") == F.col("_t"), "left").select(
+        "id", "tail", (F.col("_len") - F.col("dist")).alias("pos"))
+
+
+def read_page_chain(spark, folder: str, items: str = "string") -> DataFrame:
+    """(page, page_pos, item_pos, item) of landed page files ``<token>.json``
+    in chain order: pages by their place in the chain, items within a page.
+    Pages of several chains come with the chain's ``tail``."""
+    pages = spark.read.schema(f"items array<{items}>, next string").option("multiLine", True).json(folder).select(
+        F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1).alias("page"), "items", "next")
+    pages = _cut(pages)
+    placed = chain_positions(pages, "page", "next").withColumnRenamed("id", "page").withColumnRenamed("pos", "page_pos")
+    return pages.join(placed, "page").select(
+        "tail", "page", "page_pos", F.posexplode("items").alias("item_pos", "item"))
+
+
+def merge_chains(chains: list[DataFrame], payload: str, process: Callable[[str], object], result: str,
+                 name: str = "result") -> DataFrame:
+    """Several chains (frames of the same columns) as one frame, with the
+    caller's function applied to each payload (null payloads give null)."""
+    out = chains[0]
+    for c in chains[1:]:
+        out = out.unionByName(c)
+
+    def each(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: None if v is None else process(v)).astype(object)
+
+    return out.withColumn(name, F.pandas_udf(each, result)(F.col(payload)))

@@ -10,11 +10,10 @@ is wrong and it is not associative.
   keeping only the current key's state.  No key's rows are ever collected
   into one list, so memory per task is bounded by the Arrow batch size even
   for a hot key (which still runs in one task: the fold is sequential).
-* Streaming: ``applyInPandasWithState`` keyed by the same key, state =
-  owned quantity; each micro-batch's rows for a key are sorted by the order
-  columns before folding.  Events must arrive in order across micro-batches
-  (the reference defines no late-data rule); an event older than the last
-  one folded for its key is counted in ``late`` and not applied.
+* Streaming: every micro-batch is folded by the batch operator, seeded from
+  a state table.  Rows newer than the watermark (the newest time seen less a
+  declared delay) are held back and folded, in order, with later batches;
+  rows older than what their key has already folded go to a quarantine table.
 """
 
 from __future__ import annotations
@@ -36,92 +35,132 @@ def apply_trade(owned: float | None, delta: float) -> float | None:
     return owned + delta if -delta <= owned else owned
 
 
-def _fold_partition(key: str, order: Sequence[str], delta: str):
+def _fold_partition(delta: str):
+    """Rows sorted by (_k, order) -> one row a key.  ``_k`` is the key as
+    text, null for null keys (one group)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur_key, owned, n = None, None, 0
-        out_k, out_v, out_n = [], [], []
+        started, cur_key, owned, n = False, None, None, 0
+        out: list[tuple] = []
+
+        def frame():
+            pdf = pd.DataFrame(out, columns=["_k", "owned", "trades"])
+            out.clear()
+            return pdf
+
         for pdf in batches:
-            for k, d in zip(pdf[key].tolist(), pdf[delta].tolist()):
-                if k != cur_key:
-                    if cur_key is not None and owned is not None:
-                        out_k.append(cur_key); out_v.append(owned); out_n.append(n)  # noqa: E702
-                    cur_key, owned, n = k, None, 0
+            for k, d in zip(pdf["_k"].tolist(), pdf[delta].tolist()):
+                if not started or k != cur_key:
+                    if started:
+                        out.append((cur_key, owned, n))
+                        if len(out) >= 10_000:
+                            yield frame()
+                    started, cur_key, owned, n = True, k, None, 0
                 owned = apply_trade(owned, d)
                 n += 1
-            if len(out_k) >= 10000:
-                yield pd.DataFrame({key: out_k, "owned": out_v, "trades": out_n})
-                out_k, out_v, out_n = [], [], []
-        if cur_key is not None and owned is not None:
-            out_k.append(cur_key); out_v.append(owned); out_n.append(n)  # noqa: E702
-        if out_k:
-            yield pd.DataFrame({key: out_k, "owned": out_v, "trades": out_n})
+        if started:
+            out.append((cur_key, owned, n))
+        if out:
+            yield frame()
     return run
 
 
+def _keyed(df: DataFrame, key: str, order: Sequence[str], delta: str) -> DataFrame:
+    return df.select(F.col(key).cast("string").alias("_k"), *order, F.col(delta).cast("double").alias(delta))
+
+
+_FOLDED = "_k string, owned double, trades long"
+
+
 def portfolio_fold(df: DataFrame, key: str, order: Sequence[str], delta: str,
-                   num_partitions: int | None = None, split: bool | None = False) -> DataFrame:
+                   num_partitions: int | None = None, split: bool = False, keep_unknown: bool = False) -> DataFrame:
     """Final owned quantity per key after folding signed trades in order.
-    Keys whose trades never included a buy have no holding and no row.
-
-    ``split=None`` measures the largest key first and, when it is too big for
-    one task (``tessera.scan.maxGroupRows``), cuts hot keys across
-    partitions with :func:`portfolio_fold_split`; ``True`` forces that."""
-    if split is None:
-        from tessera.operators.ordered import use_scan
-        split = use_scan(df, key, list(order))
+    Keys whose trades never included a buy have no holding and no row, unless
+    ``keep_unknown``.  Null keys are one group.
+
+    ``split`` cuts hot keys across partitions (:func:`portfolio_fold_split`)."""
     if split:
-        return portfolio_fold_split(df, key, order, delta)
-    key_type = df.schema[key].dataType
-    schema = T.StructType([T.StructField(key, key_type), T.StructField("owned", T.DoubleType()),
-                           T.StructField("trades", T.LongType())])
-    parts = df.select(key, *order, F.col(delta).cast("double").alias(delta))
+        return portfolio_fold_split(df, key, order, delta, keep_unknown)
+    parts = _keyed(df, key, order, delta)
     # Partition on a hash *expression* of the key, not on the key column: an
     # upstream join on the key already hash-partitions by it, and Catalyst
     # would then drop a plain repartition(key) while AQE may split a skewed
     # join partition, leaving one key's rows in several tasks.  A partitioning
     # nothing upstream provides always gets its own exchange, which AQE never
     # splits.
-    part_key = F.xxhash64(F.col(key))
+    part_key = F.xxhash64(F.col("_k"))
     parts = parts.repartition(num_partitions, part_key) if num_partitions else parts.repartition(part_key)
-    ordered = parts.sortWithinPartitions(key, *order).select(key, delta)
-    return ordered.mapInPandas(_fold_partition(key, order, delta), schema)
-
-
-def portfolio_stream(stream: DataFrame, key: str, order: Sequence[str], delta: str) -> DataFrame:
-    """Streaming form: emits (key, owned, trades, late) after every
-    micro-batch that touched the key (update output mode)."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    key_type = stream.schema[key].dataType
-    out = T.StructType([T.StructField(key, key_type), T.StructField("owned", T.DoubleType()),
-                        T.StructField("trades", T.LongType()), T.StructField("late", T.LongType())])
-    state = T.StructType([T.StructField("owned", T.DoubleType()), T.StructField("known", T.BooleanType()),
-                          T.StructField("trades", T.LongType()), T.StructField("late", T.LongType()),
-                          T.StructField("last", T.StringType())])
-
-    def step(k, pdfs, st):
-        if st.exists:
-            owned, known, trades, late, last = st.get
-        else:
-            owned, known, trades, late, last = 0.0, False, 0, 0, None
-        cur = owned if known else None
-        for pdf in pdfs:
-            pdf = pdf.sort_values(list(order))
-            for row in pdf.itertuples(index=False):
-                stamp = "|".join(str(getattr(row, c)) for c in order)
-                if last is not None and stamp < last:
-                    late += 1
-                    continue
-                last = stamp
-                cur = apply_trade(cur, float(getattr(row, delta)))
-                trades += 1
-        st.update((cur or 0.0, cur is not None, trades, late, last))
-        if cur is not None:
-            yield pd.DataFrame({key: [k[0]], "owned": [cur], "trades": [trades], "late": [late]})
-
-    # ISO timestamps compare correctly as text; cast order columns to string.
-    s = stream.select(key, *[F.col(c).cast("string").alias(c) for c in order], F.col(delta).cast("double"))
-    return s.groupBy(key).applyInPandasWithState(step, out, state, "update", GroupStateTimeout.NoTimeout)
+    ordered = parts.sortWithinPartitions("_k", *order).select("_k", delta)
+    out = ordered.mapInPandas(_fold_partition(delta), _FOLDED)
+    out = out if keep_unknown else out.where("owned is not null")
+    return out.select(F.col("_k").cast(df.schema[key].dataType).alias(key), "owned", "trades")
+
+
+class PortfolioStream:
+    """Streaming form of the portfolio fold, for ``foreachBatch``.
+
+    State, held rows and quarantine are Parquet tables in ``folder`` (a shared
+    folder), written once for each batch id, so a batch that is run again
+    after a failure starts from the same state.  ``order[0]`` is the event
+    time; rows up to ``delay`` late are folded in order."""
+
+    def __init__(self, spark, folder: str, key: str, order: Sequence[str], delta: str, delay: str):
+        self.spark, self.folder, self.key, self.order, self.delta, self.delay = spark, folder, key, list(order), delta, delay
+        self.steps: list[int] = []
+
+    def _read(self, name: str, batch: int | None, schema) -> DataFrame:
+        if batch is None:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}/{batch}")
+
+    def step(self, batch: DataFrame, batch_id: int, flush: bool = False) -> None:
+        rows = batch.select(self.key, *self.order, F.col(self.delta).cast("double").alias(self.delta))
+        fields = {f.name: f.dataType for f in rows.schema.fields}
+        state_schema = T.StructType([T.StructField(self.key, fields[self.key]), T.StructField("owned", T.DoubleType()),
+                                     T.StructField("trades", T.LongType())]
+                                    + [T.StructField(f"_last_{c}", fields[c]) for c in self.order])
+        prior = max((b for b in self.steps if b < batch_id), default=None)
+        state = self._read("state", prior, state_schema)
+        held = self._read("held", prior, T.StructType([T.StructField(n, d) for n, d in fields.items()]))
+        known = state.select(F.col(self.key).alias("_sk"), F.struct(*[F.col(f"_last_{c}").alias(c) for c in self.order]).alias("_lo"),
+                             F.lit(True).alias("_seen"))
+        todo = held.unionByName(rows)
+        newest = todo.agg(F.max(self.order[0]).alias("m")).first()["m"]
+        old = todo.join(known, F.col(self.key).eqNullSafe(F.col("_sk")), "left")
+        at = F.struct(*[F.col(c) for c in self.order])
+        late = F.coalesce(F.col("_seen"), F.lit(False)) & (at < F.col("_lo"))
+        old.where(late).select(*rows.columns).write.mode("overwrite").parquet(f"{self.folder}/quarantine/{batch_id}")
+        fresh = old.where(~late).select(*rows.columns)
+        # Null times sort first, so they are never waited for.
+        wait = F.lit(False) if flush or newest is None else F.coalesce(
+            F.col(self.order[0]) > F.lit(newest) - F.expr(f"interval {self.delay}"), F.lit(False))
+        fresh.where(wait).write.mode("overwrite").parquet(f"{self.folder}/held/{batch_id}")
+        ready = fresh.where(~wait)
+        # What a key owns goes first, as one buy; it is not counted as a trade.
+        seed = state.where("owned is not null").select(
+            self.key, *[F.lit(None).cast(fields[c]).alias(c) for c in self.order], F.col("owned").alias(self.delta),
+            F.lit(0).alias("_rank"))
+        both = seed.unionByName(ready.withColumn("_rank", F.lit(1)))
+        now = portfolio_fold(both, self.key, ["_rank", *self.order], self.delta, keep_unknown=True).select(
+            F.col(self.key).alias("_k1"), "owned")
+        count = (state.select(self.key, "trades", F.struct(*[F.col(f"_last_{c}").alias(c) for c in self.order]).alias("o"))
+                 .unionByName(ready.select(self.key, F.lit(1).cast("long").alias("trades"), at.alias("o")))
+                 .groupBy(F.col(self.key).alias("_k2")).agg(F.sum("trades").alias("trades"), F.max("o").alias("o")))
+        new = count.join(now, F.col("_k1").eqNullSafe(F.col("_k2")), "left").select(
+            F.col("_k2").alias(self.key), "owned", "trades", *[F.col(f"o.{c}").alias(f"_last_{c}") for c in self.order])
+        new.write.mode("overwrite").parquet(f"{self.folder}/state/{batch_id}")
+        self.schema, self.rows = state_schema, rows.schema
+        self.steps.append(batch_id)
+
+    def result(self) -> DataFrame:
+        """(key, owned, trades) after the held rows are folded too."""
+        if not self.steps:
+            raise ValueError("no batch has been folded")
+        end = max(self.steps) + 1
+        self.step(self.spark.createDataFrame([], self.rows), end, flush=True)
+        return self._read("state", end, self.schema).where("owned is not null").select(self.key, "owned", "trades")
+
+    def quarantine(self) -> DataFrame:
+        return self.spark.read.schema(self.rows).parquet(f"{self.folder}/quarantine/*")
 
 
 def earliest_claims(requests: DataFrame, item: str, order: Sequence[str], claimant: str) -> DataFrame:
@@ -148,73 +187,71 @@ def remaining_pool(pool: DataFrame, holds: DataFrame, item: str) -> DataFrame:
 # replay fall back to the sequential fold, so the result stays exact.
 
 
-def _segments(key: str, delta: str):
+def _segments(delta: str):
+    cols = ["_pid", "_k", "fresh", "trades", "D", "T"]
+
     def run(batches):
-        cur, fresh, n, total, run_sum, low, first_mid = None, None, 0, 0.0, 0.0, 0.0, None
-        rows = []
+        cur, fresh, n, total, low = None, None, 0, 0.0, 0.0
+        rows: list[tuple] = []
 
-        def flush():
-            if cur is not None:
-                rows.append((cur[0], cur[1], first_mid, fresh, n, total, max(0.0, -low)))
+        def frame():
+            pdf = pd.DataFrame(rows, columns=cols)
+            rows.clear()
+            return pdf
 
         for pdf in batches:
-            for pid, k, mid, d in zip(pdf["_pid"].tolist(), pdf[key].tolist(), pdf["_mid"].tolist(), pdf[delta].tolist()):
+            for pid, k, d in zip(pdf["_pid"].tolist(), pdf["_k"].tolist(), pdf[delta].tolist()):
                 if cur is None or k != cur[1]:
-                    flush()
-                    cur, fresh, n, total, run_sum, low, first_mid = (pid, k), None, 0, 0.0, 0.0, 0.0, mid
+                    if cur is not None:
+                        rows.append((*cur, fresh, n, total, max(0.0, -low)))
+                        if len(rows) >= 10_000:
+                            yield frame()
+                    cur, fresh, n, total, low = (pid, k), None, 0, 0.0, 0.0
                 fresh = apply_trade(fresh, d)
                 n += 1
                 total += d
-                run_sum += d
-                low = min(low, run_sum)
-        flush()
+                low = min(low, total)
+        if cur is not None:
+            rows.append((*cur, fresh, n, total, max(0.0, -low)))
         if rows:
-            yield pd.DataFrame(rows, columns=["_pid", key, "_first", "fresh", "trades", "D", "T"])
+            yield frame()
     return run
 
 
-def _chain(key: str):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_pid")
-        state, replay = None, False
-        for i, r in enumerate(pdf.itertuples(index=False)):
-            if i == 0 or state is None:
-                state = None if pd.isna(r.fresh) else float(r.fresh)
-            elif state >= r.T:
-                state = state + r.D
-            else:
-                replay = True
-                break
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "owned": [state], "trades": [int(pdf["trades"].sum())],
-                             "replay": [replay]})
-    return run
+def _chain(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("_pid")
+    state, replay = None, False
+    for r in pdf.itertuples(index=False):
+        if state is None:
+            state = None if pd.isna(r.fresh) else float(r.fresh)
+        elif state >= r.T:
+            state = state + r.D
+        else:
+            replay = True
+            break
+    return pd.DataFrame({"_k": [key[0]], "owned": [state], "trades": [int(pdf["trades"].sum())], "replay": [replay]})
 
 
-def portfolio_fold_split(df: DataFrame, key: str, order: Sequence[str], delta: str) -> DataFrame:
+def portfolio_fold_split(df: DataFrame, key: str, order: Sequence[str], delta: str,
+                         keep_unknown: bool = False) -> DataFrame:
     """The portfolio fold with hot keys cut across partitions (see above).
     Same output as :func:`portfolio_fold`."""
     from tessera.session import materialize
 
-    s = materialize(df.select(key, *order, F.col(delta).cast("double").alias(delta))
-                    .orderBy(key, *order)
-                    .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
-    key_type = s.schema[key].dataType
-    seg_schema = T.StructType([T.StructField("_pid", T.IntegerType()), T.StructField(key, key_type),
-                               T.StructField("_first", T.LongType()), T.StructField("fresh", T.DoubleType()),
-                               T.StructField("trades", T.LongType()), T.StructField("D", T.DoubleType()),
-                               T.StructField("T", T.DoubleType())])
-    seg = s.select("_pid", key, "_mid", delta).mapInPandas(_segments(key, delta), seg_schema)
-    seg = materialize(seg)  # one row per (partition, key) stretch; read three times below
-    spans = seg.groupBy(key).agg(F.count(F.lit(1)).alias("_parts"))
-    single = seg.join(spans.where("_parts = 1"), key).select(
-        key, F.col("fresh").alias("owned"), "trades")
-    multi = seg.join(spans.where("_parts > 1"), key).select(*seg.columns)
-    out_schema = T.StructType([T.StructField(key, key_type), T.StructField("owned", T.DoubleType()),
-                               T.StructField("trades", T.LongType()), T.StructField("replay", T.BooleanType())])
+    s = materialize(_keyed(df, key, order, delta).orderBy("_k", *order).withColumn("_pid", F.spark_partition_id()))
+    seg = s.select("_pid", "_k", delta).mapInPandas(
+        _segments(delta), "_pid int, _k string, fresh double, trades long, D double, T double")
+    seg = materialize(seg)  # one row per (partition, key) stretch; read below by several branches
+    spans = seg.groupBy(F.col("_k").alias("_g")).agg(F.count(F.lit(1)).alias("_parts"))
+    of = seg.join(spans, F.col("_k").eqNullSafe(F.col("_g")))
+    single = of.where("_parts = 1").select("_k", F.col("fresh").alias("owned"), "trades")
     # Keys spanning partitions: at most one stretch per partition each.
-    chained = multi.groupBy(key).applyInPandas(_chain(key), out_schema)
-    resolved = chained.where(~F.col("replay")).select(key, "owned", "trades")
-    replay_keys = chained.where(F.col("replay")).select(key)
-    replayed = portfolio_fold(df.join(replay_keys, key, "left_semi"), key, order, delta)
-    done = single.unionByName(resolved).where(F.col("owned").isNotNull())
-    return done.unionByName(replayed.select(key, "owned", "trades"))
+    multi = of.where("_parts > 1").select(*seg.columns)
+    chained = materialize(multi.groupBy("_k").applyInPandas(_chain, _FOLDED + ", replay boolean"))
+    resolved = chained.where(~F.col("replay")).select("_k", "owned", "trades")
+    again = chained.where("replay").select(F.col("_k").alias("_g"))
+    rest = df.join(again, F.col(key).cast("string").eqNullSafe(F.col("_g")), "left_semi")
+    kind = df.schema[key].dataType
+    done = single.unionByName(resolved).select(F.col("_k").cast(kind).alias(key), "owned", "trades")
+    out = done.unionByName(portfolio_fold(rest, key, order, delta, keep_unknown=True))
+    return out if keep_unknown else out.where("owned is not null")

@@ -81,30 +81,47 @@ def test_portfolio_fold_batch(spark):
     assert out == [(1, 0.0)]
 
 
-@pytest.mark.parametrize("files", [1, 3])
-def test_portfolio_stream_matches_batch(spark, tmp, files):
-    # Trades land as time-ordered files (one per slice), the arrival order
-    # the streaming operator assumes; each file is one micro-batch.
-    import time
-
-    df = trades(spark)
+def late_trades(spark):
+    """Whole-second stamps (order by id within one), null keys, rows out of
+    order across slices, and one user with most of the rows."""
+    import random
+    r = random.Random(9)
+    data = []
+    for i in range(1200):
+        user = None if i % 11 == 0 else (0 if i % 3 else r.randint(1, 6))
+        data.append((user, f"2024-0{1 + i // 400}-01 00:{i // 60 % 60:02d}:{i // 7 % 60:02d}", i,
+                     float(r.randint(1, 9)) if r.random() < 0.6 else -float(r.randint(1, 12))))
+    return spark.createDataFrame(data, "user_id long, ts string, event_id long, delta double").withColumn(
+        "ts", F.col("ts").cast("timestamp"))
+
+
+@pytest.mark.parametrize("per_batch", [1])
+def test_portfolio_stream_matches_batch(spark, tmp, per_batch):
+    df = late_trades(spark)
     src = os.path.join(tmp, "in")
-    bounds = [0, 2, 4, 99] if files == 3 else [0, 99]
-    for lo, hi in zip(bounds, bounds[1:]):
-        df.where((F.col("event_id") > lo) & (F.col("event_id") <= hi)).coalesce(1).write.mode("append").parquet(src)
-        time.sleep(0.05)
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out = S.portfolio_stream(stream, "user_id", ["ts", "event_id"], "delta")
-    q = (out.writeStream.outputMode("update").format("memory").queryName(f"pf{files}")
-         .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(availableNow=True).start())
+    for lo in range(0, 1200, 200):  # the slices of a month arrive in swapped order
+        lo = lo + 200 if lo // 200 % 2 == 0 else lo - 200
+        df.where((F.col("event_id") >= lo) & (F.col("event_id") < lo + 200)).coalesce(1).write.mode("append").parquet(src)
+    fold = S.PortfolioStream(spark, os.path.join(tmp, "fold"), "user_id", ["ts", "event_id"], "delta", "2 hours")
+    q = (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", per_batch).parquet(src)
+         .writeStream.foreachBatch(fold.step).option("checkpointLocation", os.path.join(tmp, "ck"))
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    last = spark.sql(f"select user_id, owned, trades, late from pf{files}").collect()
-    final = {}
-    for r in last:
-        if r.user_id not in final or r.trades >= final[r.user_id][1]:
-            final[r.user_id] = (r.owned, r.trades)
-    assert {k: v[0] for k, v in final.items()} == {1: 0.0}
-    assert all(r.late == 0 for r in last)
+    want = rows(S.portfolio_fold(df, "user_id", ["ts", "event_id"], "delta"), "user_id", "owned", "trades")
+    assert rows(fold.result(), "user_id", "owned", "trades") == want
+    assert len(want) == len({r.user_id for r in df.collect()}) and fold.quarantine().count() == 0
+    # All three forms agree, null keys are one group.
+    assert rows(S.portfolio_fold(df, "user_id", ["ts", "event_id"], "delta", split=True), "user_id", "owned", "trades") == want
+
+
+def test_portfolio_stream_quarantines_late_rows(spark, tmp):
+    ts = lambda df: df.withColumn("ts", F.col("ts").cast("timestamp"))
+    fold = S.PortfolioStream(spark, os.path.join(tmp, "fold"), "user_id", ["ts", "event_id"], "delta", "1 second")
+    one = ts(trades(spark))
+    fold.step(one.where("event_id >= 2"), 0)
+    fold.step(one.where("event_id = 1 and user_id = 1"), 1)
+    assert [(r.user_id, r.event_id) for r in fold.quarantine().collect()] == [(1, 1)]
+    assert rows(fold.result(), "user_id", "owned", "trades") == [(1, 1.0, 4)]
 
 
 def test_chain_positions(spark):
@@ -114,18 +131,20 @@ def test_chain_positions(spark):
     assert got == {"a": ("d", 0), "b": ("d", 1), "c": ("d", 2), "d": ("d", 3), "y": ("x", 0), "x": ("x", 1)}
 
 
-def test_page_chain_source(spark, tmp):
-    pages = {"p1": {"items": [{"v": 1}, {"v": 2}], "next": "p2"}, "p2": {"items": [{"v": 3}], "next": None}}
+def test_chain_positions_long_and_cyclic(spark):
+    nodes = [(f"n{i}", f"n{i + 1}") for i in range(150)] + [("n150", None), ("a", "b"), ("b", "a"), ("to", "a"), ("gone", "nowhere")]
+    got = {r.id: (r.tail, r.pos) for r in C.chain_positions(spark.createDataFrame(nodes, "id string, next string")).collect()}
+    assert all(got[f"n{i}"] == ("n150", i) for i in range(151))
+    assert got["a"] == got["b"] == got["to"] == (None, None) and got["gone"] == ("gone", 0)
+
+
+def test_page_chain_in_order(spark, tmp):
+    pages = {"z1": {"items": ["1", "2"], "next": "p2"}, "p2": {"items": ["3"], "next": "a3"}, "a3": {"items": [], "next": "q4"},
+             "q4": {"items": ["4"], "next": None}}
     for k, v in pages.items():
         write(os.path.join(tmp, f"{k}.json"), json.dumps(v))
-    C.register(spark)
-    df = spark.read.format("page_chain").option("path", tmp).option("start", "p1").load()
-    assert [(r.page, r.item_pos, json.loads(r.item)["v"]) for r in df.collect()] == [("p1", 0, 1), ("p1", 1, 2), ("p2", 2, 3)]
-    s = spark.readStream.format("page_chain").option("path", tmp).option("start", "p1").load()
-    q = (s.writeStream.format("memory").queryName("chain").option("checkpointLocation", os.path.join(tmp, "ck"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    assert sorted(json.loads(r.item)["v"] for r in spark.sql("select * from chain").collect()) == [1, 2, 3]
+    got = C.read_page_chain(spark, tmp).orderBy("page_pos", "item_pos").collect()
+    assert [(r.page, r.item_pos, r.item) for r in got] == [("z1", 0, "1"), ("z1", 1, "2"), ("p2", 0, "3"), ("q4", 0, "4")]
 
 
 def test_entry_smoke(spark):
@@ -232,15 +251,3 @@ def test_portfolio_fold_split_matches_sequential(spark, regime):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", old)
-
-
-def test_portfolio_fold_measures_hot_keys(spark):
-    from tessera.operators.ordered import SCAN_CONF
-
-    df = trades(spark).unionByName(trades(spark).withColumn("event_id", F.col("event_id") + 100))
-    base = rows(S.portfolio_fold(df, "user_id", ["ts", "event_id"], "delta", split=False))
-    spark.conf.set(SCAN_CONF, "3")  # user 1 (10 trades) now counts as hot
-    try:
-        assert rows(S.portfolio_fold(df, "user_id", ["ts", "event_id"], "delta", split=None)) == base
-    finally:
-        spark.conf.unset(SCAN_CONF)

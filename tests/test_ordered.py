@@ -6,15 +6,6 @@ from tessera.functions.scalar import hhmm_minutes
 from tessera.operators import ordered as O
 
 
-@pytest.fixture(autouse=True, params=["window", "scan"])
-def path(request, spark):
-    """Run every test through both the per-key window and the segmented scan."""
-    from tessera.operators.ordered import SCAN_CONF
-    spark.conf.set(SCAN_CONF, "0" if request.param == "scan" else "1000000")
-    yield request.param
-    spark.conf.unset(SCAN_CONF)
-
-
 def seq(spark, values, name="value"):
     return spark.createDataFrame([("g", i, v) for i, v in enumerate(values)], f"g string, pos int, {name} int")
 
@@ -108,7 +99,7 @@ def test_periodic_labels(spark):
     assert out[15] == ["Fizz", "Buzz"] and out[9] == ["Fizz"] and 7 not in out
 
 
-def test_segmented_scan_null_keys_and_empty(spark, path):
+def test_segmented_scan_null_keys_and_empty(spark):
     from pyspark.sql import Window as W
 
     from tessera.operators.scan import segmented_scan
@@ -125,19 +116,28 @@ def test_segmented_scan_null_keys_and_empty(spark, path):
     assert segmented_scan(empty, "k", ["t"], sum_col="v", prev_col="c").count() == 0
 
 
-def test_hot_key_switches_to_scan(spark, path):
-    from tessera.operators.ordered import SCAN_CONF, use_scan
+def test_scan_is_exact_for_longs_nans_and_null_keys(spark):
+    big = 9007199254740993
+    data = [(None, 1, big, float("nan")), (None, 2, 2, 1.0), (None, 3, None, None), ("a", 1, big, 0.5)]
+    df = spark.createDataFrame(data, "k string, t int, v long, x double").repartition(3)
+    got = {(r.k, r.t): r for r in O.running_sum(df, "k", ["t"], "v").collect()}
+    assert [got[None, t].running for t in (1, 2, 3)] == [big, big + 2, big + 2] and got["a", 1].running == big
+    prev = {(r.k, r.t): r.prev for r in O.key_scan(df, "k", ["t"], prev_col="x").collect()}
+    assert prev[None, 1] is None and prev[None, 2] != prev[None, 2] and prev[None, 3] == 1.0
+    ends = {r.k: (r.last, r.penultimate, r.kth) for r in O.nth_from_start_and_end(df, "k", ["t"], "v", 1).collect()}
+    assert ends == {None: (None, 2, big), "a": (big, None, big)}
+    down = {(r.k, r.t): r.idx for r in O.key_scan(df, ["k"], [F.desc("t")]).collect()}
+    assert down[None, 3] == 1 and down[None, 1] == 3
+
 
-    # One key holds a third of the rows; the rest are spread thin.
-    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
-                                  F.col("id").alias("t"))
-    spark.conf.set(SCAN_CONF, "500")
-    assert use_scan(df, "k", ["t"]) is True
-    spark.conf.set(SCAN_CONF, "5000")
-    assert use_scan(df, "k", ["t"]) is False
+def test_range_lookup_fractions(spark):
+    iv = spark.createDataFrame([(0.0, 10.5, "a"), (10.5, 11.0, "b")], "lo double, hi double, name string")
+    pt = spark.createDataFrame([(10.2,), (10.5,), (11.0,), (0.0,)], "x double")
+    got = {r.x: r.name for r in O.range_lookup(pt, "x", iv, "lo", "hi").collect()}
+    assert got == {10.2: "a", 10.5: "b", 11.0: None, 0.0: "a"}
 
 
-def test_size_partitions(spark, path):
+def test_size_partitions(spark):
     from tessera.session import input_bytes, size_partitions
 
     old = spark.conf.get("spark.sql.shuffle.partitions")
@@ -149,7 +149,7 @@ def test_size_partitions(spark, path):
     spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
-def test_scan_carries_across_partitions(spark, path):
+def test_scan_carries_across_partitions(spark):
     import random
 
     from pyspark.sql import Window as W
@@ -179,7 +179,7 @@ def test_scan_carries_across_partitions(spark, path):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def test_reverse_positions(spark, path):
+def test_reverse_positions(spark):
     df = seq(spark, [5, 6, 7])
     out = O.reverse_positions(df, "g", ["pos"], "rpos").orderBy("rpos").collect()
     assert [r.value for r in out] == [7, 6, 5]

@@ -113,15 +113,7 @@ def test_merged_page_chains(spark, tmp):
         for tok, (item, nxt) in pages.items():
             with open(os.path.join(d, f"{tok}.json"), "w") as f:
                 json.dump({"items": [{"v": item}], "next": nxt}, f)
-    C.register(spark)
-    s1 = spark.readStream.format("page_chain").option("path", os.path.join(tmp, "a")).option("start", "a1").load()
-    s2 = spark.readStream.format("page_chain").option("path", os.path.join(tmp, "b")).option("start", "b1").load()
-    seen = []
-
-    def process(batch, batch_id):  # the user's page processor
-        seen.extend(json.loads(r.item)["v"] for r in batch.collect())
-
-    q = (s1.unionByName(s2).writeStream.foreachBatch(process).option("checkpointLocation", os.path.join(tmp, "ck"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    assert sorted(seen) == ["x", "y", "z"]
+    both = [C.read_page_chain(spark, os.path.join(tmp, n), "struct<v:string>").select("tail", "page_pos", "item.v") for n in "ab"]
+    merged = C.merge_chains(both, "v", str.upper, "string", "out")
+    got = [(r.tail, r.page_pos, r.out) for r in merged.orderBy("tail", "page_pos").collect()]
+    assert got == [("a2", 0, "X"), ("a2", 1, "Y"), ("b1", 0, "Z")]
