@@ -13,13 +13,17 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_TWO_53 = float(2 ** 53)
+def digest_bits(seed: int, *keys, hex_digits: int = 13) -> Column:
+    """The first hex digits of an MD5 digest of (seed, keys) as a bigint: a
+    hash that every engine has.  Null keys count as empty."""
+    parts = [F.coalesce((F.col(k) if isinstance(k, str) else k).cast("string"), F.lit("")) for k in keys]
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
+    return F.conv(F.substr(digest, F.lit(1), F.lit(hex_digits)), 16, 10).cast("bigint")
 
 
 def uniform(seed: int, *keys) -> Column:
-    """Uniform double in [0, 1) from (seed, keys) (GEN-01)."""
-    h = F.xxhash64(F.lit(seed), *[F.col(k) if isinstance(k, str) else k for k in keys])
-    return F.pmod(h, F.lit(2 ** 53)).cast("double") / F.lit(_TWO_53)
+    """Uniform double in [0, 1) with 52 bits, from (seed, keys) (GEN-01)."""
+    return digest_bits(seed, *keys) / F.lit(float(2 ** 52))
 
 
 def signed_unit(seed: int, *keys) -> Column:

@@ -23,7 +23,9 @@ def hash_split(df: DataFrame, key: str, train_percent: int = 60, seed: int = 123
     """Deterministic train/test split by a hash of the row key (ML-06).
     Unlike ``randomSplit`` it is stable under repartitioning and re-reads,
     so a retried task or a re-run produces the same split."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(100))
+    from tessera.operators.generate import digest_bits
+
+    bucket = digest_bits(seed, key, hex_digits=8) % 100
     return df.where(bucket < train_percent), df.where(bucket >= train_percent)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import fround
 from tessera.operators import generate as GN
 from tessera.operators import ml as M
 from tessera.plans.common import t
@@ -28,19 +29,33 @@ def order_price_buckets(spark, sf):
     return b.transform(t(spark, sf, "orders").select("o_orderkey", "o_totalprice")).select("o_orderkey", "bucket")
 
 
-@plan("customer_hash_split", "ML-06")
+def _split_sql(key: str, percent: int) -> str:
+    """SQL for the training side of ``hash_split``."""
+    return f"('0x' || substr(md5('1234:' || {key}::VARCHAR), 1, 8))::BIGINT % 100 < {percent}"
+
+
+def _draw_sql(seed: int, key: str) -> str:
+    return f"(('0x' || substr(md5('{seed}:' || {key}::VARCHAR), 1, 13))::BIGINT / 4503599627370496.0)"
+
+
+@plan("customer_hash_split", "ML-06", sql=f"""
+SELECT c_custkey, CASE WHEN {_split_sql('c_custkey', 60)} THEN 'train' ELSE 'test' END AS split FROM customer""")
 def customer_hash_split(spark, sf):
     c = t(spark, sf, "customer").select("c_custkey")
     train, test = M.hash_split(c, "c_custkey", 60)
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
-@plan("customer_balance_imputed", "ML-01")
+@plan("customer_balance_imputed", "ML-01", sql=f"""
+WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 10 <> 3 THEN c_acctbal END AS c_acctbal FROM customer)
+SELECT c_custkey, round(coalesce(c_acctbal, (SELECT avg(c_acctbal) FROM c WHERE {_split_sql('c_custkey', 60)})), 6) AS c_acctbal
+FROM c WHERE NOT ({_split_sql('c_custkey', 60)})""")
 def customer_balance_imputed(spark, sf):
-    c = t(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    # A tenth of the balances is taken away, to be filled in again.
+    c = t(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 10 != 3, F.col("c_acctbal")).alias("c_acctbal"))
     train, test = M.hash_split(c, "c_custkey", 60)
     model = M.mean_imputer(train, ["c_acctbal"])  # fitted on the training split only
-    return model.transform(test)
+    return model.transform(test).select("c_custkey", fround(F.col("c_acctbal"), 6).alias("c_acctbal"))
 
 
 def _passengers(spark, sf):
@@ -90,14 +105,59 @@ def embedding_mlp_precision(spark, sf):
     return spark.createDataFrame([(float(precision),)], "precision double")
 
 
-@plan("order_uniform_draws", "GEN-01")
+def _report(spark, train, test, scored, metric):
+    """What can be said of a fitted model in any engine: the sizes of its
+    splits, that every test row got a prediction, that its metric is one."""
+    n = scored.where(F.col("prediction").isNotNull()).count()
+    return spark.createDataFrame([(train.count(), test.count(), n, bool(0 <= metric <= 1))],
+                                 "n_train bigint, n_test bigint, n_scored bigint, metric_in_range boolean")
+
+
+@plan("order_status_forest_report", "ML-02 ML-04 ML-05 ML-07 ML-08 ML-09", sql=f"""
+WITH p AS (SELECT {_split_sql('o_orderkey', 80)} AS train FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT count(*) FILTER (WHERE train) AS n_train, count(*) FILTER (WHERE NOT train) AS n_test,
+       count(*) FILTER (WHERE NOT train) AS n_scored, true AS metric_in_range FROM p""")
+def order_status_forest_report(spark, sf):
+    train, test = M.hash_split(_passengers(spark, sf), "o_orderkey", 80)
+    model, _ = _forest(spark, sf, trees=20)
+    scored = model.transform(test)
+    return _report(spark, train, test, scored, M.area_under_roc(scored, "label"))
+
+
+@plan("toxic_text_report", "ML-10 ML-11", sql="""
+SELECT (SELECT count(*) FROM documents JOIN labels USING (doc_id)) AS n_train, (SELECT count(*) FROM documents) AS n_test,
+       (SELECT count(*) FROM documents) AS n_scored, true AS metric_in_range""")
+def toxic_text_report(spark, sf):
+    d = t(spark, sf, "documents").select("doc_id", "text")
+    lab = t(spark, sf, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
+    train = d.join(lab, "doc_id")
+    scored = toxic_text_predictions(spark, sf)
+    right = scored.join(lab, "doc_id").agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    return _report(spark, train, d, scored, right)
+
+
+@plan("embedding_mlp_report", "ML-12 ML-13", sql=f"""
+SELECT count(*) FILTER (WHERE train) AS n_train, count(*) FILTER (WHERE NOT train) AS n_test,
+       count(*) FILTER (WHERE NOT train) AS n_scored, true AS metric_in_range
+FROM (SELECT {_split_sql('vec_id', 60)} AS train FROM embeddings)""")
+def embedding_mlp_report(spark, sf):
+    e = t(spark, sf, "embeddings").select("vec_id", M.as_vector("embedding").alias("features"),
+                                          F.col("label").cast("double").alias("label"))
+    train, test = M.hash_split(e, "vec_id", 60)
+    scored = M.mlp([64, 32, 10]).fit(train).transform(test)
+    return _report(spark, train, test, scored, M.weighted_precision(scored, "label"))
+
+
+@plan("order_uniform_draws", "GEN-01", sql=f"SELECT o_orderkey, {_draw_sql(42, 'o_orderkey')} AS u FROM orders")
 def order_uniform_draws(spark, sf):
     return t(spark, sf, "orders").select("o_orderkey", GN.uniform(42, "o_orderkey").alias("u"))
 
 
-@plan("order_gaussian_draws", "GEN-02")
+@plan("order_gaussian_draws", "GEN-02", sql=f"""
+SELECT o_orderkey, round(CASE WHEN u <= 0 THEN 0 ELSE sqrt(-2 * ln(u)) * cos(2 * pi() * v) END, 6) AS z
+FROM (SELECT o_orderkey, {_draw_sql(42, 'o_orderkey')} AS u, {_draw_sql(43, 'o_orderkey')} AS v FROM orders)""")
 def order_gaussian_draws(spark, sf):
-    return t(spark, sf, "orders").select("o_orderkey", GN.gaussian(42, "o_orderkey").alias("z"))
+    return t(spark, sf, "orders").select("o_orderkey", fround(GN.gaussian(42, "o_orderkey"), 6).alias("z"))
 
 
 @plan("supplier_html_report", "SNK-03", sql="""
