@@ -34,12 +34,15 @@ def rating_global_stats(spark, sf):
 @plan("class_filtered_means", "AGG-03", sql="""
 SELECT round(avg(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END), 6) AS mean_urgent,
        round(avg(CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice END), 6) AS mean_high,
-       round(avg(CASE WHEN o_orderpriority = '3-MEDIUM' THEN o_totalprice END), 6) AS mean_medium
+       round(avg(CASE WHEN o_orderpriority = '3-MEDIUM' THEN o_totalprice END), 6) AS mean_medium,
+       round(avg(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_totalprice END), 6) AS mean_not_specified,
+       round(avg(CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice END), 6) AS mean_low
 FROM orders""")
 def class_filtered_means(spark, sf):
     p = F.col("o_orderpriority")
     return A.conditional_means(t(spark, sf, "orders"), "o_totalprice", {
-        "mean_urgent": p == "1-URGENT", "mean_high": p == "2-HIGH", "mean_medium": p == "3-MEDIUM"}, 6)
+        "mean_urgent": p == "1-URGENT", "mean_high": p == "2-HIGH", "mean_medium": p == "3-MEDIUM",
+        "mean_not_specified": p == "4-NOT SPECIFIED", "mean_low": p == "5-LOW"}, 6)
 
 
 @plan("priority_mean_price", "AGG-04 SRT-01", sql="""
@@ -132,9 +135,28 @@ SELECT 'o_totalprice' AS column_name, count(o_totalprice) AS n, round(avg(o_tota
 FROM orders
 UNION ALL
 SELECT 'o_custkey', count(o_custkey), round(avg(o_custkey::DOUBLE), 6), round(stddev_samp(o_custkey::DOUBLE), 6),
-       min(o_custkey)::DOUBLE, max(o_custkey)::DOUBLE FROM orders""")
+       min(o_custkey)::DOUBLE, max(o_custkey)::DOUBLE FROM orders
+UNION ALL
+SELECT 'o_orderkey', count(o_orderkey), round(avg(o_orderkey::DOUBLE), 6), round(stddev_samp(o_orderkey::DOUBLE), 6),
+       min(o_orderkey)::DOUBLE, max(o_orderkey)::DOUBLE FROM orders""")
 def describe_orders(spark, sf):
-    return A.describe_long(t(spark, sf, "orders"), ["o_totalprice", "o_custkey"])
+    return A.describe_long(t(spark, sf, "orders"), ["o_totalprice", "o_custkey", "o_orderkey"])
+
+
+@plan("describe_orders_text", "AGG-11", sql="""
+SELECT 'o_orderstatus' AS column_name, count(o_orderstatus) AS n, min(o_orderstatus) AS min_value, max(o_orderstatus) AS max_value
+FROM orders
+UNION ALL SELECT 'o_orderpriority', count(o_orderpriority), min(o_orderpriority), max(o_orderpriority) FROM orders
+UNION ALL SELECT 'o_orderdate', count(o_orderdate), strftime(min(o_orderdate), '%Y-%m-%d'), strftime(max(o_orderdate), '%Y-%m-%d')
+FROM orders""")
+def describe_orders_text(spark, sf):
+    # The columns without a mean: strings, and the date as ISO text.
+    cols = {"o_orderstatus": F.col("o_orderstatus"), "o_orderpriority": F.col("o_orderpriority"),
+            "o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd")}
+    wide = t(spark, sf, "orders").agg(*[f(c).alias(f"{n}__{k}") for n, c in cols.items()
+                                       for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))])
+    parts = ", ".join(f"'{n}', `{n}__n`, `{n}__lo`, `{n}__hi`" for n in cols)
+    return wide.selectExpr(f"stack({len(cols)}, {parts}) as (column_name, n, min_value, max_value)")
 
 
 @plan("price_summary", "AGG-12", sql="""

@@ -369,21 +369,23 @@ def page_hosts(spark, sf):
 @plan("order_row_equality", "SCL-24", sql="""
 SELECT o_orderkey, o_totalprice = round(o_totalprice) AS same FROM orders""")
 def order_row_equality(spark, sf):
-    a = t(spark, sf, "orders")
-    b = a.withColumn("o_totalprice", fround("o_totalprice", 0))
-    cols = a.columns
-    sa = a.select("o_orderkey", F.struct(*cols).alias("ra"))
-    sb = b.select(F.col("o_orderkey").alias("k"), F.struct(*cols).alias("rb"))
-    j = sa.join(sb, sa.o_orderkey == sb.k)
-    return j.select("o_orderkey", F.col("ra").eqNullSafe(F.col("rb")).alias("same"))
+    o = t(spark, sf, "orders")
+    one = F.struct(*[F.col(c).alias(c) for c in o.columns])
+    two = F.struct(*[(fround("o_totalprice", 0) if c == "o_totalprice" else F.col(c)).alias(c) for c in o.columns])
+    return o.select("o_orderkey", one.eqNullSafe(two).alias("same"))
 
 
-@plan("order_row_hash", "SCL-24")
+@plan("order_row_hash", "SCL-24", sql="""
+SELECT o_orderkey, md5(concat_ws('|', coalesce(o_orderkey::VARCHAR, ''), coalesce(o_custkey::VARCHAR, ''),
+  coalesce(o_orderstatus, ''), coalesce(round(o_totalprice * 100)::BIGINT::VARCHAR, ''),
+  coalesce(strftime(o_orderdate, '%Y-%m-%d'), ''), coalesce(o_orderpriority, ''))) AS row_hash FROM orders""")
 def order_row_hash(spark, sf):
-    # 64-bit xxHash over every field: a stable row fingerprint (the value
-    # differs from the reference's hashCode by design, so no SQL oracle).
-    o = t(spark, sf, "orders")
-    return o.select("o_orderkey", F.xxhash64(*o.columns).alias("row_hash"))
+    # A stable fingerprint of the row's fields as text (cents for the price).
+    text = {"o_totalprice": fround(F.col("o_totalprice") * 100, 0).cast("bigint").cast("string"),
+            "o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd")}
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    parts = [F.coalesce(text.get(c, F.col(c).cast("string")), F.lit("")) for c in cols]
+    return t(spark, sf, "orders").select("o_orderkey", F.md5(F.concat_ws("|", *parts)).alias("row_hash"))
 
 
 @plan("order_price_expectation", "SCL-25", sql="""

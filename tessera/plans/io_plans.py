@@ -39,6 +39,57 @@ def orders_csv_roundtrip(spark, sf):
     return IO.read_csv(spark, path, _ORDERS, header=True, sep="|")
 
 
+@plan("orders_csv_inferred", "SRC-01", sql="""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders""")
+def orders_csv_inferred(spark, sf):
+    path = _scratch(spark, "inferred")
+    K.write_csv(t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"), path, header=True)
+    got = IO.read_csv(spark, path, infer=True)  # types come from the data
+    return got.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"),
+                      "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+
+
+@plan("part_csv_quoted", "SRC-09", sql="""
+SELECT p_partkey, 'the "' || p_name || '", size ' || p_size::VARCHAR || ',"' AS label FROM part""")
+def part_csv_quoted(spark, sf):
+    # Labels hold the delimiter, quotes and a quote at the end.
+    path = _scratch(spark, "quoted")
+    label = F.concat(F.lit('the "'), "p_name", F.lit('", size '), F.col("p_size").cast("string"), F.lit(',"'))
+    K.write_csv(t(spark, sf, "part").select("p_partkey", label.alias("label")), path, header=True)
+    return IO.read_csv(spark, path, "p_partkey bigint, label string")
+
+
+@plan("part_name_line_words", "SRC-03", sql="""
+SELECT word, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part) GROUP BY word""")
+def part_name_line_words(spark, sf):
+    path = _scratch(spark, "lines")
+    t(spark, sf, "part").select("p_name").write.text(path)
+    words = IO.read_lines(spark, path).select(F.explode(F.split("value", " ")).alias("word"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+@plan("nation_customer_files", "SRC-04", sql="""
+SELECT c_nationkey::BIGINT AS c_nationkey, count(*) AS n_names, sum(length(c_name) + 1)::BIGINT AS n_chars
+FROM customer GROUP BY c_nationkey""")
+def nation_customer_files(spark, sf):
+    # One folder of whole files for each nation, a name a line.
+    path = _scratch(spark, "whole")
+    t(spark, sf, "customer").select("c_nationkey", "c_name").write.partitionBy("c_nationkey").text(path)
+    files = IO.read_documents(spark, path)
+    nation = F.regexp_extract("path", r"c_nationkey=(\d+)/", 1).cast("bigint")
+    return files.groupBy(nation.alias("c_nationkey")).agg(
+        F.sum(F.size(F.split("text", "\n")) - 1).alias("n_names"), F.sum(F.length("text")).cast("bigint").alias("n_chars"))
+
+
+@plan("supplier_csv_fields", "SRC-08", sql="""
+SELECT s_suppkey::VARCHAR AS f0, s_name AS f1, 2::INTEGER AS n_fields FROM supplier UNION ALL SELECT 's_suppkey', 's_name', 2""")
+def supplier_csv_fields(spark, sf):
+    path = _scratch(spark, "fields")
+    K.write_csv(t(spark, sf, "supplier").select("s_suppkey", "s_name").repartition(1), path, header=True)
+    return IO.read_csv_lines(spark, path).select(F.col("fields")[0].alias("f0"), F.col("fields")[1].alias("f1"),
+                                                 F.size("fields").alias("n_fields"))
+
+
 @plan("priority_counts_single_file", "SNK-02", sql="""
 SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority""")
 def priority_counts_single_file(spark, sf):

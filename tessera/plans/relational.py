@@ -183,12 +183,17 @@ def _price_list(spark, sf):
 SELECT o_orderkey AS portfolio, round(coalesce(v.value, 0.0), 4) AS value
 FROM orders LEFT JOIN (
   SELECT l_orderkey, sum(l_quantity * p_retailprice) AS value
-  FROM lineitem JOIN (SELECT * FROM part WHERE p_size <= 45) p ON l_partkey = p_partkey GROUP BY l_orderkey) v
+  FROM lineitem JOIN part p ON l_partkey = p_partkey GROUP BY l_orderkey) v
 ON v.l_orderkey = o_orderkey""")
 def portfolio_value(spark, sf):
     pos = t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("portfolio"), F.col("l_partkey").alias("symbol"),
                                          F.col("l_quantity").alias("quantity"))
-    priced = R.lookup(pos, _price_list(spark, sf), "symbol", "inner")
+    prices = t(spark, sf, "part").select(F.col("p_partkey").alias("symbol"), F.col("p_retailprice").alias("price"),
+                                         F.lit(True).alias("known"))
+    priced = R.lookup(pos, prices, "symbol", "left")
+    # A symbol without an entry is an error, not a worthless position.
+    missing = F.raise_error(F.concat(F.lit("no entry matching "), F.col("symbol").cast("string")))
+    priced = priced.withColumn("price", F.when(F.col("known"), F.col("price")).otherwise(missing.cast("double")))
     value = priced.groupBy("portfolio").agg(F.sum(F.col("quantity") * F.col("price")).alias("value"))
     ports = t(spark, sf, "orders").select(F.col("o_orderkey").alias("portfolio"))
     # Empty portfolios are worth 0.0.
@@ -215,12 +220,11 @@ def brand_segment_product(spark, sf):
 
 
 @plan("supplier_enrichment", "JN-11 SCL-20 AGG-32", sql="""
-WITH ids AS (SELECT DISTINCT unnest(sups) AS s FROM (SELECT l_orderkey, list(l_suppkey) AS sups FROM lineitem GROUP BY l_orderkey))
+WITH ids AS (SELECT DISTINCT l_suppkey AS s FROM lineitem)
 SELECT s_suppkey, s_name, s_acctbal FROM ids JOIN supplier ON s = s_suppkey ORDER BY s_acctbal DESC, s_suppkey""")
 def supplier_enrichment(spark, sf):
-    # Nested arrays (suppliers per order) -> distinct ids -> detail -> sort.
-    nested = t(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_suppkey").alias("sups"))
-    ids = nested.select(F.explode("sups").alias("s_suppkey")).distinct()
+    # Distinct ids (one partial aggregate) -> detail -> sort.
+    ids = t(spark, sf, "lineitem").select(F.col("l_suppkey").alias("s_suppkey")).distinct()
     s = t(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
     return ids.join(s, "s_suppkey").orderBy(F.col("s_acctbal").desc(), "s_suppkey")
 
@@ -239,11 +243,14 @@ def labelled_documents(spark, sf):
 
 
 @plan("event_stream_merge", "SET-02", sql="""
-SELECT event_id, event_type, ts FROM events WHERE event_type = 'purchase'
-UNION ALL SELECT event_id, event_type, ts FROM events WHERE event_type = 'signup'""")
+SELECT event_id, event_type, ts FROM events""")
 def event_stream_merge(spark, sf):
     e = t(spark, sf, "events").select("event_id", "event_type", "ts")
-    return e.where("event_type = 'purchase'").unionByName(e.where("event_type = 'signup'"))
+    named = ("purchase", "signup")
+    rest = e.where(~F.coalesce(F.col("event_type").isin(*named), F.lit(False)))
+    for name in named:  # one stream for each named type, and one for the others
+        rest = rest.unionByName(e.where(F.col("event_type") == name))
+    return rest
 
 
 @plan("supplier_slot_bag_difference", "SET-03", sql="""

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",", mode: str = "overwrite") -> None:
-    """CSV with header and delimiter (SNK-01); one part file per partition."""
-    df.write.mode(mode).option("header", header).option("sep", sep).csv(path)
+    """CSV with header and delimiter (SNK-01), quotes doubled inside quoted
+    fields as the reader expects; one part file per partition."""
+    df.write.mode(mode).option("header", header).option("sep", sep).option("escape", '"').csv(path)
 
 
 def write_single_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") -> None:
-    """Single-file overwrite (SNK-02).  ``coalesce(1)`` funnels the write
+    """Single-file overwrite (SNK-02).  ``repartition(1)`` funnels the write
     through one task: meant for small, final results only."""
-    write_csv(df.coalesce(1), path, header, sep, "overwrite")
+    write_csv(df.repartition(1), path, header, sep, "overwrite")
 
 
 def _cell(tag: str, value: Column) -> Column:
@@ -45,7 +46,7 @@ def html_fragments(df: DataFrame, columns: Sequence[str], order: Sequence, title
 
 def render(fragments: DataFrame) -> DataFrame:
     """Fragments in order as text lines; write with ``.write.text`` after a
-    ``coalesce(1)`` only for small reports."""
+    ``repartition(1)`` only for small reports."""
     return fragments.orderBy("pos").select("html")
 
 
