@@ -88,7 +88,7 @@ def part_rating_codes(spark, sf):
     return _ratings(spark, sf)
 
 
-@plan("part_rating_ok", "ERR-02 SRC-06", sql=f"SELECT p_partkey, raw, code, age FROM ({_RATING_SQL}) WHERE error IS NULL")
+@plan("part_rating_ok", "ERR-02", sql=f"SELECT p_partkey, raw, code, age FROM ({_RATING_SQL}) WHERE error IS NULL")
 def part_rating_ok(spark, sf):
     ok, _ = P.forgiving(_ratings(spark, sf))
     return ok

@@ -59,7 +59,7 @@ def _page_graph(spark, sf):
     return vertices, edges
 
 
-@plan("page_graph_vertices", "GR-01 SRC-14", sql=f"""
+@plan("page_graph_vertices", "GR-01", sql=f"""
 WITH {_LINKS_SQL},
 v AS (SELECT url AS id, {_AUTH} AS name, 'page' AS role FROM pages),
 e AS (SELECT src AS id FROM links UNION SELECT dst FROM links)

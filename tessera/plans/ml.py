@@ -95,7 +95,7 @@ def toxic_text_predictions(spark, sf):
     return out
 
 
-@plan("embedding_mlp_precision", "ML-12 ML-13 SRC-05")
+@plan("embedding_mlp_precision", "ML-12 ML-13")
 def embedding_mlp_precision(spark, sf):
     e = t(spark, sf, "embeddings").select("vec_id", M.as_vector("embedding").alias("features"),
                                           F.col("label").cast("double").alias("label"))

@@ -20,7 +20,7 @@ def _docs(spark, sf):
     return spread(t(spark, sf, "documents").select("doc_id", "text"), "doc_id")
 
 
-@plan("document_word_count", "AGG-16 AGG-17 SRC-03", headline=True, sql=f"""
+@plan("document_word_count", "AGG-16 AGG-17", headline=True, sql=f"""
 SELECT word, count(*) AS count
 FROM (SELECT unnest(regexp_split_to_array(text, '{_WS}+')) AS word FROM documents)
 WHERE word <> '' GROUP BY word ORDER BY count DESC, word""")
@@ -83,7 +83,7 @@ SELECT doc_id, page::INTEGER AS page, line_no::INTEGER AS line,
 FROM m"""
 
 
-@plan("document_concordance", "TXT-01 TXT-02 SRC-04", sql=_concordance_sql(X.WORD, X.STRIP_STRICT))
+@plan("document_concordance", "TXT-01 TXT-02", sql=_concordance_sql(X.WORD, X.STRIP_STRICT))
 def document_concordance(spark, sf):
     return X.concordance(_docs(spark, sf), "doc_id", "text")
 
