@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import fround
 from tessera.operators.ml import as_vector
+from tessera.operators import policies as P
+from tessera.operators import records as REC
 from tessera.plans.common import t
 from tessera.plans.registry import plan
 from tessera.session import checkpoint_dir
@@ -59,6 +61,25 @@ def part_csv_quoted(spark, sf):
     return IO.read_csv(spark, path, "p_partkey bigint, label string")
 
 
+@plan("part_movie_records", "SRC-06", sql="""
+SELECT p_name || ', part ' || p_partkey::VARCHAR AS title, CASE WHEN p_size % 2 = 0 THEN 'PG' ELSE 'R' END AS code,
+       CASE WHEN p_size % 2 = 0 THEN 13 END AS age, p_partkey::INTEGER AS budget, 2::INTEGER AS n_genres, 'Q.' AS middle
+FROM part WHERE p_size % 7 <> 0""")
+def part_movie_records(spark, sf):
+    # Parts in the movie layout, through a CSV file of strings into nested
+    # records; rows whose rating cannot be read are dropped.
+    path = _scratch(spark, "movies")
+    rating = F.when(F.col("p_size") % 7 == 0, "PG-XX").when(F.col("p_size") % 2 == 0, "PG-13").otherwise("R")
+    given = {"color": F.lit("Color"), "director_name": F.lit("Jane Q. Director"), "genres": F.lit("Drama|Comedy|"),
+             "movie_title": F.concat("p_name", F.lit(", part "), F.col("p_partkey").cast("string")),
+             "content_rating": rating, "budget": F.col("p_partkey").cast("string"), "language": F.lit("English")}
+    K.write_csv(t(spark, sf, "part").select(*[given.get(c, F.lit(None).cast("string")).alias(c) for c in REC.MOVIE_COLUMNS]), path)
+    raw = IO.read_csv(spark, path, ", ".join(f"{c} string" for c in REC.MOVIE_COLUMNS))
+    ok, _ = P.forgiving(REC.movie_records(raw))
+    return ok.select("title", "reviews.content_rating.code", "reviews.content_rating.age", "production.budget",
+                     F.size("genres").alias("n_genres"), F.col("director.name.middle").alias("middle"))
+
+
 @plan("part_name_line_words", "SRC-03", sql="""
 SELECT word, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part) GROUP BY word""")
 def part_name_line_words(spark, sf):
