@@ -90,6 +90,7 @@ def reply_paths(messages: DataFrame, top: int | None = 1) -> DataFrame:
             F.when(go, F.concat("taken", F.array(F.struct(
                 F.lit(k).alias("k"), F.col("at").alias("node"), F.col("depth").alias("above")))))
             .otherwise(F.col("taken")).alias("taken"))
+    climb = materialize(climb)
     ends = m.where("parent is null").select(F.col("node").alias("root"), F.col("s").alias("s0"))
     best = climb.join(ends, climb["at"] == ends["root"]).select(
         "root", "leaf", "depth", ((F.col("score") + F.col("s0")) / (F.col("depth") + 1)).alias("score"),
@@ -100,15 +101,18 @@ def reply_paths(messages: DataFrame, top: int | None = 1) -> DataFrame:
         # sends ``top`` rows from each task.
         rank = F.row_number().over(W.partitionBy("root").orderBy(F.desc("score"), "leaf"))
         best = best.withColumn("_r", rank).where(F.col("_r") <= top).drop("_r")
-    # Each stretch of 2**k messages is halved until it is one message.
-    part = best.select("root", "leaf", "score", "depth", F.explode("taken").alias("t")).select(
-        "root", "leaf", "score", "depth", "t.k", "t.node", "t.above")
+    # Each stretch of 2**k messages is halved until it is one message; the
+    # upper half starts at the ancestor 2**(k-1) above.
+    part = materialize(best.select("root", "leaf", "score", "depth", F.explode("taken").alias("t")).select(
+        "root", "leaf", "score", "depth", "t.k", "t.node", "t.above"))
     for k in reversed(range(1, len(strides))):
-        here = part.where(F.col("k") == k).drop("k")
-        half = strides[k - 1].select("node", "up")
-        upper = here.join(half, "node").select("root", "leaf", "score", "depth", F.lit(k - 1).alias("k"),
-                                               F.col("up").alias("node"), (F.col("above") + 2 ** (k - 1)).alias("above"))
-        part = part.withColumn("k", F.when(F.col("k") == k, k - 1).otherwise(F.col("k"))).unionByName(upper)
+        half = strides[k - 1].select(F.col("node").alias("_n"), "up")
+        split = (F.col("k") == k) & (F.col("node") == F.col("_n"))
+        lower = F.struct(F.least("k", F.lit(k - 1)).alias("k"), F.col("node"), F.col("above"))
+        upper = F.struct(F.lit(k - 1).alias("k"), F.col("up").alias("node"), (F.col("above") + 2 ** (k - 1)).alias("above"))
+        halves = F.when(F.col("up").isNotNull(), F.array(lower, upper)).otherwise(F.array(lower))
+        part = part.join(half, split, "left").select("root", "leaf", "score", "depth", F.explode(halves).alias("t")).select(
+            "root", "leaf", "score", "depth", "t.k", "t.node", "t.above")
     return part.select("root", "leaf", "score", (F.col("depth") - F.col("above")).alias("pos"), "node")
 
 
