@@ -92,8 +92,10 @@ def same_vocabulary(path: str):
     return _FAST[path]
 
 
-def encode_all(path: str, chunks: list[str]) -> list[list[int]]:
-    fast, t = same_vocabulary(path), tokenizer(path)
+def encode_all(path: str, chunks: list[str], plain: bool = False) -> list[list[int]]:
+    """Ids of each chunk; ``plain`` leaves all to ``tokenizers`` and saves the
+    memory of the second encoder."""
+    fast, t = None if plain else same_vocabulary(path), tokenizer(path)
     out: list[list[int] | None] = [
         fast.encode_ordinary(c) if fast and SPECIAL not in c and FAST.fullmatch(c) else None for c in chunks]
     slow = [i for i, ids in enumerate(out) if ids is None]

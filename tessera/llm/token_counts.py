@@ -8,11 +8,10 @@ to per-document pre-token frequencies; ids are never materialised.
    them, and each distinct pre-token is encoded once, by the tokenizer, to
    its number of pieces.
 2. *Frequencies.*  Each document becomes (pre-token, frequency) rows.  The
-   ``HEAD`` most frequent pre-tokens (at most ``HEAD`` keys of at most
-   ``MAX_KEY`` characters: a fixed size at any corpus size) are a broadcast
-   dictionary, and what they contribute is summed on the spot.  The rest is
+   most frequent pre-tokens (at most ``HEAD`` keys of at most ``MAX_KEY``
+   characters: a fixed size at any corpus size) are a broadcast dictionary, and what they contribute is summed on the spot.  The rest is
    joined to the vocabulary by a shuffle.  A pre-token outside the head
-   makes up at most 1/HEAD of all uses, so no join key
+   makes up little more than 1/HEAD of all uses, so no join key
    of that shuffle can be hot.
 3. Sums per document.
 
@@ -38,6 +37,7 @@ from tessera.llm import chunks as C
 from tessera.llm.common import materialize, row_hash, text_or_empty
 
 HEAD = 1 << 18
+STEPS = 8  # classes of use counts for each doubling
 MAX_KEY = 64
 FLUSH = 200_000  # distinct pre-tokens a task holds before it hands them on
 
@@ -59,7 +59,7 @@ def _vocabulary(path: str):
                     uses[p] += n
             uses.pop("", None)
             long = {p: _key(p) for p in uses if len(p) > MAX_KEY}
-            size = dict(zip(long, (len(i) for i in C.encode_all(path, list(long)))))
+            size = dict(zip(long, (len(i) for i in C.encode_all(path, list(long), plain=True))))
             held.clear()
             return pa.RecordBatch.from_pydict({
                 "key": pa.array([long.get(p, p) for p in uses], pa.string()),
@@ -85,7 +85,7 @@ def _pieces(path: str):
         for batch in batches:
             keys, n = batch.column("key").to_pylist(), batch.column("n").to_pylist()
             todo = [k for k, x in zip(keys, n) if x is None]
-            count = dict(zip(todo, (len(ids) for ids in C.encode_all(path, todo))))
+            count = dict(zip(todo, (len(ids) for ids in C.encode_all(path, todo, plain=True))))
             yield pa.RecordBatch.from_pydict({
                 "key": batch.column("key"), "uses": batch.column("uses"),
                 "n": pa.array([count[k] if x is None else x for k, x in zip(keys, n)], pa.int64())})
@@ -155,8 +155,17 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = docs.schema[id_col].dataType.simpleString()
     text = text_or_empty(text_col)
     vocab = materialize(vocabulary(docs.select(text.alias("text")), path))
-    # At most HEAD rows with keys of at most MAX_KEY characters reach the driver.
-    top = vocab.orderBy(F.desc("uses"), "key").limit(HEAD).collect()
+    # The head is the highest classes of use counts that hold at most HEAD
+    # pre-tokens together: a few hundred counts, then at most HEAD rows with
+    # keys of at most MAX_KEY characters, reach the driver.
+    level = F.floor(F.log2("uses") * STEPS)
+    cut, total = 1 << 30, 0
+    for r in vocab.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        total += r["count"]
+        if total > HEAD:
+            break
+        cut = r["level"]
+    top = vocab.where(level >= cut).select("key", "n").collect()
     head = spark.sparkContext.broadcast({r["key"]: r["n"] for r in top if not r["key"].startswith("\x00")} | {"": 0})
     rows = (docs.select(F.col(id_col).alias("_id"), text.alias("text"))
             .select("_id", row_hash("_id", "text").alias("_h"), "text")
