@@ -58,9 +58,15 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=2048, end_id=0)
 
 
-def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op9_mixing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed documents: whole rows, texts included, in global order."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS)
-    return mixed.select("doc_id", "source", mixed["copy"].cast("long").alias("copy"), "shuffle_key")
+    return mixed.withColumn("copy", mixed["copy"].cast("long"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the mix that its SQL has."""
+    return op9_mixing_documents(spark, sf_dir).select("doc_id", "source", "copy", "shuffle_key")
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +76,8 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_token_counts, op3_quality_classifier, op4_nearest_neighbours, op5_simhash_near_dedup,
-    op6_secret_scans, op7_quality_rules, op8_best_fit_packing, op9_mixing, op10_html_extraction)}
+    op6_secret_scans, op7_quality_rules, op8_best_fit_packing, op9_mixing_documents, op9_mixing,
+    op10_html_extraction)}
 
 SQL: dict[str, str] = {}
 

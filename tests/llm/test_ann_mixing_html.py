@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tessera.llm import ann, mixing
 from tessera.llm import html_extract as X
+from tessera.llm.queries import QUERIES
 
 
 def plain_nearest(rows, ask, k=5):
@@ -104,6 +105,18 @@ def test_mix_against_plain(spark, odd_docs, no_docs):
     assert mixing.mix(no_docs, weights).count() == 0
 
 
+def test_mix_query_returns_whole_documents(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    got = QUERIES["op9_mixing_documents"](spark, SF_SMALL)
+    assert got.columns == [*docs.columns, "copy", "shuffle_key"]
+    rows, whole = got.collect(), {r.doc_id: tuple(r) for r in docs.collect()}
+    assert all(tuple(r)[:len(docs.columns)] == whole[r.doc_id] for r in rows)
+    assert [r.shuffle_key for r in rows] == sorted(r.shuffle_key for r in rows)
+    ids = ("doc_id", "source", "copy", "shuffle_key")
+    assert Counter(tuple(r[c] for c in ids) for r in rows) == Counter(
+        tuple(r[c] for c in ids) for r in QUERIES["op9_mixing"](spark, SF_SMALL).collect())
+
+
 @pytest.fixture(scope="module")
 def model():
     return X.fit_pages(X.templates())
