@@ -61,7 +61,11 @@ OUTER = frozenset(
     "respond search share sharing shoutbox sidebar signup social sponsor sponsored subscribe tags toolbar topbar "
     "widget widgets alert".split())
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# As HTML reads a tag: quotes count only where a value begins, other values end at white space or ">".
+# A quote without its partner is an ordinary character, so the tag still ends.
+TAG = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)"""
+    r"""((?:[\s/]++|(?:=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+)*+)>""", re.S)
 ATTR = re.compile(r"""(?:^|[\s"'/])(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 

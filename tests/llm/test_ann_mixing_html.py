@@ -175,3 +175,19 @@ def test_odd_html(spark, model):
     assert by[0] == by[1] == "" and by[4] == "one\ntwo <b> three"
     assert "no" not in by[8] and by[9].count("\n") == 2999
     assert X.extract(df.limit(0), model).count() == 0
+
+
+def test_stray_quotes_in_tags(spark, model):
+    html = ["<article><p>one <a href=/o'neil>link</a> two</p><p>three</p><p>don't stop</p></article>",
+            '<article><p>one <a href=/oneil">link</a> two</p><p>three</p></article>',
+            '<article><p>one <a href=/?q="five>link</a> two</p><p>say "three"</p></article>',
+            '<article><p>one <a title = "a > b" href=\'/x?y>z\' c>link</a> two</p></article>',
+            '<article><p>one <a b=" c>link</a> two</p></article>']
+    want = ["one link two\nthree\ndon't stop", "one link two\nthree", 'one link two\nsay "three"', "one link two", "one link two"]
+    pages = [X.Page(h) for h in html]
+    assert [X.text_of(p, [True] * len(p.tags)) for p in pages] == want
+    assert all(p.tags.count("a") == 1 for p in pages)
+    df = spark.createDataFrame([(0, None, html[0], 0), (1, None, html[1], 0)], "page_id long, url string, html string, text int")
+    got = {r.page_id: r.text for r in X.extract(df, model).collect()}
+    assert got[0].endswith(" two\nthree\ndon't stop") and got[1].endswith(" two\nthree") and "<" not in got[1]
+    assert X.Page("<a" + ' x="1" y=\'2\'' * 20000).tags == ["#page"]
