@@ -168,7 +168,7 @@ def fit(vectors: DataFrame, rows: int, k: int = 5, sample: int = SAMPLE, recall:
     import numpy as np
 
     got = hash_sample(vectors.select("v", F.xxhash64("v").alias("h")).groupBy("h").agg(F.min("v").alias("v")),
-                      "h", sample, rows).collect()
+                      "h", sample).collect()
     u = _unit(np.array([r["v"] for r in got], float).reshape(len(got), -1)) if got else np.zeros((0, 1))
     n = len(u)
     parts = int(min(max(8, rows // 2000), max(1, n // 32), 256))

@@ -62,6 +62,26 @@ def test_equal_vectors_in_blocks_and_edges(spark, monkeypatch):
     assert ann.search(few.limit(1), F.col("vec_id") == 0).count() == 0
 
 
+def test_sample_and_recall_where_most_rows_are_copies(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    rows = [(i, r.normal(size=16).astype(np.float32).tolist()) for i in range(1200)]
+    rows += [(1200 + i, rows[0][1]) for i in range(58_800)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").cache()
+    seen = []
+    monkeypatch.setattr(ann, "_unit", lambda x, f=ann._unit: seen.append(len(x)) or f(x))
+    router, parts, visits = ann.fit(ann.usable(df, "vec_id", "embedding"), len(rows), sample=600)
+    assert seen == [600] and parts == 600 // 32
+    monkeypatch.undo()
+    ask = (F.col("vec_id") > 0) & (F.col("vec_id") < 1200) & (F.col("vec_id") % 20 == 0)
+    want = plain_nearest(rows, lambda i: 0 < i < 1200 and i % 20 == 0)
+    got = {}
+    for x in ann.search(df, ask, sample=600).collect():
+        got.setdefault(x.query_id, set()).add(x.vec_id)
+    assert got.keys() == want.keys()
+    hit = sum(len({a for a, _ in want[q]} & got[q]) for q in want)
+    assert hit >= 0.9 * 5 * len(want), hit / 5 / len(want)
+
+
 def test_parts_are_balanced():
     u = ann._unit(np.random.default_rng(1).normal(size=(600, 12)))
     part = ann.balanced_parts(u, ann.neighbour_graph(u, 8), 8)
