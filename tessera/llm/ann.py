@@ -16,9 +16,9 @@ query (all ties decided by the smaller id), and these are merged.
 Defined cases: vectors that are null, zero, or hold null or non-finite
 components take no part, nor do those whose length is not the most common one;
 candidates with the query's own id are its own row; repeated rows are
-candidates once for each row; null ids take no part; with fewer than k
-candidates all are returned, and then no part is left out; an empty table
-gives an empty result; other columns are ignored.
+candidates once for each row; null ids take no part; a query that finds fewer
+than k rows in its parts goes to all parts, so with fewer than k candidates all
+are returned; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -256,7 +256,8 @@ def search(table: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id"
     schema = f"vec_id {kind}, v array<double>, parts array<int>"
     index = materialize(vectors.mapInArrow(_route(held, 1), schema)
                         .select("vec_id", "v", F.get("parts", F.lit(0)).alias("part")))
-    asked = materialize(vectors.where(queries).distinct().mapInArrow(_route(held, visits), schema)
+    queried = vectors.where(queries).distinct()
+    asked = materialize(queried.mapInArrow(_route(held, visits), schema)
                         .select("vec_id", "v", F.explode("parts").alias("part")))
 
     def blocks(df, name):
@@ -265,15 +266,30 @@ def search(table: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id"
         table_ = F.create_map(*[F.lit(x) for p in range(parts) for x in (p, max(1, sizes.get(p, 1)))])
         return F.element_at(table_, F.col("part")).alias(name)
 
-    salt = F.xxhash64("vec_id", "v")
-    nb, nq = blocks(index, "nb"), blocks(asked, "nq")
-    left = index.select("part", F.pmod(salt, nb).cast("int").alias("b"),
-                        F.explode(F.sequence(F.lit(0), nq - 1)).alias("c"), "vec_id", "v")
-    right = asked.select("part", F.explode(F.sequence(F.lit(0), nb - 1)).alias("b"),
-                         F.pmod(salt, nq).cast("int").alias("c"), "vec_id", "v")
-    keys = ["part", "b", "c"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        _search(k), f"query_id {kind}, vec_id {kind}, score double")
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    salt, keys = F.xxhash64("vec_id", "v"), ["part", "b", "c"]
+    nb = blocks(index, "nb")
+
+    def hits(asked):
+        nq = blocks(asked, "nq")
+        left = index.select("part", F.pmod(salt, nb).cast("int").alias("b"),
+                            F.explode(F.sequence(F.lit(0), nq - 1)).alias("c"), "vec_id", "v")
+        right = asked.select("part", F.explode(F.sequence(F.lit(0), nb - 1)).alias("b"),
+                             F.pmod(salt, nq).cast("int").alias("c"), "vec_id", "v")
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+            _search(k), f"query_id {kind}, vec_id {kind}, score double")
+
+    def best(found):
+        order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+            "query_id", "rank", "vec_id", "score")
+
+    found = best(hits(asked))
+    if visits < parts:
+        # Queries whose parts held too few rows go to all other parts too.
+        found = materialize(found)
+        full = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+        short = materialize(queried.join(full, "vec_id", "left_anti").mapInArrow(_route(held, parts), schema)
+                            .select("vec_id", "v", F.explode(F.slice("parts", visits + 1, parts)).alias("part")))
+        if not short.isEmpty():
+            found = best(found.drop("rank").unionByName(hits(short)))
+    return found

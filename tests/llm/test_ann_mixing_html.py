@@ -82,6 +82,27 @@ def test_sample_and_recall_where_most_rows_are_copies(spark, monkeypatch):
     assert hit >= 0.9 * 5 * len(want), hit / 5 / len(want)
 
 
+def test_queries_whose_parts_hold_too_few_rows(spark, monkeypatch):
+    r = np.random.default_rng(9)
+    x = r.normal(size=(200, 6)).astype(np.float32)
+    x[:, 0] = np.abs(x[:, 0]) * np.where(np.arange(200) < 3, 1, -1)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    # The sign of the first number routes: three rows in part 0, none in part 2.
+    w1, w2 = np.zeros((6, 2)), np.zeros((2, 3))
+    w1[0], w2[:2, :2], w2[:, 2] = (1, -1), np.eye(2), -1
+    held = ann.Router(w1, np.zeros(2), w2, np.zeros(3))
+    monkeypatch.setattr(ann, "fit", lambda *a, **b: (held, 3, 1))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    ask = (F.col("vec_id") < 3) | (F.col("vec_id") % 50 == 0)
+    want = plain_nearest(rows, lambda i: i < 3 or i % 50 == 0)
+    got = {}
+    for y in ann.search(df, ask).collect():
+        got.setdefault(y.query_id, []).append((y["rank"], y.vec_id))
+    assert got.keys() == want.keys() and all(sorted(a for a, _ in g) == [1, 2, 3, 4, 5] for g in got.values())
+    for q in range(3):
+        assert [v for _, v in sorted(got[q])] == [v for v, _ in want[q]]
+
+
 def test_parts_are_balanced():
     u = ann._unit(np.random.default_rng(1).normal(size=(600, 12)))
     part = ann.balanced_parts(u, ann.neighbour_graph(u, 8), 8)
