@@ -32,7 +32,6 @@ from __future__ import annotations
 from itertools import combinations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm.chunks import slices
@@ -237,7 +236,6 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fps = materialize(fingerprints(docs, id_col, text_col, shingle, [("__key", key)]))
     lead = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("id"), F.col("__key").alias("k"))
     stay = fingerprint_components(fps, lead, max_bits, blocks).select(F.col("lead.k").alias("__key")).distinct()
-    rows = docs.withColumn("__key", key).join(stay, "__key", "left_semi")
-    # Equal rows share a key: one of them stays.
-    once = rows.withColumn("__nth", F.row_number().over(W.partitionBy("__key").orderBy("__key"))).where("__nth = 1")
-    return once.select(*docs.columns)
+    # Equal rows share a key: one of them stays, picked in each task before the texts are shuffled.
+    once = docs.withColumn("__key", key).dropDuplicates(["__key"])
+    return once.join(stay, "__key", "left_semi").select(*docs.columns)

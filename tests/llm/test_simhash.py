@@ -85,3 +85,26 @@ def test_long_chain_of_links(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "u long, v long")
     got = {r.node: r.root for r in simhash.star_components(edges).collect()}
     assert got == {i: 0 for i in range(1, 201)} | {501: 500}
+
+
+def test_copies_are_dropped_before_texts_are_shuffled(spark):
+    docs = spark.createDataFrame([(1, "the very same row " * 9)] * 300 + [
+        (i, f"{i} " + " ".join(str(i * k) for k in range(3, 30))) for i in range(2, 302)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stay = simhash.deduplicate(docs)
+        ids = [r.doc_id for r in stay.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert ids.count(1) == 1 and len(ids) == len(set(ids))
+    written = []
+
+    def walk(plan):
+        if plan.nodeName() == "Exchange" and "string" in plan.schema().simpleString():
+            written.append(plan.metrics().apply("shuffleRecordsWritten").value())
+        for i in range(plan.children().size()):
+            walk(plan.children().apply(i))
+
+    walk(stay._jdf.queryExecution().executedPlan())
+    assert written and max(written) <= 300 + 2 * docs.rdd.getNumPartitions(), written
