@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (
-    ann, chat, html_extract, mixing, packing, periodic_runs, quality_classifier, quality_rules, secret_scan, simhash,
-    token_counts,
+    ann, chat, html_extract, lsh_forest, mixing, packing, periodic_runs, quality_classifier, quality_rules, secret_scan,
+    simhash, token_counts,
 )
 from tessera.llm.common import table
 
@@ -75,6 +75,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, html_extract.fit(pages))
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.components(table(spark, sf_dir, "documents"), shingle=5, percent=85)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.repeat_tails(table(spark, sf_dir, "documents"))
     return periodic_runs.digests(periodic_runs.find_runs(docs))
@@ -83,7 +87,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_token_counts, op3_quality_classifier, op4_nearest_neighbours, op5_simhash_near_dedup,
     op6_secret_scans, op7_quality_rules, op8_best_fit_packing, op9_mixing_documents, op9_mixing,
-    op10_html_extraction, op13_periodic_runs)}
+    op10_html_extraction, op11_minhash_near_dedup, op13_periodic_runs)}
 
 SQL: dict[str, str] = {}
 
