@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import (
     ann, chat, html_extract, lsh_forest, mixing, packing, periodic_runs, quality_classifier, quality_rules, secret_scan,
-    simhash, token_counts,
+    simhash, spelling, token_counts,
 )
 from tessera.llm.common import table
 
@@ -79,6 +79,10 @@ def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.components(table(spark, sf_dir, "documents"), shingle=5, percent=85)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents")))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.repeat_tails(table(spark, sf_dir, "documents"))
     return periodic_runs.digests(periodic_runs.find_runs(docs))
@@ -87,7 +91,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_token_counts, op3_quality_classifier, op4_nearest_neighbours, op5_simhash_near_dedup,
     op6_secret_scans, op7_quality_rules, op8_best_fit_packing, op9_mixing_documents, op9_mixing,
-    op10_html_extraction, op11_minhash_near_dedup, op13_periodic_runs)}
+    op10_html_extraction, op11_minhash_near_dedup, op12_spelling_variants, op13_periodic_runs)}
 
 SQL: dict[str, str] = {}
 
