@@ -16,6 +16,7 @@ from tessera.plans.common import t
 from tessera.plans.registry import plan
 from tessera.session import checkpoint_dir
 from tessera.streaming import chains as C
+from tessera.streaming import portfolio as P
 from tessera.streaming import state as S
 
 
@@ -58,24 +59,33 @@ def hot_user_portfolio_fold(spark, sf):
     return S.portfolio_fold(_trades(e), "user_id", ["ts", "event_id"], "delta", split=True)
 
 
+#: Rows of a landed file.
+FILE_ROWS = 1_000_000
+
+
 def _stream_fold(spark, events):
-    """The fold as a Structured Streaming query.  The events are landed once,
-    by week, and handed to the stream week by week; the fold waits seven days
+    """The fold as a Structured Streaming query on the state store.  The events
+    are landed by week, in files of a bounded number of rows; the query is
+    stopped and started again on its checkpoint half way; it waits seven days
     for rows that come late."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/portfolio-{uuid.uuid4().hex}"
-    week = F.date_trunc("week", "ts").cast("date")
-    events.withColumn("week", week).repartition("week", F.xxhash64("event_id") % 4).write.partitionBy("week").parquet(
-        f"{base}/weeks")
-    landed = spark.read.schema(events.schema.add("week", "date")).parquet(f"{base}/weeks")
+    trades = _trades(events).withColumn("week", F.date_trunc("week", "ts").cast("date"))
+    schema = trades.drop("week").schema
     # One value for each calendar week, null ones first.
-    for (w,) in landed.select("week").distinct().orderBy(F.col("week").asc_nulls_first()).collect():
-        (landed.where(F.col("week").eqNullSafe(F.lit(w))).drop("week").write.mode("append").parquet(f"{base}/landing"))
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 8).parquet(f"{base}/landing")
-    fold = S.PortfolioStream(spark, base, "user_id", ["ts", "event_id"], "delta", "7 days")
-    q = (_trades(stream).writeStream.foreachBatch(fold.step)
-         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return fold.result()
+    weeks = trades.groupBy("week").count().orderBy(F.col("week").asc_nulls_first()).collect()
+    half = len(weeks) // 2
+    for k, (week, n) in enumerate(weeks):
+        files = -(-n // FILE_ROWS)
+        # A range of the time column, so that the scan skips the other weeks.
+        start = F.lit(week).cast("timestamp")
+        here = F.col("ts").isNull() if week is None else (F.col("ts") >= start) & (F.col("ts") < start + F.expr("interval 7 days"))
+        (trades.where(here).drop("week").repartition(files, F.xxhash64("event_id"))
+         .write.mode("append").parquet(f"{base}/landing"))
+        if k in (half, len(weeks) - 1):
+            stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/landing")
+            P.start(stream, f"{base}/checkpoint", f"{base}/late", "user_id", ["ts", "event_id"], "delta",
+                    "7 days").awaitTermination()
+    return P.holdings(spark, f"{base}/checkpoint", "user_id")
 
 
 @plan("user_portfolio_stream", "STR-06", sql=_PORTFOLIO_SQL)

@@ -105,7 +105,14 @@ class PortfolioStream:
 
     def __init__(self, spark, folder: str, key: str, order: Sequence[str], delta: str, delay: str):
         self.spark, self.folder, self.key, self.order, self.delta, self.delay = spark, folder, key, list(order), delta, delay
-        self.steps: list[int] = []
+
+    def _steps(self) -> list[int]:
+        """Batches folded so far, by this or an earlier process: those whose
+        state, written last, is complete."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/state/*/_SUCCESS")
+        found = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or ()
+        return [int(f.getPath().getParent().getName()) for f in found]
 
     def _read(self, name: str, batch: int | None, schema) -> DataFrame:
         if batch is None:
@@ -118,7 +125,7 @@ class PortfolioStream:
         state_schema = T.StructType([T.StructField(self.key, fields[self.key]), T.StructField("owned", T.DoubleType()),
                                      T.StructField("trades", T.LongType())]
                                     + [T.StructField(f"_last_{c}", fields[c]) for c in self.order])
-        prior = max((b for b in self.steps if b < batch_id), default=None)
+        prior = max((b for b in self._steps() if b < batch_id), default=None)
         state = self._read("state", prior, state_schema)
         held = self._read("held", prior, T.StructType([T.StructField(n, d) for n, d in fields.items()]))
         known = state.select(F.col(self.key).alias("_sk"), F.struct(*[F.col(f"_last_{c}").alias(c) for c in self.order]).alias("_lo"),
@@ -148,19 +155,19 @@ class PortfolioStream:
         new = count.join(now, F.col("_k1").eqNullSafe(F.col("_k2")), "left").select(
             F.col("_k2").alias(self.key), "owned", "trades", *[F.col(f"o.{c}").alias(f"_last_{c}") for c in self.order])
         new.write.mode("overwrite").parquet(f"{self.folder}/state/{batch_id}")
-        self.schema, self.rows = state_schema, rows.schema
-        self.steps.append(batch_id)
 
     def result(self) -> DataFrame:
         """(key, owned, trades) after the held rows are folded too."""
-        if not self.steps:
+        steps = self._steps()
+        if not steps:
             raise ValueError("no batch has been folded")
-        end = max(self.steps) + 1
-        self.step(self.spark.createDataFrame([], self.rows), end, flush=True)
-        return self._read("state", end, self.schema).where("owned is not null").select(self.key, "owned", "trades")
+        rows = self.spark.read.parquet(f"{self.folder}/held/{max(steps)}").schema
+        self.step(self.spark.createDataFrame([], rows), max(steps) + 1, flush=True)
+        end = self.spark.read.parquet(f"{self.folder}/state/{max(steps) + 1}")
+        return end.where("owned is not null").select(self.key, "owned", "trades")
 
     def quarantine(self) -> DataFrame:
-        return self.spark.read.schema(self.rows).parquet(f"{self.folder}/quarantine/*")
+        return self.spark.read.parquet(f"{self.folder}/quarantine/*")
 
 
 def earliest_claims(requests: DataFrame, item: str, order: Sequence[str], claimant: str) -> DataFrame:
@@ -177,21 +184,50 @@ def remaining_pool(pool: DataFrame, holds: DataFrame, item: str) -> DataFrame:
 
 # ----------------------------------------------------------- hot keys ----
 #
-# A stretch of one key's trades has an exact summary: D (sum of deltas), T
-# (the smallest starting holding for which no sell in the stretch is
-# skipped: max(0, -min prefix sum)) and its result when the stock is unknown
-# at the start.  Entering with holding x >= T the stretch yields x + D;
-# entering unknown it yields the fresh result; only x < T needs a replay.
-# So a hot key can be cut into partition-sized stretches, summarised in
-# parallel and chained over one row per stretch; keys that would need a
-# replay fall back to the sequential fold, so the result stays exact.
+# A stretch of one key's trades is a function of the holding it is entered
+# with.  Entered unknown it gives its ``fresh`` result; entered with ``x >= T``
+# (T is the least holding at which no sell is skipped) it gives ``x + D``, D
+# the sum of its deltas; below T it is piecewise ``x + add``, a new piece
+# wherever another set of sells is skipped.  So a hot key is cut into
+# partition-sized stretches, summarised in parallel and chained over one row a
+# stretch.  There can be more pieces than ``MAX_PIECES``; then the summary stops
+# at T, and a stretch that is entered below it is replayed from the holding it
+# is entered with, that stretch alone, and the chain goes on from its result.
+
+MAX_PIECES = 512
+
+
+def _step_pieces(start, add, d):
+    """(start, add) after one more trade: entered with x in [start[i],
+    start[i+1]) the trades give x + add[i]; None beyond ``MAX_PIECES``."""
+    import numpy as np
+
+    if d >= 0:
+        return start, add + d
+    cut = -d - add  # entered with less, a piece skips this sell
+    split = (cut > start) & (cut < np.append(start[1:], np.inf))
+    if split.any():
+        start, add = np.concatenate([start, cut[split]]), np.concatenate([add, add[split]])
+        order = np.argsort(start, kind="stable")
+        start, add = start[order], add[order]
+    add = np.where(start + add >= -d, add + d, add)
+    same = np.concatenate(([False], add[1:] == add[:-1]))
+    if same.any():
+        start, add = start[~same], add[~same]
+    return None if len(start) > MAX_PIECES else (start, add)
 
 
 def _segments(delta: str):
-    cols = ["_pid", "_k", "fresh", "trades", "D", "T"]
+    """Sorted rows -> a summary of each (partition, key) stretch.  Only the
+    first key of a partition can have been entered with a holding, so only it
+    gets pieces."""
+    cols = ["_pid", "_k", "fresh", "trades", "D", "T", "start", "add"]
 
     def run(batches):
-        cur, fresh, n, total, low = None, None, 0, 0.0, 0.0
+        import numpy as np
+
+        cur, fresh, n, total, low, first = None, None, 0, 0.0, 0.0, True
+        known = (np.zeros(1), np.zeros(1))
         rows: list[tuple] = []
 
         def frame():
@@ -199,11 +235,16 @@ def _segments(delta: str):
             rows.clear()
             return pdf
 
+        def done():
+            pieces = (None, None) if known is None or not first else tuple(x.tolist() for x in known)
+            rows.append((*cur, fresh, n, total, max(0.0, -low), *pieces))
+
         for pdf in batches:
             for pid, k, d in zip(pdf["_pid"].tolist(), pdf["_k"].tolist(), pdf[delta].tolist()):
                 if cur is None or k != cur[1]:
                     if cur is not None:
-                        rows.append((*cur, fresh, n, total, max(0.0, -low)))
+                        done()
+                        first = False
                         if len(rows) >= 10_000:
                             yield frame()
                     cur, fresh, n, total, low = (pid, k), None, 0, 0.0, 0.0
@@ -211,47 +252,71 @@ def _segments(delta: str):
                 n += 1
                 total += d
                 low = min(low, total)
+                if first and known is not None:
+                    known = _step_pieces(*known, d)
         if cur is not None:
-            rows.append((*cur, fresh, n, total, max(0.0, -low)))
+            done()
         if rows:
             yield frame()
     return run
 
 
 def _chain(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """The stretches of one key from the last known holding on: the final
+    holding, or the stretch to replay and the holding it is entered with."""
+    from bisect import bisect_right
+
     pdf = pdf.sort_values("_pid")
-    state, replay = None, False
+    state, wait = None, None
     for r in pdf.itertuples(index=False):
-        if state is None:
+        if not pd.isna(r.replayed):
+            state = float(r.replayed)
+        elif state is None:
             state = None if pd.isna(r.fresh) else float(r.fresh)
         elif state >= r.T:
             state = state + r.D
+        elif r.start is not None:
+            state = state + r.add[bisect_right(r.start, state) - 1]
         else:
-            replay = True
+            wait = r[0]  # its partition
             break
-    return pd.DataFrame({"_k": [key[0]], "owned": [state], "trades": [int(pdf["trades"].sum())], "replay": [replay]})
+    return pd.DataFrame({"_k": [key[0]], "owned": [state], "trades": [int(pdf["trades"].sum())], "wait": [wait]})
 
 
 def portfolio_fold_split(df: DataFrame, key: str, order: Sequence[str], delta: str,
                          keep_unknown: bool = False) -> DataFrame:
     """The portfolio fold with hot keys cut across partitions (see above).
-    Same output as :func:`portfolio_fold`."""
+    Same output as :func:`portfolio_fold`; no task reads more of a key than
+    one partition holds."""
     from tessera.session import materialize
 
     s = materialize(_keyed(df, key, order, delta).orderBy("_k", *order).withColumn("_pid", F.spark_partition_id()))
     seg = s.select("_pid", "_k", delta).mapInPandas(
-        _segments(delta), "_pid int, _k string, fresh double, trades long, D double, T double")
+        _segments(delta), "_pid int, _k string, fresh double, trades long, D double, T double, "
+                          "start array<double>, add array<double>")
     seg = materialize(seg)  # one row per (partition, key) stretch; read below by several branches
     spans = seg.groupBy(F.col("_k").alias("_g")).agg(F.count(F.lit(1)).alias("_parts"))
     of = seg.join(spans, F.col("_k").eqNullSafe(F.col("_g")))
-    single = of.where("_parts = 1").select("_k", F.col("fresh").alias("owned"), "trades")
+    out = of.where("_parts = 1").select("_k", F.col("fresh").alias("owned"), "trades")
     # Keys spanning partitions: at most one stretch per partition each.
-    multi = of.where("_parts > 1").select(*seg.columns)
-    chained = materialize(multi.groupBy("_k").applyInPandas(_chain, _FOLDED + ", replay boolean"))
-    resolved = chained.where(~F.col("replay")).select("_k", "owned", "trades")
-    again = chained.where("replay").select(F.col("_k").alias("_g"))
-    rest = df.join(again, F.col(key).cast("string").eqNullSafe(F.col("_g")), "left_semi")
-    kind = df.schema[key].dataType
-    done = single.unionByName(resolved).select(F.col("_k").cast(kind).alias(key), "owned", "trades")
-    out = done.unionByName(portfolio_fold(rest, key, order, delta, keep_unknown=True))
+    multi = of.where("_parts > 1").select(*seg.columns, F.lit(None).cast("double").alias("replayed"))
+    while True:
+        chained = materialize(multi.groupBy("_k").applyInPandas(_chain, _FOLDED + ", wait int"))
+        out = out.unionByName(chained.where("wait is null").select("_k", "owned", "trades"))
+        # At most one stretch a key waits, and fewer keys than partitions span several.
+        waiting = chained.where("wait is not null").select(F.col("_k").alias("_g"), F.col("wait").alias("_p"), "owned")
+        if waiting.isEmpty():
+            break
+        here = F.col("_k").eqNullSafe(F.col("_g")) & (F.col("_pid") == F.col("_p"))
+        again = s.join(F.broadcast(waiting.select("_g", "_p")), here, "left_semi").select("_k", *order, delta)
+        entered = waiting.select(F.col("_g").alias("_k"), *[F.lit(None).cast(s.schema[c].dataType).alias(c) for c in order],
+                                 F.col("owned").alias(delta), F.lit(0).alias("_rank"))
+        folded = portfolio_fold(entered.unionByName(again.withColumn("_rank", F.lit(1))), "_k", ["_rank", *order], delta)
+        known = folded.select(F.col("_k").alias("_g"), F.col("owned").alias("_now")).join(
+            waiting.select(F.col("_g").alias("_h"), "_p"), F.col("_g").eqNullSafe(F.col("_h")))
+        multi = materialize(
+            multi.join(F.broadcast(waiting.select("_g")), F.col("_k").eqNullSafe(F.col("_g")), "left_semi")
+            .join(F.broadcast(known.select("_g", "_p", "_now")), here, "left")
+            .select(*seg.columns, F.coalesce("_now", "replayed").alias("replayed")))
+    out = out.select(F.col("_k").cast(df.schema[key].dataType).alias(key), "owned", "trades")
     return out if keep_unknown else out.where("owned is not null")

@@ -251,3 +251,97 @@ def test_portfolio_fold_split_matches_sequential(spark, regime):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def _run_portfolio(spark, src, base, schema, delay):
+    from tessera.streaming import portfolio as P
+
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = P.start(s, f"{base}/ck", f"{base}/late", "user_id", ["ts", "event_id"], "delta", delay)
+    q.awaitTermination()
+
+
+def test_portfolio_state_store_survives_a_restart(spark, tmp):
+    """Rows out of order, null keys and one hot user; the query is stopped and
+    a new one started on the same checkpoint between slices."""
+    from tessera.streaming import portfolio as P
+
+    df = late_trades(spark)
+    src = os.path.join(tmp, "in")
+    for k, lo in enumerate((200, 0, 600, 400, 1000, 800)):
+        df.where((F.col("event_id") >= lo) & (F.col("event_id") < lo + 200)).coalesce(1).write.mode("append").parquet(src)
+        if k in (2, 5):  # three slices in one query, the rest in the next
+            _run_portfolio(spark, src, tmp, df.schema, "2 hours")
+    want = rows(S.portfolio_fold(df, "user_id", ["ts", "event_id"], "delta"), "user_id", "owned", "trades")
+    assert rows(P.holdings(spark, f"{tmp}/ck", "user_id"), "user_id", "owned", "trades") == want
+    assert P.late_rows(spark, f"{tmp}/late", "user_id", ["ts", "event_id"], "delta").count() == 0
+
+
+def test_portfolio_state_store_late_rows(spark, tmp):
+    from tessera.streaming import portfolio as P
+
+    def land(data):
+        df = spark.createDataFrame(data, "user_id long, ts string, event_id long, delta double").withColumn(
+            "ts", F.col("ts").cast("timestamp"))
+        df.coalesce(1).write.mode("append").parquet(os.path.join(tmp, "in"))
+        return df.schema
+
+    land([(1, "2024-01-01 00:00:00", 1, 10.0), (1, "2024-01-03 00:00:00", 2, 5.0), (2, None, 3, 2.0)])
+    land([(3, "2024-01-09 00:00:00", 4, 1.0)])  # moves the watermark past both trades of user 1
+    land([(3, "2024-01-09 01:00:00", 7, 1.0)])  # the batch in which they are folded
+    schema = land([(1, "2024-01-02 00:00:00", 5, -8.0), (1, "2024-01-09 12:00:00", 6, -4.0)])
+    _run_portfolio(spark, os.path.join(tmp, "in"), tmp, schema, "1 day")
+    late = P.late_rows(spark, f"{tmp}/late", "user_id", ["ts", "event_id"], "delta").collect()
+    assert [(r.user_id, str(r.ts), r.event_id, r.delta) for r in late] == [(1, "2024-01-02 00:00:00", 5, -8.0)]
+    assert rows(P.holdings(spark, f"{tmp}/ck", "user_id"), "user_id", "owned", "trades") == [
+        (1, 11.0, 3), (2, 2.0, 1), (3, 2.0, 2)]
+
+
+def test_portfolio_batches_survive_a_new_object(spark, tmp):
+    df = trades(spark).withColumn("ts", F.col("ts").cast("timestamp"))
+    make = lambda: S.PortfolioStream(spark, os.path.join(tmp, "fold"), "user_id", ["ts", "event_id"], "delta", "1 second")
+    make().step(df.where("event_id <= 2"), 0)
+    make().step(df.where("event_id > 2"), 1)
+    fold = make()
+    assert rows(fold.result(), "user_id", "owned", "trades") == [(1, 0.0, 5)]
+    assert fold.quarantine().count() == 0
+
+
+def test_step_pieces_against_fold():
+    import random
+    from bisect import bisect_right
+
+    import numpy as np
+
+    r = random.Random(2)
+    for _ in range(200):
+        ds = [float(r.choice([-1, -1, 1]) * r.randint(0, 12)) for _ in range(r.randint(0, 30))]
+        known = (np.zeros(1), np.zeros(1))
+        for d in ds:
+            known = S._step_pieces(*known, d)
+        for x in range(0, 80, 3):
+            want = float(x)
+            for d in ds:
+                want = S.apply_trade(want, d)
+            start, add = known
+            assert x + add[bisect_right(start.tolist(), x) - 1] == want
+
+
+@pytest.mark.parametrize("pieces", [1, 512])
+def test_split_fold_replays_only_the_stretch(spark, pieces, monkeypatch):
+    """With one piece a stretch every entry below its threshold is replayed."""
+    import random
+
+    monkeypatch.setattr(S, "MAX_PIECES", pieces)
+    r = random.Random(5)
+    data = [(i % 7 and 0, i, float(r.randint(1, 9)) if r.random() < 0.5 else -float(r.randint(1, 14))) for i in range(3000)]
+    df = spark.createDataFrame(data, "k long, i long, d double").repartition(6)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        want = rows(S.portfolio_fold(df, "k", ["i"], "d"), "k", "owned", "trades")
+        assert rows(S.portfolio_fold(df, "k", ["i"], "d", split=True), "k", "owned", "trades") == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
