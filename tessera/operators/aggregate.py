@@ -8,6 +8,7 @@ partition rather than the input rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -73,21 +74,79 @@ def describe_long(df: DataFrame, columns: Sequence[str], digits: int = 6) -> Dat
         f"stack({len(columns)}, {parts}) as (column_name, n, mean, stddev, min_value, max_value)")
 
 
+#: Values strictly between two pivots that the last pass of a selection may
+#: gather into one array.
+GATHERED = 8192
+#: Accuracy of the pivots: about one in so many ranks.
+PIVOT_ACCURACY = 10_000
+
+
+def _narrow(x: DataFrame, ranks: dict, total: int) -> dict:
+    """For each name its interval (lo, hi, below, count): the element of that
+    rank lies strictly between lo and hi (null: unbounded), ``below`` elements
+    come before it and ``count`` lie in it; or its value, as ``("is", value)``.
+
+    Each pass takes two pivots about the wanted rank from a quantile sketch of
+    bounded size, then counts exactly what lies below and at them.  The sketch
+    only proposes; a wrong proposal costs a pass.  Pivots are elements, so
+    every pass leaves fewer, and equal values are counted, never sorted."""
+    found = {name: (None, None, 0, total) for name in ranks}
+    while todo := [n for n, s in found.items() if s[0] != "is" and s[3] > GATHERED]:
+        def inside(name):
+            lo, hi = found[name][:2]
+            cond = F.lit(True) if lo is None else F.col("x") > F.lit(lo)
+            return cond if hi is None else cond & (F.col("x") < F.lit(hi))
+
+        def pivots(name):
+            _, _, below, count = found[name]
+            at = (ranks[name] - below) / count
+            about = [min(1.0, max(0.0, at + d)) for d in (-2 / PIVOT_ACCURACY, 2 / PIVOT_ACCURACY)]
+            return F.percentile_approx(F.when(inside(name), F.col("x")), about, PIVOT_ACCURACY).alias(name)
+
+        proposed = x.agg(*[pivots(n) for n in todo]).first()
+        counts = x.agg(*[F.count_if(inside(n) & test(F.col("x"), F.lit(p))).alias(f"{n}_{i}_{j}")
+                         for n in todo for i, p in enumerate(proposed[n])
+                         for j, test in enumerate((lambda a, b: a < b, lambda a, b: a <= b))]).first()
+        for n in todo:
+            lo, hi, below, count = found[n]
+            k = ranks[n] - below
+            left, done = 0, False
+            for i, p in enumerate(proposed[n]):
+                under, upto = counts[f"{n}_{i}_0"], counts[f"{n}_{i}_1"]
+                if under < k <= upto:
+                    found[n], done = ("is", p), True
+                elif k <= under and not done:
+                    found[n], done = (lo, p, below + left, under - left), True
+                elif not done:
+                    lo, left = p, upto
+            if not done:
+                found[n] = (lo, hi, below + left, count - left)
+    return found
+
+
 def quartile_summary(df: DataFrame, column: str) -> DataFrame:
     """``summary()`` statistics of one column (AGG-12), exact at any size.
 
     The quartile at fraction q is the element whose rank is ``ceil(q * n)``
-    (at least 1) among the n non-null values; ranks come from the global
-    numbering of a range sort, so no task holds the column."""
-    from tessera.operators.ordered import global_row_number
-
+    (at least 1) among the n non-null values.  It is selected by counting
+    passes (:func:`_narrow`): no sort, no shuffle of rows and no checkpoint;
+    the last few thousand candidates are gathered by the final aggregate."""
     x = df.select(F.col(column).cast("double").alias("x")).where("x is not null")
-    ranked = global_row_number(x, ["x"], "_p")
-    n = ranked.agg(F.count(F.lit(1))).scalar()
-    at = [F.max(F.when(F.col("_p") == F.greatest(F.ceil(F.lit(q) * n), F.lit(1)), F.col("x"))).alias(name)
-          for q, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
-    return ranked.agg(F.count("x").alias("n"), fround(F.avg("x"), 6).alias("mean"), fround(F.stddev_samp("x"), 6).alias("stddev"),
-                      F.min("x").alias("min_value"), *at, F.max("x").alias("max_value"))
+    total = x.count()
+    ranks = {name: max(1, math.ceil(q * total)) for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))}
+
+    def value(name, state):
+        if state[0] == "is":
+            return F.max(F.lit(state[1])).alias(name)
+        lo, hi, below, _ = state
+        here = F.lit(True) if lo is None else F.col("x") > F.lit(lo)
+        here = here if hi is None else here & (F.col("x") < F.lit(hi))
+        gathered = F.sort_array(F.collect_list(F.when(here, F.col("x"))))
+        return F.try_element_at(gathered, F.lit(ranks[name] - below)).alias(name)
+
+    at = [value(n, s) for n, s in _narrow(x, ranks, total).items()]
+    return x.agg(F.count("x").alias("n"), fround(F.avg("x"), 6).alias("mean"), fround(F.stddev_samp("x"), 6).alias("stddev"),
+                 F.min("x").alias("min_value"), *at, F.max("x").alias("max_value"))
 
 
 def pairwise_corr(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:

@@ -17,7 +17,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import materialize
+from tessera.session import materialize, written
 
 # URL shapes.  The path test is the reference's file-name
 # pattern (note the '/'..'_' character range inside the first class).
@@ -165,25 +165,55 @@ def tree_paths(nodes: DataFrame) -> DataFrame:
     return out
 
 
-def subtree_sizes(paths: DataFrame) -> DataFrame:
-    """Descendants-or-self count per node (GR-06): each node is credited to
-    every prefix of its path, i.e. to each ancestor."""
-    pre = paths.select(F.explode(F.sequence(F.lit(1), F.size("path"))).alias("n"), "path").select(
-        F.slice("path", 1, F.col("n")).alias("prefix"))
-    sizes = pre.groupBy("prefix").agg(F.count(F.lit(1)).alias("size"))
-    return paths.join(sizes, paths.path == sizes.prefix).drop("prefix")
-
-
-def nested_sets(paths_with_size: DataFrame) -> DataFrame:
-    """Nested-set (left, right) numbering (GR-07).  With ``p`` the 0-based
-    pre-order index and ``d`` the depth, ``left = 2p - d + 1`` and
-    ``right = left + 2*size - 1``; ``p`` comes from a global numbering over
-    the path order (no single-task window)."""
-    from tessera.operators.ordered import global_row_number
-    p = global_row_number(paths_with_size, ["path"], "_p", start=0)
-    lft = 2 * F.col("_p") - F.col("depth") + 1
-    return p.select("id", "depth", "size", lft.cast("bigint").alias("lft"),
-                    (lft + 2 * F.col("size") - 1).cast("bigint").alias("rgt"))
+def tree_sizes(nodes: DataFrame) -> DataFrame:
+    """(id, parent, key, depth, size) of each node that a root reaches, ``size``
+    counting the node and its descendants (GR-06), in a number of rounds that
+    is the logarithm of the depth and without any path.
+
+    Before round k a node knows its ancestor ``2**k`` steps up and the number
+    of descendants fewer than ``2**k`` steps down; descendants exactly ``2**k``
+    down hand on theirs.  Nodes on a cycle, and nodes below a parent that is
+    not there, are reached by no root and have no row."""
+    nodes = _cut(nodes.select("id", "parent", "key"))
+    known = nodes.select(F.col("id").alias("_up"))
+    state = _cut(nodes.select("id", "parent").join(known, F.col("parent") == F.col("_up"), "left").select(
+        "id", F.col("_up").alias("up"), F.when(F.col("_up").isNull(), 0).otherwise(1).cast("bigint").alias("depth"),
+        (F.col("parent").isNotNull() & F.col("_up").isNull()).alias("lost"), F.lit(1).cast("bigint").alias("size")))
+    # What still has an ancestor after log2(nodes) rounds is on a cycle or below one.
+    for _ in range(nodes.count().bit_length() + 1):
+        if state.where("up is not null").isEmpty():
+            break
+        below = state.where("up is not null").groupBy(F.col("up").alias("id")).agg(F.sum("size").alias("more"))
+        above = state.select(F.col("id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"),
+                             F.col("lost").alias("lost2"))
+        state = _cut(state.join(above, "up", "left").join(below, "id", "left").select(
+            "id", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
+            (F.col("lost") | F.coalesce("lost2", F.lit(False))).alias("lost"),
+            (F.col("size") + F.coalesce("more", F.lit(0))).alias("size")))
+    return nodes.join(state.where("up is null and not lost").select("id", "depth", "size"), "id")
+
+
+def nested_sets(sized: DataFrame) -> DataFrame:
+    """Nested-set (left, right) numbering (GR-07) of the output of
+    :func:`tree_sizes`.  A node comes right after its parent and the subtrees
+    of its earlier siblings (by ``key``, then ``id``), so its pre-order place
+    ``p`` is a sum over its ancestors: sums over siblings come from the
+    segmented scan (a parent may hold most nodes), sums over ancestors from
+    doubling.  Then ``left = 2p - depth + 1`` and ``right = left + 2*size - 1``.
+    Roots are siblings of each other."""
+    from tessera.operators.scan import segmented_scan
+
+    s = segmented_scan(sized, "parent", ["key", "id"], sum_col="size", idx="_i", running="_upto")
+    step = F.col("_upto") - F.col("size") + F.when(F.col("parent").isNull(), 0).otherwise(1)
+    state = written(s.select("id", "depth", "size", F.col("parent").alias("up"), step.alias("p")))
+    deepest = state.agg(F.max("depth")).first()[0] or 0
+    for _ in range(int(deepest).bit_length()):
+        above = state.select(F.col("id").alias("up"), F.col("up").alias("up2"), F.col("p").alias("p2"))
+        state = _cut(state.join(above, "up", "left").select(
+            "id", "depth", "size", F.col("up2").alias("up"), (F.col("p") + F.coalesce("p2", F.lit(0))).alias("p")))
+    lft = 2 * F.col("p") - F.col("depth") + 1
+    return state.select("id", "depth", "size", lft.cast("bigint").alias("lft"),
+                        (lft + 2 * F.col("size") - 1).cast("bigint").alias("rgt"))
 
 
 def render_fragments(nested: DataFrame, label: str) -> DataFrame:

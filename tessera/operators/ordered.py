@@ -120,12 +120,15 @@ def occupancy_series(df: DataFrame, keys, start: str, stop: str, tie: Sequence[s
     return out.withColumn("occupancy", F.col("occupancy").cast("bigint"))
 
 
+def _runs(df: DataFrame, partition, order, value: str) -> DataFrame:
+    from tessera.operators.scan import run_scan
+
+    return run_scan(df, partition, [order] if isinstance(order, (str, Column)) else list(order), value)
+
+
 def change_flags(df: DataFrame, partition, order, value: str) -> DataFrame:
     """``_new_run`` is 1 where ``value`` differs from the previous row in the group."""
-    x = key_scan(df, partition, order, prev_col=value, idx="_idx", prev="_prev")
-    first = F.col("_idx") == 1
-    return x.withColumn("_new_run", F.when(first | ~F.col("_prev").eqNullSafe(F.col(value)), 1).otherwise(0)).drop(
-        "_idx", "_prev")
+    return _runs(df, partition, order, value).withColumn("_new_run", F.col("_new_run").cast("int")).drop("run_no")
 
 
 def compress(df: DataFrame, partition, order, value: str) -> DataFrame:
@@ -135,9 +138,7 @@ def compress(df: DataFrame, partition, order, value: str) -> DataFrame:
 
 def runs(df: DataFrame, partition, order, value: str) -> DataFrame:
     """Island id per row: running count of value changes (gaps and islands)."""
-    f = change_flags(df, partition, order, value)
-    r = running_sum(f, partition, order, "_new_run", "run_no")
-    return r.withColumn("run_no", F.col("run_no").cast("bigint")).drop("_new_run")
+    return _runs(df, partition, order, value).drop("_new_run")
 
 
 def run_length_encode(df: DataFrame, partition, order, value: str, modified: bool = False) -> DataFrame:
@@ -152,20 +153,34 @@ def run_length_encode(df: DataFrame, partition, order, value: str, modified: boo
     return enc
 
 
-def pack(df: DataFrame, partition, order, value: str) -> DataFrame:
+#: Elements of an array that stands for part of a run or of a row's copies.
+BLOCK = 1 << 20
+
+
+def _blocks(n: Column, block: int) -> Column:
+    """Sizes of the blocks that ``n`` elements fill, as (number, size)."""
+    last = F.ceil(n / block) - 1
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), last), lambda b: F.struct(
+        b.alias("part"), F.least(n - b * block, F.lit(block).cast("bigint")).cast("int").alias("size"))))
+
+
+def pack(df: DataFrame, partition, order, value: str, block: int = BLOCK) -> DataFrame:
     """Consecutive equal values packed into one list per run (WIN-05).  The
-    list is rebuilt from (value, length) so no group is ever collected."""
+    list is rebuilt from (value, length) so no group is ever collected; a run
+    longer than ``block`` comes in several rows, numbered by ``part``."""
     enc = run_length_encode(df, partition, order, value)
-    return enc.withColumn("pack", F.array_repeat(F.col(value), F.col("n").cast("int")))
+    enc = enc.withColumn("_b", F.explode(_blocks(F.col("n").cast("bigint"), block)))
+    return enc.withColumns({"part": F.col("_b.part"), "pack": F.array_repeat(F.col(value), F.col("_b.size"))}).drop("_b")
 
 
-def replicate(df: DataFrame, times: Column | str | int, name: str = "copy") -> DataFrame:
-    """Each row ``times`` times (WIN-08 decode / duplicate / duplicateN);
-    ``times <= 0`` yields no row.  ``array_repeat`` is used because
-    ``sequence(1, 0)`` would count down and emit two rows."""
+def replicate(df: DataFrame, times: Column | str | int, name: str = "copy", block: int = BLOCK) -> DataFrame:
+    """Each row ``times`` times (WIN-08 decode / duplicate / duplicateN), its
+    copies numbered from 0; ``times <= 0`` yields no row.  Copies are exploded
+    in two steps, blocks first, so no array holds all copies of a row."""
     n = F.lit(times) if isinstance(times, int) else (F.col(times) if isinstance(times, str) else times)
-    n = F.greatest(n.cast("int"), F.lit(0))
-    return df.select("*", F.posexplode(F.array_repeat(F.lit(0), n)).alias(name, "_dummy")).drop("_dummy")
+    rows = df.withColumn("_b", F.explode(_blocks(n.cast("bigint"), block)))
+    rows = rows.select("*", F.posexplode(F.array_repeat(F.lit(0), F.col("_b.size"))).alias("_at", "_dummy"))
+    return rows.withColumn(name, F.col("_b.part") * block + F.col("_at")).drop("_b", "_at", "_dummy")
 
 
 def _with_group_size(df: DataFrame, names: list[str]) -> DataFrame:
@@ -242,29 +257,29 @@ def positional_zip(a: DataFrame, a_order, b: DataFrame, b_order) -> DataFrame:
     return pa.join(pb, "pos")
 
 
-def range_lookup(points: DataFrame, point: str, intervals: DataFrame, lo: str, hi: str,
-                 n_buckets: int = 4096) -> DataFrame:
-    """Join each point to the interval ``lo <= point < hi`` that holds it (JN-09).
-
-    A non-equi join would be a nested loop.  Instead the value domain is cut
-    into ``n_buckets`` equal buckets; each interval is listed under every
-    bucket it overlaps and each point under its own bucket, so the join is an
-    equi-join on the bucket plus a residual range filter.  Work is linear in
-    points + intervals + buckets, and nothing is broadcast unless the
-    optimizer measures it small.  Points outside every interval get nulls."""
-    # The value domain's start and the bucket width are scalar subqueries:
-    # evaluated once, inlined as constants, no join.
-    lo0 = intervals.agg(F.min(lo)).scalar()
-    width = intervals.agg(F.when(F.max(hi) > F.min(lo), (F.max(hi) - F.min(lo)).cast("double") / n_buckets)
-                          .otherwise(F.lit(1.0))).scalar()
-    first = F.floor((F.col(lo) - lo0) / width)
-    last = F.floor((F.col(hi) - lo0) / width)  # the open end may add a bucket; the range filter decides
-    iv = intervals.where(F.col(hi) > F.col(lo)).withColumn(
-        "_ib", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))))
-    pt = points.withColumn("_b", F.floor((F.col(point) - lo0) / width).cast("bigint"))
-    keep = [c for c in intervals.columns]
-    j = pt.join(iv, (F.col("_b") == F.col("_ib")) & (F.col(point) >= F.col(lo)) & (F.col(point) < F.col(hi)), "left")
-    return j.select(*[c for c in points.columns], *keep)
+def range_lookup(points: DataFrame, point: str, intervals: DataFrame, lo: str, hi: str) -> DataFrame:
+    """Join each point to the interval ``lo <= point < hi`` that holds it
+    (JN-09), the intervals being disjoint (where some overlap, the one that
+    begins last before the point is looked at).
+
+    An as-of scan: points and interval starts are sorted together, each point
+    takes the last start so far, and the interval's end decides.  One range
+    sort whatever the domain, however unevenly points and intervals lie in it;
+    points with the same value are told apart by a tie-break, so they spread
+    over partitions too.  Points outside every interval get nulls."""
+    from tessera.operators.scan import last_seen
+
+    kind = points.schema[point].dataType
+    iv = intervals.where(F.col(hi) > F.col(lo)).select(
+        F.col(lo).alias("_at"), F.lit(0).alias("_rank"), F.lit(0).cast("bigint").alias("_tie"), F.lit(None).alias("_p"),
+        F.struct(*[F.col(c) for c in intervals.columns]).alias("_iv"))
+    pt = points.select(F.col(point).alias("_at"), F.lit(1).alias("_rank"), F.monotonically_increasing_id().alias("_tie"),
+                       F.struct(*[F.col(c) for c in points.columns]).alias("_p"), F.lit(None).alias("_iv"))
+    # Intervals sort before points of the same value; null points come first, before any interval.
+    both = last_seen(pt.unionByName(iv), ["_at", "_rank", "_tie"], "_iv", "_last").where("_rank = 1")
+    inside = F.col("_p")[point].cast(kind) < F.col("_last")[hi]
+    return both.select(*[F.col("_p")[c].alias(c) for c in points.columns],
+                       *[F.when(inside, F.col("_last")[c]).alias(c) for c in intervals.columns])
 
 
 def three_sum_values(values: DataFrame, column: str, target: int) -> DataFrame:

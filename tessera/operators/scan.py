@@ -88,3 +88,66 @@ def segmented_scan(df: DataFrame, key: str | Column | Sequence, order: Sequence,
         out = out.withColumn(prev, F.when(F.col("_lidx") == 1, F.when(cont, F.col("_cprev.v")))
                              .otherwise(F.col("_lprev")))
     return out.drop("_k", "_pid", "_mid", "_lidx", "_lsum", "_lprev", "_fk", "_ccnt", "_csum", "_cprev")
+
+
+def _sorted(df: DataFrame, keys: Sequence[Column], orders: Sequence[Column]) -> DataFrame:
+    """Rows sorted by (_k, order) with partition and place, checkpointed once."""
+    from tessera.session import materialize
+
+    k = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(keys)]) if keys else F.lit(0)
+    return materialize(df.withColumn("_k", k).orderBy("_k", *orders)
+                       .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+
+
+def run_scan(df: DataFrame, key: str | Column | Sequence, order: Sequence, value: str, run: str = "run_no",
+             starts: str = "_new_run") -> DataFrame:
+    """Add ``run`` (the number, from 1, of the run of equal ``value`` within
+    the key) and ``starts`` (whether the row begins it), in one sort: a run
+    count within each partition, completed by one carry a partition holding
+    the count and the last value of the key that ends the one before."""
+    keys = [key] if isinstance(key, (str, Column)) else list(key)
+    keys = [F.col(k) if isinstance(k, str) else k for k in keys]
+    s = _sorted(df, keys, [F.col(c) if isinstance(c, str) else c for c in order])
+    here = W.partitionBy("_pid", "_k").orderBy("_mid")
+    first = F.row_number().over(here) == 1
+    new = first | ~F.lag(value).over(here).eqNullSafe(F.col(value))
+    loc = s.withColumns({"_first": first, "_new": new}).withColumn("_runs", F.sum(F.col("_new").cast("bigint")).over(
+        here.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    # One row per (partition, key), then one per partition: its first and last key.
+    v = F.struct(F.col(value).alias("v"))
+    groups = loc.groupBy("_pid", "_k").agg(F.max("_runs").alias("n"), F.min("_mid").alias("_mn"), F.max("_mid").alias("_mx"),
+                                           F.min_by(v, "_mid").alias("fv"), F.max_by(v, "_mid").alias("lv"))
+    summ = groups.groupBy("_pid").agg(
+        F.min_by(F.struct(F.col("_k").alias("k"), "fv"), "_mn").alias("_fk"),
+        F.max_by(F.struct(F.col("_k").alias("k"), "n", "lv"), "_mx").alias("_last"))
+    by_pid = W.orderBy("_pid")  # over one row per partition
+    before = F.lag("_last").over(by_pid)
+    summ = summ.withColumn("_cont", before.isNotNull() & before["k"].eqNullSafe(F.col("_fk.k")))
+    # A run that goes on from the partition before is not counted again.
+    summ = summ.withColumn("_joined", F.col("_cont") & F.lag("_last.lv").over(by_pid).eqNullSafe(F.col("_fk.fv")))
+    whole = F.col("_fk.k").eqNullSafe(F.col("_last.k"))
+    run_w = W.partitionBy("_last.k").orderBy("_pid").rowsBetween(W.unboundedPreceding, W.currentRow)
+    summ = summ.withColumn("_upto", F.sum(F.col("_last.n") - F.when(whole & F.col("_joined"), 1).otherwise(0)).over(run_w))
+    carry = summ.select("_pid", F.col("_fk.k").alias("_ck"), "_joined", F.when(
+        F.col("_cont"), F.lag("_upto").over(by_pid) - F.col("_joined").cast("bigint")).otherwise(F.lit(0)).alias("_carry"))
+    j = loc.join(F.broadcast(carry), "_pid")
+    cont = F.col("_k").eqNullSafe(F.col("_ck"))
+    return j.withColumns({
+        run: (F.col("_runs") + F.when(cont, F.col("_carry")).otherwise(F.lit(0))).cast("bigint"),
+        starts: F.col("_new") & ~(F.col("_first") & cont & F.col("_joined"))}).drop(
+        "_k", "_pid", "_mid", "_first", "_new", "_runs", "_ck", "_joined", "_carry")
+
+
+def last_seen(df: DataFrame, order: Sequence, value: str, name: str) -> DataFrame:
+    """Add ``name``: the last non-null ``value`` at or before each row of the
+    whole frame in ``order``.  No key, so no skew: a row's place is all that
+    counts, and one carry a partition crosses the edges."""
+    s = _sorted(df, [], [F.col(c) if isinstance(c, str) else c for c in order])
+    here = W.partitionBy("_pid").orderBy("_mid").rowsBetween(W.unboundedPreceding, W.currentRow)
+    loc = s.withColumn("_seen", F.last(value, ignorenulls=True).over(here))
+    ends = s.where(F.col(value).isNotNull()).groupBy("_pid").agg(F.max_by(value, "_mid").alias("_end"))
+    parts = s.select("_pid").distinct().join(ends, "_pid", "left")
+    before = W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)  # over one row per partition
+    carry = parts.select("_pid", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+    return loc.join(F.broadcast(carry), "_pid").withColumn(name, F.coalesce("_seen", "_carry")).drop(
+        "_k", "_pid", "_mid", "_seen", "_carry")

@@ -143,7 +143,7 @@ sized AS (SELECT a.id, a.depth, a.path, count(*) AS size FROM paths a JOIN paths
 WITH {_TREE_SQL}
 SELECT id, depth::INTEGER AS depth, size FROM sized""")
 def tree_node_stats(spark, sf):
-    s = G.subtree_sizes(G.tree_paths(_tree_nodes(spark, sf)))
+    s = G.tree_sizes(_tree_nodes(spark, sf))
     return s.select("id", F.col("depth").cast("int"), "size")
 
 
@@ -153,8 +153,7 @@ SELECT id, depth::INTEGER AS depth, size, (2 * (row_number() OVER (ORDER BY path
        (2 * (row_number() OVER (ORDER BY path) - 1) - depth + 1 + 2 * size - 1)::BIGINT AS rgt
 FROM sized""")
 def tree_nested_sets(spark, sf):
-    s = G.subtree_sizes(G.tree_paths(_tree_nodes(spark, sf)))
-    return G.nested_sets(s).select("id", F.col("depth").cast("int"), "size", "lft", "rgt")
+    return G.nested_sets(G.tree_sizes(_tree_nodes(spark, sf))).select("id", F.col("depth").cast("int"), "size", "lft", "rgt")
 
 
 @plan("tree_render_fragments", "GR-08", sql=f"""
@@ -164,5 +163,5 @@ ns AS (SELECT id, size, (2 * (row_number() OVER (ORDER BY path) - 1) - depth + 1
 SELECT lft AS pos, CASE WHEN size > 1 THEN id || '{{' ELSE id END AS text FROM ns
 UNION ALL SELECT rgt, '}}' FROM ns WHERE size > 1""")
 def tree_render_fragments(spark, sf):
-    s = G.nested_sets(G.subtree_sizes(G.tree_paths(_tree_nodes(spark, sf))))
+    s = G.nested_sets(G.tree_sizes(_tree_nodes(spark, sf)))
     return G.render_fragments(s, "id")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import fround
+from tessera.operators import generate
 from tessera.operators import ordered as O
 from tessera.plans.common import t
 from tessera.plans.registry import plan
@@ -88,7 +89,7 @@ FROM r GROUP BY user_id, run_no""")
 def user_event_pack(spark, sf):
     e = t(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
     # Packs are returned as JSON text so both engines compare lists the same way.
-    return O.pack(e, "user_id", EV_ORDER, "event_type").withColumn("pack", F.to_json("pack"))
+    return O.pack(e, "user_id", EV_ORDER, "event_type").withColumn("pack", F.to_json("pack")).drop("part")
 
 
 @plan("user_event_rle", "WIN-06", sql=f"""
@@ -133,7 +134,7 @@ FROM r""")
 def user_event_rle_decode(spark, sf):
     e = t(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
     enc = O.run_length_encode(e, "user_id", EV_ORDER, "event_type")
-    return O.replicate(enc, "n").select("user_id", "run_no", "event_type", "copy")
+    return O.replicate(enc, "n").select("user_id", "run_no", "event_type", F.col("copy").cast("int"))
 
 
 @plan("event_duplicate_n", "WIN-08", sql="""
@@ -143,7 +144,7 @@ def event_duplicate_n(spark, sf):
     # n = whole part of value modulo 3: 0 copies drop the row.
     e = t(spark, sf, "events").select("event_id", "value")
     n = F.floor("value") % 3
-    return O.replicate(e, n).select("event_id", "copy")
+    return O.replicate(e, n).select("event_id", F.col("copy").cast("int"))
 
 
 @plan("user_last_penultimate_kth", "WIN-09", sql="""
@@ -244,7 +245,8 @@ _WHEEL_SQL = """odds AS (SELECT p_brand, count(*) AS odds FROM part GROUP BY p_b
 wheel AS (SELECT p_brand, odds, sum(odds) OVER (ORDER BY p_brand ROWS UNBOUNDED PRECEDING) - odds AS lo,
                  sum(odds) OVER (ORDER BY p_brand ROWS UNBOUNDED PRECEDING) AS hi FROM odds),
 total AS (SELECT sum(odds) AS total FROM odds),
-draws AS (SELECT (l_orderkey * 31 + l_linenumber) % (SELECT total FROM total) AS draw FROM lineitem)"""
+draws AS (SELECT floor(('0x' || substr(md5('7:' || l_orderkey::VARCHAR || ':' || l_linenumber::VARCHAR), 1, 13))::BIGINT
+                       / 4503599627370496.0 * (SELECT total FROM total))::BIGINT AS draw FROM lineitem)"""
 
 
 @plan("brand_wheel_lookup", "JN-09 GEN-03", sql=f"""
@@ -253,9 +255,8 @@ SELECT w.p_brand, count(*) AS draws FROM draws d JOIN wheel w ON d.draw >= w.lo
 def brand_wheel_lookup(spark, sf):
     wheel = _brand_wheel(spark, sf)
     total = wheel.agg(F.sum("odds")).scalar()  # scalar subquery, no join
-    # A deterministic draw per line in [0, total).
     li = t(spark, sf, "lineitem")
-    draws = li.select(F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber"), total).alias("draw"))
+    draws = li.select(generate.spin(7, total, "l_orderkey", "l_linenumber").alias("draw"))
     hit = O.range_lookup(draws, "draw", wheel.select("p_brand", "lo", "hi"), "lo", "hi")
     return hit.groupBy("p_brand").agg(F.count(F.lit(1)).alias("draws"))
 

@@ -109,3 +109,15 @@ def materialize(df):
     partitions, also after an executor is lost."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df):
+    """Write ``df`` once as a table in the shared checkpoint folder and return
+    the frame that reads it.  As :func:`materialize`, but the frame keeps no
+    constraints of the plan behind it: in loops that rename columns those
+    multiply each round and planning takes longer than the rounds."""
+    import uuid
+
+    folder = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

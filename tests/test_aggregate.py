@@ -129,3 +129,18 @@ def test_fround_rounds_the_binary_value(spark):
     # 259.4215 is stored as 259.42149999..., so it rounds down (Spark's round would give 259.422).
     assert got[0] == 259.421 and got[1] == -0.003 and got[3] == 1e297
     assert df.select(fround("x", 0).alias("r")).collect()[1].r == -3.0
+
+
+def test_quartiles_of_ties_infinities_and_large_columns(spark):
+    import random
+
+    r = random.Random(4)
+    cases = [[5.0] * 30_000, [float("inf"), float("-inf"), 1.0, 1.0, 2.0], [None, 3.0], [],
+             [10.0 ** r.randint(-300, 300) * r.choice([-1, 1]) for _ in range(40_000)],
+             [float(r.randint(0, 3)) for _ in range(20_000)] + [r.random() for _ in range(20_000)]]
+    for xs in cases:
+        df = spark.createDataFrame([(v,) for v in xs], "x double").repartition(3)
+        got = A.quartile_summary(df, "x").first()
+        known = sorted(v for v in xs if v is not None)
+        want = [known[max(1, math.ceil(q * len(known))) - 1] if known else None for q in (0.25, 0.5, 0.75)]
+        assert [got.q25, got.q50, got.q75] == want and got.n == len(known)

@@ -82,7 +82,7 @@ def test_range_lookup_wheel(spark):
     # Literal odds from the reference's wheel spec: red 3, blue 2, green 4.
     iv = spark.createDataFrame([("red", 0, 3), ("blue", 3, 5), ("green", 5, 9)], "event string, lo int, hi int")
     pts = spark.createDataFrame([(i,) for i in range(10)], "i int")
-    out = dict((r.i, r.event) for r in O.range_lookup(pts, "i", iv, "lo", "hi", n_buckets=4).collect())
+    out = dict((r.i, r.event) for r in O.range_lookup(pts, "i", iv, "lo", "hi").collect())
     assert [out[i] for i in range(10)] == ["red"] * 3 + ["blue"] * 2 + ["green"] * 4 + [None]
 
 
@@ -183,3 +183,59 @@ def test_reverse_positions(spark):
     df = seq(spark, [5, 6, 7])
     out = O.reverse_positions(df, "g", ["pos"], "rpos").orderBy("rpos").collect()
     assert [r.value for r in out] == [7, 6, 5]
+
+
+def test_range_lookup_on_a_skewed_domain(spark):
+    """Intervals from a thousandth to a billion wide, half of the points equal."""
+    from bisect import bisect_right
+
+    edges = [0.0] + [10.0 ** k for k in range(-3, 10)]
+    iv = spark.createDataFrame([(i, edges[i], edges[i + 1]) for i in range(len(edges) - 1) if i != 4],
+                               "name long, lo double, hi double")
+    xs = [(i, 0.5 if i % 2 else 10.0 ** (i % 1300 / 100 - 3)) for i in range(4000)] + [(-1, None), (-2, -1.0), (-3, 1e9)]
+    got = {r.i: r.name for r in O.range_lookup(spark.createDataFrame(xs, "i long, x double"), "x", iv, "lo", "hi").collect()}
+
+    def plain(x):
+        k = None if x is None else bisect_right(edges, x) - 1
+        return None if k is None or k < 0 or k == 4 or k >= len(edges) - 1 else k
+
+    assert got == {i: plain(x) for i, x in xs}
+
+
+def test_runs_across_partitions(spark):
+    """One hot key with runs longer than partitions, and keys that change at edges."""
+    import random
+    from itertools import groupby
+
+    r = random.Random(3)
+    data, pos = [], 0
+    for key, n in ((None, 40), (0, 3000), (1, 5), (2, 400)):
+        while n > 0:
+            k = min(n, r.choice([1, 2, 3, 700]))
+            v = r.choice(["a", "b", None])
+            data += [(key, pos + i, v) for i in range(k)]
+            pos, n = pos + k, n - k
+    df = spark.createDataFrame(data, "k long, pos long, v string").repartition(5)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        got = sorted(((x.k is None, x.k or 0, x.run_no, x.n, x.v) for x in O.run_length_encode(df, "k", ["pos"], "v").collect()),
+                     key=lambda t: t[:3])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    want = []
+    for key in (0, 1, 2, None):
+        for i, (v, rows_) in enumerate(groupby(x[2] for x in data if x[0] == key)):
+            want.append((key is None, key or 0, i + 1, len(list(rows_)), v))
+    assert got == want
+
+
+def test_copies_and_packs_in_blocks(spark):
+    df = spark.createDataFrame([(1, 7), (2, 0), (3, -2), (4, 3)], "i long, n long")
+    got = sorted((r.i, r.copy) for r in O.replicate(df, "n", block=3).collect())
+    assert got == [(1, k) for k in range(7)] + [(4, k) for k in range(3)]
+    rows_ = spark.createDataFrame([(1, i, "a" if i < 7 else "b") for i in range(8)], "g long, i long, v string")
+    packs = sorted((r.run_no, r.part, "".join(r["pack"])) for r in O.pack(rows_, "g", ["i"], "v", block=3).collect())
+    assert packs == [(1, 0, "aaa"), (1, 1, "aaa"), (1, 2, "a"), (2, 0, "b")]

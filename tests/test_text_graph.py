@@ -52,11 +52,50 @@ def test_crawl_depths(spark):
 def test_tree_nested_sets(spark):
     nodes = spark.createDataFrame([("A", None, 0), ("B", "A", 1), ("C", "A", 2), ("D", "C", 1)],
                                   "id string, parent string, key bigint")
-    sized = G.subtree_sizes(G.tree_paths(nodes))
+    sized = G.tree_sizes(nodes)
     ns = dict((r.id, (r.lft, r.rgt, r.size, r.depth)) for r in G.nested_sets(sized).collect())
     assert ns == {"A": (1, 8, 4, 0), "B": (2, 3, 1, 1), "C": (4, 7, 2, 1), "D": (5, 6, 1, 2)}
 
 
+def test_forest_with_cycles_and_missing_parents(spark):
+    nodes = spark.createDataFrame([("A", None, 2), ("B", None, 1), ("C", "A", 1), ("D", "A", 1), ("E", "D", 0),
+                                   ("X", "Y", 1), ("Y", "X", 1), ("Z", "Y", 1), ("L", "gone", 1), ("M", "L", 1)],
+                                  "id string, parent string, key bigint")
+    ns = {r.id: (r.lft, r.rgt, r.size, r.depth) for r in G.nested_sets(G.tree_sizes(nodes)).collect()}
+    assert ns == {"B": (1, 2, 1, 0), "A": (3, 10, 4, 0), "C": (4, 5, 1, 1), "D": (6, 9, 2, 1), "E": (7, 8, 1, 2)}
+
+
+def test_random_tree_matches_paths(spark):
+    import random
+
+    r = random.Random(8)
+    parent = {i: r.randrange(max(0, i - 60), i) if i else None for i in range(300)}
+    nodes = spark.createDataFrame([(i, p, r.randint(0, 3) * 1000 + i) for i, p in parent.items()],
+                                  "id bigint, parent bigint, key bigint")
+    pre = {x.id: i for i, x in enumerate(G.tree_paths(nodes).orderBy("path").collect())}
+    size = dict.fromkeys(parent, 0)
+    for i in parent:
+        while i is not None:
+            size[i] += 1
+            i = parent[i]
+    for x in G.nested_sets(G.tree_sizes(nodes)).collect():
+        assert (x.lft, x.rgt) == (2 * pre[x.id] - x.depth + 1, 2 * pre[x.id] - x.depth + 2 * size[x.id])
+
+
+def test_deep_path_and_wide_star(spark):
+    """Rounds grow with the logarithm of the depth; a parent may hold all nodes."""
+    n = 100_000
+    path = spark.range(n).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"), F.lit(0).cast("bigint").alias("key"))
+    got = G.nested_sets(G.tree_sizes(path))
+    assert got.where(f"depth <> id or size <> {n} - id or lft <> id + 1 or rgt <> {2 * n} - id").isEmpty()
+    assert got.count() == n
+    m = 1_000_000
+    star = spark.range(m).select("id", F.when(F.col("id") > 0, F.lit(0)).cast("bigint").alias("parent"), F.col("id").alias("key"))
+    got = G.nested_sets(G.tree_sizes(star))
+    assert got.where("id > 0 and (depth <> 1 or size <> 1 or lft <> 2 * id or rgt <> 2 * id + 1)").isEmpty()
+    assert got.where("id = 0").first()[1:] == (0, m, 1, 2 * m) and got.count() == m
+
+
 def test_triplets_default_vertex(spark):
     # Vertex/edge shapes of the reference's property-graph sample.
     v = spark.createDataFrame([(3, "rxin", "student"), (7, "jgonzal", "postdoc"), (5, "franklin", "prof"),
