@@ -15,6 +15,7 @@ is checked when it is read; otherwise ``tokenizers`` encodes all."""
 from __future__ import annotations
 
 import re
+import struct
 
 SPECIAL_WHITE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -28,8 +29,11 @@ FAST = re.compile("[\t\n -~À-ÖØ-öø-ÿ]*")
 
 _TOKENIZERS: dict[str, object] = {}
 _FAST: dict[str, object] = {}
-_IDS: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
+_IDS: dict[str, Ids] = {}
 MAX_CACHE = 800_000
+#: Characters of a chunk whose ids are kept, bytes of all that are kept in a
+#: process, and what an entry takes besides its characters and ids.
+KEPT_CHARS, KEPT_BYTES, ENTRY_BYTES = 64, 160 << 20, 220
 
 
 def default_path() -> str:
@@ -115,22 +119,42 @@ def parts(chunk: str) -> tuple[str, ...]:
     return (chunk,)
 
 
+class Ids(dict):
+    """Ids of chunks as little-endian unsigned 32-bit numbers.  A chunk that is
+    not there is encoded when it is asked for, and kept if it is short: what is
+    kept is bounded by its bytes, and text without spaces is one long chunk a
+    line that never comes again."""
+
+    def __init__(self, path: str):
+        self.fast, self.slow, self.held = same_vocabulary(path), tokenizer(path), 0
+
+    def __missing__(self, chunk: str) -> bytes:
+        cut_up = parts(chunk)
+        if len(cut_up) > 1:
+            ids = self[cut_up[0]] + self[cut_up[1]]
+        else:
+            if self.fast and SPECIAL not in chunk and FAST.fullmatch(chunk):
+                found = self.fast.encode_ordinary(chunk)
+            else:
+                found = self.slow.encode(chunk, add_special_tokens=False).ids
+            ids = struct.pack(f"<{len(found)}I", *found)
+        if len(chunk) <= KEPT_CHARS:
+            self[chunk] = ids
+            self.held += ENTRY_BYTES + len(chunk) + len(ids)
+        return ids
+
+    def of(self, text: str) -> bytes:
+        if self.held > KEPT_BYTES:
+            self.clear()
+            self.held = 0
+        return b"".join(map(self.__getitem__, cut(text)))
+
+
 def ids_of(path: str, texts: list[str]) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers."""
-    import numpy as np
-
-    chunk_ids, ids = _IDS.setdefault(path, ({}, {}))  # of this process
-    for cache in (chunk_ids, ids):
-        if len(cache) > MAX_CACHE:  # bounded memory
-            cache.clear()
-    cut_texts = [cut(t) for t in texts]
-    new = {c: parts(c) for c in set().union(*cut_texts) - chunk_ids.keys()}
-    missing = list({p for ps in new.values() for p in ps} - ids.keys())
-    for p, i in zip(missing, encode_all(path, missing)):
-        ids[p] = np.asarray(i, "<u4").tobytes()
-    for c, ps in new.items():
-        chunk_ids[c] = ids[ps[0]] + ids[ps[1]] if len(ps) > 1 else ids[c]
-    return [b"".join(map(chunk_ids.__getitem__, c)) for c in cut_texts]
+    if path not in _IDS:
+        _IDS[path] = Ids(path)
+    return list(map(_IDS[path].of, texts))
 
 
 def slices(batch, n_bytes: int = 4 << 20):

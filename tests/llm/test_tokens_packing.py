@@ -91,3 +91,24 @@ def test_pack_edges(odd_docs, no_docs, capacity):
     full = {r.sequence_id: r for r in packing.sequences(out).collect()}
     assert all(len(full[s].ids) == 4 * sum(n for _, n in p) for s, p in bins.items())
     assert packing.pack(no_docs).count() == 0
+
+
+def test_kept_ids_are_bounded_by_bytes():
+    """Text without spaces is one chunk a line: right ids, nothing kept."""
+    import random
+
+    from tessera.llm import chunks
+
+    r = random.Random(1)
+    path = chunks.default_path()
+    plain = chunks.tokenizer(path)
+    lines = ["".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(500)) for _ in range(40)]
+    lines += ["".join(r.choice("ABCDEFghijkl0123+/") for _ in range(2000)) for _ in range(40)]
+    ids = chunks.Ids(path)
+    for text in ["\n".join(lines), "some words. <|endoftext|> and  two spaces", ""]:
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert ids.of(text) == b"".join(i.to_bytes(4, "little") for i in want)
+    assert ids.held < 64 * 1000 and all(len(c) <= chunks.KEPT_CHARS for c in ids)
+    ids.held = chunks.KEPT_BYTES + 1
+    ids.of("a b")
+    assert len(ids) <= 3
