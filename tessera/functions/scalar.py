@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -250,6 +251,54 @@ def parse_date_any(col, formats: Sequence[str]) -> Column:
     return F.coalesce(*tries)
 
 
+# Month names, and the layouts in the order they are tried (US,
+# traditional British, ISO), with "-" or "/" between.
+MONTH_NAMES = "janfebmaraprmayjunjulaugsepoctnovdec"
+DATE_LAYOUTS = ("mdy", "dmy", "ymd")
+
+
+def parse_date_parts(col) -> Column:
+    """Date of a text whose month is a number or a three-letter name in any
+    case and whose year has four digits or two (20xx): ``09/30/2015``,
+    ``sep-30-2015``, ``30-sep-2015``, ``2015-SEP-30`` (SCL-15).  The first
+    layout that gives a date wins, so an all-digit date is American unless it
+    cannot be; null when none does."""
+    c = F.lower(_c(col))
+    shape = {"y": "([0-9]{4}|[0-9]{2})", "m": "([a-z]{3}|[0-9]{1,2})", "d": "([0-9]{1,2})"}
+    tries = []
+    for layout in DATE_LAYOUTS:
+        pattern = "^" + "[-/]".join(shape[x] for x in layout) + "$"
+        y, m, d = (F.regexp_extract(c, pattern, layout.index(x) + 1) for x in "ymd")
+        place = F.instr(F.lit(MONTH_NAMES), m)
+        named = F.when(place % 3 == 1, F.floor((place + 2) / 3).cast("string"))
+        month = F.when(m.rlike("^[0-9]+$"), m).otherwise(named)
+        year = F.when(F.length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y)
+        tries.append(F.when(c.rlike(pattern), F.try_to_timestamp(F.concat_ws("-", year, month, d), F.lit("y-M-d"))))
+    return F.coalesce(*tries).cast("date")
+
+
+def cell_parser(parse, kind: str):
+    """The caller's parser of a text cell as a column function (UDF-02):
+    ``parse`` takes a string and returns a value of the Spark type ``kind`` or
+    raises; the result is a struct of ``value`` and ``error``, one of them
+    null.  A null cell has neither.  Arrow batches, one call a cell."""
+    @F.pandas_udf(f"struct<value:{kind},error:string>")
+    def parsed(cells: pd.Series) -> pd.DataFrame:
+        values, errors = [], []
+        for x in cells:
+            value = error = None
+            if x is not None:
+                try:
+                    value = parse(x)
+                except Exception as e:  # noqa: BLE001 - whatever the caller's parser raises is the cell's error
+                    error = f"{type(e).__name__}: {e}"
+            values.append(value)
+            errors.append(error)
+        return pd.DataFrame({"value": pd.Series(values, dtype=object), "error": pd.Series(errors, dtype=object)})
+
+    return parsed
+
+
 def contains(col, pattern: str) -> Column:
     """Substring test; an empty pattern is contained in every string (SCL-18)."""
     return F.contains(_c(col), F.lit(pattern))

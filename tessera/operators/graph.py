@@ -24,8 +24,11 @@ from tessera.session import materialize, written
 SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
+#: Scheme and authority, path, and what follows.
+HEAD = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)([^?#]*)(.*)$"
 FILE_NAME = r"^([\/-_\w~]*\/)?([-_\w]*)?(\.(\w*))?$"
-HREF = r'<a[^>]+href="([^"]*)"'
+#: An anchor's href with its quotes, if it has any; names in either case.
+HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def _c(x) -> Column:
@@ -36,12 +39,26 @@ def url_scheme(u) -> Column:
     return F.lower(F.regexp_extract(_c(u), SCHEME, 1))
 
 
+def remove_dot_segments(path) -> Column:
+    """The path without its ``.`` and ``..`` segments (RFC 3986, 5.2.4): a fold
+    over the segments with those kept so far as a stack."""
+    parts = F.split(_c(path), "/")
+    kept = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.array().cast("array<string>"), lambda acc, x: (
+        F.when(x == ".", acc).when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+        .otherwise(F.concat(acc, F.array(x)))))
+    last = F.element_at(parts, -1)
+    # A path that ends on a dot segment names a folder.
+    kept = F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(_c(path).startswith("/"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(_c(path))
+
+
 def resolve_url(base, href) -> Column:
     """Absolute URL of ``href`` relative to the page ``base`` (JN-12):
     absolute stays, ``//host`` takes the base scheme, ``/path`` the base
     scheme and authority, ``#frag``/``?query`` attach to the base, anything
-    else replaces the last path segment."""
-    b, h = _c(base), _c(href)
+    else replaces the last path segment.  Dot segments of the path are
+    removed; an empty reference is the base without its fragment."""
+    b, h = _c(base), F.trim(_c(href))
     scheme = F.regexp_extract(b, SCHEME, 1)
     auth = F.regexp_extract(b, AUTHORITY, 1)
     path = F.regexp_extract(b, PATH, 1)
@@ -49,12 +66,16 @@ def resolve_url(base, href) -> Column:
     no_query = F.regexp_replace(no_frag, r"\?.*$", "")
     dir_ = F.regexp_replace(path, "[^/]*$", "")
     dir_ = F.when(dir_ == "", F.lit("/")).otherwise(dir_)
-    return (F.when(h.rlike(SCHEME + "//") | h.rlike(r"^(https?|ftp|mailto|file|javascript):"), h)
-            .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(scheme, F.lit("://"), auth, h))
-            .when(h.startswith("#"), F.concat(no_frag, h))
-            .when(h.startswith("?"), F.concat(no_query, h))
-            .otherwise(F.concat(scheme, F.lit("://"), auth, dir_, h)))
+    joined = (F.when(h.rlike(SCHEME), h)
+              .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
+              .when(h.startswith("/"), F.concat(scheme, F.lit("://"), auth, h))
+              .when(h.startswith("#"), F.concat(no_frag, h))
+              .when(h.startswith("?"), F.concat(no_query, h))
+              .when(h == "", no_frag)
+              .otherwise(F.concat(scheme, F.lit("://"), auth, dir_, h)))
+    dots = F.regexp_extract(joined, PATH, 1)
+    head, tail = F.regexp_extract(joined, HEAD, 1), F.regexp_extract(joined, HEAD, 3)
+    return F.when(dots.rlike(r"/\.\.?(/|$)"), F.concat(head, remove_dot_segments(dots), tail)).otherwise(joined)
 
 
 def valid_protocol(u) -> Column:
@@ -76,11 +97,11 @@ def can_parse(u) -> Column:
 def extract_links(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
                   valid_only: bool = True) -> DataFrame:
     """(page_id, src, pos, href, dst) for every ``<a href>`` of every page
-    (GR-05), resolved against the page URL; ``valid_only`` keeps http(s)
+    (GR-05), however it is quoted and cased, resolved against the page URL; ``valid_only`` keeps http(s)
     links to parseable paths."""
     hrefs = pages.select(page_id, F.col(url).alias("src"),
                          F.posexplode(F.regexp_extract_all(html, F.lit(HREF), 1)).alias("pos", "href"))
-    out = hrefs.withColumn("dst", resolve_url("src", "href"))
+    out = hrefs.withColumn("href", F.regexp_replace("href", "^[\"']|[\"']$", "")).withColumn("dst", resolve_url("src", "href"))
     if valid_only:
         out = out.where(valid_protocol("dst") & can_parse("dst"))
     return out

@@ -257,58 +257,117 @@ def positional_zip(a: DataFrame, a_order, b: DataFrame, b_order) -> DataFrame:
     return pa.join(pb, "pos")
 
 
+def asof(points: DataFrame, point: str, starts: DataFrame, at: str, name: str) -> DataFrame:
+    """Add to each point the row of ``starts`` (as struct ``name``) with the
+    largest ``at <= point``; null if there is none.
+
+    Points and starts are sorted together and each point takes the last start
+    so far: one range sort whatever the domain, however unevenly both lie in
+    it.  Points with the same value are told apart by a tie-break, so they
+    spread over partitions too."""
+    from tessera.operators.scan import last_seen
+
+    st = starts.select(F.col(at).alias("_at"), F.lit(0).alias("_rank"), F.lit(0).cast("bigint").alias("_tie"),
+                       F.lit(None).alias("_p"), F.struct(*[F.col(c) for c in starts.columns]).alias("_s"))
+    pt = points.select(F.col(point).alias("_at"), F.lit(1).alias("_rank"), F.monotonically_increasing_id().alias("_tie"),
+                       F.struct(*[F.col(c) for c in points.columns]).alias("_p"), F.lit(None).alias("_s"))
+    # Starts sort before points of the same value; null points come first, before any start.
+    both = last_seen(pt.unionByName(st.where("_at is not null")), ["_at", "_rank", "_tie"], "_s", "_last").where("_rank = 1")
+    return both.select(*[F.col("_p")[c].alias(c) for c in points.columns], F.col("_last").alias(name))
+
+
 def range_lookup(points: DataFrame, point: str, intervals: DataFrame, lo: str, hi: str) -> DataFrame:
     """Join each point to the interval ``lo <= point < hi`` that holds it
     (JN-09), the intervals being disjoint (where some overlap, the one that
-    begins last before the point is looked at).
-
-    An as-of scan: points and interval starts are sorted together, each point
-    takes the last start so far, and the interval's end decides.  One range
-    sort whatever the domain, however unevenly points and intervals lie in it;
-    points with the same value are told apart by a tie-break, so they spread
-    over partitions too.  Points outside every interval get nulls."""
-    from tessera.operators.scan import last_seen
+    begins last before the point is looked at): an as-of scan for the last
+    interval that began, whose end then decides.  Points outside every
+    interval get nulls."""
+    both = asof(points, point, intervals.where(F.col(hi) > F.col(lo)), lo, "_iv")
+    inside = F.col(point) < F.col("_iv")[hi]
+    return both.select(*points.columns, *[F.when(inside, F.col("_iv")[c]).alias(c) for c in intervals.columns])
+
+
+#: Distinct values of a block of the three-sum.
+SUM_BLOCK = 2048
+
+
+def _sweep(target, kind: str):
+    """Rows of three sorted blocks -> triples ``x <= y <= z`` that sum to the
+    target: for each x, ``target - x - y`` falls as y rises and is looked up in
+    the third block by a sweep over both."""
+
+    def run(frames):
+        import numpy as np
+        import pandas as pd
+
+        dtype = np.float64 if kind == "double" else np.int64
+        for pdf in frames:
+            for r in pdf.itertuples(index=False):
+                xs, ys, zs = (np.asarray(v, dtype) for v in (r.xs, r.ys, r.zs))
+                cx, cy, cz = (np.asarray(v, np.int64) for v in (r.cx, r.cy, r.cz))
+                out = []
+                for i, x in enumerate(xs):
+                    first = i if r.i == r.j else 0
+                    need = target - x - ys[first:]
+                    at = np.minimum(np.searchsorted(zs, need), len(zs) - 1)
+                    for j in np.flatnonzero((zs[at] == need) & (need >= ys[first:])):
+                        y, z, a, b, c = ys[first + j], zs[at[j]], cx[i], cy[first + j], cz[at[j]]
+                        if x == y == z:
+                            n = a * (a - 1) * (a - 2) // 6
+                        elif x == y:
+                            n = a * (a - 1) // 2 * c
+                        else:
+                            n = a * (b * (b - 1) // 2) if y == z else a * b * c
+                        if n:
+                            out.append((x, y, z, n))
+                yield pd.DataFrame(out, columns=["x", "y", "z", "n_triples"])
+
+    return run
+
+
+def _block_triples(ends: DataFrame, n: int, t: Column) -> DataFrame:
+    """(i, j, k), i <= j <= k, of blocks (b, lo, hi) in order that can hold
+    three values with sum ``t``."""
+    pairs = ends.select(F.col("b").alias("i"), F.col("lo").alias("lo_i"), F.col("hi").alias("hi_i"),
+                        F.explode(F.sequence("b", F.lit(n - 1).cast("bigint"))).alias("j"))
+    pairs = pairs.join(ends.select(F.col("b").alias("j"), F.col("lo").alias("lo_j"), F.col("hi").alias("hi_j")), "j")
+    pairs = pairs.select("i", "j", (t - F.col("hi_i") - F.col("hi_j")).alias("least"), (t - F.col("lo_i") - F.col("lo_j")).alias("most"))
+    starts = ends.select("b", "lo")
+    pairs = asof(asof(pairs, "least", starts, "lo", "from"), "most", starts, "lo", "upto").where("upto is not null")
+    first = F.greatest(F.coalesce(F.col("from.b"), F.lit(0)), F.col("j"))
+    return pairs.where(first <= F.col("upto.b")).select("i", "j", F.explode(F.sequence(first, F.col("upto.b"))).alias("k"))
+
+
+def three_sum_values(values: DataFrame, column: str, target: int, block: int = SUM_BLOCK) -> DataFrame:
+    """Triples ``x <= y <= z`` of values with ``x + y + z = target`` (JN-06),
+    and how many index triples ``i < j < k`` of the input produce each.
+
+    The distinct values, with their multiplicities, are cut by range into
+    blocks of about ``block`` values.  Each pair of blocks bounds the third value to
+    a range, whose blocks are found by two as-of scans over the block starts;
+    only those triples of blocks meet, and a sweep finds the sums inside.  No
+    pair of values is ever a row, and no join is a nested loop."""
+    from tessera.session import materialize
 
-    kind = points.schema[point].dataType
-    iv = intervals.where(F.col(hi) > F.col(lo)).select(
-        F.col(lo).alias("_at"), F.lit(0).alias("_rank"), F.lit(0).cast("bigint").alias("_tie"), F.lit(None).alias("_p"),
-        F.struct(*[F.col(c) for c in intervals.columns]).alias("_iv"))
-    pt = points.select(F.col(point).alias("_at"), F.lit(1).alias("_rank"), F.monotonically_increasing_id().alias("_tie"),
-                       F.struct(*[F.col(c) for c in points.columns]).alias("_p"), F.lit(None).alias("_iv"))
-    # Intervals sort before points of the same value; null points come first, before any interval.
-    both = last_seen(pt.unionByName(iv), ["_at", "_rank", "_tie"], "_iv", "_last").where("_rank = 1")
-    inside = F.col("_p")[point].cast(kind) < F.col("_last")[hi]
-    return both.select(*[F.col("_p")[c].alias(c) for c in points.columns],
-                       *[F.when(inside, F.col("_last")[c]).alias(c) for c in intervals.columns])
-
-
-def three_sum_values(values: DataFrame, column: str, target: int) -> DataFrame:
-    """Triples ``x <= y <= z`` of values with ``x + y + z = target`` (JN-06).
-
-    Works on the distinct values with their multiplicities, so the pair step
-    is bounded by (distinct values)^2 rather than rows^2, and reports how many
-    index triples ``i < j < k`` of the input produce each value triple.  The
-    third member is found by an equi-join on ``z = target - x - y`` instead of
-    a cubic theta join."""
-    v = values.groupBy(F.col(column).alias("x")).agg(F.count(F.lit(1)).alias("c"))
-    a = v.select(F.col("x").alias("x"), F.col("c").alias("cx"))
-    b = v.select(F.col("x").alias("y"), F.col("c").alias("cy"))
-    c = v.select(F.col("x").alias("z"), F.col("c").alias("cz"))
-    pairs = a.join(b, F.col("x") <= F.col("y"))
-    trip = pairs.join(c, (F.col("z") == F.lit(target) - F.col("x") - F.col("y")) & (F.col("z") >= F.col("y")))
-
-    def choose(n, k):
-        n = F.col(n).cast("bigint")
-        if k == 2:
-            return n * (n - 1) / 2
-        return n * (n - 1) * (n - 2) / 6
-
-    x, y, z = F.col("x"), F.col("y"), F.col("z")
-    count = (F.when((x == y) & (y == z), choose("cx", 3))
-             .when(x == y, choose("cx", 2) * F.col("cz"))
-             .when(y == z, F.col("cx") * choose("cy", 2))
-             .otherwise(F.col("cx") * F.col("cy") * F.col("cz")))
-    return trip.select("x", "y", "z", count.cast("bigint").alias("n_triples")).where("n_triples > 0")
+    kind = "double" if dict(values.dtypes)[column] in ("double", "float") else "bigint"
+    v = values.where(F.col(column).isNotNull()).groupBy(F.col(column).cast(kind).alias("x")).agg(F.count(F.lit(1)).alias("c"))
+    n = -(-v.count() // block)
+    held = [F.min("x").alias("lo"), F.max("x").alias("hi"), F.array_sort(F.collect_list(F.struct("x", "c"))).alias("vs")]
+    if n <= 1:  # one block, one triple of blocks
+        blocks = v.agg(*held).select(F.lit(0).cast("bigint").alias("b"), "vs")
+        triples = blocks.select(*[F.lit(0).cast("bigint").alias(k) for k in "ijk"])
+    else:
+        cut = v.repartitionByRange(n, "x").withColumn("b", F.spark_partition_id().cast("bigint"))
+        blocks = materialize(cut.groupBy("b").agg(*held))
+        triples = _block_triples(blocks.select("b", "lo", "hi"), n, F.lit(target).cast(kind))
+    for at, x, c in (("i", "xs", "cx"), ("j", "ys", "cy"), ("k", "zs", "cz")):
+        side = blocks.select(F.col("b").alias(at), F.col("vs.x").alias(x), F.col("vs.c").alias(c))
+        triples = triples.join(side, at)
+    triples = triples.repartition("i", "j", "k")
+    out = triples.select("i", "j", "k", "xs", "cx", "ys", "cy", "zs", "cz").mapInPandas(
+        _sweep(target, kind), f"x {kind}, y {kind}, z {kind}, n_triples bigint")
+    same = dict(values.dtypes)[column]
+    return out.select(*[F.col(x).cast(same).alias(x) for x in "xyz"], "n_triples")
 
 
 def periodic_labels(df: DataFrame, column: str, rules: Sequence[tuple[str, int, int]],

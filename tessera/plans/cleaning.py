@@ -327,6 +327,41 @@ def order_date_formats(spark, sf):
     return w.select("o_orderkey", "text", P.first_success(S.parse_date_any("text", DATE_PARSE)).cast("date").alias("parsed"))
 
 
+_PARTS_SQL = ["'%Y-%m-%d'", "'%Y-%b-%d'", "'%d-%b-%Y'", "'%m-%d-%Y'", "'%m/%d/%Y'", "'%b-%d-%Y'", "'%m/%d/%y'"]
+_PARTS = ["yyyy-MM-dd", "yyyy-MMM-dd", "dd-MMM-yyyy", "MM-dd-yyyy", "MM/dd/yyyy", "MMM-dd-yyyy", "MM/dd/yy"]
+
+
+@plan("order_dashed_dates", "SCL-15", sql=f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN lower(text) ELSE upper(text) END AS text, CASE WHEN o_orderkey % 7 = 6
+       THEN make_date(2000 + year(o_orderdate) % 100, month(o_orderdate), day(o_orderdate)) ELSE o_orderdate::DATE END AS parsed
+FROM (SELECT o_orderkey, o_orderdate, CASE o_orderkey % 7 {' '.join(
+    f"WHEN {i} THEN strftime(o_orderdate, {f})" for i, f in enumerate(_PARTS_SQL))} END AS text FROM orders)""")
+def order_dashed_dates(spark, sf):
+    o = t(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    text = F.lit(None).cast("string")
+    for i, layout in enumerate(_PARTS):
+        text = F.when(F.col("o_orderkey") % 7 == i, F.date_format("o_orderdate", layout)).otherwise(text)
+    text = F.when(F.col("o_orderkey") % 2 == 0, F.lower(text)).otherwise(F.upper(text))
+    w = o.select("o_orderkey", text.alias("text"))
+    return w.select("o_orderkey", "text", S.parse_date_parts("text").alias("parsed"))
+
+
+def _priority_rank(cell: str) -> int:
+    rank, name = cell.split("-", 1)
+    if name == "LOW":
+        raise ValueError(f"no rank for {name}")
+    return int(rank)
+
+
+@plan("order_priority_cells", "UDF-02", sql="""
+SELECT o_orderkey, CASE WHEN o_orderpriority NOT LIKE '%LOW' THEN split_part(o_orderpriority, '-', 1)::BIGINT END AS value,
+       CASE WHEN o_orderpriority LIKE '%LOW' THEN 'ValueError: no rank for LOW' END AS error FROM orders""")
+def order_priority_cells(spark, sf):
+    # The parser is the caller's own function.
+    cell = S.cell_parser(_priority_rank, "bigint")(F.col("o_orderpriority"))
+    return t(spark, sf, "orders").select("o_orderkey", cell.alias("c")).select("o_orderkey", "c.value", "c.error")
+
+
 @plan("document_substring_flags", "SCL-18", sql="""
 SELECT doc_id, contains(text, 'the') AS has_the, contains(text, '') AS has_empty FROM documents""")
 def document_substring_flags(spark, sf):

@@ -47,6 +47,23 @@ def page_link_validity(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
+@plan("page_dot_links", "JN-12", sql="""
+SELECT page_id, '../' || repeat('./../', (page_id % 3)::INTEGER) || 'x/../p' || page_id::VARCHAR || '.html?u=/../v' AS href,
+       regexp_extract(url, '^([a-z]+://[^/?#]*)', 1)
+         || CASE WHEN page_id % 3 = 0 AND len(dirs) > 1 THEN '/' || array_to_string(dirs[1:len(dirs) - 1], '/') ELSE '' END
+         || CASE WHEN page_id % 3 = 1 AND len(dirs) > 2 THEN '/' || array_to_string(dirs[1:len(dirs) - 2], '/') ELSE '' END
+         || CASE WHEN page_id % 3 = 2 AND len(dirs) > 3 THEN '/' || array_to_string(dirs[1:len(dirs) - 3], '/') ELSE '' END
+         || '/p' || page_id::VARCHAR || '.html?u=/../v' AS dst
+FROM (SELECT page_id, url, list_filter(string_split(regexp_replace(
+        regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '[^/]*$', ''), '/'), lambda d: d <> '') AS dirs FROM pages)""")
+def page_dot_links(spark, sf):
+    # Links with dot segments, up to three folders above each page's own.
+    p = t(spark, sf, "pages")
+    k, name = (F.col("page_id") % 3).cast("int"), F.col("page_id").cast("string")
+    href = F.concat(F.lit("../"), F.repeat(F.lit("./../"), k), F.lit("x/../p"), name, F.lit(".html?u=/../v"))
+    return p.select("page_id", href.alias("href"), G.resolve_url(F.col("url"), href).alias("dst"))
+
+
 # Attributes for vertices only known as edge endpoints.
 DEFAULT_VERTEX = {"name": "unknown", "role": "missing"}
 

@@ -119,7 +119,7 @@ SELECT count(*) FILTER (WHERE train) AS n_train, count(*) FILTER (WHERE NOT trai
        count(*) FILTER (WHERE NOT train) AS n_scored, true AS metric_in_range FROM p""")
 def order_status_forest_report(spark, sf):
     train, test = M.hash_split(_passengers(spark, sf), "o_orderkey", 80)
-    model, _ = _forest(spark, sf, trees=20)
+    model, _ = _forest(spark, sf, trees=100)
     scored = model.transform(test)
     return _report(spark, train, test, scored, M.area_under_roc(scored, "label"))
 

@@ -100,3 +100,19 @@ def test_per_key_outcome_and_all_or_nothing(spark):
     pair = spark.createDataFrame([(1, 2), (1, None)], "a int, b int").select(
         P.all_or_nothing({"a": F.col("a"), "b": F.col("b")}).alias("p")).collect()
     assert pair[0].p.a == 1 and pair[1].p is None
+
+
+def test_dates_of_the_parser_spec(spark):
+    want = {"2015-09-30": "2015-09-30", "2015-sep-30": "2015-09-30", "2015-SEP-30": "2015-09-30", "30-sep-2015": "2015-09-30",
+            "09/30/2015": "2015-09-30", "09-30-2015": "2015-09-30", "sep-30-2015": "2015-09-30", "09/30/15": "2015-09-30",
+            "30/09/2015": "2015-09-30", "15-9-3": "2015-09-03", "sap-30-2015": None, "2015-13-01": None, "": None, "30-09": None}
+    df = spark.createDataFrame([(x,) for x in want], "x string")
+    got = {r.x: None if r.d is None else str(r.d) for r in df.select("x", S.parse_date_parts("x").alias("d")).collect()}
+    assert got == want
+
+
+def test_cell_parser_of_the_caller(spark):
+    df = spark.createDataFrame([("1",), ("x",), (None,), ("30",)], "c string")
+    got = [tuple(r.v) for r in df.coalesce(1).select(S.cell_parser(int, "bigint")(F.col("c")).alias("v")).collect()]
+    assert got[0] == (1, None) and got[2] == (None, None) and got[3] == (30, None)
+    assert got[1][0] is None and got[1][1].startswith("ValueError: invalid literal")

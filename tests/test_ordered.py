@@ -239,3 +239,29 @@ def test_copies_and_packs_in_blocks(spark):
     rows_ = spark.createDataFrame([(1, i, "a" if i < 7 else "b") for i in range(8)], "g long, i long, v string")
     packs = sorted((r.run_no, r.part, "".join(r["pack"])) for r in O.pack(rows_, "g", ["i"], "v", block=3).collect())
     assert packs == [(1, 0, "aaa"), (1, 1, "aaa"), (1, 2, "a"), (2, 0, "b")]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double"])
+def test_three_sum_in_blocks_against_brute_force(spark, kind):
+    import random
+    from collections import Counter
+    from itertools import combinations
+
+    r = random.Random(7)
+    xs = [r.randint(-60, 60) for _ in range(70)]
+    want = Counter(tuple(sorted(c)) for c in combinations(xs, 3) if sum(c) == 5)
+    df = spark.createDataFrame([(x,) for x in [*xs, None]], "x long").select(F.col("x").cast(kind))
+    got = O.three_sum_values(df, "x", 5, block=7)
+    assert {(int(a.x), int(a.y), int(a.z)): a.n_triples for a in got.collect()} == want
+
+
+def test_three_sum_of_many_distinct_values(spark):
+    """100 000 distinct values; the plan has no nested loop and the only sums
+    are the planted ones (all values but six are 1 modulo 3, the target 0)."""
+    n = 100_000
+    df = spark.range(n - 6).select((F.col("id") * 3_000_000 + 1).alias("x")).unionByName(
+        spark.createDataFrame([(-5,), (-1,), (6,), (3 * 10**12 + 2,), (-3 * 10**12,), (-2,)], "x long"))
+    got = O.three_sum_values(df, "x", 0, block=8192)
+    plan = got._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert (-3 * 10**12, -2, 3 * 10**12 + 2, 1) in set(map(tuple, got.collect()))

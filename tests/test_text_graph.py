@@ -106,3 +106,27 @@ def test_triplets_default_vertex(spark):
     assert G.graph_vertices(v, e, d).count() == 5
     t = dict(((r.src, r.dst), r.dst_name) for r in G.triplets(v, e, ["name", "role"], d).collect())
     assert t[(5, 0)] == "John Doe" and t[(3, 7)] == "jgonzal"
+
+
+def test_references_of_rfc_3986(spark):
+    """The examples of sections 5.4.1 and 5.4.2."""
+    want = {"g:h": "g:h", "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g",
+            "//g": "http://g", "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y", "#s": "http://a/b/c/d;p?q#s",
+            "g#s": "http://a/b/c/g#s", "g?y#s": "http://a/b/c/g?y#s", ";x": "http://a/b/c/;x", "g;x": "http://a/b/c/g;x",
+            "g;x?y#s": "http://a/b/c/g;x?y#s", "": "http://a/b/c/d;p?q", ".": "http://a/b/c/", "./": "http://a/b/c/",
+            "..": "http://a/b/", "../": "http://a/b/", "../g": "http://a/b/g", "../..": "http://a/", "../../": "http://a/",
+            "../../g": "http://a/g", "../../../g": "http://a/g", "../../../../g": "http://a/g", "/./g": "http://a/g",
+            "/../g": "http://a/g", "g.": "http://a/b/c/g.", ".g": "http://a/b/c/.g", "g..": "http://a/b/c/g..",
+            "..g": "http://a/b/c/..g", "./../g": "http://a/b/g", "./g/.": "http://a/b/c/g/", "g/./h": "http://a/b/c/g/h",
+            "g/../h": "http://a/b/c/h", "g;x=1/./y": "http://a/b/c/g;x=1/y", "g;x=1/../y": "http://a/b/c/y",
+            "g?y/./x": "http://a/b/c/g?y/./x", "g?y/../x": "http://a/b/c/g?y/../x", "g#s/../x": "http://a/b/c/g#s/../x"}
+    df = spark.createDataFrame([("http://a/b/c/d;p?q", h) for h in want], "base string, href string")
+    assert {r.href: r.u for r in df.select("href", G.resolve_url("base", "href").alias("u")).collect()} == want
+
+
+def test_links_in_every_quoting(spark):
+    html = ("<a href=\"/a.html\">1</a><A HREF='/b.html'>2</A><a class=x href=/c.html>3</a><a data-href='/no.html'>4</a>"
+            "<a\n href = \"../d.html\" rel='x'>5</a><area href='/no.html'>")
+    df = spark.createDataFrame([(1, "http://h.org/x/y/z.html", html)], "page_id long, url string, html string")
+    assert [(r.pos, r.dst) for r in G.extract_links(df).orderBy("pos").collect()] == [
+        (0, "http://h.org/a.html"), (1, "http://h.org/b.html"), (2, "http://h.org/c.html"), (3, "http://h.org/x/d.html")]
