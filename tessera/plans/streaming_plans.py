@@ -188,6 +188,20 @@ def seat_pool_remaining(spark, sf):
     return S.remaining_pool(pool, holds, "seat")
 
 
+def _anchors(html: str | None) -> int:
+    return (html or "").count("<a ")
+
+
+@plan("page_anchors_in_time", "STR-09", sql="""
+SELECT page_id, 'done' AS status, ((length(coalesce(html, '')) - length(replace(coalesce(html, ''), '<a ', ''))) // 3)::BIGINT
+       AS value, NULL::VARCHAR AS error FROM pages""")
+def page_anchors_in_time(spark, sf):
+    # Far less work than the limit allows, so every call ends in time.
+    from tessera.operators.deadline import call_within
+
+    return call_within(t(spark, sf, "pages").select("page_id", "html"), "html", _anchors, "bigint", seconds=300)
+
+
 @plan("event_timeout_split", "STR-09", sql="""
 SELECT event_id, CASE WHEN value * 10 > 1000 THEN 'timed out' ELSE 'done' END AS status FROM events""")
 def event_timeout_split(spark, sf):

@@ -345,3 +345,26 @@ def test_split_fold_replays_only_the_stretch(spark, pieces, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_slow_calls_are_timed_out(spark):
+    """Sleeping rows are marked, ended ones and failed ones keep their result."""
+    import time
+
+    from tessera.operators.deadline import call_within
+
+    def work(x):
+        if x is None:
+            raise ValueError("nothing to do")
+        time.sleep(x)
+        return int(x * 10)
+
+    df = spark.createDataFrame([(1, 0.0), (2, 60.0), (3, 0.1), (4, None), (5, 60.0), (6, 0.2)], "i long, s double").coalesce(1)
+    df = df.selectExpr("i", "CASE WHEN i = 4 THEN NULL ELSE CAST(s AS STRING) END AS s")
+    began = time.time()
+    got = {r.i: (r.status, r.value, r.error) for r in call_within(
+        df, "s", lambda x: work(None if x is None else float(x)), "bigint", seconds=4).collect()}
+    assert time.time() - began < 50
+    assert got == {1: ("done", 0, None), 2: ("timed out", None, "not done within 4 s"), 3: ("done", 1, None),
+                   4: ("failed", None, "ValueError: nothing to do"), 5: ("timed out", None, "not done within 4 s"),
+                   6: ("done", 2, None)}
