@@ -164,6 +164,35 @@ def crawl(links: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
     return visited
 
 
+def crawl_queue(links: DataFrame, seeds: DataFrame, per_round: int, max_rounds: int) -> DataFrame:
+    """Crawl within a budget (GR-04): (url, pos, round) of every URL in the
+    queue when the crawl ends, in discovery order; ``round`` is when it was
+    taken, null if the budget ran out before.
+
+    ``seeds`` (url, ord) begin the queue; each round takes the next
+    ``per_round`` URLs and appends what they link to (``links`` src, dst, pos)
+    in the order in which it is found, each URL once.  The crawl ends after
+    ``max_rounds`` rounds or when the queue is used up.  The queue is a table;
+    the driver only counts it."""
+    from tessera.operators.ordered import global_row_number
+
+    links = _cut(links.select("src", "dst", F.col("pos").alias("_at")))
+    first = seeds.groupBy("url").agg(F.min("ord").alias("_o"))
+    queue = _cut(global_row_number(first, ["_o", "url"], "pos", start=0).select("url", "pos"))
+    size, heads = queue.count(), [0]  # heads: where each round begins
+    while len(heads) <= max_rounds and heads[-1] < size:
+        heads.append(min(size, heads[-1] + per_round))
+        taken = queue.where((F.col("pos") >= heads[-2]) & (F.col("pos") < heads[-1]))
+        seen = taken.join(links, taken["url"] == links["src"]).groupBy(F.col("dst").alias("url")).agg(
+            F.min(F.struct("pos", "_at")).alias("_o"))
+        new = seen.join(queue.select("url"), "url", "left_anti").withColumn("_p", F.col("_o.pos")).withColumn("_q", F.col("_o._at"))
+        found = _cut(global_row_number(new, ["_p", "_q", "url"], "pos", start=size).select("url", "pos"))
+        size += found.count()
+        queue = queue.unionByName(found)  # checkpointed tables: shallow lineage
+    begun = F.size(F.filter(F.array(*map(F.lit, heads)), lambda h: h <= F.col("pos")))
+    return queue.withColumn("round", F.when(F.col("pos") < heads[-1], begun - 1))
+
+
 def tree_paths(nodes: DataFrame) -> DataFrame:
     """Root-to-node paths of a forest given as ``nodes(id, parent, key)``
     (``parent`` null for roots; ``key`` orders siblings).  Returns

@@ -134,6 +134,33 @@ def page_crawl(spark, sf):
     return G.crawl(links, seeds, max_depth=3)
 
 
+@plan("page_crawl_budget", "GR-04", sql="""
+WITH RECURSIVE ids AS (SELECT url, page_id, count(*) OVER () AS n FROM pages),
+links AS (SELECT a.url AS src, b.url AS dst, k.pos FROM ids a, (SELECT unnest(range(3)) AS pos) k
+          JOIN ids b ON b.page_id = (a.page_id * 3 + k.pos) % a.n),
+q(r, hs, h, urls) AS (
+  SELECT 0, [0::BIGINT], 0::BIGINT, (SELECT list(url ORDER BY page_id) FROM pages WHERE page_id IN (1, 2))
+  UNION ALL
+  SELECT r + 1, hs || [least(h + 4, len(urls))], least(h + 4, len(urls)), urls || coalesce((
+    SELECT list(dst ORDER BY o) FROM (
+      SELECT l.dst, min(u.i * 10 + l.pos) AS o
+      FROM (SELECT unnest(urls[h + 1:h + 4]) AS url, unnest(range(len(urls[h + 1:h + 4]))) AS i) u
+      JOIN links l ON l.src = u.url GROUP BY l.dst) WHERE NOT list_contains(urls, dst)), [])
+  FROM q WHERE r < 6 AND len(urls) > h),
+last AS (SELECT * FROM q ORDER BY r DESC LIMIT 1)
+SELECT url, pos, CASE WHEN pos < h THEN (len(list_filter(hs, lambda x: x <= pos)) - 1)::INTEGER END AS round
+FROM (SELECT hs, h, unnest(urls) AS url, unnest(range(len(urls))) AS pos FROM last)""")
+def page_crawl_budget(spark, sf):
+    # A link graph over the pages with several levels: page i names pages 3i,
+    # 3i + 1 and 3i + 2 (modulo their number).  Two seeds, six rounds of four.
+    p = t(spark, sf, "pages").select("url", "page_id")
+    n = p.agg(F.count(F.lit(1))).scalar()
+    out = p.select(F.col("url").alias("src"), F.posexplode(F.array(*[(F.col("page_id") * 3 + k) % n for k in range(3)])))
+    links = out.join(p.select(F.col("url").alias("dst"), F.col("page_id").alias("col")), "col").select("src", "dst", "pos")
+    seeds = p.where(F.col("page_id").isin(1, 2)).select("url", F.col("page_id").alias("ord"))
+    return G.crawl_queue(links, seeds, per_round=4, max_rounds=6)
+
+
 def _tree_nodes(spark, sf):
     r, n, c = t(spark, sf, "region"), t(spark, sf, "nation"), t(spark, sf, "customer")
     rid = lambda p, k: F.concat(F.lit(p), F.col(k).cast("string"))

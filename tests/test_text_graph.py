@@ -130,3 +130,17 @@ def test_links_in_every_quoting(spark):
     df = spark.createDataFrame([(1, "http://h.org/x/y/z.html", html)], "page_id long, url string, html string")
     assert [(r.pos, r.dst) for r in G.extract_links(df).orderBy("pos").collect()] == [
         (0, "http://h.org/a.html"), (1, "http://h.org/b.html"), (2, "http://h.org/c.html"), (3, "http://h.org/x/d.html")]
+
+
+def test_crawl_queue_keeps_its_budget(spark):
+    links = spark.createDataFrame([("a", "c", 0), ("a", "b", 1), ("b", "d", 0), ("c", "a", 0), ("c", "e", 1), ("c", "b", 2),
+                                   ("d", "f", 0), ("e", "d", 0)], "src string, dst string, pos long")
+    seeds = spark.createDataFrame([("a", 0), ("a", 3), ("z", 1)], "url string, ord long")
+
+    def queue(n, m):
+        return [(r.url, r.round) for r in G.crawl_queue(links, seeds, n, m).orderBy("pos").collect()]
+
+    # a finds c and b, z has no links; then c finds e and b finds d.
+    assert queue(2, 2) == [("a", 0), ("z", 0), ("c", 1), ("b", 1), ("e", None), ("d", None)]
+    assert queue(1, 0) == [("a", None), ("z", None)]
+    assert [u for u, _ in queue(8, 20)] == ["a", "z", "c", "b", "e", "d", "f"]
