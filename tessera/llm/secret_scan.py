@@ -85,10 +85,13 @@ def trigram_query(pattern: str) -> list[list[frozenset[str]]]:
         for op, arg in items:
             name = str(op)
             if name == "LITERAL":
-                one = {chr(arg).lower()}
+                one = {chr(arg).lower()} if arg < 128 else None
             elif name == "IN" and all(str(o) in ("LITERAL", "RANGE") for o, _ in arg):
-                codes = {c for o, a in arg for c in ([a] if str(o) == "LITERAL" else range(a[0], min(a[1], a[0] + 99) + 1))}
-                one = {chr(c).lower() for c in codes}
+                # A set is exact as a whole or not at all.  Beyond ASCII the lower case of a character
+                # depends on its neighbours and on the engine, so no trigram is asked for.
+                spans = [(a, a) if str(o) == "LITERAL" else a for o, a in arg]
+                one = ({chr(c).lower() for a, b in spans for c in range(a, b + 1)}
+                       if all(b < 128 for _, b in spans) else None)
             elif name == "SUBPATTERN":
                 one = exact(arg[3])
             elif name == "BRANCH":

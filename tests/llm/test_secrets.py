@@ -50,6 +50,66 @@ def test_every_match_meets_its_trigram_query():
     assert S.trigram_query("[0-9a-f]+") == [] and S.trigram_query("a?b*") == []
 
 
+def test_wide_ranges_and_letters_beyond_ascii():
+    for pattern, text in [("[\u0100-\u0200]bc[0-9]+", "x\u0190bc12"), ("[ -~]bcd", "\u007ezbcd"), ("[!-\u00ff]abc", "\u00fbabc"),
+                          ("a[A-z]{0,1}bcd", "azbcd"), ("\u03a3abc", "\u03a3abc"), ("ab\u0130cd", "ab\u0130cd")]:
+        assert re.search(pattern, text)
+        grams = {text.lower()[i:i + 3] for i in range(len(text.lower()) - 2)}
+        assert all(any(s <= grams for s in either) for either in S.trigram_query(pattern)), pattern
+
+
+def test_matches_of_random_expressions_meet_their_queries():
+    r = random.Random(12)
+
+    def expression(depth):
+        kind = r.randint(0, 7 if depth else 3)
+        if kind <= 1:
+            return "".join(r.choice("abAB1_\u00e9\u03a3") for _ in range(r.randint(1, 4)))
+        if kind == 2:
+            a, b = sorted(r.sample(range(48, 500 if r.random() < 0.3 else 122), 2))
+            return f"[{re.escape(chr(a))}-{re.escape(chr(b))}]"
+        if kind == 3:
+            return "[" + "".join(r.sample("abcdXYZ019", r.randint(1, 4))) + "]"
+        if kind == 4:
+            return "(" + "|".join(expression(depth - 1) for _ in range(r.randint(2, 3))) + ")"
+        if kind == 5:
+            return f"({expression(depth - 1)})" + r.choice(["?", "*", "+", "{2}", "{0,1}", "{1,3}"])
+        return expression(depth - 1) + expression(depth - 1)
+
+    def example(pattern):
+        """A string that the parsed expression stands for."""
+        out = ""
+        for op, arg in pattern:
+            name = str(op)
+            if name == "LITERAL":
+                out += chr(arg)
+            elif name == "IN":
+                o, a = r.choice(arg)
+                out += chr(a if str(o) == "LITERAL" else r.randint(*a))
+            elif name == "SUBPATTERN":
+                out += example(arg[3])
+            elif name == "BRANCH":
+                out += example(r.choice(arg[1]))
+            elif name == "MAX_REPEAT":
+                out += "".join(example(arg[2]) for _ in range(r.randint(arg[0], min(arg[1], arg[0] + 2))))
+        return out
+
+    from re import _parser
+
+    checked = 0
+    for _ in range(6000):
+        pattern = expression(3)
+        text = "x" + example(_parser.parse(pattern)) + "y"
+        if not re.search(pattern, text):
+            continue
+        low = text.lower()
+        grams = {low[i:i + 3] for i in range(len(low) - 2)}
+        for either in S.trigram_query(pattern):
+            checked += 1
+            assert any(s <= grams for s in either), (pattern, text)
+    assert checked > 300
+
+
 def test_redaction_and_edges(spark, odd_docs, no_docs):
     rows = list(enumerate(texts()))
     df = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
