@@ -188,6 +188,65 @@ def seat_pool_remaining(spark, sf):
     return S.remaining_pool(pool, holds, "seat")
 
 
+def _weekly(spark, rows):
+    """(folder, rows) of each week of the events, in order.  The caller lands
+    the rows and runs its query to the end, so a week is one batch."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/weekly-{uuid.uuid4().hex}"
+    week = F.date_trunc("week", "ts")
+    for w, n in rows.groupBy(week.alias("w")).count().orderBy(F.col("w").asc_nulls_first()).collect():
+        yield base, rows.where(week.eqNullSafe(F.lit(w))).repartition(-(-n // FILE_ROWS), F.xxhash64("event_id"))
+
+
+@plan("event_balance_cache", "STR-08", sql="""
+WITH RECURSIVE wk AS (SELECT date_trunc('week', ts) AS w, max(ts) AS now FROM events GROUP BY 1),
+uw AS (SELECT user_id, now, row_number() OVER (PARTITION BY user_id ORDER BY now) AS rn
+       FROM (SELECT DISTINCT user_id, now FROM events JOIN wk ON wk.w = date_trunc('week', ts))),
+f(user_id, rn, now, fill) AS (
+  SELECT user_id, rn, now, now FROM uw WHERE rn = 1
+  UNION ALL
+  SELECT u.user_id, u.rn, u.now, CASE WHEN f.fill >= u.now - INTERVAL 10 DAY THEN f.fill ELSE u.now END
+  FROM f JOIN uw u ON u.user_id = f.user_id AND u.rn = f.rn + 1)
+SELECT user_id, c_acctbal AS balance, strftime(now, '%Y-%m-%d %H:%M:%S') AS looked_up_at,
+       CASE WHEN c_acctbal IS NULL THEN 'missing' WHEN fill = now THEN 'fulfilled' ELSE 'cache' END AS source
+FROM f LEFT JOIN customer ON c_custkey = user_id""")
+def event_balance_cache(spark, sf):
+    # Users' balances are looked up through a cache in which entries live ten
+    # days of event time; each week is one batch of the stream.
+    from tessera.streaming.cache import ExpiringCache
+
+    e = t(spark, sf, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"))
+    balances = t(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_acctbal").alias("balance"))
+    for base, rows in _weekly(spark, e):
+        rows.write.mode("append").parquet(f"{base}/landing")
+        cache = ExpiringCache(spark, base, "user_id", "balance", "ts", 10 * 86400, lambda m: m.join(balances, "user_id"))
+        (spark.readStream.schema(e.schema).parquet(f"{base}/landing").writeStream.foreachBatch(cache.step)
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    return cache.lookups().select("user_id", "balance", "source", F.date_format(
+        "looked_up_at", "yyyy-MM-dd HH:mm:ss").alias("looked_up_at"))
+
+
+_SOURCES = ("purchase", "error", None)  # None: all other events
+
+
+@plan("event_streams_merged", "SET-02 STR-02", sql="""
+SELECT event_id, CASE WHEN event_type IN ('purchase', 'error') THEN event_type ELSE 'other' END AS source,
+       (dense_rank() OVER (ORDER BY date_trunc('week', ts)) - 1)::BIGINT AS arrival FROM events""")
+def event_streams_merged(spark, sf):
+    # Three landed sources read by one query; a week lands in all of them
+    # before the query goes on.
+    from tessera.streaming import merge as MG
+
+    e = t(spark, sf, "events").select("event_id", "event_type", "ts")
+    kind = F.when(F.col("event_type").isin("purchase", "error"), F.col("event_type")).otherwise("other")
+    for base, rows in _weekly(spark, e):
+        names = [s or "other" for s in _SOURCES]
+        for s in names:
+            rows.where(kind == s).write.mode("append").parquet(f"{base}/landing/{s}")
+        streams = {s: spark.readStream.schema(e.schema).parquet(f"{base}/landing/{s}") for s in names}
+        MG.start_merge(streams, f"{base}/merged", f"{base}/checkpoint").awaitTermination()
+    return MG.merged(spark, f"{base}/merged").select("event_id", "source", "arrival")
+
+
 def _anchors(html: str | None) -> int:
     return (html or "").count("<a ")
 

@@ -95,6 +95,14 @@ def portfolio_fold(df: DataFrame, key: str, order: Sequence[str], delta: str,
     return out.select(F.col("_k").cast(df.schema[key].dataType).alias(key), "owned", "trades")
 
 
+def complete_batches(spark, folder: str) -> list[int]:
+    """Batch ids of the tables under ``folder`` that were written to the end."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/*/_SUCCESS")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or ()
+    return sorted(int(f.getPath().getParent().getName()) for f in found)
+
+
 class PortfolioStream:
     """Streaming form of the portfolio fold, for ``foreachBatch``.
 
@@ -107,12 +115,8 @@ class PortfolioStream:
         self.spark, self.folder, self.key, self.order, self.delta, self.delay = spark, folder, key, list(order), delta, delay
 
     def _steps(self) -> list[int]:
-        """Batches folded so far, by this or an earlier process: those whose
-        state, written last, is complete."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/state/*/_SUCCESS")
-        found = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or ()
-        return [int(f.getPath().getParent().getName()) for f in found]
+        """Batches folded so far, by this or an earlier process."""
+        return complete_batches(self.spark, f"{self.folder}/state")
 
     def _read(self, name: str, batch: int | None, schema) -> DataFrame:
         if batch is None:

@@ -368,3 +368,39 @@ def test_slow_calls_are_timed_out(spark):
     assert got == {1: ("done", 0, None), 2: ("timed out", None, "not done within 4 s"), 3: ("done", 1, None),
                    4: ("failed", None, "ValueError: nothing to do"), 5: ("timed out", None, "not done within 4 s"),
                    6: ("done", 2, None)}
+
+
+def test_first_come_first_served(spark, tmp):
+    from tessera.streaming import merge as MG
+
+    schema = "k long, at long"
+    land = lambda name, data: spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{tmp}/{name}")
+    for batch in ({"a": [(1, 5)], "b": [(1, 3), (2, 9)]}, {"a": [(2, 0), (3, 1)], "b": []}, {"b": [(3, 0), (4, 4)]}):
+        for name in ("a", "b"):
+            land(name, batch.get(name, []))
+        streams = {n: spark.readStream.schema(schema).parquet(f"{tmp}/{n}") for n in ("a", "b")}
+        MG.start_merge(streams, f"{tmp}/out", f"{tmp}/ck").awaitTermination()
+    got = MG.merged(spark, f"{tmp}/out")
+    assert rows(MG.first_come(got, "k", "at"), "k", "at", "source", "arrival") == [
+        (1, 3, "b", 0), (2, 9, "b", 0), (3, 1, "a", 1), (4, 4, "b", 2)]
+    assert got.count() == 7
+
+
+def test_cache_entries_expire_in_a_stream(spark, tmp):
+    """A new object for every batch: the cache is the table, not the process."""
+    from tessera.streaming.cache import ExpiringCache
+
+    prices = {"v": spark.createDataFrame([("GE", 1.0), ("IBM", 2.0)], "s string, price double")}
+
+    def step(i, data):
+        df = spark.createDataFrame(data, "s string, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+        cache = ExpiringCache(spark, tmp, "s", "price", "ts", 3600, lambda m: m.join(prices["v"], "s"))
+        cache.step(df, i)
+        return {r.s: (r.price, r.source) for r in spark.read.parquet(f"{tmp}/lookups/{i}").collect()}
+
+    assert step(0, [("GE", "2024-01-01 10:00:00"), ("X", "2024-01-01 09:00:00")]) == {"GE": (1.0, "fulfilled"), "X": (None, "missing")}
+    prices["v"] = spark.createDataFrame([("GE", 7.0), ("IBM", 8.0)], "s string, price double")
+    assert step(1, [("GE", "2024-01-01 10:59:00"), ("IBM", "2024-01-01 10:30:00")]) == {"GE": (1.0, "cache"), "IBM": (8.0, "fulfilled")}
+    assert step(2, [("GE", "2024-01-01 11:01:00"), ("IBM", "2024-01-01 11:01:00")]) == {"GE": (7.0, "fulfilled"), "IBM": (8.0, "cache")}
+    assert step(2, [("GE", "2024-01-01 11:01:00")]) == {"GE": (7.0, "fulfilled")}  # run again: from the version before
+    assert spark.read.parquet(f"{tmp}/cache/2").count() == 2
