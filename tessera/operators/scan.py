@@ -151,3 +151,31 @@ def last_seen(df: DataFrame, order: Sequence, value: str, name: str) -> DataFram
     carry = parts.select("_pid", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
     return loc.join(F.broadcast(carry), "_pid").withColumn(name, F.coalesce("_seen", "_carry")).drop(
         "_k", "_pid", "_mid", "_seen", "_carry")
+
+
+def fold_fragments(df: DataFrame, key: str | Sequence[str], order: Sequence, value: Column, zero: Column, merge) -> DataFrame:
+    """(keys, part, fragment): the ordered fold of each key's values, in parts.
+
+    ``merge`` (two columns to one) is associative with identity ``zero`` but
+    need not commute.  The range sort by (key, order) cuts a hot key into
+    partitions; the stretch of a key in one of them is folded there, so no
+    task holds more of a key than a partition does.  Folding the fragments by
+    ``part`` gives the whole fold."""
+    names = [key] if isinstance(key, str) else list(key)
+    s = _sorted(df.withColumn("_v", value), [F.col(k) for k in names], [F.col(c) if isinstance(c, str) else c for c in order])
+    stretch = s.groupBy("_pid", "_k").agg(F.array_sort(F.collect_list(F.struct("_mid", "_v"))).alias("_vs"))
+    folded = F.aggregate("_vs", zero, lambda acc, x: merge(acc, x["_v"]))
+    return stretch.select(*[F.col(f"_k.k{i}").alias(k) for i, k in enumerate(names)], F.col("_pid").alias("part"),
+                          folded.alias("fragment"))
+
+
+def ordered_fold(df: DataFrame, key: str | Sequence[str], order: Sequence, value: Column, zero: Column, merge,
+                 name: str = "folded") -> DataFrame:
+    """One row a key: the ordered fold of its values by any monoid (AGG-33),
+    its fragments (at most one a partition) folded in turn.  Where the result
+    itself grows with the group, as concatenation does, use
+    :func:`fold_fragments` and never build it."""
+    names = [key] if isinstance(key, str) else list(key)
+    parts = fold_fragments(df, key, order, value, zero, merge).groupBy(*names).agg(
+        F.array_sort(F.collect_list(F.struct("part", "fragment"))).alias("_ps"))
+    return parts.select(*names, F.aggregate("_ps", zero, lambda acc, x: merge(acc, x["fragment"])).alias(name))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import fround
 from tessera.operators import aggregate as A
+from tessera.operators.scan import fold_fragments, ordered_fold
 from tessera.plans.common import t
 from tessera.plans.registry import plan
 
@@ -256,13 +257,21 @@ def distinct_user_event_types(spark, sf):
 SELECT conv_id, string_agg(substr(role, 1, 1), '' ORDER BY turn) AS roles, coalesce(sum(turn), 0)::BIGINT AS turn_sum
 FROM conversations GROUP BY conv_id""")
 def conversation_monoids(spark, sf):
-    # String monoid ("" identity) needs the turn order; the per-conversation
-    # list is bounded by the conversation itself.
-    c = t(spark, sf, "conversations")
-    ordered = F.array_sort(F.collect_list(F.struct("turn", F.substring("role", 1, 1).alias("r"))))
-    return c.groupBy("conv_id").agg(
-        F.array_join(F.transform(ordered, lambda x: x["r"]), "").alias("roles"),
-        F.coalesce(F.sum("turn"), F.lit(0)).cast("bigint").alias("turn_sum"))
+    # Concatenation ("" is its identity) needs the turn order, addition does not.
+    c = t(spark, sf, "conversations").select("conv_id", "turn", F.substring("role", 1, 1).alias("r"))
+    roles = ordered_fold(c, "conv_id", ["turn"], F.coalesce("r", F.lit("")), F.lit(""), lambda a, b: F.concat(a, b), "roles")
+    sums = c.groupBy(F.col("conv_id").alias("_c")).agg(F.coalesce(F.sum("turn"), F.lit(0)).cast("bigint").alias("turn_sum"))
+    return roles.join(sums, F.col("conv_id").eqNullSafe(F.col("_c"))).select("conv_id", "roles", "turn_sum")
+
+
+@plan("conversation_role_fragments", "AGG-33", sql="""
+SELECT conv_id, string_agg(substr(role, 1, 1), '' ORDER BY turn) AS roles FROM conversations GROUP BY conv_id""")
+def conversation_role_fragments(spark, sf):
+    # Fragments of the concatenations, joined here only so that they can be compared.
+    c = t(spark, sf, "conversations").select("conv_id", "turn", F.substring("role", 1, 1).alias("r"))
+    parts = fold_fragments(c, "conv_id", ["turn"], F.coalesce("r", F.lit("")), F.lit(""), lambda a, b: F.concat(a, b))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "fragment"))), lambda x: x["fragment"]), "")
+    return parts.groupBy("conv_id").agg(joined.alias("roles"))
 
 
 @plan("supplier_revenue_mapreduce", "AGG-21 UDF-01", sql="""

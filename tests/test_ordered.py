@@ -265,3 +265,36 @@ def test_three_sum_of_many_distinct_values(spark):
     plan = got._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert (-3 * 10**12, -2, 3 * 10**12 + 2, 1) in set(map(tuple, got.collect()))
+
+
+def test_ordered_fold_of_a_hot_key(spark):
+    """Matrix products and concatenations do not commute; one key has most rows."""
+    import random
+    from functools import reduce
+
+    from tessera.operators.scan import fold_fragments, ordered_fold
+
+    r = random.Random(1)
+    data = [(None if i % 50 == 0 else 0 if i % 5 else i % 3, i, r.choice("abc")) for i in range(2000)]
+    r.shuffle(data)
+    df = spark.createDataFrame(data, "k long, i long, v string").repartition(6)
+    mats = {"a": (1, 1, 0, 1), "b": (1, 0, 1, 1), "c": (0, 1, 1, 0)}
+    mod = 9973
+
+    def product(a, b):
+        e = lambda i, j: (a[i] * b[j] + a[i + 1] * b[j + 2]) % mod
+        return (e(0, 0), e(0, 1), e(2, 0), e(2, 1))
+
+    def merge(a, b):
+        return F.array(*[(a[i] * b[j] + a[i + 1] * b[j + 2]) % mod for i, j in ((0, 0), (0, 1), (2, 0), (2, 1))])
+
+    lit = lambda m: F.array(*[F.lit(x).cast("bigint") for x in m])
+    value = F.when(F.col("v") == "a", lit(mats["a"])).when(F.col("v") == "b", lit(mats["b"])).otherwise(lit(mats["c"]))
+    want = {}
+    for k, _, v in sorted(data, key=lambda x: x[1]):
+        want.setdefault(k, []).append(v)
+    got = {x.k: tuple(x.folded) for x in ordered_fold(df, "k", ["i"], value, lit((1, 0, 0, 1)), merge).collect()}
+    assert got == {k: reduce(product, [mats[v] for v in vs], (1, 0, 0, 1)) for k, vs in want.items()}
+    parts = fold_fragments(df, "k", ["i"], F.col("v"), F.lit(""), lambda a, b: F.concat(a, b)).collect()
+    for k, vs in want.items():
+        assert "".join(p.fragment for p in sorted(parts, key=lambda p: p.part) if p.k == k) == "".join(vs)
