@@ -103,15 +103,17 @@ def count_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _shared_depth(words: DataFrame) -> DataFrame:
     """(w, word, deep): a depth at which no other word shares the prefix of
-    the word (or its length), at most twice the least such depth."""
+    the word (or its length), at most twice the least such depth or 4."""
     size = F.length("word")
-    steps = F.sequence(F.lit(0), F.floor(F.log2(size)).cast("int"))
+    # Prefixes of 4, 8, 16, ... letters; those of one or two letters are shared by very many words.
+    last = F.floor(F.log2(size)).cast("int")
+    steps = F.when(last >= 2, F.sequence(F.lit(2), last))
     at = words.select("w", "word", F.explode(steps).alias("j"))
     at = at.withColumn("p", F.xxhash64("j", F.substring("word", F.lit(1), F.expr("shiftleft(1, j)"))))
     shared = at.groupBy("p").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     most = at.select("w", "j", "p").join(shared, "p").groupBy("w").agg(F.max("j").alias("j"))
     return words.join(most, "w", "left").select(
-        "w", "word", F.least(size, F.coalesce(F.expr("shiftleft(1, j + 1)"), F.lit(1))).alias("deep"))
+        "w", "word", F.least(size, F.coalesce(F.expr("shiftleft(1, j + 1)"), F.lit(4))).alias("deep"))
 
 
 def trie(words: DataFrame) -> DataFrame:
@@ -178,6 +180,19 @@ def _step(frontier: DataFrame, nodes: DataFrame) -> DataFrame:
                       ((F.col("c") > 1) & (F.col("pos") < F.col("_len"))).alias("go")).where("go or found is not null")
 
 
+def _one_edit(x: str, y: str):
+    """Whether two different texts are one insertion, deletion or replacement
+    apart: what follows their first difference is equal.  Linear in their
+    length, which ``levenshtein`` is not."""
+    differ = F.zip_with(F.split(x, ""), F.split(y, ""), lambda a, b: ~a.eqNullSafe(b))
+    at = F.array_position(differ, True).cast("int")
+    more = F.length(x) - F.length(y)
+    size = F.greatest(F.length(x), F.length(y))
+    after = (F.substring(x, at + F.when(more >= 0, 1).otherwise(0), size)
+             == F.substring(y, at + F.when(more <= 0, 1).otherwise(0), size))
+    return (F.abs(more) <= 1) & (at > 0) & after
+
+
 def neighbours(words: DataFrame) -> DataFrame:
     """(u, v): both orders of each pair of near words; ``words`` (w, word) is
     a stable frame of distinct words and their numbers."""
@@ -199,7 +214,7 @@ def neighbours(words: DataFrame) -> DataFrame:
         F.least("w", "found").alias("u"), F.greatest("w", "found").alias("v")).distinct()
     near = (found.join(words.select(F.col("w").alias("u"), F.col("word").alias("x")), "u")
             .join(words.select(F.col("w").alias("v"), F.col("word").alias("y")), "v")
-            .where(F.levenshtein("x", "y", 1) == 1).select("u", "v"))
+            .where(_one_edit("x", "y")).select("u", "v"))
     near = materialize(near)
     return near.unionByName(near.select(F.col("v").alias("u"), F.col("u").alias("v")))
 

@@ -78,8 +78,15 @@ def test_dense_words_against_brute_force(spark):
     assert any(form is not None and root != form for _, form, root, *_ in got)
 
 
+def test_one_edit(spark):
+    pairs = [("abc", "abd", True), ("abc", "ab", True), ("abc", "bc", True), ("abc", "xabc", True), ("abc", "acb", False),
+             ("abc", "abc", False), ("aab", "ab", True), ("éa", "ÿa", True), ("abcd", "abxy", False), ("ab", "abcd", False)]
+    df = spark.createDataFrame(pairs, "x string, y string, w boolean")
+    assert df.where(spelling._one_edit("x", "y") != df["w"]).collect() == []
+
+
 def test_long_words(spark):
-    long = "xy" * 100_000
+    long = "xy" * 20_000
     n = {"q" + long: 500, "z" + long: 7, "zebras": 5, "zebra÷s": 30, "zebrasq": 5}
     got = variants(spark, n)
     assert [r[1] for r in got if r[0] == "z" + long] == ["q" + long]
