@@ -46,31 +46,49 @@ def indexers(columns: Sequence[str]) -> list[StringIndexer]:
             for c in columns]
 
 
-def forest_pipeline(categorical: Sequence[str], one_hot: Sequence[str], numeric: Sequence[str], label: str,
-                    trees: int = 100, depth: int = 6, seed: int = 1234) -> Pipeline:
-    """Index categoricals, one-hot some of them (ML-04), assemble (ML-05) and
-    fit a random forest (ML-07)."""
-    stages = indexers(categorical)
+def feature_stages(categorical: Sequence[str], one_hot: Sequence[str], numeric: Sequence[str]) -> list:
+    """Index categoricals (ML-02), one-hot some of them (ML-04), assemble all
+    into ``features`` (ML-05): one-hot codes, other indexes, numbers."""
     enc = OneHotEncoder(inputCols=[f"{c}_idx" for c in one_hot], outputCols=[f"{c}_vec" for c in one_hot])
     feats = [f"{c}_vec" for c in one_hot] + [f"{c}_idx" for c in categorical if c not in one_hot] + list(numeric)
-    asm = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="skip")
+    return [*indexers(categorical), enc, VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="skip")]
+
+
+def forest_pipeline(categorical: Sequence[str], one_hot: Sequence[str], numeric: Sequence[str], label: str,
+                    trees: int = 100, depth: int = 6, seed: int = 1234) -> Pipeline:
+    """The features and a random forest on them (ML-07)."""
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed)
-    return Pipeline(stages=[*stages, enc, asm, rf])
+    return Pipeline(stages=[*feature_stages(categorical, one_hot, numeric), rf])
+
+
+def area_under_roc(scored: DataFrame, label: str, score: str = "rawPrediction", bins: int = 1000) -> float:
+    """Area under the ROC curve (ML-08).  ``score`` is a column of raw
+    predictions or of plain doubles.  The curve has about ``bins`` points; 0
+    takes a point for each distinct score, which is exact."""
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, metricName="areaUnderROC",
+                                         numBins=bins).evaluate(scored)
+
+
+def confusion(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
+    """(label, prediction, n): the counts of a scored frame by class."""
+    return scored.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+TF_BUCKETS = 10000  # fixed value
 
 
-def area_under_roc(scored: DataFrame, label: str) -> float:
-    """Area under the ROC curve (ML-08)."""
-    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                         metricName="areaUnderROC").evaluate(scored)
+def term_frequencies(text: str, features: int = TF_BUCKETS) -> list:
+    """Space-split words -> hashed term frequencies (ML-10)."""
+    return [_SplitWords(inputCol=text, outputCol="_words"),
+            HashingTF(numFeatures=features, inputCol="_words", outputCol="features")]
 
 
-def text_classifier(text: str, label: str, features: int = 10000, iterations: int = 100) -> Pipeline:
-    """Space-split words -> hashed term frequencies (10 000 buckets, ML-10)
-    -> logistic regression (ML-11; the SGD variant is legacy in Spark)."""
-    words = _SplitWords(inputCol=text, outputCol="_words")
-    tf = HashingTF(numFeatures=features, inputCol="_words", outputCol="features")
+def text_classifier(text: str, label: str, features: int = TF_BUCKETS, iterations: int = 100) -> Pipeline:
+    """Hashed term frequencies -> logistic regression (ML-11; the SGD variant
+    is legacy in Spark)."""
     lr = LogisticRegression(labelCol=label, featuresCol="features", maxIter=iterations)
-    return Pipeline(stages=[words, tf, lr])
+    return Pipeline(stages=[*term_frequencies(text, features), lr])
 
 
 def mlp(layers: Sequence[int], seed: int = 1234, iterations: int = 100) -> MultilayerPerceptronClassifier:
@@ -78,9 +96,10 @@ def mlp(layers: Sequence[int], seed: int = 1234, iterations: int = 100) -> Multi
     return MultilayerPerceptronClassifier(layers=list(layers), seed=seed, maxIter=iterations, blockSize=128)
 
 
-def weighted_precision(scored: DataFrame, label: str) -> float:
+def weighted_precision(scored: DataFrame, label: str, prediction: str = "prediction") -> float:
     """Multiclass precision (ML-13); Spark 4 names it ``weightedPrecision``."""
-    return MulticlassClassificationEvaluator(labelCol=label, metricName="weightedPrecision").evaluate(scored)
+    return MulticlassClassificationEvaluator(labelCol=label, predictionCol=prediction,
+                                             metricName="weightedPrecision").evaluate(scored)
 
 
 def as_vector(col: str | Column) -> Column:
@@ -104,5 +123,5 @@ class _SplitWords(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
         return df.withColumn(self.getOutputCol(), F.split(F.coalesce(F.col(self.getInputCol()), F.lit("")), " "))
 
 
-__all__ = ["PipelineModel", "hash_split", "mean_imputer", "bucketizer", "indexers", "forest_pipeline",
-           "area_under_roc", "text_classifier", "mlp", "weighted_precision", "as_vector"]
+__all__ = ["PipelineModel", "hash_split", "mean_imputer", "bucketizer", "indexers", "feature_stages", "forest_pipeline",
+           "area_under_roc", "confusion", "term_frequencies", "text_classifier", "mlp", "weighted_precision", "as_vector"]

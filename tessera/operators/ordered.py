@@ -244,10 +244,15 @@ def even_position_sum(df: DataFrame, partition, order, value: str, digits: int =
 
 def rank_zip(a: DataFrame, b: DataFrame, a_value: str, b_value: str) -> DataFrame:
     """Pair the n-th smallest of ``a`` with the n-th smallest of ``b`` (JN-07);
-    the longer side's tail has no partner and is dropped."""
-    ra = global_row_number(a.select(F.col(a_value).alias("a")).where("a IS NOT NULL"), ["a"], "rank")
-    rb = global_row_number(b.select(F.col(b_value).alias("b")).where("b IS NOT NULL"), ["b"], "rank")
-    return ra.join(rb, "rank")
+    the longer side's tail has no partner and is dropped.  Equal values are
+    told apart by a row number, so the range sort can split them over
+    partitions; which of them comes first changes no pair of values."""
+    def ranked(df, value, name):
+        rows = df.select(F.col(value).alias(name)).where(F.col(name).isNotNull())
+        tied = rows.withColumn("_tie", F.monotonically_increasing_id())
+        return global_row_number(tied, [name, "_tie"], "rank").select("rank", name)
+
+    return ranked(a, a_value, "a").join(ranked(b, b_value, "b"), "rank")
 
 
 def positional_zip(a: DataFrame, a_order, b: DataFrame, b_order) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.numeric import fround
 from tessera.operators.ml import as_vector
+from tessera.operators import ordered as O
 from tessera.operators import policies as P
 from tessera.operators import records as REC
 from tessera.plans.common import t
@@ -105,10 +106,13 @@ def nation_customer_files(spark, sf):
 @plan("supplier_csv_fields", "SRC-08", sql="""
 SELECT s_suppkey::VARCHAR AS f0, s_name AS f1, 2::INTEGER AS n_fields FROM supplier UNION ALL SELECT 's_suppkey', 's_name', 2""")
 def supplier_csv_fields(spark, sf):
-    path = _scratch(spark, "fields")
-    K.write_csv(t(spark, sf, "supplier").select("s_suppkey", "s_name").repartition(1), path, header=True)
-    return IO.read_csv_lines(spark, path).select(F.col("fields")[0].alias("f0"), F.col("fields")[1].alias("f1"),
-                                                 F.size("fields").alias("n_fields"))
+    # The header is a file of its own beside the part files, which every task writes.
+    head, body = _scratch(spark, "fields-header"), _scratch(spark, "fields")
+    s = t(spark, sf, "supplier").select("s_suppkey", "s_name")
+    K.write_csv(s.limit(0), head, header=True)
+    K.write_csv(s, body, header=False)
+    return IO.read_csv_lines(spark, [head, body]).select(
+        F.col("fields")[0].alias("f0"), F.col("fields")[1].alias("f1"), F.size("fields").alias("n_fields"))
 
 
 @plan("priority_counts_single_file", "SNK-02", sql="""
@@ -178,6 +182,25 @@ def order_item_pages(spark, sf):
     return back.select("page", F.inline("items"))
 
 
+@plan("lineitem_offset_pages", "SRC-13", sql="""
+SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity) - 1 AS pos, l_orderkey AS orderkey,
+       l_partkey AS partkey, l_quantity AS quantity FROM lineitem""")
+def lineitem_offset_pages(spark, sf):
+    # The whole table is one collection, landed in pages of 100 items {"offset": .., "limit": 100, "items": [..]};
+    # a page's offset and the place of an item in it give back the place in the collection.
+    path, limit = _scratch(spark, "offset-pages"), 100
+    rows = O.global_row_number(t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"),
+                               ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"], "pos", start=0)
+    item = F.struct("pos", F.col("l_orderkey").alias("orderkey"), F.col("l_partkey").alias("partkey"),
+                    F.col("l_quantity").alias("quantity"))
+    pages = rows.groupBy((F.col("pos") - F.col("pos") % limit).alias("offset")).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    pages.select("offset", F.lit(limit).alias("limit"), F.transform("items", lambda x: x.dropFields("pos")).alias("items")
+                 ).write.mode("overwrite").json(path)
+    back = IO.read_paginated(spark, path, schema="offset bigint, items array<struct<orderkey: bigint, partkey: bigint, quantity: double>>",
+                             keep=["offset"], multiline=False)
+    return back.select((F.col("offset") + F.col("item_pos")).alias("pos"), "orderkey", "partkey", "quantity")
+
+
 @plan("embedding_libsvm_roundtrip", "SRC-05", sql="""
 SELECT vec_id, label::DOUBLE AS label, len(list_filter(embedding, lambda x: x <> 0))::BIGINT AS active,
        round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 4) AS total

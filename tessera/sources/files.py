@@ -30,9 +30,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return r.csv(path)
 
 
-def read_csv_lines(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Lines split on the delimiter into an array, header kept as data (SRC-08)."""
-    return spark.read.text(path).select(F.split("value", sep).alias("fields"))
+def read_csv_lines(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> DataFrame:
+    """Lines of one or several paths split on the delimiter into an array,
+    header kept as data (SRC-08)."""
+    paths = path if isinstance(path, str) else list(path)
+    return spark.read.text(paths).select(F.split("value", sep).alias("fields"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -66,12 +68,15 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None
     return (r.schema(schema) if schema is not None else r).json(path)
 
 
-def read_paginated(spark: SparkSession, path: str, items: str = "items", schema=None) -> DataFrame:
-    """Landed offset/limit pages -> one row per item (SRC-13); the page
-    files are read in parallel and exploded, no HTTP in the job."""
-    pages = read_json(spark, path, schema, multiline=True)
-    return pages.select(F.input_file_name().alias("page"), F.posexplode(items).alias("item_pos", "item")).select(
-        "page", "item_pos", "item.*")
+def read_paginated(spark: SparkSession, path: str, items: str = "items", schema=None,
+                   keep: Sequence[str] = (), multiline: bool = True) -> DataFrame:
+    """Landed offset/limit pages -> one row per item (SRC-13); the pages are
+    read in parallel and exploded, no HTTP in the job.  A page is a file, or
+    with ``multiline=False`` a line, so that a file holds many and can be
+    split.  ``keep`` names fields of the page to carry to its items."""
+    pages = read_json(spark, path, schema, multiline=multiline)
+    return pages.select(F.input_file_name().alias("page"), *keep, F.posexplode(items).alias("item_pos", "item")).select(
+        "page", *keep, "item_pos", "item.*")
 
 
 def counter(spark: SparkSession, start: int, stop: int, step: int = 1) -> DataFrame:

@@ -60,3 +60,23 @@ def test_forest_and_text_pipelines_run(spark):
     tm = M.text_classifier("text", "label", iterations=20).fit(texts)
     pred = {r.text: r.prediction for r in tm.transform(texts).collect()}
     assert pred["win cash now"] == 1.0 and pred["lunch at noon"] == 0.0
+
+
+def test_reports_tell_a_model_from_a_constant(spark):
+    from tessera.plans.ml import _beats_majority, _report
+
+    rows = [(float(i % 4 == 0), float(i % 4 == 0), 0.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "label double, good double, constant double")
+    good, constant = (df.select("label", F.col(c).alias("prediction")) for c in ("good", "constant"))
+    assert _beats_majority(good, "label") and not _beats_majority(constant, "label")
+    assert not _beats_majority(good.limit(0), "label")  # nothing labelled
+    assert {(r.label, r.prediction): r.n for r in M.confusion(constant, "label").collect()} == {(0.0, 0.0): 30, (1.0, 0.0): 10}
+    got = _report(good, constant.limit(5), None, False).first()
+    assert (got.n_train, got.n_test, got.n_scored, got.metric_in_range, got.beats_constant) == (40, 5, 5, False, False)
+
+
+def test_area_under_roc_of_plain_scores(spark):
+    rows = [(1.0, 0.9), (0.0, 0.9), (1.0, 0.4), (0.0, 0.1)]
+    df = spark.createDataFrame(rows, "label double, score double")
+    assert M.area_under_roc(df, "label", "score", bins=0) == pytest.approx(0.625)
+    assert M.area_under_roc(df.withColumn("score", F.lit(0.5)), "label", "score", bins=0) == pytest.approx(0.5)

@@ -298,3 +298,14 @@ def test_ordered_fold_of_a_hot_key(spark):
     parts = fold_fragments(df, "k", ["i"], F.col("v"), F.lit(""), lambda a, b: F.concat(a, b)).collect()
     for k, vs in want.items():
         assert "".join(p.fragment for p in sorted(parts, key=lambda p: p.part) if p.k == k) == "".join(vs)
+
+
+def test_rank_zip_splits_equal_values(spark):
+    # One value holds nearly all rows; its copies are told apart in the sort.
+    a = spark.range(4000).select(F.when(F.col("id") < 3990, F.lit(5.0)).otherwise(F.col("id").cast("double")).alias("x"))
+    b = spark.range(3000).select(F.col("id").cast("double").alias("y")).unionByName(
+        spark.createDataFrame([(None,)], "y double"))
+    z = O.rank_zip(a, b, "x", "y")
+    got = z.agg(F.count(F.lit(1)), F.sum(F.abs(F.col("a") - F.col("b")))).first()
+    assert got[0] == 3000 and got[1] == sum(abs(5.0 - i) for i in range(3000))
+    assert z.columns == ["rank", "a", "b"]
