@@ -13,9 +13,13 @@ into blocks too, so a task never holds more than one block of each, also when
 many rows are equal.  Each pair of blocks hands on the best ``k`` of each
 query (all ties decided by the smaller id), and these are merged.
 
+Vectors of different lengths have no cosine: each length is searched by itself,
+the commonest and all with more than ``BLOCK`` rows through partitions of their
+own, the rest exactly, one group a length.
+
 Defined cases: vectors that are null, zero, or hold null or non-finite
-components take no part, nor do those whose length is not the most common one;
-candidates with the query's own id are its own row; repeated rows are
+components take no part; components of any finite size are scored in full
+precision (rows are scaled by a power of two first); candidates with the query's own id are its own row; repeated rows are
 candidates once for each row; null ids take no part; a query that finds fewer
 than k rows in its parts goes to all parts, so with fewer than k candidates all
 are returned; an empty table gives an empty result; other columns are ignored.
@@ -24,6 +28,7 @@ are returned; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -36,13 +41,20 @@ BLOCK = 4096
 
 
 def usable(docs: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, v): finite, non-zero vectors of the most common length, as doubles."""
+    """(vec_id, v): finite, non-zero vectors, as doubles."""
     ok = (F.col("vec_id").isNotNull() & F.col("v").isNotNull()
           & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
           & F.exists("v", lambda x: x != 0))
-    d = docs.select(F.col(id_col).alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v")).where(ok)
-    size = d.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return d.where(F.size("v") == (size["n"] if size else 0))
+    return docs.select(F.col(id_col).alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v")).where(ok)
+
+
+def long_lengths(vectors: DataFrame) -> list[tuple[int, int]]:
+    """(length, rows) of the commonest length and of all that more than
+    ``BLOCK`` rows have: at most one for each ``BLOCK`` rows, and one."""
+    sizes = vectors.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("rows"))
+    first = sizes.orderBy(F.desc("rows"), "n").limit(1)
+    got = first.union(sizes.where(F.col("rows") > BLOCK)).distinct().collect()
+    return sorted((r["n"], r["rows"]) for r in got)
 
 
 def _unit(x):
@@ -52,6 +64,14 @@ def _unit(x):
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _scaled(x):
+    """Rows times a power of two that brings their largest component near 1,
+    so squares neither overflow nor vanish; a cosine keeps its bits."""
+    import numpy as np
+
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def neighbour_graph(u, k: int):
     """The k nearest rows of each row (itself left out), in blocks."""
     import numpy as np
@@ -219,7 +239,7 @@ def _search(k: int):
 
         cols = {"query_id": [], "vec_id": [], "score": []}
         if len(rows) and len(queries):
-            v, q = np.stack(rows["v"]), np.stack(queries["v"])
+            v, q = _scaled(np.stack(rows["v"])), _scaled(np.stack(queries["v"]))
             vid, qid = rows["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
             nv = np.sqrt((v * v).sum(1))
             vu = _unit(v)
@@ -245,14 +265,30 @@ def search(table: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id"
            sample: int = SAMPLE) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest other rows found for
     each row that meets ``queries``, a condition on column ``vec_id``."""
-    spark = table.sparkSession
     vectors = usable(table, id_col, vec_col)
-    rows = vectors.count()
+    kind = table.schema[id_col].dataType.simpleString()
+    long = long_lengths(vectors)
+    found = [_search_length(vectors.where(F.size("v") == n), rows, queries, k, sample, kind) for n, rows in long]
+    # Every other length has at most BLOCK rows.
+    rest = vectors.where(~F.size("v").isin([n for n, _ in long])).withColumn("n", F.size("v"))
+    hits = rest.groupBy("n").cogroup(rest.where(queries).distinct().groupBy("n")).applyInPandas(
+        _search(k), f"query_id {kind}, vec_id {kind}, score double")
+    return reduce(DataFrame.unionByName, found, _best(hits, k))
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+        "query_id", "rank", "vec_id", "score")
+
+
+def _search_length(vectors: DataFrame, rows: int, queries: Column, k: int, sample: int, kind: str) -> DataFrame:
+    """Search among vectors of one length."""
+    spark = vectors.sparkSession
     router, parts, visits = fit(vectors, rows, k, sample)
     if rows <= 2 * k:
         visits = parts
     held = spark.sparkContext.broadcast(router)  # a fixed number of weights
-    kind = table.schema[id_col].dataType.simpleString()
     schema = f"vec_id {kind}, v array<double>, parts array<int>"
     index = materialize(vectors.mapInArrow(_route(held, 1), schema)
                         .select("vec_id", "v", F.get("parts", F.lit(0)).alias("part")))
@@ -278,12 +314,7 @@ def search(table: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id"
         return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
             _search(k), f"query_id {kind}, vec_id {kind}, score double")
 
-    def best(found):
-        order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-            "query_id", "rank", "vec_id", "score")
-
-    found = best(hits(asked))
+    found = _best(hits(asked), k)
     if visits < parts:
         # Queries whose parts held too few rows go to all other parts too.
         found = materialize(found)
@@ -291,5 +322,5 @@ def search(table: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id"
         short = materialize(queried.join(full, "vec_id", "left_anti").mapInArrow(_route(held, parts), schema)
                             .select("vec_id", "v", F.explode(F.slice("parts", visits + 1, parts)).alias("part")))
         if not short.isEmpty():
-            found = best(found.drop("rank").unionByName(hits(short)))
+            found = _best(found.drop("rank").unionByName(hits(short)), k)
     return found

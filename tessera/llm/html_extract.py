@@ -17,7 +17,8 @@ twice, the second time with its sectioning tags replaced by ``div``, so that
 pages without them are told by density and attributes.
 
 Defined cases: null and empty pages give an empty text; unclosed, stray and
-misnested tags and very deep trees are read without recursion; repeated rows
+misnested tags and very deep trees are read without recursion and in linear
+time; a character reference lies within one text node, tags cut it; repeated rows
 give repeated results; null ids stay null; an empty table gives an empty
 result; other columns are ignored.
 """
@@ -63,11 +64,74 @@ OUTER = frozenset(
 
 # As HTML reads a tag: quotes count only where a value begins, other values end at white space or ">".
 # A quote without its partner is an ordinary character, so the tag still ends.
+PART = re.compile(r"""[\s/]++|(?:=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+""")
+# The same for a whole tag whose quotes all have partners, which nothing behind it can change.
 TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)"""
-    r"""((?:[\s/]++|(?:=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+)*+)>""", re.S)
+    r"""<(/?)([a-zA-Z][^\s/>]*+)"""
+    r"""((?:[\s/]++|(?:=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+)|(?!\s*+=)))*+)>""")
+SHORT = 512  # characters of a tag read at once; longer ones are read part by part
+NAME_ENDS = re.compile(r"[\s/>]")
 ATTR = re.compile(r"""(?:^|[\s"'/])(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+ZEROS, LARGE = re.compile(r"&#0+(?=[0-9])"), re.compile(r"&#[0-9]{8,}")
+
+
+class Tags:
+    """Comments, declarations and tags of a page, from the left.
+
+    A tag may fail to end only at the end of the page.  Where its parts began
+    is kept, and a later "<" that comes upon one of those places fails at
+    once, so any page is read in linear time."""
+
+    __slots__ = ("html", "last", "dead", "name")
+
+    def __init__(self, html: str):
+        self.html, self.last = html, html.rfind(">")
+        self.dead: set[int] = set()
+        self.name = (0, 0)  # a stretch that holds no end of a name, and where it stops
+
+    def find(self, pos: int):
+        """(start, end, closing, name, attributes) of the next one, its name
+        None for comments and declarations; None if there is none."""
+        html, n = self.html, len(self.html)
+        lt = html.find("<", pos)
+        while lt >= 0:
+            c = html[lt + 1:lt + 2]
+            if c == "!" and html.startswith("--", lt + 2):
+                end = html.find("-->", lt + 4)
+                return lt, end + 3 if end >= 0 else n, "", None, ""
+            if lt > self.last:  # nothing but comments can end
+                lt = html.find("<!--", lt + 1)
+                continue
+            if c == "!" or c == "?":
+                return lt, html.index(">", lt + 2) + 1, "", None, ""
+            m = TAG.match(html, lt, min(n, lt + SHORT))
+            if m:
+                return lt, m.end(), m[1], m[2], m[3]
+            start = lt + 2 if c == "/" else lt + 1
+            if html[start:start + 1].isalpha() and html[start].isascii():
+                got = self.parts(start)
+                if got:
+                    stop, end = got
+                    return lt, end + 1, "/" if c == "/" else "", html[start:stop], html[stop:end]
+            lt = html.find("<", lt + 1)
+        return None
+
+    def parts(self, start: int) -> tuple[int, int] | None:
+        """Where the name and the tag that begin at ``start`` end."""
+        html, n = self.html, len(self.html)
+        if not self.name[0] <= start < self.name[1]:
+            m = NAME_ENDS.search(html, start)
+            self.name = (start, m.start() if m else n)
+        stop = i = self.name[1]
+        seen = []
+        while i < n and i not in self.dead:
+            if html[i] == ">":
+                return stop, i
+            seen.append(i)
+            i = PART.match(html, i).end()
+        self.dead.update(seen)
+        return None
 
 
 class Page:
@@ -84,29 +148,36 @@ class Page:
         tags, parents = self.tags, self.parents
         at, pos = 0, 0
         opened = {"p": 0}  # open elements by name: ends without a partner cost nothing
+        # Open elements that may end by themselves, a list for each open scope: one of a kind at most.
+        scopes: list[list[int]] = [[]]
 
         def close_to(node: int) -> int:
             i = at
-            while i != node:
-                opened[tags[i]] -= 1
+            while True:
+                t = tags[i]
+                opened[t] -= 1
+                if t in SCOPE:
+                    scopes.pop()
+                elif t in SELF_CLOSING:
+                    scopes[-1].pop()
+                if i == node:
+                    return parents[i]
                 i = parents[i]
-            opened[tags[node]] -= 1
-            return parents[node]
 
         n = len(html)
+        found = Tags(html)
         while pos < n:
-            m = TAG.search(html, pos)
-            end = m.start() if m else n
+            m = found.find(pos)
+            end = m[0] if m else n
             if end > pos:
                 self.items.append((at, html[pos:end]))
             if not m:
                 break
-            pos = m.end()
-            name = m[2]
+            _, pos, closing, name, attributes = m
             if name is None:
                 continue
             name = name.lower()
-            if m[1]:
+            if closing:
                 if opened.get(name):
                     i = at
                     while tags[i] != name:
@@ -120,30 +191,30 @@ class Page:
                 at = close_to(i)
             ends = SELF_CLOSING.get(name)
             if ends:
-                i, found = at, -1
-                while i > 0 and tags[i] not in SCOPE:
-                    if tags[i] in ends:
-                        found = i
-                    i = parents[i]
-                if found > 0:
-                    at = close_to(found)
+                outermost = next((i for i in scopes[-1] if tags[i] in ends), 0)
+                if outermost:
+                    at = close_to(outermost)
             if name == "br":
                 self.items.append((at, None))
             if name in VOID:
                 continue
             tags.append(name)
             parents.append(at)
-            got = ATTR.findall(m[3]) if "=" in m[3] else ()
+            got = ATTR.findall(attributes) if "=" in attributes else ()
             self.words.append(frozenset(w.lower() for a in got for w in WORD.findall(a)) if got else frozenset())
             node = len(tags) - 1
             if name in RAW:
-                stop = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*>", re.I).search(html, pos)
+                stop = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*>", re.I).search(html, pos, found.last + 1)
                 if name == "title":
                     self.items.append((node, html[pos:stop.start() if stop else n]))
                 pos = stop.end() if stop else n
                 continue
             at = node
             opened[name] = opened.get(name, 0) + 1
+            if name in SCOPE:
+                scopes.append([])
+            elif ends:
+                scopes[-1].append(node)
 
 
 FEATURES = (
@@ -252,6 +323,14 @@ def decode(page: Page, margin) -> list[bool]:
     return [s == "in" for s in state]
 
 
+def decoded(text: str) -> str:
+    """Character references of one text node as characters; a number of any
+    length is read."""
+    if "&#" in text:
+        text = LARGE.sub("&#1114112", ZEROS.sub("&#", text))  # all above the last code point alike
+    return unescape(text) if "&" in text else text
+
+
 def text_of(page: Page, inside: list[bool]) -> str:
     """Blocks of the chosen nodes in page order, white space as one space."""
     block = [0] * len(page.tags)
@@ -264,9 +343,9 @@ def text_of(page: Page, inside: list[bool]) -> str:
             out.append("".join(run))
             run, last = [], b
         if inside[node]:
-            run.append(" " if text is None else text)
+            run.append(" " if text is None else decoded(text))
     out.append("".join(run))
-    return "\n".join(x for x in (" ".join(unescape(x).split()) for x in out) if x)
+    return "\n".join(x for x in (" ".join(x.split()) for x in out) if x)
 
 
 def templates(n: int = 120) -> list[str]:

@@ -2,6 +2,7 @@ import hashlib
 import html as H
 import math
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -103,6 +104,48 @@ def test_queries_whose_parts_hold_too_few_rows(spark, monkeypatch):
         assert [v for _, v in sorted(got[q])] == [v for v, _ in want[q]]
 
 
+def test_components_of_any_finite_size(spark):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(300, 6))
+    scale = [1e200, 1e-200, 1.0, 1e-300, 1e300]
+    rows = [(i, (v * scale[i % 5]).tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    got = ann.search(df, F.col("vec_id") % 50 == 0).collect()
+    assert len(got) == 6 * 5 and all(abs(g.score - float(u[g.query_id] @ u[g.vec_id])) < 1e-12 for g in got)
+    two = spark.createDataFrame([(0, [1e200, 1e200]), (1, [1e-200, 0.0]), (2, [5e-324, 5e-324])], df.schema)
+    assert [(g.vec_id, round(g.score, 6)) for g in ann.search(two, F.col("vec_id") == 0).orderBy("rank").collect()] == [
+        (2, 1.0), (1, 0.707107)]
+
+
+def test_each_length_is_searched(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    r = np.random.default_rng(6)
+    sizes = {8: 500, 5: 200, 3: 60, 2: 2, 1: 1}  # the first two have more than a block
+    rows, i = [], 0
+    for d, n in sizes.items():
+        for _ in range(n):
+            rows.append((i, r.normal(size=d).tolist()))
+            i += 1
+    rows += [(i, rows[-1][1]), (i + 1, None), (i + 2, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert ann.long_lengths(ann.usable(df, "vec_id", "embedding")) == [(5, 200), (8, 500)]
+    want = {}
+    for d in sizes:
+        want |= plain_nearest([x for x in rows if x[1] and len(x[1]) == d], lambda j: j % 20 == 0 or j > 755)
+    got = {}
+    for x in ann.search(df, (F.col("vec_id") % 20 == 0) | (F.col("vec_id") > 755)).collect():
+        got.setdefault(x.query_id, []).append((x["rank"], x.vec_id))
+    assert got.keys() == {q for q in want if want[q]}
+    for q, near in want.items():
+        if near:
+            assert len(got[q]) == len(near)
+            if q >= 700:  # exact among the short ones
+                assert [v for _, v in sorted(got[q])] == [v for v, _ in near]
+    hit = sum(len({a for a, _ in want[q]} & {a for _, a in got[q]}) for q in got)
+    assert hit >= 0.9 * sum(len(want[q]) for q in got)
+
+
 def test_parts_are_balanced():
     u = ann._unit(np.random.default_rng(1).normal(size=(600, 12)))
     part = ann.balanced_parts(u, ann.neighbour_graph(u, 8), 8)
@@ -232,3 +275,40 @@ def test_stray_quotes_in_tags(spark, model):
     got = {r.page_id: r.text for r in X.extract(df, model).collect()}
     assert got[0].endswith(" two\nthree\ndon't stop") and got[1].endswith(" two\nthree") and "<" not in got[1]
     assert X.Page("<a" + ' x="1" y=\'2\'' * 20000).tags == ["#page"]
+
+
+def whole(html):
+    page = X.Page(html)
+    return X.text_of(page, [True] * len(page.tags))
+
+
+def test_references_lie_within_text_nodes():
+    assert whole("<p>&<b>amp;</b> &amp;lt; &am<!-- -->p;</p>") == "&amp; &lt; &amp;"
+    assert whole("<p>&#65;&#x42;&#" + "0" * 5000 + "67;&#" + "9" * 5000 + ";&eacute;</p>") == "ABC\ufffd\u00e9"
+
+
+def test_tags_read_in_parts(monkeypatch):
+    long = '<p title="' + "x > y " * 300 + "\" class='main text' data-x=" + "z" * 2000 + ">one</p><p <b>two <a x=\"</p><p>three"
+    want = X.Page(long)
+    assert want.tags == ["#page", "p", "p", "a", "p"] and want.words[1] == {"main", "text"}
+    monkeypatch.setattr(X, "SHORT", 3)
+    got = X.Page(long)
+    assert (got.tags, got.parents, got.words, got.items) == (want.tags, want.parents, want.words, want.items)
+
+
+@pytest.mark.parametrize("unit,tail", [("<a ", ""), ("<a", ">"), ("</x", ""), ('<a href="', ""), ('<a x=">" ', ""),
+                                       ('<a x=">"', "'"), ("<!", ""), ("</script ", ""), ("<a   ", '"')])
+def test_a_megabyte_of_tags_that_never_end(unit, tail):
+    start = time.process_time()
+    X.Page("<script>" * (unit == "</script ") + unit * (1_000_000 // len(unit)) + tail)
+    assert time.process_time() - start < 10
+
+
+def test_a_megabyte_of_nested_items():
+    for html in ("<div>" * 100_000 + "<li>x" * 100_000, "<table>" + "<span>" * 100_000 + "<tr>" * 80_000,
+                 "<dl>" + "<dt><b>" * 100_000 + "<dd>" * 60_000):
+        start = time.process_time()
+        X.Page(html)
+        assert time.process_time() - start < 10
+    assert X.Page("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>").parents == [-1, 0, 1, 2, 3, 3, 1]
+    assert X.Page("<table><tr><td>a<td>b<tr><th>c</table>").parents == [-1, 0, 1, 2, 2, 1, 5]
