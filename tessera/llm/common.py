@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.session import materialize
 from tessera.sources.tables import table
 
-__all__ = ["materialize", "table", "text_or_empty", "row_hash", "hash_sample"]
+__all__ = ["materialize", "table", "text_or_empty", "row_hash", "hash_sample", "fresh", "row_identity"]
 
 
 def text_or_empty(col: str | Column) -> Column:
@@ -21,6 +21,21 @@ def row_hash(*cols) -> Column:
     return F.xxhash64(*cols)
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until no column of ``frames`` has it."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_identity(columns) -> Column:
+    """128 bits that tell rows apart, also rows that hold the same values in
+    other columns beside nulls, which a hash passes over."""
+    nulls = [F.col(c).isNull() for c in columns]
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *nulls, *columns).alias("b"))
+
+
 def hash_sample(df: DataFrame, key: str, n: int, total: int | None = None) -> DataFrame:
     """The (at most) ``n`` rows with the smallest value of the hash column
     ``key`` folded to 30 bits.  Where there are many more rows, only those

@@ -13,7 +13,7 @@ sources and all others together (``"*"``).
 Defined cases: null or unnamed sources belong to ``"*"`` (weight 0 unless
 given); null text has size 0 and a group of size 0 is not drawn; rows with the
 same id draw alike; a null id is hashed as an empty string; an empty table
-gives an empty result; other columns are kept.
+gives an empty result; other columns are kept, also those called like the added ones.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from math import exp, fsum, lgamma, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import fresh
+
 OTHER = "*"
 
 
@@ -65,7 +67,10 @@ def group_of(weights: Mapping[str, float], source_col: str) -> Column:
 def replicate(docs: DataFrame, rates: Mapping[str, float], seed: str = "mix", id_col: str = "doc_id",
               source_col: str = "source", copy: str = "copy", key: str = "shuffle_key") -> DataFrame:
     """``docs`` with each row repeated by its draw, the number of the copy
-    (from 0) and the key of the global order."""
+    (from 0) and the key of the global order, under ``copy`` and ``key``, or
+    those names with underscores behind where ``docs`` has such columns."""
+    copy = fresh(copy, docs)
+    key = fresh(key, docs)
     u = uniform(seed, F.col(id_col))
     draws = F.lit(0)
     table = F.create_map(*[x for g, r in rates.items() for x in (
@@ -83,4 +88,5 @@ def mix(docs: DataFrame, weights: Mapping[str, float], total: float | None = Non
         id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The mix in global random order, with ``copy`` and ``shuffle_key``."""
     rates = repetition_rates(docs, weights, total, source_col, text_col)
-    return replicate(docs, rates, seed, id_col, source_col).orderBy("shuffle_key")
+    mixed = replicate(docs, rates, seed, id_col, source_col)
+    return mixed.orderBy(mixed.columns[-1])

@@ -232,5 +232,7 @@ def judge(docs: DataFrame, rules: list[list[Condition]], id_col: str = "doc_id",
 def keep(docs: DataFrame, rules: list[list[Condition]], text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that neither the base rules nor a learned one reject."""
     p = "__q_"
+    while any(c.lower().startswith(p) for c in docs.columns):
+        p = "_" + p
     d = add_statistics(docs, text_col, p)
     return d.where(~base_failed(p) & verdict(rules, p).isNull()).select(*docs.columns)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_or_empty
+from tessera.llm.common import fresh, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -198,25 +198,27 @@ def redact(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str =
            length_col: str | None = "n_chars", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each span of its texts replaced by ``mark`` (overlapping
     spans by one) and ``length_col`` set anew.  Null texts stay null."""
-    d = docs.withColumn("__key", F.xxhash64(F.col(id_col), text_or_empty(text_col)))
-    spans = scan_keyed(d.select(F.col("__key").alias("k"), text_or_empty(text_col).alias("t")), rules)
+    key = fresh("__key", docs)
+    found, differs = fresh("__spans", docs), fresh("__changed", docs)
+    d = docs.withColumn(key, F.xxhash64(F.col(id_col), text_or_empty(text_col)))
+    spans = scan_keyed(d.select(F.col(key).alias("k"), text_or_empty(text_col).alias("t")), rules)
     before = W.partitionBy("k").orderBy("start", "rule").rowsBetween(W.unboundedPreceding, -1)
     clear = (spans.withColumn("far", F.coalesce(F.max("end").over(before), F.lit(-1).cast("long")))
              .where(F.col("end") > F.col("far")))
-    parts = clear.groupBy(F.col("k").alias("__key")).agg(F.sort_array(F.collect_list(F.struct(
+    parts = clear.groupBy(F.col("k").alias(key)).agg(F.sort_array(F.collect_list(F.struct(
         F.greatest("start", "far").alias("a"), F.col("end").alias("b"), (F.col("start") >= F.col("far")).alias("new"))
-    )).alias("__spans"))
-    s, t = F.col("__spans"), F.col(text_col)
+    )).alias(found))
+    s, t = F.col(found), F.col(text_col)
     kept = F.transform(s, lambda x, i: F.concat(
         F.substr(t, (F.coalesce(F.get(s, i - 1)["b"], F.lit(0)) + 1).cast("int"),
                  (x["a"] - F.coalesce(F.get(s, i - 1)["b"], F.lit(0))).cast("int")),
         F.when(x["new"], F.lit(mark)).otherwise(F.lit(""))))
     clean = F.concat(F.array_join(kept, ""), F.substr(t, (F.element_at(s, -1)["b"] + 1).cast("int")))
-    changed = F.col("__spans").isNotNull()
-    out = (d.join(parts, "__key", "left").withColumn("__changed", changed)
+    changed = F.col(found).isNotNull()
+    out = (d.join(parts, key, "left").withColumn(differs, changed)
            .withColumn(text_col, F.when(changed, clean).otherwise(t)))
     if length_col and length_col in docs.columns:
-        out = out.withColumn(length_col, F.when(F.col("__changed"), F.length(text_col)).otherwise(F.col(length_col))
+        out = out.withColumn(length_col, F.when(F.col(differs), F.length(text_col)).otherwise(F.col(length_col))
                              .cast(docs.schema[length_col].dataType))
     return out.select(*docs.columns)
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.chunks import slices
-from tessera.llm.common import materialize, text_or_empty
+from tessera.llm.common import fresh, materialize, row_identity, text_or_empty
 
 TILE = 4096
 SMALL = 16  # groups up to this size are compared by shifted arrays
@@ -232,10 +232,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 max_bits: int = 4, blocks: int | None = None) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, the one with the
     smallest id (null ids last, then by a hash of the row)."""
-    key = F.xxhash64(*docs.columns)
+    name, key = fresh("__key", docs), row_identity(docs.columns)
     fps = materialize(fingerprints(docs, id_col, text_col, shingle, [("__key", key)]))
     lead = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("id"), F.col("__key").alias("k"))
-    stay = fingerprint_components(fps, lead, max_bits, blocks).select(F.col("lead.k").alias("__key")).distinct()
+    stay = fingerprint_components(fps, lead, max_bits, blocks).select(F.col("lead.k").alias(name)).distinct()
     # Equal rows share a key: one of them stays, picked in each task before the texts are shuffled.
-    once = docs.withColumn("__key", key).dropDuplicates(["__key"])
-    return once.join(stay, "__key", "left_semi").select(*docs.columns)
+    once = docs.withColumn(name, key).dropDuplicates([name])
+    return once.join(stay, name, "left_semi").select(*docs.columns)
