@@ -56,3 +56,22 @@ def strip_tags(col) -> Column:
 def url_host(col) -> Column:
     """Server host of a URL (SCL-23); null for text that is not a URL."""
     return F.try_parse_url(_c(col), F.lit("HOST"))
+
+
+def let(value, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body
+    names it (lambda bodies share no common subexpressions)."""
+    return F.transform(F.array(_c(value)), body)[0]
+
+
+def value_counts(items) -> Column:
+    """(word, count) of each distinct string of an array, by word: the sorted
+    array's runs, from the begin of one to the begin of the next."""
+    def runs(s: Column) -> Column:
+        n = F.size(s)
+        places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        begins = F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(begins, lambda b: F.transform(b, lambda at, i: F.struct(
+            F.get(s, at).alias("word"), (F.coalesce(F.get(b, i + 1), n) - at).cast("bigint").alias("count"))))
+
+    return let(F.sort_array(_c(items)), runs)

@@ -47,6 +47,14 @@ STRIP_RANGE = r"[.,;-?!]"  # ';-?' is a character range here, so '-' stays
 PAGE_BREAK = "/p"
 
 
+def _by_repeats(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key is theirs alone, and those whose key repeats (null
+    is a key).  The first need no group: what is kept per key is kept within
+    the row, and only whole texts are shuffled and sorted."""
+    n = df.select(key, text, F.count(F.lit(1)).over(W.partitionBy(key)).alias("_n"))
+    return n.where("_n = 1").drop("_n"), n.where("_n > 1").drop("_n")
+
+
 def concordance(df: DataFrame, doc: str = "doc_id", text: str = "text", mode: str = "strict",
                 strip: str = STRIP_STRICT) -> DataFrame:
     """Positional word index: (doc, page, line, col, word) (TXT-01..04).
@@ -89,10 +97,16 @@ def concordance_nested(flat: DataFrame, doc: str = "doc_id") -> DataFrame:
 
 
 def word_value_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``countByValue`` per key as a map ``word -> count`` (AGG-18).  The map
-    of one key is bounded by that key's own text (a document), so no
+    """``countByValue`` per key as a map ``word -> count`` (AGG-18).  An only
+    text's words are counted inside its row, so that no word is shuffled,
+    sorted or held in a hash table; those of a key that repeats are grouped.
+    The map of one key is bounded by that key's own text (a document), so no
     unbounded group is gathered; a corpus-wide map would be the (word,
     count) frame of :func:`word_count` itself."""
-    w = df.select(key, F.explode(T.tokens(text)).alias("word")).groupBy(key, "word").count()
-    entries = F.array_sort(F.collect_list(F.struct("word", "count")))
-    return w.groupBy(key).agg(F.map_from_entries(entries).alias("counts"))
+    single, repeated = _by_repeats(df, key, text)
+    # explode of at most one array: a key without words has no row
+    counted = F.filter(F.array(T.value_counts(T.tokens(text))), lambda c: F.size(c) > 0)
+    within = single.select(key, F.explode(counted).alias("_entries"))
+    w = repeated.select(key, F.explode(T.tokens(text)).alias("word")).groupBy(key, "word").count()
+    grouped = w.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("word", "count"))).alias("_entries"))
+    return within.unionByName(grouped).select(key, F.map_from_entries("_entries").alias("counts"))

@@ -14,10 +14,12 @@ _WS = r"[\t\n\x0B\f\r ]"
 
 
 def _docs(spark, sf):
-    # Hash-partitioned by document: the concordance's windows (clustered on
-    # doc_id, page, line) and per-document maps then need no further shuffle,
-    # and the token-level shuffle is replaced by one of the raw text.
-    return spread(t(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    # Hash-partitioned by document: only the raw text is shuffled, and what
+    # the operators group by document needs no further shuffle.  The number
+    # of partitions is given, so that adaptive execution does not merge them
+    # by the size of the text, of which each word becomes a record.
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return t(spark, sf, "documents").select("doc_id", "text").repartition(n, "doc_id")
 
 
 @plan("document_word_count", "AGG-16 AGG-17", headline=True, sql=f"""

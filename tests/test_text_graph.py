@@ -31,6 +31,28 @@ def test_range_strip_keeps_dash(spark):
     assert rows(X.concordance(df, strip=X.STRIP_RANGE), "word") == [("done",), ("well-",)]
 
 
+def _only_rows(df):
+    """The optimized plan's branch for keys that come once."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    k = next(i for i, x in enumerate(plan) if "Union" in x)
+    at = plan[k + 1].index(":- ")
+    return "\n".join(plan[k + 1:next(i for i in range(k + 2, len(plan)) if plan[i][at:at + 2] == "+-")])
+
+
+_REPEATED = [(1, "a b /pa\nb, a c"), (2, "x y"), (2, "x y"), (None, "n m"), (3, None), (3, "z"), (4, "(no) words ("),
+             (5, ""), (6, None), (None, None)]
+
+
+def test_word_value_counts_within_rows_and_over_repeated_keys(spark):
+    df = spark.createDataFrame([*_REPEATED, (7, "b a  b\tC b")], "doc_id int, text string")
+    got = X.word_value_counts(df, "doc_id", "text")
+    assert "Aggregate" not in _only_rows(got)
+    assert {r.doc_id: r.counts for r in got.collect()} == {
+        1: {"a": 2, "b": 1, "/pa": 1, "b,": 1, "c": 1}, 2: {"x": 2, "y": 2}, 3: {"z": 1}, 4: {"(": 1, "(no)": 1, "words": 1},
+        7: {"C": 1, "a": 1, "b": 3}, None: {"m": 1, "n": 1}}
+    assert got.where("doc_id = 7").select(F.to_json("counts")).first()[0] == '{"C":1,"a":1,"b":3}'
+
+
 def test_url_resolution_and_filters(spark):
     df = spark.createDataFrame([
         ("http://a.com/x/y.html?q=1", "/root"), ("http://a.com/x/y.html", "z.htm"), ("https://a.com/x", "//b.org/p"),
