@@ -64,6 +64,24 @@ def let(value, body) -> Column:
     return F.transform(F.array(_c(value)), body)[0]
 
 
+def offsets(parts) -> Column:
+    """Where each string of an array begins in their concatenation, from 0:
+    the total length of the strings before it.
+
+    A running sum inside the row: nothing is exploded, sorted or windowed.
+    Sums of 1, 2, 4, ... neighbours are added up, in as many passes as the
+    array's size has binary digits (an array grown item by item would be
+    copied for each)."""
+    def sums(n: Column) -> Column:
+        shifts = F.filter(F.array(*[F.lit(1 << j) for j in range(31)]), lambda s: s < F.size(n))
+        return F.aggregate(shifts, n, lambda a, s: F.transform(a, lambda x, i: x + F.coalesce(F.get(a, i - s), F.lit(0))))
+
+    def begins(n: Column) -> Column:
+        return let(sums(n), lambda ends: F.transform(n, lambda x, i: F.get(ends, i) - x))
+
+    return let(F.transform(_c(parts), lambda x: F.length(x)), begins)
+
+
 def value_counts(items) -> Column:
     """(word, count) of each distinct string of an array, by word: the sorted
     array's runs, from the begin of one to the begin of the next."""

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tessera.functions import text as T
 from tessera.operators import graph as G
 from tessera.operators import text as X
 
@@ -43,6 +44,45 @@ _REPEATED = [(1, "a b /pa\nb, a c"), (2, "x y"), (2, "x y"), (None, "n m"), (3,
              (5, ""), (6, None), (None, None)]
 
 
+def test_concordance_keeps_words_out_of_windows_and_sorts(spark):
+    df = spark.createDataFrame(_REPEATED, "doc_id int, text string")
+    for got in (X.concordance(df), X.concordance(df, mode="unicode"), X.concordance(df, strip=X.STRIP_RANGE),
+                X.concordance_nested(X.concordance(df, per_doc=True))):
+        branch = _only_rows(got)
+        assert branch.count("Window ") == 1 and "count(1)" in branch and "Aggregate" not in branch
+
+
+def test_concordance_of_repeated_and_null_documents(spark):
+    df = spark.createDataFrame(_REPEATED, "doc_id int, text string")
+    # Rows of one document share its lines: both x come before both y.
+    want = [(1, 1, 1, 1, "a"), (1, 1, 1, 3, "b"), (1, 2, 1, 1, "a"), (1, 2, 2, 1, "b"), (1, 2, 2, 4, "a"), (1, 2, 2, 6, "c"),
+            (2, 1, 1, 1, "x"), (2, 1, 1, 2, "x"), (2, 1, 1, 4, "y"), (2, 1, 1, 6, "y"), (3, 1, 1, 1, "z"),
+            (None, 1, 1, 1, "n"), (None, 1, 1, 3, "m")]
+    assert rows(X.concordance(df)) == want
+    for index in (X.concordance(df), X.concordance(df, per_doc=True)):
+        nested = {r.doc_id: [tuple(e) for e in r.entries] for r in X.concordance_nested(index).collect()}
+        assert nested == {d: [w[1:] for w in want if w[0] == d] for d in (1, 2, 3, None)}
+
+
+def test_concordance_of_a_long_line(spark):
+    words = ["w" * (i * 7 % 5 + 1) for i in range(3000)]
+    blanks = [" " * (i * 3 % 4 + 1) for i in range(3000)]
+    df = spark.createDataFrame([(1, "".join(b + w for b, w in zip(blanks, words)) + "  ")], "doc_id int, text string")
+    at, want = 0, []
+    for b, w in zip(blanks, words):
+        want.append((at + len(b) + 1, w))
+        at += len(b) + len(w)
+    assert rows(X.concordance(df), "col", "word") == want
+    assert [(e.col, e.word) for e in X.concordance_nested(X.concordance(df, per_doc=True)).first().entries] == want
+
+
+def test_offsets_within_an_array(spark):
+    for n in (0, 1, 2, 3, 4, 5, 16, 17, 1000):
+        parts = ["é" * (i % 3) for i in range(n)]
+        df = spark.createDataFrame([(parts,)], "p array<string>")
+        assert df.select(T.offsets("p")).first()[0] == [sum(map(len, parts[:i])) for i in range(n)]
+
+
 def test_word_value_counts_within_rows_and_over_repeated_keys(spark):
     df = spark.createDataFrame([*_REPEATED, (7, "b a  b\tC b")], "doc_id int, text string")
     got = X.word_value_counts(df, "doc_id", "text")
