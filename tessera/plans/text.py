@@ -107,7 +107,7 @@ SELECT doc_id, to_json(list({'page': page, 'line': line, 'col': col, 'word': wor
 FROM flat GROUP BY doc_id""")
 def document_concordance_nested(spark, sf):
     # JSON text of the nested entries keeps the result comparable across engines.
-    nested = X.concordance_nested(X.concordance(_docs(spark, sf), "doc_id", "text"))
+    nested = X.concordance_nested(X.concordance(_docs(spark, sf), "doc_id", "text", per_doc=True))
     return nested.select("doc_id", F.to_json("entries").alias("entries"))
 
 
